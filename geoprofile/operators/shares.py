@@ -1,52 +1,47 @@
 """D4 calc_shares and D4a share margins.
 
-The denominator of each key is taken by ONE partial-aggregating groupBy on
-the denominator rows and joined back, instead of a window over the keys: the
-window would move every row of a key into one task (a key holding a third
-of the data would land on one executor), while the per-key denominator
-table is one row per key; adaptive execution broadcasts it when small and
-splits skewed partitions when not.
+The denominator is broadcast over its key with a window: ``max(estimate
+where group == denom) OVER (PARTITION BY keys)``.  The input is the output
+of a group rollup, i.e. at most one row per (key, group), so a window
+partition holds at most ``len(spec)`` rows whatever the data volume: no
+key can be skewed, and the shuffle is one exchange on ``keys``.  (On raw,
+unaggregated input, roll up first: shares of single categories are a
+rollup whose groups each list one category.)
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.moe import moe_prop
-from ._util import null_safe_join
 
 
 def calc_shares(df: DataFrame, keys: Sequence[str], group_col: str = "group", denom: str = "total_pop",
                 value: str = "estimate", moe: str | None = "moe", digits: int | None = None,
-                share_col: str = "share", sharemoe_col: str = "sharemoe",
-                null_keys: bool = False) -> DataFrame:
+                share_col: str = "share", sharemoe_col: str = "sharemoe") -> DataFrame:
     """``share = estimate / estimate[group == denom]`` within ``keys``.
 
     * the denominator row itself gets NULL share (and NULL sharemoe);
     * a missing or zero denominator gives NULL (``try_divide``), where R
       would give NA / Inf;
     * ``digits`` rounds the share HALF_UP (``None`` keeps it unrounded);
-    * ``moe``: when given, ``sharemoe`` is the margin of a proportion.
-    * ``null_keys``: match NULL key values to each other (R join semantics).
+    * ``moe``: when given, ``sharemoe`` is the margin of a proportion;
+    * NULL key values form one group together (R's grouping semantics).
     """
-    keys = list(keys)
-    aggs = [F.max(value).alias("_den")]
-    if moe:
-        aggs.append(F.max(moe).alias("_den_moe"))
-    dens = df.filter(F.col(group_col) == F.lit(denom)).groupBy(*keys).agg(*aggs)
-    joined = null_safe_join(df, dens, keys, "left") if null_keys else df.join(dens, keys, "left")
+    w = Window.partitionBy(*keys)
     is_den = F.col(group_col) == F.lit(denom)
-    share = F.try_divide(F.col(value), F.col("_den"))
+    den = F.max(F.when(is_den, F.col(value))).over(w)
+    share = F.try_divide(F.col(value), den)
     if digits is not None:
         share = F.round(share, digits)
     cols = {share_col: F.when(~is_den, share)}
     if moe:
-        smoe = moe_prop(value, moe, "_den", "_den_moe")
+        den_moe = F.max(F.when(is_den, F.col(moe))).over(w)
+        smoe = moe_prop(value, moe, den, den_moe)
         if digits is not None:
             smoe = F.round(smoe, digits)
         cols[sharemoe_col] = F.when(~is_den, smoe)
-    out = joined.withColumns(cols).drop("_den")
-    return out.drop("_den_moe") if moe else out
+    return df.withColumns(cols)

@@ -72,13 +72,13 @@ def _r(c: str, d: int):
 
 # ------------------------------------------------------------ shared building blocks
 def labelled_leaves(spark, sf):
-    est = label_variables(S.town_estimates(spark, sf), S.labels(spark, sf))
+    est = label_variables(S.town_estimates(spark, sf), S.labels(spark), on=("variable",))
     return split_label(est, SPLIT_INTO, keep="leaf")
 
 
 def label_positions(spark, sf, col="priority"):
     """Positions of a label part, from the LABELS dimension (not the fact)."""
-    leaf_labels = split_label(S.labels(spark, sf), SPLIT_INTO, keep="leaf")
+    leaf_labels = split_label(S.labels(spark), SPLIT_INTO, keep="leaf")
     return category_positions(leaf_labels, col, "variable")
 
 
@@ -144,7 +144,7 @@ def codes(spark, sf):
 
 # ------------------------------------------------------------------- the queries
 def q_variable_labels(spark, sf):
-    est = label_variables(S.town_estimates(spark, sf), S.labels(spark, sf))
+    est = label_variables(S.town_estimates(spark, sf), S.labels(spark), on=("variable",))
     return est.select("name", "year", "variable", "label", _r("estimate", 2), _r("moe", 4))
 
 
@@ -237,7 +237,7 @@ def q_param_slices(spark, sf):
 def level_shares(spark, sf):
     """Priority groups and shares at every stacked level (keys level, name, year)."""
     st = stacked_levels(spark, sf)
-    lab = split_label(label_variables(st, S.labels(spark, sf)), SPLIT_INTO, keep="leaf")
+    lab = split_label(label_variables(st, S.labels(spark), on=("variable",)), SPLIT_INTO, keep="leaf")
     roll = group_rollup(lab, PRIORITY_GROUPS, ["level", "name", "year"], "priority",
                         positions=label_positions(spark, sf), out_col="group")
     return calc_shares(roll, ["level", "name", "year"], "group", denom="total")

@@ -29,17 +29,18 @@ town AS (
   UNION ALL
   SELECT n_name, year, 'ord', CAST(sum(est) AS DOUBLE), sqrt(sum(sq)) FROM nl GROUP BY n_name, year)"""
 
+_STATUS = ["F", "O", "P"]
+_PRIORITY = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
+_DICT = [("ord", "Total")] + [(f"ord_{s}", f"Total!!{s}") for s in _STATUS] + \
+        [(f"ord_{s}_{p}", f"Total!!{s}!!{p}") for s in _STATUS for p in _PRIORITY]
 LABELS = """
-labels AS (
-  SELECT DISTINCT year, 'ord_' || status || '_' || priority AS variable,
-         'Total!!' || status || '!!' || priority AS label FROM nl
-  UNION SELECT DISTINCT year, 'ord_' || status, 'Total!!' || status FROM nl
-  UNION SELECT DISTINCT year, 'ord', 'Total' FROM nl)"""
+labels(variable, label) AS (VALUES """ + ", ".join(f"('{v}', '{l}')" for v, l in _DICT) + ")"
+
 
 LEAVES = """
 lab AS (SELECT t.name, t.year, t.variable, t.estimate, t.moe, l.label,
                string_split(l.label, '!!')[2] AS status, string_split(l.label, '!!')[3] AS priority
-        FROM town t LEFT JOIN labels l ON t.year = l.year AND t.variable = l.variable),
+        FROM town t LEFT JOIN labels l ON t.variable = l.variable),
 leaves AS (SELECT * FROM lab WHERE priority IS NOT NULL),
 leaf_labels AS (SELECT variable, string_split(label, '!!')[2] AS status, string_split(label, '!!')[3] AS priority
                 FROM labels WHERE string_split(label, '!!')[3] IS NOT NULL),
@@ -115,7 +116,7 @@ Q: dict[str, str] = {}
 
 Q["variable_labels"] = _with(*BASE) + """
 SELECT t.name, t.year, t.variable, l.label, round(t.estimate, 2) AS estimate, round(t.moe, 4) AS moe
-FROM town t LEFT JOIN labels l ON t.year = l.year AND t.variable = l.variable"""
+FROM town t LEFT JOIN labels l ON t.variable = l.variable"""
 
 Q["label_split_leaves"] = _with(*BASE, LEAVES) + """
 SELECT name, year, variable, status, priority, round(estimate, 2) AS estimate, round(moe, 4) AS moe FROM leaves"""
@@ -203,7 +204,7 @@ FROM prof p JOIN slc s
 
 Q["display_wide"] = _with(*BASE, LEVELMAP, STACKED, LEAVES) + """
 , stl AS (SELECT st.*, string_split(l.label, '!!')[3] AS priority
-          FROM st LEFT JOIN labels l ON st.year = l.year AND st.variable = l.variable),
+          FROM st LEFT JOIN labels l ON st.variable = l.variable),
 lroll AS (SELECT x.level, x.name, x.year, s.g, sum(x.estimate) AS estimate
           FROM stl x JOIN ppos p ON x.priority = p.priority JOIN pspec s ON s.position = p.position
           WHERE x.priority IS NOT NULL GROUP BY x.level, x.name, x.year, s.g),

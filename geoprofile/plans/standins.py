@@ -23,6 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators._util import param_frame
 from ..session import table_path
 
 # Survey-table code and label root of the stand-in table.
@@ -31,6 +32,8 @@ VAR_PREFIX = "ord"
 LABEL_ROOT = "Total"
 MOE_RATE = 0.05
 STATE_NAME = "World"
+STATUS_DOMAIN = ["F", "O", "P"]
+PRIORITY_DOMAIN = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 
 
 def read(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
@@ -62,39 +65,43 @@ def order_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _leaves(rows: DataFrame, geo: list[str]) -> DataFrame:
+    return (rows.groupBy(*geo, "year", "status", "priority")
+            .agg(F.sum("price").alias("est"), F.sum("sq").alias("sq"), F.count(F.lit(1)).alias("n")))
+
+
 def segment_leaves(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leaf cells (region, nation, segment, year, status, priority):
     ``est`` exact decimal sum, ``sq`` sum of squared margins, ``n`` orders."""
-    return (order_rows(spark, sf_dir)
-            .groupBy("r_name", "n_name", "c_mktsegment", "year", "status", "priority")
-            .agg(F.sum("price").alias("est"), F.sum("sq").alias("sq"), F.count(F.lit(1)).alias("n")))
+    return _leaves(order_rows(spark, sf_dir), ["r_name", "n_name", "c_mktsegment"])
 
 
 def nation_leaves(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (segment_leaves(spark, sf_dir)
-            .groupBy("r_name", "n_name", "year", "status", "priority")
-            .agg(F.sum("est").alias("est"), F.sum("sq").alias("sq"), F.sum("n").alias("n")))
+    """Leaf cells per nation, aggregated straight from the order rows."""
+    return _leaves(order_rows(spark, sf_dir), ["r_name", "n_name"])
 
 
 def variable_code(status=None, priority=None):
     parts = [F.lit(VAR_PREFIX)]
     if status is not None:
-        parts.append(F.col(status))
+        parts.append(F.col(status) if isinstance(status, str) else status)
     if priority is not None:
-        parts.append(F.col(priority))
+        parts.append(F.col(priority) if isinstance(priority, str) else priority)
     return F.concat_ws("_", *parts)
 
 
 def _depths(leaves: DataFrame, geo: list[str]) -> DataFrame:
-    """All label depths of the table from its leaves: total, status, leaf."""
-    d3 = leaves.select(*geo, "year", variable_code("status", "priority").alias("variable"), "est", "sq")
-    d2 = (leaves.groupBy(*geo, "year", "status").agg(F.sum("est").alias("est"), F.sum("sq").alias("sq"))
-          .select(*geo, "year", variable_code("status").alias("variable"), "est", "sq"))
-    d1 = (leaves.groupBy(*geo, "year").agg(F.sum("est").alias("est"), F.sum("sq").alias("sq"))
-          .select(*geo, "year", variable_code().alias("variable"), "est", "sq"))
-    u = d3.unionByName(d2).unionByName(d1)
-    return u.select(*geo, "year", "variable", F.col("est").cast("double").alias("estimate"),
-                    F.sqrt("sq").alias("moe"))
+    """All label depths (total, status, status x priority) of the table in
+    ONE aggregation over the small leaf cells (grouping sets), not a union
+    of three plans over the facts."""
+    keys = [*geo, "year"]
+    g = (leaves.groupingSets([[*keys, "status", "priority"], [*keys, "status"], keys], *keys, "status", "priority")
+         .agg(F.sum("est").alias("est"), F.sum("sq").alias("sq"), F.grouping_id().alias("_gid")))
+    # grouping_id bits: priority rolled up = 1, status and priority = 3
+    status = F.when(F.col("_gid") < 3, F.col("status"))
+    priority = F.when(F.col("_gid") == 0, F.col("priority"))
+    return g.select(*geo, "year", variable_code(status, priority).alias("variable"),
+                    F.col("est").cast("double").alias("estimate"), F.sqrt("sq").alias("moe"))
 
 
 def town_estimates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -114,16 +121,19 @@ def neighborhood_estimates(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "year", "variable", "estimate", "moe")
 
 
-def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Variable dictionary (year, variable, label) of the stand-in table,
-    derived from the distinct label cells (one small aggregation)."""
-    cells = nation_leaves(spark, sf_dir).select("year", "status", "priority")
-    d3 = cells.select("year", variable_code("status", "priority").alias("variable"),
-                      F.concat_ws("!!", F.lit(LABEL_ROOT), "status", "priority").alias("label"))
-    d2 = cells.select("year", variable_code("status").alias("variable"),
-                      F.concat_ws("!!", F.lit(LABEL_ROOT), "status").alias("label"))
-    d1 = cells.select("year", variable_code().alias("variable"), F.lit(LABEL_ROOT).alias("label"))
-    return d3.unionByName(d2).unionByName(d1).distinct()
+def labels(spark: SparkSession) -> DataFrame:
+    """Variable dictionary (variable, label) of the stand-in table.
+
+    Like published survey metadata it is a small fixed dimension built from
+    the table's category domains (TPC-H order status and priority), not
+    re-derived from the facts; it is broadcast with an exact size.
+    """
+    rows = [(f"{VAR_PREFIX}", LABEL_ROOT)]
+    for st in STATUS_DOMAIN:
+        rows.append((f"{VAR_PREFIX}_{st}", f"{LABEL_ROOT}!!{st}"))
+        for pr in PRIORITY_DOMAIN:
+            rows.append((f"{VAR_PREFIX}_{st}_{pr}", f"{LABEL_ROOT}!!{st}!!{pr}"))
+    return param_frame(spark, rows, "variable string, label string")
 
 
 def nation_region(spark: SparkSession, sf_dir: str) -> DataFrame:
