@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators._util import param_frame
+from ..schema import input_schema
 from ..session import table_path
 
 # Survey-table code and label root of the stand-in table.
@@ -37,7 +38,10 @@ PRIORITY_DOMAIN = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 
 
 def read(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
-    df = spark.read.parquet(table_path(sf_dir, name))
+    """Parquet scan with the declared schema, carrying only ``cols``."""
+    ddl = input_schema(name, cols or None)
+    reader = spark.read.schema(ddl) if ddl else spark.read
+    df = reader.parquet(table_path(sf_dir, name))
     return df.select(*cols) if cols else df
 
 
