@@ -28,12 +28,12 @@ def write_snapshot(df: DataFrame, path: str, partition_by: Sequence[str] = ("tbl
 def read_keyed(spark: SparkSession, pattern: str, key_regex: str, keep: Sequence[str] | None = None,
                key_col: str = "src", fmt: str = "parquet") -> DataFrame:
     """Read every file matching ``pattern`` and tag rows with a key
-    extracted from the file name (``str_extract(path, key_regex)``), then
+    extracted from the file path (``str_extract(path, key_regex)``), then
     keep the listed keys.  The file name comes from the ``_metadata``
     column, so the filter prunes nothing but costs no extra job.
     """
     df = spark.read.format(fmt).load(pattern)
-    name = F.col("_metadata.file_name")
+    name = F.col("_metadata.file_path")
     df = df.withColumn(key_col, F.regexp_extract(name, key_regex, 1))
     if keep is not None:
         df = df.filter(F.col(key_col).isin(list(keep)))
