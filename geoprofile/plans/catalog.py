@@ -24,6 +24,7 @@ from ..operators.rollup import category_positions, group_rollup, two_stage_rollu
 from ..operators.shares import calc_shares
 from ..sources.metadata import explode_json_map
 from . import standins as S
+from .profile import Topic, build_profile
 
 # ---------------------------------------------------------------- fixed values
 SPLIT_INTO = ["total", "status", "priority"]
@@ -63,6 +64,7 @@ LINK_BASE = "https://data.census.gov/cedsci/table"
 LINK_YEAR = 2019
 LINK_DATASET = "ACS 5-Year Estimates Data Profiles"
 MIN_ORDERS = 30
+STATUS_TOPIC_GROUPS = {"total": range(1, 4), "open": 2, "done": [1, 3]}
 # -----------------------------------------------------------------------------
 
 
@@ -367,6 +369,21 @@ def q_profile_assembly(spark, sf):
     return rename_like(laid, header)
 
 
+def q_town_profile(spark, sf):
+    """Three topics bound into one long profile at every stacked level."""
+    st = stacked_levels(spark, sf, carry=("tbl", "variable", "year"))
+    topics = {
+        "total": Topic(tbl=S.TABLE, variables=[S.VAR_PREFIX], group_name="total_value"),
+        "priority": Topic(tbl=S.TABLE, into=SPLIT_INTO, keep="leaf", group_col="priority",
+                          spec=PRIORITY_GROUPS, denom="total"),
+        "status": Topic(tbl=S.TABLE, into=SPLIT_INTO, keep=2, group_col="status",
+                        spec=STATUS_TOPIC_GROUPS, denom="total"),
+    }
+    prof = build_profile(st, S.labels(spark), topics)
+    return prof.select("topic", "topic_ord", "level", "name", "year", "group", "grp_ord", _r("estimate", 2),
+                       _r("moe", 4), _r("share", 6), _r("sharemoe", 6))
+
+
 QUERIES = {
     "variable_labels": q_variable_labels,
     "label_split_leaves": q_label_split_leaves,
@@ -393,4 +410,5 @@ QUERIES = {
     "name_normalise": q_name_normalise,
     "null_fill_coalesce": q_null_fill_coalesce,
     "profile_assembly": q_profile_assembly,
+    "town_profile": q_town_profile,
 }

@@ -350,3 +350,45 @@ SELECT acs.name AS "Town", nr.county AS "County", acs.year AS "Year",
 metal."Social Characteristics", metal."Economic Characteristics", metal."Housing Characteristics",
 metal."Demographic Characteristics"
 FROM acs LEFT JOIN nr ON acs.name = nr.town LEFT JOIN cws ON acs.name = cws.name LEFT JOIN metal ON acs.name = metal.name"""
+
+
+_SHARE_SQL = """CASE WHEN {g} <> 'total' THEN {e} / {d} END"""
+_SMOE_SQL = """CASE WHEN {g} <> 'total' THEN
+  sqrt(CASE WHEN {m} * {m} - ({e} / {d}) * ({e} / {d}) * {dm} * {dm} < 0
+            THEN {m} * {m} + ({e} / {d}) * ({e} / {d}) * {dm} * {dm}
+            ELSE {m} * {m} - ({e} / {d}) * ({e} / {d}) * {dm} * {dm} END) / {d} END"""
+
+Q["town_profile"] = _with(*BASE, LEVELMAP, STACKED, LEAVES) + """
+, stl AS (SELECT st.*, l.label, string_split(l.label, '!!')[2] AS status, string_split(l.label, '!!')[3] AS priority
+          FROM st LEFT JOIN labels l ON st.variable = l.variable),
+d2_labels AS (SELECT variable, string_split(label, '!!')[2] AS status FROM labels
+              WHERE string_split(label, '!!')[2] IS NOT NULL AND string_split(label, '!!')[3] IS NULL),
+s2pos AS (SELECT status, row_number() OVER (ORDER BY min(variable), status) AS position FROM d2_labels GROUP BY status),
+sspec(g, grp_ord, position) AS (VALUES ('total', 1, 1), ('total', 1, 2), ('total', 1, 3), ('open', 2, 2),
+                                       ('done', 3, 1), ('done', 3, 3)),
+pspec2(g, grp_ord, position) AS (VALUES ('total', 1, 1), ('total', 1, 2), ('total', 1, 3), ('total', 1, 4),
+                                        ('total', 1, 5), ('high', 2, 1), ('high', 2, 2), ('low', 3, 4), ('low', 3, 5)),
+proll AS (SELECT x.level, x.name, x.year, s.g, s.grp_ord, sum(x.estimate) AS estimate, sqrt(sum(x.moe * x.moe)) AS moe
+          FROM stl x JOIN ppos p ON x.priority = p.priority JOIN pspec2 s ON s.position = p.position
+          WHERE x.priority IS NOT NULL GROUP BY x.level, x.name, x.year, s.g, s.grp_ord),
+sroll AS (SELECT x.level, x.name, x.year, s.g, s.grp_ord, sum(x.estimate) AS estimate, sqrt(sum(x.moe * x.moe)) AS moe
+          FROM stl x JOIN s2pos p ON x.status = p.status JOIN sspec s ON s.position = p.position
+          WHERE x.status IS NOT NULL AND x.priority IS NULL GROUP BY x.level, x.name, x.year, s.g, s.grp_ord),
+pw AS (SELECT *, max(CASE WHEN g = 'total' THEN estimate END) OVER (PARTITION BY level, name, year) AS den,
+              max(CASE WHEN g = 'total' THEN moe END) OVER (PARTITION BY level, name, year) AS den_moe FROM proll),
+sw AS (SELECT *, max(CASE WHEN g = 'total' THEN estimate END) OVER (PARTITION BY level, name, year) AS den,
+              max(CASE WHEN g = 'total' THEN moe END) OVER (PARTITION BY level, name, year) AS den_moe FROM sroll),
+u AS (
+  SELECT 'total' AS topic, 1 AS topic_ord, level, name, year, 'total_value' AS "group", 1 AS grp_ord, estimate, moe,
+         CAST(NULL AS DOUBLE) AS share, CAST(NULL AS DOUBLE) AS sharemoe FROM st WHERE variable = 'ord'
+  UNION ALL
+  SELECT 'priority', 2, level, name, year, g, grp_ord, estimate, moe, """ + \
+    _SHARE_SQL.format(g="g", e="estimate", d="den") + ", " + \
+    _SMOE_SQL.format(g="g", e="estimate", d="den", m="moe", dm="den_moe") + """ FROM pw
+  UNION ALL
+  SELECT 'status', 3, level, name, year, g, grp_ord, estimate, moe, """ + \
+    _SHARE_SQL.format(g="g", e="estimate", d="den") + ", " + \
+    _SMOE_SQL.format(g="g", e="estimate", d="den", m="moe", dm="den_moe") + """ FROM sw)
+SELECT topic, CAST(topic_ord AS INTEGER) AS topic_ord, level, name, year, "group", CAST(grp_ord AS INTEGER) AS grp_ord,
+       round(estimate, 2) AS estimate, round(moe, 4) AS moe, round(share, 6) AS share, round(sharemoe, 6) AS sharemoe
+FROM u"""
