@@ -24,6 +24,7 @@ from ..operators.rollup import category_positions, group_rollup, two_stage_rollu
 from ..operators.shares import calc_shares
 from ..sources.metadata import explode_json_map
 from . import standins as S
+from .distribution import distribution_wide
 from .profile import Topic, build_profile
 
 # ---------------------------------------------------------------- fixed values
@@ -65,6 +66,16 @@ LINK_YEAR = 2019
 LINK_DATASET = "ACS 5-Year Estimates Data Profiles"
 MIN_ORDERS = 30
 STATUS_TOPIC_GROUPS = {"total": range(1, 4), "open": 2, "done": [1, 3]}
+# neighborhoods whose town is reported (the lookup covers one city only)
+TOWN_LOOKUP = ["NATION_1"]
+NB_HEADINGS = [
+    ("priority", "estimate total", "Order value"), ("priority", "estimate high", "High-priority value"),
+    ("priority", "share high", "High-priority rate"), ("priority", "estimate low", "Low-priority value"),
+    ("priority", "share low", "Low-priority rate"), ("status", "estimate total", "Order value"),
+    ("status", "estimate open", "Open order value"), ("status", "share open", "Open rate"),
+]
+NB_DISPLAY = ["Order value", "High-priority value", "High-priority rate", "Low-priority value",
+              "Low-priority rate", "Open order value", "Open rate"]
 # -----------------------------------------------------------------------------
 
 
@@ -388,6 +399,30 @@ def q_town_profile(spark, sf):
                        _r("moe", 4), _r("share", 6), _r("sharemoe", 6))
 
 
+def q_neighborhood_wide(spark, sf):
+    """Neighborhood profile tail: topics at every level incl. neighborhoods,
+    shares to 2 digits, slices, headed wide table (first topic wins)."""
+    up = (stacked_levels(spark, sf, carry=("tbl", "variable", "year"))
+          .withColumn("city", F.lit("")))
+    long = up.unionByName(S.neighborhood_estimates(spark, sf)).withColumn("level", T.remove_first("level", "^\\d_"))
+    topics = {
+        "priority": Topic(tbl=S.TABLE, into=SPLIT_INTO, keep="leaf", group_col="priority",
+                          spec=PRIORITY_GROUPS, denom="total", digits=2),
+        "status": Topic(tbl=S.TABLE, into=SPLIT_INTO, keep=2, group_col="status",
+                        spec=STATUS_TOPIC_GROUPS, denom="total", digits=2),
+    }
+    prof = build_profile(long, S.labels(spark), topics, keys=("level", "city", "name", "year"), moe=False)
+    cus = S.read(spark, sf, "customer", "c_nationkey", "c_mktsegment")
+    nat = S.read(spark, sf, "nation", "n_nationkey", "n_name").filter(F.col("n_name").isin(TOWN_LOOKUP))
+    lookup = (cus.join(nat, cus.c_nationkey == nat.n_nationkey)
+              .select(F.lower("n_name").alias("city"), F.initcap(F.lower("c_mktsegment")).alias("name"),
+                      F.col("n_name").alias("town")).distinct())
+    prof = prof.join(lookup, ["city", "name"], "left").withColumn("estimate", F.round("estimate", 2))
+    hd = param_frame(spark, NB_HEADINGS, "topic string, indicator string, display string")
+    return distribution_wide(prof, hd, NB_DISPLAY, slice_frame(spark, SLICES, always=[S.STATE_NAME]),
+                             {k: k for k in SLICES}, ids=("level", "city", "town", "name", "year"))
+
+
 QUERIES = {
     "variable_labels": q_variable_labels,
     "label_split_leaves": q_label_split_leaves,
@@ -415,4 +450,5 @@ QUERIES = {
     "null_fill_coalesce": q_null_fill_coalesce,
     "profile_assembly": q_profile_assembly,
     "town_profile": q_town_profile,
+    "neighborhood_wide": q_neighborhood_wide,
 }

@@ -392,3 +392,60 @@ u AS (
 SELECT topic, CAST(topic_ord AS INTEGER) AS topic_ord, level, name, year, "group", CAST(grp_ord AS INTEGER) AS grp_ord,
        round(estimate, 2) AS estimate, round(moe, 4) AS moe, round(share, 6) AS share, round(sharemoe, 6) AS sharemoe
 FROM u"""
+
+_NB_HD = [("priority", "estimate total", "Order value"), ("priority", "estimate high", "High-priority value"),
+          ("priority", "share high", "High-priority rate"), ("priority", "estimate low", "Low-priority value"),
+          ("priority", "share low", "Low-priority rate"), ("status", "estimate total", "Order value"),
+          ("status", "estimate open", "Open order value"), ("status", "share open", "Open rate")]
+_NB_COLS = ",\n".join(f"max(CASE WHEN display = '{d}' THEN value END) AS \"{d}\""
+                      for d in ["Order value", "High-priority value", "High-priority rate", "Low-priority value",
+                                "Low-priority rate", "Open order value", "Open rate"])
+
+Q["neighborhood_wide"] = _with(*BASE, LEVELMAP, STACKED, NBH, LEAVES) + """
+, lng0 AS (SELECT regexp_replace(level, '^[0-9]_', '') AS level, '' AS city, name, year, variable, estimate FROM st
+           UNION ALL SELECT 'neighborhoods', city, name, year, variable, estimate FROM nbh),
+lb AS (SELECT x.*, string_split(l.label, '!!')[2] AS status, string_split(l.label, '!!')[3] AS priority
+       FROM lng0 x LEFT JOIN labels l ON x.variable = l.variable),
+d2_labels AS (SELECT variable, string_split(label, '!!')[2] AS status FROM labels
+              WHERE string_split(label, '!!')[2] IS NOT NULL AND string_split(label, '!!')[3] IS NULL),
+s2pos AS (SELECT status, row_number() OVER (ORDER BY min(variable), status) AS position FROM d2_labels GROUP BY status),
+sspec(g, position) AS (VALUES ('total', 1), ('total', 2), ('total', 3), ('open', 2), ('done', 1), ('done', 3)),
+proll AS (SELECT x.level, x.city, x.name, x.year, s.g, sum(x.estimate) AS estimate
+          FROM lb x JOIN ppos p ON x.priority = p.priority JOIN pspec s ON s.position = p.position
+          WHERE x.priority IS NOT NULL GROUP BY x.level, x.city, x.name, x.year, s.g),
+sroll AS (SELECT x.level, x.city, x.name, x.year, s.g, sum(x.estimate) AS estimate
+          FROM lb x JOIN s2pos p ON x.status = p.status JOIN sspec s ON s.position = p.position
+          WHERE x.status IS NOT NULL AND x.priority IS NULL GROUP BY x.level, x.city, x.name, x.year, s.g),
+prof AS (
+  SELECT 'priority' AS topic, 1 AS topic_ord, level, city, name, year, g, estimate,
+         round(CASE WHEN g <> 'total' THEN estimate / max(CASE WHEN g = 'total' THEN estimate END)
+                    OVER (PARTITION BY level, city, name, year) END, 2) AS share FROM proll
+  UNION ALL
+  SELECT 'status', 2, level, city, name, year, g, estimate,
+         round(CASE WHEN g <> 'total' THEN estimate / max(CASE WHEN g = 'total' THEN estimate END)
+                    OVER (PARTITION BY level, city, name, year) END, 2) FROM sroll),
+lk AS (SELECT DISTINCT lower(n.n_name) AS city,
+              upper(left(c.c_mktsegment, 1)) || lower(substr(c.c_mktsegment, 2)) AS name, n.n_name AS town
+       FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey WHERE n.n_name IN ('NATION_1')),
+pt AS (SELECT prof.*, lk.town FROM prof LEFT JOIN lk ON prof.city = lk.city AND prof.name = lk.name),
+sl(slice, name) AS (VALUES ('nation_0', 'AFRICA'), ('nation_0', 'NATION_0'), ('nation_0', 'World'),
+                           ('nation_1', 'AMERICA'), ('nation_1', 'NATION_1'), ('nation_1', 'NATION_6'),
+                           ('nation_1', 'World'), ('nation_5', 'AFRICA'), ('nation_5', 'NATION_5'),
+                           ('nation_5', 'World')),
+slc AS (SELECT DISTINCT slice FROM sl),
+sliced AS (SELECT s.slice, p.* FROM pt p JOIN slc s
+             ON p.name IN (SELECT x.name FROM sl x WHERE x.slice = s.slice) OR p.city = s.slice),
+lng AS (SELECT slice, level, city, town, name, year, topic, topic_ord, 'estimate ' || g AS indicator,
+               round(estimate, 2) AS value FROM sliced
+        UNION ALL
+        SELECT slice, level, city, town, name, year, topic, topic_ord, 'share ' || g, share FROM sliced),
+hd(topic, indicator, display) AS (VALUES """ + ", ".join(f"('{a}', '{b}', '{c}')" for a, b, c in _NB_HD) + """),
+j AS (SELECT lng.*, hd.display FROM lng LEFT JOIN hd ON lng.topic = hd.topic AND lng.indicator = hd.indicator
+      WHERE lng.value IS NOT NULL),
+f AS (SELECT *, row_number() OVER (PARTITION BY slice, level, city, town, name, year, indicator
+                                   ORDER BY topic_ord, display, value) AS rn FROM j)
+SELECT slice, level,
+       CASE WHEN city = '' THEN '' ELSE upper(left(replace(city, '_', ' '), 1)) || lower(substr(replace(city, '_', ' '), 2)) END AS city,
+       town, name, year,
+""" + _NB_COLS + """
+FROM f WHERE rn = 1 GROUP BY slice, level, city, town, name, year"""
