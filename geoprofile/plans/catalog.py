@@ -240,7 +240,8 @@ def q_prefer_source(spark, sf):
 
 def profile_long(spark, sf):
     """All levels stacked: state, regions, towns (no city) + neighborhoods."""
-    up = stacked_levels(spark, sf).withColumn("city", F.lit(None).cast("string"))
+    up = stacked_levels(spark, sf, S.town_estimates(spark, sf, from_segments=True)).withColumn(
+        "city", F.lit(None).cast("string"))
     nb = S.neighborhood_estimates(spark, sf).select("level", "city", "name", "variable", "year", "estimate", "moe")
     return up.unionByName(nb)
 
@@ -402,7 +403,7 @@ def q_town_profile(spark, sf):
 def q_neighborhood_wide(spark, sf):
     """Neighborhood profile tail: topics at every level incl. neighborhoods,
     shares to 2 digits, slices, headed wide table (first topic wins)."""
-    up = (stacked_levels(spark, sf, carry=("tbl", "variable", "year"))
+    up = (stacked_levels(spark, sf, S.town_estimates(spark, sf, from_segments=True), carry=("tbl", "variable", "year"))
           .withColumn("city", F.lit("")))
     long = up.unionByName(S.neighborhood_estimates(spark, sf)).withColumn("level", T.remove_first("level", "^\\d_"))
     topics = {

@@ -108,10 +108,20 @@ def _depths(leaves: DataFrame, geo: list[str]) -> DataFrame:
                     F.col("est").cast("double").alias("estimate"), F.sqrt("sq").alias("moe"))
 
 
-def town_estimates(spark: SparkSession, sf_dir: str) -> DataFrame:
+def town_estimates(spark: SparkSession, sf_dir: str, from_segments: bool = False) -> DataFrame:
     """Long estimates at the nation ("town") level, every label depth:
-    (tbl, level, name, year, variable, estimate, moe)."""
-    d = _depths(nation_leaves(spark, sf_dir), ["n_name"])
+    (tbl, level, name, year, variable, estimate, moe).
+
+    ``from_segments``: build the nation cells from the segment cells, for
+    plans that also need the neighborhoods -- the one aggregation over the
+    orders is then shared (its exchange is reused) instead of run twice.
+    """
+    if from_segments:
+        leaves = (segment_leaves(spark, sf_dir).groupBy("r_name", "n_name", "year", "status", "priority")
+                  .agg(F.sum("est").alias("est"), F.sum("sq").alias("sq"), F.sum("n").alias("n")))
+    else:
+        leaves = nation_leaves(spark, sf_dir)
+    d = _depths(leaves, ["n_name"])
     return d.select(F.lit(TABLE).alias("tbl"), F.lit("4_towns").alias("level"),
                     F.col("n_name").alias("name"), "year", "variable", "estimate", "moe")
 
