@@ -20,14 +20,13 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from .common import byte_batches, table, texts
+from .common import Numbers, byte_batches, table, texts
 
 RUN_BYTES = 32 << 20
 NO_RANK = np.int32(2**31 - 1)
@@ -137,13 +136,10 @@ def _replay(ranks_file: bytes) -> Replay:
     return _READY[key]
 
 
-def encode_run(replay: Replay, pattern, data: list[bytes]) -> Iterator[tuple[list[bytes], dict[bytes, int], np.ndarray, np.ndarray]]:
-    """Pieces of each text, then the number of each distinct piece, with its ids and their count."""
-    numbers: dict[bytes, int] = {}
-    split = []
-    for text in data:
-        pieces = pattern.findall(text.decode("utf-8"))
-        split.append([numbers.setdefault(p, len(numbers)) for p in pieces])
+def encode_run(replay: Replay, pattern, data: list[bytes]) -> tuple[list[list[int]], np.ndarray, np.ndarray]:
+    """The pieces of each text as numbers of distinct pieces, the ids of all distinct pieces, and how many each has."""
+    numbers = Numbers()
+    split = [list(map(numbers.__getitem__, pattern.findall(text.decode()))) for text in data]
     ids, counts = replay.encode([p.encode() for p in numbers])
     return split, ids, counts
 

@@ -28,24 +28,36 @@ def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
                        F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
-def shared_checkpoint(df: DataFrame) -> DataFrame:
-    """Cut the lineage through a reliable checkpoint in the shared folder.
+def shared_folder(spark: SparkSession) -> str:
+    """The shared folder that the session names in ``spark.checkpoint.dir``.
 
-    The folder is the one the session names in ``spark.checkpoint.dir``; a
-    scratch folder is used only where none is named and the master is local.
+    A scratch folder is used only where none is named and the master is local.
     """
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("name a shared folder in spark.checkpoint.dir")
+        folder = tempfile.mkdtemp(prefix="llm-checkpoint-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return folder
+
+
+def shared_checkpoint(df: DataFrame) -> DataFrame:
+    """Cut the lineage through a reliable checkpoint in the shared folder."""
     spark = df.sparkSession
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if not folder:
-            if not sc.master.startswith("local"):
-                raise RuntimeError("name a shared folder in spark.checkpoint.dir")
-            folder = tempfile.mkdtemp(prefix="llm-checkpoint-")
-        sc.setCheckpointDir(folder)
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
     return df.checkpoint(eager=True)
 
 
+class Numbers(dict):
+    """Numbers keys in the order in which they are first looked up."""
+
+    def __missing__(self, key):
+        n = self[key] = len(self)
+        return n
+
+
 def byte_batches(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[list, list[bytes]]]:
     """(ids, texts as bytes) in runs of about ``most`` bytes, one text at least."""
     for batch in batches:

@@ -4,12 +4,22 @@ from __future__ import annotations
 
 from .bpe_replay import op8_byte_bpe
 from .chat_format import op6_chat_format
+from .cws import op3_fingerprints
 from .exact_dedup import op9_exact_dedup
+from .lm import op2_lm_scoring
+from .ngram_join import op10_ngram_join
 from .packing import op7_packing
+from .quality import op5_quality
+from .toxicity import op4_toxicity
 
 QUERIES = {
+    "op2_lm_scoring": op2_lm_scoring,
+    "op3_fingerprints": op3_fingerprints,
+    "op4_toxicity": op4_toxicity,
+    "op5_quality": op5_quality,
     "op6_chat_format": op6_chat_format,
     "op7_packing": op7_packing,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_exact_dedup": op9_exact_dedup,
+    "op10_ngram_join": op10_ngram_join,
 }
