@@ -10,9 +10,11 @@ from .lm import op2_lm_scoring
 from .ngram_join import op10_ngram_join
 from .packing import op7_packing
 from .quality import op5_quality
+from .suffix_dedup import op1_suffix_dedup
 from .toxicity import op4_toxicity
 
 QUERIES = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_lm_scoring": op2_lm_scoring,
     "op3_fingerprints": op3_fingerprints,
     "op4_toxicity": op4_toxicity,
