@@ -27,13 +27,14 @@ import hashlib
 import zlib
 from collections import deque
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from .common import byte_batches, table, texts
+from .common import Numbers, byte_batches, table, texts
 
 WINDOW = 2048
 BLOCK = 1 << 20
@@ -42,62 +43,61 @@ INNER_CUT = 12
 PER_WINDOW = 6
 END_ID = 1
 RUN_BYTES = 8 << 20
-CACHE_WORDS = 400_000
+CACHE_WORDS = 800_000
+JOINED_WORDS = 1024
 _READY: dict = {}
 
 
 class WordTokens:
     """Token ids of white-space separated words, each distinct word tokenized once.
 
-    The vocabulary's pattern drops white space and never matches across it, so
-    the ids of a text are those of its words in turn.
+    The vocabulary drops white space and letter case, and its pattern never matches across
+    white space, so the ids of a text are those of its words in turn.  Words are
+    tokenized many at a time; offsets tell whose ids are whose.
     """
 
     def __init__(self, spec: str):
         from tokenizers import Tokenizer
-        self.plain = Tokenizer.from_str(spec)
-        self.plain.encode_special_tokens = True
-        self.marked = Tokenizer.from_str(spec)  # a special token parts the words that go together
-        self.mark = "<|endoftext|>"
-        self.mark_id = self.marked.token_to_id(self.mark)
-        vocab = self.plain.get_vocab()
-        self.sentence_ids = np.array(sorted(i for t, i in vocab.items() if t.removesuffix("</w>") in (".", "!", "?") and t.endswith("</w>")), np.int32)
+        self.tokenizer = Tokenizer.from_str(spec)
+        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        vocab = self.tokenizer.get_vocab()
+        self.sentence_ids = np.array(sorted(vocab[t] for t in (".</w>", "!</w>", "?</w>") if t in vocab), np.int32)
         self.clear()
 
     def clear(self) -> None:
-        self.number: dict[bytes, int] = {}
-        self.flat = np.zeros(0, np.int32)
-        self.start = np.zeros(1, np.int64)
-
-    def _tokenize(self, words: list[bytes]) -> list[list[int]]:
-        out: list[list[int] | None] = [None] * len(words)
-        joint = [i for i, w in enumerate(words) if b"<" not in w]
-        for k in range(0, len(joint), 1024):
-            part = joint[k:k + 1024]
-            ids = np.array(self.marked.encode(f" {self.mark} ".join([words[i].decode() for i in part]), add_special_tokens=False).ids, np.int32)
-            pieces = np.split(ids, np.flatnonzero(ids == self.mark_id))
-            for n, (i, piece) in enumerate(zip(part, pieces, strict=True)):
-                out[i] = piece[1:].tolist() if n else piece.tolist()
-        return [self.plain.encode(w.decode(), add_special_tokens=False).ids if ids is None else ids for w, ids in zip(words, out)]
+        self.number = Numbers({b"": 0})  # the end of a text
+        self.flat = np.array([END_ID], np.int32)
+        self.start = np.array([0, 1], np.int64)
+
+    def _tokenize(self, words: list[bytes]) -> None:
+        flat, sizes = [self.flat], []
+        for k in range(0, len(words), JOINED_WORDS):
+            joined = b" ".join(words[k:k + JOINED_WORDS]).decode()
+            found = self.tokenizer.encode(joined, add_special_tokens=False)
+            spaces = np.flatnonzero(np.frombuffer(joined.encode("utf-32-le"), np.uint32) == 32)
+            first = np.fromiter((o[0] for o in found.offsets), np.int64)
+            flat.append(np.array(found.ids, np.int32))
+            sizes.append(np.bincount(np.searchsorted(spaces, first), minlength=len(spaces) + 1))
+        self.flat = np.concatenate(flat)
+        self.start = np.concatenate((self.start, self.start[-1] + np.cumsum(np.concatenate(sizes))))
 
     def encode(self, data: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, END_ID after each, and the end of each text in them."""
         if len(self.number) > CACHE_WORDS:
             self.clear()
-        number = self.number
-        known = len(number)
-        words = [number.setdefault(w, len(number)) for text in data for w in (*text.split(), b"")]
-        if len(number) > known:
-            new = list(number)[known:] if known else list(number)
-            ids = [[END_ID] if not w else t for w, t in zip(new, self._tokenize(new))]
-            sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-            self.flat = np.concatenate((self.flat, np.fromiter((t for x in ids for t in x), np.int32, int(sizes.sum()))))
-            self.start = np.concatenate((self.start, self.start[-1] + np.cumsum(sizes)))
+        known = len(self.number)
+        words: list[int] = []
+        find = self.number.__getitem__
+        for text in data:
+            words += map(find, text.lower().split())
+            words.append(0)
+        if len(self.number) > known:
+            self._tokenize(list(islice(self.number, known, None)))
         seen = np.array(words, np.int64)
         size = self.start[seen + 1] - self.start[seen]
         ends = np.cumsum(size)
         at = np.arange(ends[-1]) + np.repeat(self.start[seen] - (ends - size), size)
-        return self.flat[at], ends[seen == number[b""]]
+        return self.flat[at], ends[seen == 0]
 
 
 def candidates(length: int, doc_ends: np.ndarray, sentence_ends: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
