@@ -11,6 +11,7 @@ Conventions that hold for every operator here, unless its docstring says otherwi
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -50,6 +51,13 @@ def shared_checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder: smaller than a checkpoint, and read by column."""
+    path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 class Numbers(dict):
     """Numbers keys in the order in which they are first looked up."""
 

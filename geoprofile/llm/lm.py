@@ -29,15 +29,13 @@ tokens every word has the base probability 1 of the unseen.
 
 from __future__ import annotations
 
-import uuid
-
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Numbers, byte_batches, shared_folder, table, texts
+from .common import Numbers, byte_batches, table, texts, written
 from .gru import Gru
 
 CLASSES, CLASS_SIZE, HIDDEN = 32, 32, 16
@@ -142,9 +140,7 @@ def fit_network(docs: DataFrame, frequent: Frequent, sample_docs: int = SAMPLE_D
 def score_documents(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row."""
     spark = docs.sparkSession
-    counts_path = f"{shared_folder(spark)}/word-counts-{uuid.uuid4().hex}"
-    word_counts(docs).write.parquet(counts_path)
-    counts = spark.read.parquet(counts_path)
+    counts = written(word_counts(docs))
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     hot = F.col("c") >= F.lit(total * HOT_SHARE)
     found = counts.filter(hot).toArrow()  # at most 1 / HOT_SHARE words

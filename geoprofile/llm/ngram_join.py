@@ -12,11 +12,16 @@ it stands in two documents of a task at least; tokens with HOT_SHARE of these
 counts make the list (1/HOT_SHARE entries at most), which is sent to the tasks.  Any list
 gives the same links: it only decides how soon unequal texts are told apart.
 
-Classes that share a token under the first order meet by that token.  Groups of up
-to SMALL classes give pairs.  Larger groups are dealt out in blocks by hash, and every two blocks
-meet in one task, where the filters and the verification run on matrices, so that
-neither a group nor its pairs stand in one place as rows; each task returns only the
-links that join its documents (a spanning forest), which keeps every component.
+Classes that share a token under the first order meet by that token: groups of up to SMALL
+classes as pairs, which then pass the other two orders one after the other, larger groups in blocks,
+where the filters run on matrices.  What is left, candidate links, falls into clusters (connected
+components), and the texts of a cluster are sent once, or, beyond BLOCK members, in pairs of blocks dealt out by
+hash.  There the filters and the verification run on matrices, so neither a
+group nor its pairs stand in one place as rows; each task returns only the links that
+join its documents (a spanning forest), which keeps every component.
+
+Texts are picked for that by a bitmap of fixed size (BITS) over the wanted rows,
+so that only these and some chance hits are shuffled; an exact join follows.
 
 Edge cases: texts without words have empty sets, and are linked with nothing,
 not even each other; one or two words are one shingle.  Null ids are never the smallest,
@@ -25,8 +30,6 @@ unless a group has no other (then its component_id is NULL).  Repeated rows are
 
 from __future__ import annotations
 
-import uuid
-
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -34,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import Numbers, byte_batches, shared_checkpoint, shared_folder, table, texts
+from .common import Numbers, byte_batches, shared_checkpoint, table, texts, written
 from .components import components
 
 RUN_BYTES = 8 << 20
@@ -42,7 +45,9 @@ HOT_SHARE = 1 / 500_000
 HOT_LEAST = 32
 COUNT_TOKENS = 8 << 20
 SMALL = 32
-BLOCK = 1024
+BLOCK = 512
+BITS = 1 << 24
+CELLS = 4 << 20
 SALTS = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xD6E8FEB86659FD93))
 
 
@@ -110,16 +115,6 @@ def linked(a: np.ndarray, b: np.ndarray, shared: int) -> bool:
     return 100 * shared >= 90 * (len(a) + len(b) - shared)
 
 
-def similar(a: np.ndarray, b: np.ndarray, orders: Orders) -> bool:
-    """The size filter, the prefixes under the further orders, and then the sets themselves."""
-    if 10 * min(len(a), len(b)) < 9 * max(len(a), len(b)):
-        return False
-    for order in (1, 2):
-        if not np.isin(orders.prefix(a, order), orders.prefix(b, order)).any():
-            return False
-    return linked(a, b, len(np.intersect1d(a, b, assume_unique=True)))
-
-
 class Forest:
     """Union-find over the links that one task has seen."""
 
@@ -137,34 +132,41 @@ class Forest:
         return a != b
 
 
-def _incidence(lists: list[np.ndarray]) -> np.ndarray:
-    """Rows of ones over the tokens that stand in two lists at least."""
-    flat = np.concatenate(lists)
-    token, of, n = np.unique(flat, return_inverse=True, return_counts=True)
-    column = np.cumsum(n > 1) - 1
+def meetings(lists: list[np.ndarray], rows: np.ndarray, cols: np.ndarray) -> np.ndarray:
+    """How many tokens each of the lists ``rows`` shares with each of ``cols``; a bounded number of cells at a time."""
+    sizes = [len(x) for x in lists]
+    token, of, n = np.unique(np.concatenate(lists), return_inverse=True, return_counts=True)
     keep = n[of] > 1
-    out = np.zeros((len(lists), int((n > 1).sum())), np.float32)
-    out[np.repeat(np.arange(len(lists)), [len(x) for x in lists])[keep], column[of[keep]]] = 1
+    owner, column = np.repeat(np.arange(len(lists)), sizes)[keep], (np.cumsum(n > 1) - 1)[of[keep]]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    out = np.zeros((len(rows), len(cols)), np.float32)
+    width = max(1, CELLS // len(lists))
+    for first in range(0, int((n > 1).sum()), width):
+        a, b = np.searchsorted(column, (first, first + width))
+        m = np.zeros((len(lists), width), np.float32)
+        m[owner[a:b], column[a:b] - first] = 1
+        out += m[rows] @ m[cols].T
     return out
 
 
-def block_links(ids: list[int], left: np.ndarray, sets: list[np.ndarray], orders: Orders) -> list[tuple[int, int]]:
-    """A spanning forest of the links between the members marked ``left`` and the others (all members, if none is left)."""
+def block_links(ids: list[int], left: np.ndarray, size: np.ndarray, prefixes: list[list[np.ndarray]], sets: list[np.ndarray] | None) -> list[tuple[int, int]]:
+    """A spanning forest of the links between the members marked ``left`` and the others (all members, if none is left).
+
+    A pair passes the size filter and shares a token of every list of prefixes; with ``sets`` it is verified.
+    """
     rows, cols = (np.flatnonzero(left), np.flatnonzero(~left)) if left.any() and not left.all() else (np.arange(len(ids)),) * 2
-    size = np.array([len(s) for s in sets])
     may = 10 * np.minimum(size[rows][:, None], size[cols]) >= 9 * np.maximum(size[rows][:, None], size[cols])
-    for order in (1, 2):
-        m = _incidence([orders.prefix(s, order) for s in sets])
-        may &= m[rows] @ m[cols].T > 0
-    m = _incidence(sets)
-    shared = (m[rows] @ m[cols].T).astype(np.int64)
-    both = size[rows][:, None] + size[cols] - shared
-    forest, out = Forest(), []
-    for a, b in zip(*np.nonzero(may & (100 * shared >= 90 * both))):
-        x, y = ids[rows[a]], ids[cols[b]]
-        if x != y and forest.join(x, y):
-            out.append((x, y))
-    return out
+    if rows is cols:
+        may = np.triu(may, 1)
+    for own in prefixes:
+        if may.any():
+            may &= meetings(own, rows, cols) > 0
+    if sets is not None and may.any():
+        shared = meetings(sets, rows, cols).astype(np.int64)
+        may &= 100 * shared >= 90 * (size[rows][:, None] + size[cols] - shared)
+    forest = Forest()
+    return [(x, y) for x, y in ((ids[rows[a]], ids[cols[b]]) for a, b in zip(*np.nonzero(may))) if x != y and forest.join(x, y)]
 
 
 def _classes(batches):
@@ -197,96 +199,156 @@ def _counts(batches):
 
 def common_tokens(source: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     counts = source.select("doc_id", "text").mapInArrow(_counts, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
-    path = f"{shared_folder(source.sparkSession)}/token-counts-{uuid.uuid4().hex}"
-    counts.filter(F.col("n") >= HOT_LEAST).write.parquet(path)
-    counts = source.sparkSession.read.parquet(path)
+    counts = written(counts.filter(F.col("n") >= HOT_LEAST))
     total = counts.agg(F.sum("n")).first()[0] or 0
     found = counts.filter(F.col("n") >= F.lit(total * HOT_SHARE)).toArrow()  # at most 1 / HOT_SHARE rows
     return found.column("token").to_numpy().view(np.uint64), found.column("n").to_numpy()
 
 
-def links(source: DataFrame, classes: DataFrame) -> DataFrame:
-    """u, v: links between classes that join every component."""
-    sent = source.sparkSession.sparkContext.broadcast(Orders(*common_tokens(source)))  # at most 1 / HOT_SHARE tokens
-
-    def prefixes(batches):
+def _prefixes(sent):
+    def run(batches):
         for _, data in byte_batches(batches, RUN_BYTES):
-            sets = shingle_sets(data)
-            own = [sent.value.prefix(s, 0).view(np.int64) for s in sets]
-            n = [len(x) for x in own]
+            sets = [x for x in shingle_sets(data) if len(x)]
+            own = [[sent.value.prefix(x, k).view(np.int64) for x in sets] for k in range(3)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(own)), pa.array(np.repeat([class_id(s) for s in sets], n)), pa.array(np.repeat([len(s) for s in sets], n).astype(np.int32))],
-                ["token", "class", "size"])
+                [pa.array([class_id(x) for x in sets], pa.int64()), pa.array([len(x) for x in sets], pa.int32()), pa.array(own[0], pa.list_(pa.int64())),
+                 *[pa.array([x.astype(np.int32) for x in own[k]], pa.list_(pa.int32())) for k in (1, 2)]], ["class", "size", "p0", "p1", "p2"])
+    return run
 
-    rows = source.mapInArrow(prefixes, "token long, class long, size int").groupBy("token", "class").agg(F.max("size").alias("size"))
-    groups = rows.groupBy("token").agg(F.count("*").alias("members")).filter("members > 1")
-    met = shared_checkpoint(rows.join(groups, "token"))
+
+def _by_group(names: list[str], links_of):
+    """mapInArrow function over rows sorted by ``names``: links_of(columns of one group) -> links."""
+    def run(batches):
+        held: list[pa.RecordBatch] = []
+        now = None
+
+        def close():
+            whole = pa.Table.from_batches(held)
+            return _pairs(links_of({c: whole.column(c).to_pylist() for c in whole.column_names}))
+
+        for batch in batches:
+            keys = list(zip(*(batch.column(c).to_pylist() for c in names)))
+            start = 0
+            for i, key in enumerate(keys):
+                if key != now:
+                    if start < i:
+                        held.append(batch.slice(start, i - start))
+                    if held:
+                        yield close()
+                    held, start, now = [], i, key
+            if start < len(keys):
+                held.append(batch.slice(start))
+        if held:
+            yield close()
+    return run
+
+
+def _marked(columns: dict) -> np.ndarray:
+    return np.array(columns["left"]) if columns["a"][0] != columns["b"][0] else np.zeros(len(columns["left"]), bool)
+
+
+def _candidate_links(columns: dict) -> list[tuple[int, int]]:
+    prefixes = [[np.array(x, np.int64) for x in columns[c]] for c in ("p1", "p2")]
+    return block_links(columns["class"], _marked(columns), np.array(columns["size"]), prefixes, None)
+
+
+def _dealt(members: DataFrame, key: str) -> DataFrame:
+    """Rows (key, class, members, ..) repeated for each pair of blocks (a, b) they are part of; ``left``: in block a."""
+    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
+    return (members.withColumn("__own__", F.pmod(F.xxhash64("class"), blocks).cast("int"))
+            .withColumn("__other__", F.explode(F.sequence(F.lit(0), blocks - 1)))
+            .withColumns({"a": F.least("__own__", "__other__"), "b": F.greatest("__own__", "__other__"), "left": F.col("__own__") <= F.col("__other__")})
+            .drop("__own__", "__other__", "members"))
+
+
+def _in_groups(rows: DataFrame, names: list[str], links_of) -> DataFrame:
+    return rows.repartition(*names).sortWithinPartitions(*names).mapInArrow(_by_group(names, links_of), "u long, v long")
+
+
+def candidates(source: DataFrame, sent) -> DataFrame:
+    """u, v: pairs of classes that pass all filters, or for large groups links that join the same classes."""
+    signed = written(source.mapInArrow(_prefixes(sent), "class long, size int, p0 array<long>, p1 array<int>, p2 array<int>"))
+    rows = (signed.select(F.explode("p0").alias("token"), "class", "size").repartition("token")
+            .groupBy("token", "class").agg(F.max("size").alias("size")))
+    groups = rows.groupBy("token").agg(F.count("*").alias("members"), F.max("size").alias("top")).filter("members > 1 and top > 0")
+    met = shared_checkpoint(rows.join(groups.drop("top"), "token"))
 
     small = met.filter(F.col("members") <= SMALL)
     x, y = small.alias("x"), small.alias("y")
-    pairs = shared_checkpoint(
-        x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.class") < F.col("y.class"))
-               & (10 * F.least("x.size", "y.size") >= 9 * F.greatest("x.size", "y.size")))
-        .select(F.col("x.class").alias("u"), F.col("y.class").alias("v")).distinct())
+    pairs = (x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.class") < F.col("y.class"))
+                    & (10 * F.least("x.size", "y.size") >= 9 * F.greatest("x.size", "y.size")))
+             .select(F.col("x.class").alias("u"), F.col("y.class").alias("v")).distinct())
+    for p in ("p1", "p2"):
+        own = signed.groupBy("class", p).agg(F.lit(1).alias("one")).drop("one")  # once for each class
+        pairs = (pairs.join(own.toDF("u", "pu"), "u").join(own.toDF("v", "pv"), "v")
+                 .filter(F.arrays_overlap("pu", "pv")).select("u", "v"))
+    large = met.filter(F.col("members") > SMALL).select("token", "class", "members")
+    own = signed.groupBy("class", "size", "p1", "p2").agg(F.lit(1).alias("one")).drop("one")
+    blocks = _in_groups(_dealt(large.join(own, "class"), "token"), ["token", "a", "b"], _candidate_links)
+    return pairs.unionByName(blocks)
+
+
+def _row_bit(doc_id: np.ndarray, text_hash: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return (_mix(doc_id.view(np.uint64) * SALTS[0] + text_hash.view(np.uint64)) >> np.uint64(8)).view(np.int64) % BITS
 
-    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("class"), blocks).cast("int")
-    dealt = (met.filter(F.col("members") > SMALL).select("token", "class", blocks.alias("blocks"), own.alias("own"))
-             .select("token", "class", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-             .select("class", "token", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), (F.col("own") <= F.col("other")).alias("left")))
 
-    # one text of each class that met another one
-    wanted = pairs.select(F.explode(F.array("u", "v")).alias("class")).unionByName(dealt.select("class")).distinct()
+def _bits(rows: DataFrame) -> np.ndarray:
+    """Bitmap of BITS bits over rows (doc_id, text_hash), built from at most BITS / 32768 aggregated rows."""
+    def bit(batches):
+        for batch in batches:
+            ids, hashes = (batch.column(c).fill_null(0).to_numpy() for c in ("doc_id", "text_hash"))
+            yield pa.RecordBatch.from_arrays([pa.array(_row_bit(ids, hashes) + 1)], ["bit"])
+
+    found = (rows.select("doc_id", "text_hash").mapInArrow(bit, "bit long")
+             .groupBy(F.bitmap_bucket_number("bit").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits")).collect())
+    out = np.zeros(BITS // 8, np.uint8)
+    for r in found:
+        part = np.frombuffer(bytes(r.bits), np.uint8)
+        out[(r.bucket - 1) * 4096:(r.bucket - 1) * 4096 + len(part)] = part
+    return out
+
+
+def _picked(bits):
+    def run(batches):
+        for ids, data in byte_batches(batches, RUN_BYTES):
+            known = pa.array(ids, pa.int64())
+            hashes = np.array([np.uint64(xxhash.xxh3_64_intdigest(t)).astype(np.int64) for t in data])
+            at = _row_bit(known.fill_null(0).to_numpy(), hashes)
+            keep = pa.array((bits.value[at // 8] >> (at % 8).astype(np.uint8)) & 1 == 1)
+            yield pa.RecordBatch.from_arrays([known.filter(keep), pa.array(hashes).filter(keep), pa.array(data, pa.binary()).cast(pa.string()).filter(keep)],
+                                             ["doc_id", "text_hash", "text"])
+    return run
+
+
+def links(source: DataFrame, classes: DataFrame) -> DataFrame:
+    """u, v: links between classes that join every component."""
+    context = source.sparkSession.sparkContext
+    sent = context.broadcast(Orders(*common_tokens(source)))  # at most 1 / HOT_SHARE tokens
+    clusters = components(candidates(source, sent))
+    clusters = shared_checkpoint(clusters.join(clusters.groupBy("component").agg(F.count("*").alias("members")), "component")
+                                 .select(F.col("component").alias("cluster"), F.col("node").alias("class"), "members"))
     first = classes.filter("class is not null").groupBy("class").agg(F.min(F.struct("doc_id", "text_hash")).alias("r"))
-    chosen = wanted.join(first, "class").select("class", F.col("r.doc_id").alias("doc_id"), F.col("r.text_hash").alias("text_hash"))
-    held = shared_checkpoint(
-        source.join(chosen, source["doc_id"].eqNullSafe(chosen["doc_id"])).select("class", chosen["text_hash"], "text")
-        .mapInArrow(_right_text, "class long, text string"))
+    chosen = shared_checkpoint(clusters.join(first, "class").select("cluster", "class", "members", F.col("r.doc_id").alias("doc_id"), F.col("r.text_hash").alias("text_hash")))
+    bits = context.broadcast(_bits(chosen))  # BITS bits
+    picked = source.mapInArrow(_picked(bits), "doc_id long, text_hash long, text string")
+    held = (picked.join(chosen, picked["doc_id"].eqNullSafe(chosen["doc_id"]) & (picked["text_hash"] == chosen["text_hash"]))
+            .select("cluster", "class", "members", "text"))
 
-    def verify(batches):
-        forest, last, sets = Forest(), None, {}
-        for batch in batches:
-            found = []
-            for u, v, a, b in zip(*(batch.column(c).to_pylist() for c in ("u", "v", "a", "b"))):
-                if u != last:
-                    last, sets = u, dict(enumerate(shingle_sets([a.encode()])))
-                if forest.root(u) != forest.root(v) and similar(sets[0], shingle_sets([b.encode()])[0], sent.value):
-                    forest.join(u, v)
-                    found.append((u, v))
-            yield _pairs(found)
-
-    def verify_block(key, members):  # about 2 * BLOCK texts at most
-        ids = members.column("class").to_pylist()
-        sets = shingle_sets([t.encode() for t in members.column("text").to_pylist()])
-        marked = members.column("left").to_numpy() if key[1].as_py() != key[2].as_py() else np.zeros(len(ids), bool)
-        return pa.Table.from_batches([_pairs(block_links(ids, marked, sets, sent.value))])
-
-    def one_text(name, side):
-        return held.select(F.col("class").alias(name), F.col("text").alias(side))
-
-    from_pairs = (pairs.join(one_text("u", "a"), "u").join(one_text("v", "b"), "v").select("u", "v", "a", "b")
-                  .repartition("u").sortWithinPartitions("u").mapInArrow(verify, "u long, v long"))
-    from_blocks = (dealt.join(held, "class").select("token", "a", "b", "class", "left", "text")
-                   .groupBy("token", "a", "b").applyInArrow(verify_block, "u long, v long"))
-    return from_pairs.unionByName(from_blocks)
+    def verified(columns: dict) -> list[tuple[int, int]]:
+        one = dict(zip(columns["class"], range(len(columns["class"]))))  # repeated rows once
+        at = list(one.values())
+        sets = shingle_sets([columns["text"][i].encode() for i in at])
+        prefixes = [[sent.value.prefix(x, k) for x in sets] for k in range(3)]
+        return block_links(list(one), _marked(columns)[at], np.array([len(x) for x in sets]), prefixes, sets)
+
+    return _in_groups(_dealt(held, "cluster"), ["cluster", "a", "b"], verified)
 
 
 def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], ["u", "v"])
 
 
-def _right_text(batches):
-    """Of rows that share an id, one that has the class's text."""
-    seen = set()
-    for batch in batches:
-        rows = []
-        for c, h, t in zip(*(batch.column(x).to_pylist() for x in ("class", "text_hash", "text"))):
-            if c not in seen and np.uint64(xxhash.xxh3_64_intdigest(t.encode())).astype(np.int64) == h:
-                seen.add(c)
-                rows.append((c, t))
-        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.string())], ["class", "text"])
-
-
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, text_hash, n_shingles, component_id, kept of every row; one text of each component has kept = true."""
     source = texts(docs, id_col, text_col)

@@ -25,8 +25,6 @@ what is left of it); repeated rows are copies; no rows give no rows.
 from __future__ import annotations
 
 import hashlib
-import uuid
-
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -34,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
-from .common import byte_batches, shared_checkpoint, shared_folder, table, texts
+from .common import byte_batches, shared_checkpoint, table, texts, written
 from .suffix_array import repeated_windows
 
 LENGTH = 400
@@ -226,12 +224,6 @@ def _strip(length: int):
     return run
 
 
-def _written(df: DataFrame) -> DataFrame:
-    path = f"{shared_folder(df.sparkSession)}/suffix-dedup-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def stripped_texts(source: DataFrame, facts: DataFrame, length: int, gram: int, shard: int) -> DataFrame:
     """tid, n_removed, n_spans, kept_sha256, kept of every text that shares a window with another text, or has one twice."""
     rows = source.mapInArrow(_anchor_rows(length, gram), "anchor long, tid binary, place long").distinct()
@@ -239,12 +231,12 @@ def stripped_texts(source: DataFrame, facts: DataFrame, length: int, gram: int,
     hits = rows.join(twice, "anchor").groupBy("tid").agg(F.collect_set("place").alias("places"))
     carrier = facts.groupBy("tid").agg(F.min("doc_id").alias("carrier"))
     wanted = hits.join(carrier, "tid")
-    held = _written(source.join(wanted, source["doc_id"].eqNullSafe(wanted["carrier"])).select("tid", "places", "text")
+    held = written(source.join(wanted, source["doc_id"].eqNullSafe(wanted["carrier"])).select("tid", "places", "text")
                     .mapInArrow(_one_text, "tid binary, places array<long>, text binary"))
 
     bodies = (held.mapInArrow(_contexts(length, gram, True), "anchor long, cid binary, body binary, copies long")
               .groupBy("anchor", "cid", "body").agg(F.sum("copies").alias("copies")))
-    bodies = _written(bodies)
+    bodies = written(bodies)
     members = bodies.groupBy("anchor").agg(F.count("*").alias("members"))
     searched = bodies.join(members.filter("members > 1"), "anchor").withColumn("parts", F.ceil(F.col("members") / shard).cast("int"))
     shards = max(1, -(-bodies.count() // shard))
