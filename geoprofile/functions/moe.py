@@ -15,26 +15,33 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ..operators._util import sum_propagate
+
 
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def moe_sum_sq(moe) -> Column:
-    """Aggregate: sum of squared margins (decomposable, partial-aggregates)."""
-    m = _c(moe)
-    return F.sum(m * m)
-
+def moe_sum(moe, policy: str = "propagate", estimate=None, zero_rule: bool = False) -> Column:
+    """Aggregate: margin of a sum of estimates.
 
-def moe_sum(moe) -> Column:
-    """Aggregate: margin of a sum of estimates."""
-    return F.sqrt(moe_sum_sq(moe))
+    ``policy`` treats NULL margins as :func:`sum_propagate` treats NULL
+    estimates.  ``zero_rule``: of the categories whose estimate is zero only
+    the largest margin counts, as published guidance for sums advises.
+    """
+    return moe_weighted_sum(moe, F.lit(1.0), policy, estimate, zero_rule)
 
 
-def moe_weighted_sum(moe, weight) -> Column:
-    """Aggregate: margin of a weighted sum."""
-    wm = _c(weight) * _c(moe)
-    return F.sqrt(F.sum(wm * wm))
+def moe_weighted_sum(moe, weight, policy: str = "propagate", estimate=None, zero_rule: bool = False) -> Column:
+    """Aggregate: margin of a weighted sum, as :func:`moe_sum`."""
+    sq = F.pow(_c(weight) * _c(moe), 2)
+    if not zero_rule:
+        return F.sqrt(sum_propagate(sq, policy))
+    zero = F.coalesce(_c(estimate) == 0, F.lit(False))
+    both = F.coalesce(F.sum(F.when(~zero, sq)), F.lit(0.0)) + F.coalesce(F.max(F.when(zero, sq)), F.lit(0.0))
+    known = F.count(sq)
+    complete = known > 0 if policy == "ignore" else known == F.count(F.lit(1))
+    return F.when(complete, F.sqrt(both))
 
 
 def moe_prop(est, moe, denom_est, denom_moe) -> Column:
@@ -47,10 +54,3 @@ def moe_prop(est, moe, denom_est, denom_moe) -> Column:
     rad = ma * ma - p * p * mb * mb
     rad = F.when(rad < 0, ma * ma + p * p * mb * mb).otherwise(rad)
     return F.try_divide(F.sqrt(rad), b)
-
-
-def moe_ratio(est, moe, denom_est, denom_moe) -> Column:
-    """Row expression: margin of a ratio (always the ``+`` form)."""
-    a, ma, b, mb = _c(est), _c(moe), _c(denom_est), _c(denom_moe)
-    r = F.try_divide(a, b)
-    return F.try_divide(F.sqrt(ma * ma + r * r * mb * mb), b)

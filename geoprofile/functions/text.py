@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Mapping
+from decimal import Decimal
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -24,12 +25,8 @@ def detect(col, pattern: str, negate: bool = False) -> Column:
 
 
 def remove_first(col, pattern: str) -> Column:
-    """``str_remove``: drop the FIRST match only.
-
-    ``regexp_replace`` replaces every match, so the lazy prefix group keeps
-    everything before the first match and the rest after it.
-    """
-    return F.regexp_replace(_c(col), f"^(.*?){pattern}", "$1")
+    """``str_remove``: drop the FIRST match only."""
+    return _first_match(col, pattern, "")
 
 
 def remove_all(col, pattern: str) -> Column:
@@ -39,8 +36,23 @@ def remove_all(col, pattern: str) -> Column:
 
 def replace_first(col, pattern: str, replacement: str) -> Column:
     """``str_replace``: replace the first match; ``replacement`` is literal."""
-    rep = replacement.replace("\\", "\\\\").replace("$", "\\$")
-    return F.regexp_replace(_c(col), f"^(.*?){pattern}", "$1" + rep)
+    return _first_match(col, pattern, replacement.replace("\\", "\\\\").replace("$", "\\$"))
+
+
+_BACK_REFERENCE = re.compile(r"(?<!\\)(?:\\\\)*\\[1-9]")
+
+
+def _first_match(col, pattern: str, replacement: str) -> Column:
+    """Replace the first match of ``pattern``, wherever and on whatever line it is.
+
+    ``regexp_replace`` replaces every match; anchored at the start of the text, with a lazy
+    prefix kept as group 1 and the pattern in a group of its own (an alternation
+    would end at the prefix otherwise), it can match once only.  A back-reference would
+    count that group in, so numbered ones are refused; named groups work.
+    """
+    if _BACK_REFERENCE.search(pattern):
+        raise ValueError(f"numbered back-reference in {pattern!r}: name the group instead")
+    return F.regexp_replace(_c(col), rf"\A((?s:.*?))(?:{pattern})", "$1" + replacement)
 
 
 def extract(col, pattern: str, group: int = 0) -> Column:
@@ -49,6 +61,11 @@ def extract(col, pattern: str, group: int = 0) -> Column:
     return F.when(c.rlike(pattern), F.regexp_extract(c, pattern, group))
 
 
+def trim(col) -> Column:
+    """``str_trim``: white space of any kind off both ends (``F.trim`` takes spaces only)."""
+    return F.regexp_replace(_c(col), r"\A\s+|\s+\z", "")
+
+
 def str_sub(col, start: int, stop: int) -> Column:
     """``str_sub(x, start, stop)`` with 1-based inclusive positions."""
     return F.substring(_c(col), start, stop - start + 1)
@@ -77,14 +94,14 @@ def title_case(col) -> Column:
 def _upper_after_hyphen(c: Column) -> Column:
     # split on hyphen, capitalise each piece's first letter, join back
     parts = F.split(c, "-")
-    fixed = F.transform(parts, lambda p: F.concat(F.upper(F.substring(p, 1, 1)), F.substring(p, 2, 1 << 20)))
+    fixed = F.transform(parts, lambda p: F.concat(F.upper(F.substring(p, 1, 1)), F.substr(p, F.lit(2))))
     return F.array_join(fixed, "-")
 
 
 def clean_title(col, cap_all: bool = True) -> Column:
     """Snake-case place key to display title: ``new_haven`` -> ``New Haven``."""
     spaced = F.regexp_replace(_c(col), "_", " ")
-    return F.initcap(spaced) if cap_all else F.concat(F.upper(F.substring(spaced, 1, 1)), F.substring(spaced, 2, 1 << 20))
+    return F.initcap(spaced) if cap_all else F.concat(F.upper(F.substring(spaced, 1, 1)), F.substr(spaced, F.lit(2)))
 
 
 def recode(col, mapping: Mapping[str, str]) -> Column:
@@ -109,16 +126,17 @@ def collapse(col, groups: Mapping[str, list[str]]) -> Column:
 def percent(col, accuracy: float = 0.1) -> Column:
     """``scales::percent(accuracy=)``: ``0.1234`` -> ``12.3%``; NULL stays NULL.
 
-    ``format_string`` would print ``null%``; the ``when`` keeps NULL.
+    The percentage is rounded to a multiple of ``accuracy`` and printed with
+    the decimals that ``accuracy`` itself has.  ``format_string`` would print
+    ``null%``; the ``when`` keeps NULL.
     """
-    digits = max(0, -int(round(_log10(accuracy))))
+    exact = Decimal(str(accuracy)).normalize()
+    digits = max(0, -exact.as_tuple().exponent)
     c = _c(col)
-    return F.when(c.isNotNull(), F.concat(F.format_string(f"%.{digits}f", c * 100), F.lit("%")))
-
-
-def _log10(x: float) -> float:
-    import math
-    return math.log10(x)
+    pct = c * 100
+    if exact.as_tuple().digits != (1,):
+        pct = F.round(pct / accuracy) * accuracy
+    return F.when(c.isNotNull(), F.concat(F.format_string(f"%.{digits}f", pct), F.lit("%")))
 
 
 def url_encode(col) -> Column:
@@ -156,6 +174,16 @@ _CLEAN_NON_WORD = re.compile(r"[^0-9a-zA-Z]+")
 _CAMEL = re.compile(r"(?<=[a-z0-9])(?=[A-Z])")
 
 
+def clean_names(names: list[str]) -> list[str]:
+    """``janitor::clean_names`` for a header: repeated results get ``_2``, ``_3``, .. in order."""
+    seen: dict[str, int] = {}
+    out = []
+    for name in map(clean_name, names):
+        seen[name] = n = seen.get(name, 0) + 1
+        out.append(name if n == 1 else f"{name}_{n}")
+    return out
+
+
 def clean_name(name: str) -> str:
     """``janitor::clean_names`` for one header (driver-side, on column names)."""
     s = _CAMEL.sub("_", name.strip())

@@ -4,21 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-
-# Rows above which a driver-built parameter table is refused for broadcast.
-PARAM_BROADCAST_MAX_ROWS = 1_000_000
-
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 def param_frame(spark, rows: list[tuple], schema: str) -> DataFrame:
-    """A parameter table built on the driver, broadcast-hinted.
+    """A parameter table built on the driver, as a local relation.
 
-    Its size is known exactly here (``len(rows)``), which is the size proof
-    the broadcast needs; oversized parameter tables stay un-hinted.
+    An Arrow table becomes a ``LocalRelation``, whose size in bytes the planner
+    knows, so it decides by its own threshold whether to broadcast it; a frame
+    made of a list of rows would have an unknown size.
     """
-    df = spark.createDataFrame(rows, schema)
-    return F.broadcast(df) if len(rows) <= PARAM_BROADCAST_MAX_ROWS else df
+    fields = StructType.fromDDL(schema)
+    arrow = to_arrow_schema(fields)
+    columns = list(zip(*rows)) if rows else [()] * len(fields)
+    return spark.createDataFrame(pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow)], schema=arrow), fields)
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:

@@ -9,8 +9,6 @@ from pyspark.sql import functions as F
 
 from ..functions.text import pad_right, url_with_query
 
-MAX_LINK_COLUMNS = 1_000
-
 
 def ordered_concat(df: DataFrame, keys: Sequence[str], order_col: str, value_col: str,
                    sep: str = "", out_col: str = "code") -> DataFrame:
@@ -57,8 +55,6 @@ def profile_links(geos: DataFrame, concepts: Sequence[tuple[str, str]], base_url
     Query order: ``table, g, tid, vintage, d``.
     """
     concepts = list(concepts)
-    if len(concepts) > MAX_LINK_COLUMNS:
-        raise ValueError("too many concepts for a wide link table")
     cols = []
     for group, concept in concepts:
         url = url_with_query(base_url, [("table", group), ("g", F.col(code_col)),

@@ -14,6 +14,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.moe import moe_sum, moe_weighted_sum
 from ._util import param_frame, sum_propagate
 
 # Fixed level codes (ordinal prefix gives the hierarchy order).
@@ -47,8 +48,7 @@ def apportion(df: DataFrame, crosswalk: DataFrame, on: str = "geoid", weight: st
         est = est.cast("double")
     aggs = [est.alias(value)]
     if moe:
-        wm = F.col(weight) * F.col(moe)
-        aggs.append(F.sqrt(F.sum(wm * wm)).alias(moe))
+        aggs.append(moe_weighted_sum(moe, weight, null_policy).alias(moe))
     return j.groupBy(*targets, *carry).agg(*aggs)
 
 
@@ -86,7 +86,7 @@ def geo_levels(df: DataFrame, levels: DataFrame, leaf_col: str = "name",
     j = src.join(lv, src[leaf_col] == lv["leaf"]).drop("leaf", leaf_col)
     aggs = [sum_propagate(value, null_policy).alias(value)]
     if moe:
-        aggs.append(F.sqrt(F.sum(F.col(moe) * F.col(moe))).alias(moe))
+        aggs.append(moe_sum(moe, null_policy).alias(moe))
     return (j.groupBy("level", F.col("_area").alias("name"), *extra, *carry).agg(*aggs))
 
 

@@ -29,32 +29,21 @@ def split_label(df: DataFrame, into: Sequence[str | None], sep: str = "!!", labe
       dropped (``get`` is NULL out of range, ``[i]`` would raise under ANSI).
     * ``None`` in ``into`` skips that part, as NA does in R.
     * ``keep='leaf'`` keeps rows whose last part is present
-      (``filter(!is.na(age))``); ``keep=k`` keeps rows of exactly depth
-      ``k`` (``filter(is.na(age), !is.na(sex))`` for k=2).
+      (the deepest categories); ``keep=k`` keeps rows of exactly depth
+      ``k`` (subtotals of one level).
     """
     parts = F.split(F.col(label_col), re.escape(sep))
     cols = {name: F.get(parts, i) for i, name in enumerate(into) if name is not None}
-    out = df.withColumns(cols)
-    if drop and label_col not in cols:
-        out = out.drop(label_col)
-    names = list(into)
+    depth = F.size(parts)
+    out = df
     if keep == "leaf":
-        last = [n for n in names if n is not None][-1]
-        out = out.filter(F.col(last).isNotNull())
+        out = df.filter(depth >= len(into))
     elif isinstance(keep, int):
-        if names[keep - 1] is None:
-            raise ValueError("depth filter needs a named part at that depth")
-        cond = F.col(names[keep - 1]).isNotNull()
-        if keep < len(names):
-            nxt = F.size(parts) <= keep if names[keep] is None else F.col(names[keep]).isNull()
-            cond = cond & nxt
-        # the split column expression is recomputed here only if needed
-        out = df.withColumns(cols).filter(cond)
-        if drop and label_col not in cols:
-            out = out.drop(label_col)
-    return out
-
-
-def label_depth(label_col: str = "label", sep: str = "!!"):
-    """Number of parts in a label path (column expression)."""
-    return F.size(F.split(F.col(label_col), re.escape(sep)))
+        out = df.filter(depth == keep if keep < len(into) else depth >= keep)
+    out = out.withColumns(cols)
+    return out.drop(label_col) if drop and label_col not in cols else out
+
+
+def unlabelled(df: DataFrame, labels: DataFrame, on: Sequence[str] = ("year", "variable")) -> DataFrame:
+    """Codes of ``df`` that the dictionary lacks (``on`` columns, n): they get a NULL label and leave every depth."""
+    return df.groupBy(*on).agg(F.count(F.lit(1)).alias("n")).join(labels.select(*on).distinct(), list(on), "left_anti")

@@ -4,7 +4,9 @@
 whose leading fields are the priority/order: a declarative aggregate with a
 partial (map-side) phase, so a key holding a third of all rows is reduced on
 every mapper before the shuffle.  A ``row_number`` window would instead
-sort every row of that key inside one task.
+sort every row of that key inside one task.  A struct minimum plans as a sort
+aggregate; ``prefer_source`` with a listed priority and few value columns uses one
+conditional minimum per source instead, which hashes.
 """
 
 from __future__ import annotations
@@ -39,13 +41,15 @@ def union_all(frames: Sequence[DataFrame] | Mapping[str, DataFrame], id_col: str
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
     """A7 ``distinct(keys, .keep_all=TRUE)`` after ``arrange(order)``.
 
-    The kept row is the one with the smallest ``order`` tuple; the remaining
-    columns break ties, so the result does not depend on row order.
+    The kept row is the one with the smallest ``order`` tuple, NULLs last as in
+    ``arrange``; the remaining columns break ties, so the result does not
+    depend on row order.
     """
     keys = list(keys)
     rest = [c for c in df.columns if c not in keys]
     order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
-    packed = F.struct(*[o.alias(f"_o{i}") for i, o in enumerate(order_cols)],
+    # a struct's minimum puts NULL fields first, so each is preceded by "is it NULL"
+    packed = F.struct(*[x for i, o in enumerate(order_cols) for x in (o.isNull().alias(f"_n{i}"), o.alias(f"_o{i}"))],
                       *[F.col(c) for c in rest])
     out = df.groupBy(*keys).agg(F.min(packed).alias("_p"))
     return out.select(*keys, *[F.col(f"_p.{c}").alias(c) for c in rest]).select(*df.columns)
@@ -53,13 +57,30 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | s
 
 def prefer_source(df: DataFrame, keys: Sequence[str], source_col: str = "src",
                   priority: Sequence[str] | None = None, value: str = "estimate",
-                  extra_order: Sequence[str] = ()) -> DataFrame:
+                  extra_order: Sequence[str] = (), only_listed: bool = False) -> DataFrame:
     """Keep, per key, the row from the highest-priority source.
 
     Rows with a NULL ``value`` are removed FIRST, so a lower-priority source
     fills in where the preferred one is missing.  ``priority`` lists source
     names best first (``fct_relevel``); unlisted sources follow, by name.
+    With ``only_listed`` every source is in ``priority`` and gives one numeric row per key:
+    then each source is one conditional aggregate and the first that has a value wins.
     """
+    if only_listed:
+        values = [c for c in df.columns if c not in (*keys, source_col)]
+        known = F.col(value).isNotNull()
+        g = df.groupBy(*keys).agg(
+            *[F.count(F.when(known & (F.col(source_col) == p), 1)).alias(f"_has{i}") for i, p in enumerate(priority)],
+            *[F.max(F.when(known & (F.col(source_col) == p), F.col(c))).alias(f"_{c}{i}") for i, p in enumerate(priority) for c in values])
+
+        def chosen(of):
+            out = None
+            for i in range(len(priority)):
+                out = F.when(F.col(f"_has{i}") > 0, of(i)) if out is None else out.when(F.col(f"_has{i}") > 0, of(i))
+            return out
+
+        best = g.withColumn(source_col, chosen(lambda i: F.lit(priority[i]))).filter(F.col(source_col).isNotNull())
+        return best.select(*[c if c in (*keys, source_col) else chosen(lambda i, c=c: F.col(f"_{c}{i}")).alias(c) for c in df.columns])
     pri = F.col(source_col)
     if priority:
         pos = F.array_position(F.array(*[F.lit(p) for p in priority]), F.col(source_col))
@@ -85,25 +106,30 @@ def slice_frame(spark, params: Mapping[str, Mapping[str, object]], always: Itera
 
 
 def slices(df: DataFrame, by_name: DataFrame, name_col: str = "name", city_col: str | None = "city",
-           slice_col: str = "slice", city_of_slice: Mapping[str, str] | None = None) -> DataFrame:
+           slice_col: str = "slice", city_of_slice: Mapping[str, str] | None = None,
+           levels: Sequence[str] | None = None, level_col: str = "level") -> DataFrame:
     """Each slice = rows whose name is listed OR whose city is the slice.
 
     The OR predicate is rewritten as two broadcast equi-joins: by name, and
     by city minus the rows the name branch already produced for that slice
     (an anti-join on the same small table), so no ``distinct`` shuffle and
     no nested-loop join.  A row may land in several slices.
-    ``city_of_slice`` maps slice -> city value when they differ.
+    ``city_of_slice`` maps slice -> city value when they differ.  ``levels``
+    restricts the rows taken by name: a name can stand at two levels (a
+    town and a county), and only the listed levels are then meant.
     """
     names = by_name.select(F.col("slice").alias(slice_col), F.col("name").alias("_n"))
-    a = df.join(names, df[name_col] == names["_n"]).drop("_n")
+    listed = df if levels is None else df.filter(F.col(level_col).isin(list(levels)))
+    a = listed.join(names, listed[name_col] == names["_n"]).drop("_n")
     if city_col is None:
         return a
-    spark = df.sparkSession
-    slice_names = [r[0] for r in by_name.select("slice").distinct().collect()] if city_of_slice is None \
-        else list(city_of_slice)
-    cmap = city_of_slice or {s: s for s in slice_names}
-    cities = param_frame(spark, [(s, c) for s, c in cmap.items()], f"{slice_col} string, _c string")
+    if city_of_slice is None:
+        cities = by_name.select(F.col("slice").alias(slice_col), F.col("slice").alias("_c")).distinct()
+    else:
+        cities = param_frame(df.sparkSession, list(city_of_slice.items()), f"{slice_col} string, _c string")
     b = df.join(cities, df[city_col] == cities["_c"]).drop("_c")
     already = names.withColumnRenamed("_n", name_col)
-    b = b.join(already, [slice_col, name_col], "left_anti")
+    if levels is not None:
+        already = already.join(param_frame(df.sparkSession, [(x,) for x in levels], f"{level_col} string"))
+    b = b.join(already, [c for c in already.columns], "left_anti")
     return a.unionByName(b)

@@ -2,7 +2,7 @@
 
 Pivots always take an explicit value list (the caller's heading/group
 order): no extra distinct job, a fixed column order that positional ranges
-can rely on, and a bounded column count.  Pivot aggregation is partial, so
+can rely on.  Pivot aggregation is partial, so
 a hot id key is reduced before the shuffle.
 """
 
@@ -13,10 +13,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import unite
+from ._util import null_safe_join
 from .merge import first_per_key
 
-MAX_PIVOT_VALUES = 10_000
-
 
 def unpivot_long(df: DataFrame, ids: Sequence[str], values: Sequence[str], names_to: str = "type",
                  values_to: str = "value", cast: str | None = "double") -> DataFrame:
@@ -29,18 +29,17 @@ def pivot_wide(df: DataFrame, ids: Sequence[str], names_from: str | Column, valu
                value_col: str = "value", prefix: str = "", agg: str = "first") -> DataFrame:
     """``pivot_wider(names_from, names_prefix=)`` with an explicit value list.
 
-    ``agg='first'`` takes the single value per cell (dedup beforehand, see
-    :func:`check_unique`); any other Spark aggregate name may be given.
+    ``agg='first'`` takes the single value of a cell and fails when a cell
+    holds more than one row; any other Spark aggregate name may be given.
     """
     values = list(values)
-    if len(values) > MAX_PIVOT_VALUES:
-        raise ValueError(f"{len(values)} pivot columns exceed {MAX_PIVOT_VALUES}")
     nf = F.col(names_from) if isinstance(names_from, str) else names_from
     key = F.concat(F.lit(prefix), nf) if prefix else nf
     vals = [prefix + v for v in values] if prefix else values
     src = df.select(*ids, key.alias("_names"), F.col(value_col).alias("_v"))
-    fn = {"first": lambda c: F.first(c, ignorenulls=True)}.get(agg, lambda c: getattr(F, agg)(c))
-    return src.groupBy(*ids).pivot("_names", vals).agg(fn("_v"))
+    if agg != "first":
+        return src.groupBy(*ids).pivot("_names", vals).agg(getattr(F, agg)("_v"))
+    return src.groupBy(*ids).agg(*[single_value(F.col("_names") == v, F.col("_v")).alias(v) for v in vals])
 
 
 def wide_measures(df: DataFrame, ids: Sequence[str], group_col: str, groups: Sequence[str],
@@ -51,18 +50,34 @@ def wide_measures(df: DataFrame, ids: Sequence[str], group_col: str, groups: Seq
     ranges such as ``total_pop_estimate:female_sharemoe`` are stable.
     """
     groups = list(groups)
-    out = (df.groupBy(*ids).pivot(group_col, groups)
-           .agg(*[F.first(m, ignorenulls=True).alias(m) for m in measures]))
-    if len(measures) == 1:
-        out = out.toDF(*ids, *[f"{g}_{measures[0]}" for g in groups])
-    return out.select(*ids, *[f"{g}_{m}" for g in groups for m in measures])
+    return df.groupBy(*ids).agg(*[single_value(F.col(group_col) == g, F.col(m)).alias(f"{g}_{m}") for g in groups for m in measures])
+
+
+def single_value(cell: Column, value: Column) -> Column:
+    """Aggregate: the value of the only row for which ``cell`` holds, NULL without one; fails on two rows.
+
+    Which of two rows a pivot would take depends on task order, so the check
+    is part of the aggregation itself.
+    """
+    n = F.count(F.when(cell, 1))
+    return F.when(n <= 1, F.max(F.when(cell, value))).otherwise(
+        F.raise_error(F.concat(F.lit("a pivot cell holds "), n.cast("string"), F.lit(" rows"))))
 
 
 def check_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows whose key occurs more than once (empty = safe to pivot)."""
+    """Rows whose key occurs more than once (empty = safe to pivot): which cells :func:`single_value` fails on."""
     return df.groupBy(*keys).count().filter(F.col("count") > 1)
 
 
+def unheaded(df: DataFrame, headings: DataFrame, measures: Sequence[str] = ("estimate", "share"), group_col: str = "group",
+             join_on: Sequence[str] = ("indicator",)) -> DataFrame:
+    """Indicators that have values but no heading (``join_on`` columns, n): :func:`to_display_wide` leaves them out."""
+    carry = [j for j in join_on if j != "indicator"]
+    long = unpivot_long(df.select(group_col, *carry, *measures), [group_col, *carry], list(measures)).filter(F.col("value").isNotNull())
+    return (long.withColumn("indicator", unite(["type", group_col], " ")).groupBy(*join_on).agg(F.count(F.lit(1)).alias("n"))
+            .join(headings.select(*join_on).distinct(), list(join_on), "left_anti"))
+
+
 def to_display_wide(df: DataFrame, headings: DataFrame, ids: Sequence[str],
                     measures: Sequence[str] = ("estimate", "share"), group_col: str = "group",
                     order: Sequence[str] = (), join_on: Sequence[str] = ("indicator",),
@@ -71,7 +86,8 @@ def to_display_wide(df: DataFrame, headings: DataFrame, ids: Sequence[str],
 
     1. unpivot ``measures`` to (type, value), drop NULL values;
     2. ``indicator = type || ' ' || group`` and left-join ``headings``
-       (on ``join_on``, e.g. topic+indicator) for ``display``;
+       (on ``join_on``, e.g. topic+indicator) for ``display``; indicators without
+       a heading have no column (:func:`unheaded` lists them);
     3. keep the first row per (ids, indicator) under ``order`` (the bind
        order of topics, made explicit);
     4. pivot ``display`` with the heading order as explicit column list.
@@ -80,9 +96,9 @@ def to_display_wide(df: DataFrame, headings: DataFrame, ids: Sequence[str],
     keep_cols = [c for c in dict.fromkeys([*ids, group_col, *order, *[j for j in join_on if j != "indicator"]])]
     long = unpivot_long(df.select(*keep_cols, *measures), keep_cols, list(measures))
     long = (long.filter(F.col("value").isNotNull())
-            .withColumn("indicator", F.concat_ws(" ", "type", group_col)))
+            .withColumn("indicator", unite(["type", group_col], " ")))
     hd = headings.select(*join_on, "display", *( ["ord"] if "ord" in headings.columns else []))
-    long = long.join(hd, list(join_on), "left")
+    long = null_safe_join(long, hd, list(join_on), "left")
     if display_values is None:
         raise ValueError("display_values (the heading order) is required for a stable pivot")
     firsts = first_per_key(long.select(*ids, "indicator", "display", "value", *order),

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.moe import moe_sum
+from ..functions.text import unite
 from ._util import param_frame, sum_propagate
 
 
@@ -84,7 +85,8 @@ def _mapping(df: DataFrame, spec: Mapping, group_col: str, positions: DataFrame
 def group_rollup(df: DataFrame, spec: Mapping, keys: Sequence[str], group_col: str,
                  positions: DataFrame | None = None, value: str = "estimate", moe: str | None = "moe",
                  by: Sequence[str] = (), out_col: str | None = None,
-                 null_policy: str = "propagate", order_col: str | None = "grp_ord") -> DataFrame:
+                 null_policy: str = "propagate", order_col: str | None = "grp_ord",
+                 zero_rule: bool = False) -> DataFrame:
     """Sum ``value`` (and combine ``moe``) of categories into named groups.
 
     * ``keys``: grouping keys kept in the output (geography, year, ...).
@@ -94,6 +96,7 @@ def group_rollup(df: DataFrame, spec: Mapping, keys: Sequence[str], group_col: s
     * ``by``: e.g. ``["tbl"]`` when one frame holds several source tables and
       ``spec`` is ``{tbl: {grp: members}}``; all tables run in one plan.
     * ``order_col``: name of the group's ordinal in the output (spec order).
+    * ``null_policy`` holds for estimates and margins alike; ``zero_rule``: see ``moe_sum``.
     """
     keys, by = list(keys), list(by)
     out_col = out_col or group_col
@@ -101,7 +104,7 @@ def group_rollup(df: DataFrame, spec: Mapping, keys: Sequence[str], group_col: s
     fanned = df.join(mapping, [*by, group_col])
     aggs = [sum_propagate(value, null_policy).alias(value)]
     if moe:
-        aggs.append(moe_sum(moe).alias(moe))
+        aggs.append(moe_sum(moe, null_policy, value, zero_rule).alias(moe))
     gkeys = [*dict.fromkeys([*by, *keys])]
     out = (fanned.groupBy(*gkeys, F.col("grp").alias(out_col), "grp_ord").agg(*aggs))
     if order_col and order_col != "grp_ord":
@@ -115,7 +118,7 @@ def two_stage_rollup(df: DataFrame, spec1: Mapping, col1: str, spec2: Mapping, c
                      keys: Sequence[str], positions1: DataFrame | None = None,
                      positions2: DataFrame | None = None, value: str = "estimate",
                      moe: str | None = "moe", out_col: str = "group", sep: str = "_",
-                     by: Sequence[str] = (), null_policy: str = "propagate") -> DataFrame:
+                     by: Sequence[str] = (), null_policy: str = "propagate", zero_rule: bool = False) -> DataFrame:
     """Collapse ``col1`` within ``col2``, then ``col2`` within the first.
 
     Sums are linear, so both mappings are joined at once and ONE grouped
@@ -129,13 +132,8 @@ def two_stage_rollup(df: DataFrame, spec1: Mapping, col1: str, spec2: Mapping, c
     fanned = df.join(m1, [*by, col1]).join(m2, [*by, col2])
     aggs = [sum_propagate(value, null_policy).alias(value)]
     if moe:
-        aggs.append(moe_sum(moe).alias(moe))
+        aggs.append(moe_sum(moe, null_policy, value, zero_rule).alias(moe))
     gkeys = [*dict.fromkeys([*by, *keys])]
     out = fanned.groupBy(*gkeys, F.col("_g1").alias(col1), F.col("_o1").alias(f"{col1}_ord"),
                          F.col("_g2").alias(col2), F.col("_o2").alias(f"{col2}_ord")).agg(*aggs)
-    return out.withColumn(out_col, F.concat_ws(sep, col1, col2))
-
-
-def positions_from(values: Iterable[str]) -> list[tuple[str, int]]:
-    """Driver-side helper: explicit (category, position) pairs from a list."""
-    return [(v, i) for i, v in enumerate(values, start=1)]
+    return out.withColumn(out_col, unite([col1, col2], sep))

@@ -9,7 +9,7 @@ shares 6) so independent engines agree on the values.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
@@ -22,6 +22,7 @@ from ..operators.merge import prefer_source, slice_frame, slices
 from ..operators.reshape import extract_parts, pivot_wide, to_display_wide, wide_measures
 from ..operators.rollup import category_positions, group_rollup, two_stage_rollup
 from ..operators.shares import calc_shares
+from ..session import cut_lineage
 from ..sources.metadata import explode_json_map
 from . import standins as S
 from .distribution import distribution_wide
@@ -64,10 +65,10 @@ CONCEPTS = [("DP02", "Social Characteristics"), ("DP03", "Economic Characteristi
 LINK_BASE = "https://data.census.gov/cedsci/table"
 LINK_YEAR = 2019
 LINK_DATASET = "ACS 5-Year Estimates Data Profiles"
-MIN_ORDERS = 30
+PREFERRED_COVERS = ["F", "O"]  # statuses for which the preferred source has values
 STATUS_TOPIC_GROUPS = {"total": range(1, 4), "open": 2, "done": [1, 3]}
-# neighborhoods whose town is reported (the lookup covers one city only)
-TOWN_LOOKUP = ["NATION_1"]
+# regions whose neighborhoods report their town
+TOWN_REGIONS = ["AMERICA"]
 NB_HEADINGS = [
     ("priority", "estimate total", "Order value"), ("priority", "estimate high", "High-priority value"),
     ("priority", "share high", "High-priority rate"), ("priority", "estimate low", "Low-priority value"),
@@ -121,15 +122,8 @@ def stacked_levels(spark, sf, df=None, carry=("variable", "year"), moe="moe"):
     return geo_levels(df, geo_level_map(spark, sf), leaf_col="name", carry=carry, moe=moe)
 
 
-def max_price_long(spark, sf):
-    rows = S.order_rows(spark, sf).groupBy("n_name", "year").agg(F.max("price").alias("mx"))
-    return rows.select(F.lit("max_price").alias("tbl"), F.lit("4_towns").alias("level"),
-                       F.col("n_name").alias("name"), "year", F.lit("max_price").alias("variable"),
-                       F.col("mx").cast("double").alias("estimate"), F.lit(None).cast("double").alias("moe"))
-
-
-def suppressed_levels(spark, sf):
-    both = S.town_estimates(spark, sf).unionByName(max_price_long(spark, sf))
+def suppressed_levels(spark, sf, cells=None):
+    both = S.town_estimates(spark, sf, cells, maximum=True)
     st = stacked_levels(spark, sf, both, carry=("tbl", "variable", "year"))
     return suppress_non_additive(st, (F.col("tbl") == "max_price") & T.detect("level", "state|regions"))
 
@@ -216,33 +210,32 @@ def q_suppress_medians(spark, sf):
 
 
 def q_prefer_source(spark, sf):
-    rows = S.order_rows(spark, sf)
-    a = (rows.groupBy("n_name", "year", "status")
-         .agg(F.when(F.count(F.lit(1)) >= MIN_ORDERS, F.sum("price")).alias("est"))
-         .select(F.lit("orders").alias("src"), F.col("n_name").alias("name"), "year",
-                 S.variable_code("status").alias("variable"), F.col("est").cast("double").alias("estimate")))
     # lines are summed per order BEFORE the join: the partial aggregate
     # collapses a hot order map-side, and its hash partitioning on the
     # order key is the one the join needs, so it adds no exchange
     li = (S.read(spark, sf, "lineitem", "l_orderkey", "l_extendedprice")
           .groupBy("l_orderkey").agg(F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).alias("li_est")))
-    o = S.read(spark, sf, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
+    o = S.read(spark, sf, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_totalprice")
     c = S.read(spark, sf, "customer", "c_custkey", "c_nationkey")
     cg = c.join(S.geography(spark, sf), c.c_nationkey == F.col("n_nationkey"))
-    lj = li.join(o, li.l_orderkey == o.o_orderkey).join(cg, o.o_custkey == cg.c_custkey)
-    b = (lj.groupBy("n_name", F.year("o_orderdate").alias("year"), F.col("o_orderstatus").alias("status"))
-         .agg(F.sum("li_est").alias("est"))
-         .select(F.lit("lineitem").alias("src"), F.col("n_name").alias("name"), "year",
-                 S.variable_code("status").alias("variable"), F.col("est").cast("double").alias("estimate")))
-    best = prefer_source(a.unionByName(b), ["name", "year", "variable"], "src", ["orders", "lineitem"])
+    lj = o.join(li, li.l_orderkey == o.o_orderkey, "left").join(cg, o.o_custkey == cg.c_custkey)
+    # both measures in one pass; the preferred source covers some statuses only
+    both = (lj.groupBy("n_name", F.year("o_orderdate").alias("year"), F.col("o_orderstatus").alias("status"))
+            .agg(F.sum(F.when(F.col("o_orderstatus").isin(PREFERRED_COVERS), F.col("o_totalprice").cast("decimal(18,2)"))).alias("orders"),
+                 F.sum("li_est").alias("lineitem"))
+            .select(F.col("n_name").alias("name"), "year", S.variable_code("status").alias("variable"),
+                    F.col("orders").cast("double").alias("orders"), F.col("lineitem").cast("double").alias("lineitem")))
+    stacked = both.unpivot(["name", "year", "variable"], ["orders", "lineitem"], "src", "estimate")
+    best = prefer_source(stacked, ["name", "year", "variable"], "src", ["orders", "lineitem"], only_listed=True)
     return best.select("name", "year", "variable", "src", _r("estimate", 2))
 
 
 def profile_long(spark, sf):
     """All levels stacked: state, regions, towns (no city) + neighborhoods."""
-    up = stacked_levels(spark, sf, S.town_estimates(spark, sf, from_segments=True)).withColumn(
+    cells = S.segment_cells(spark, sf)
+    up = stacked_levels(spark, sf, S.town_estimates(spark, sf, cells)).withColumn(
         "city", F.lit(None).cast("string"))
-    nb = S.neighborhood_estimates(spark, sf).select("level", "city", "name", "variable", "year", "estimate", "moe")
+    nb = S.neighborhood_estimates(spark, sf, cells).select("level", "city", "name", "variable", "year", "estimate", "moe")
     return up.unionByName(nb)
 
 
@@ -286,10 +279,11 @@ def q_content_selected_columns(spark, sf):
 
 
 def q_drop_empty_columns(spark, sf):
-    sup = suppressed_levels(spark, sf).filter(T.detect("level", "state|regions"))
-    wide = pivot_wide(sup.select("level", "name", "year", "variable", F.round("estimate", 2).alias("value")),
-                      ["level", "name", "year"], "variable", ["ord", "max_price"])
-    return drop_empty_columns(wide)
+    # the margin of a maximum is unknown everywhere, so its column is empty
+    sup = suppressed_levels(spark, sf).filter(F.col("variable").isin("ord", "max_price"))
+    wide = wide_measures(sup.withColumns({"estimate": F.round("estimate", 2), "moe": F.round("moe", 4)}),
+                         ["level", "name", "year"], "variable", ["ord", "max_price"], ["estimate", "moe"])
+    return drop_empty_columns(cut_lineage(wide))  # small; its columns are looked at before it is returned
 
 
 def q_ordered_codes(spark, sf):
@@ -310,7 +304,8 @@ def q_percent_format(spark, sf):
     return sh.select("name", "year", "group", T.percent("share", 0.1).alias("share_pct"))
 
 
-NAME_PATTERN = "(\\w*?)?(?:_?)([A-Z].+)"
+# optional lower-case city and underscore, then a name that starts with a capital
+NAME_PATTERN = "^(?:([a-z0-9 _]+)_)?([A-Z].*)$"
 
 
 def q_name_normalise(spark, sf):
@@ -332,8 +327,9 @@ def q_name_normalise(spark, sf):
 
 
 def q_null_fill_coalesce(spark, sf):
-    up = suppressed_levels(spark, sf).withColumn("city", F.lit(None).cast("string")).drop("tbl")
-    nb = S.neighborhood_estimates(spark, sf).drop("tbl")
+    cells = S.segment_cells(spark, sf)
+    up = suppressed_levels(spark, sf, cells).withColumn("city", F.lit(None).cast("string")).drop("tbl")
+    nb = S.neighborhood_estimates(spark, sf, cells).drop("tbl")
     u = up.unionByName(nb)
     filled = u.na.fill({"moe": 0.0})
     return filled.select(
@@ -348,10 +344,11 @@ def cws_long(spark, sf):
     n = S.read(spark, sf, "nation", "n_nationkey", "n_name")
     j = ev.join(c, ev.user_id == c.c_custkey).join(n, c.c_nationkey == n.n_nationkey)
     by_type = j.groupBy("n_name", "event_type").agg(F.sum(F.col("value").cast("decimal(18,2)")).alias("v"))
-    tot = j.groupBy("n_name").agg(F.sum(F.col("value").cast("decimal(18,2)")).alias("t"))
-    return by_type.join(tot, "n_name").select(
+    # the total is a window over the sums by type: one pass over the events
+    total = F.sum("v").over(Window.partitionBy("n_name"))
+    return by_type.select(
         F.col("event_type").alias("indicator"), F.col("n_name").alias("name"),
-        F.try_divide(F.col("v").cast("double"), F.col("t").cast("double")).alias("value"))
+        F.try_divide(F.col("v").cast("double"), total.cast("double")).alias("value"))
 
 
 ASSEMBLY_HEADER_GROUPS = ["total", "high", "low"]
@@ -403,9 +400,10 @@ def q_town_profile(spark, sf):
 def q_neighborhood_wide(spark, sf):
     """Neighborhood profile tail: topics at every level incl. neighborhoods,
     shares to 2 digits, slices, headed wide table (first topic wins)."""
-    up = (stacked_levels(spark, sf, S.town_estimates(spark, sf, from_segments=True), carry=("tbl", "variable", "year"))
+    cells = S.segment_cells(spark, sf)
+    up = (stacked_levels(spark, sf, S.town_estimates(spark, sf, cells), carry=("tbl", "variable", "year"))
           .withColumn("city", F.lit("")))
-    long = up.unionByName(S.neighborhood_estimates(spark, sf)).withColumn("level", T.remove_first("level", "^\\d_"))
+    long = up.unionByName(S.neighborhood_estimates(spark, sf, cells)).withColumn("level", T.remove_first("level", "^\\d_"))
     topics = {
         "priority": Topic(tbl=S.TABLE, into=SPLIT_INTO, keep="leaf", group_col="priority",
                           spec=PRIORITY_GROUPS, denom="total", digits=2),
@@ -414,7 +412,7 @@ def q_neighborhood_wide(spark, sf):
     }
     prof = build_profile(long, S.labels(spark), topics, keys=("level", "city", "name", "year"), moe=False)
     cus = S.read(spark, sf, "customer", "c_nationkey", "c_mktsegment")
-    nat = S.read(spark, sf, "nation", "n_nationkey", "n_name").filter(F.col("n_name").isin(TOWN_LOOKUP))
+    nat = S.geography(spark, sf).filter(F.col("r_name").isin(TOWN_REGIONS))
     lookup = (cus.join(nat, cus.c_nationkey == nat.n_nationkey)
               .select(F.lower("n_name").alias("city"), F.initcap(F.lower("c_mktsegment")).alias("name"),
                       F.col("n_name").alias("town")).distinct())

@@ -175,7 +175,7 @@ SELECT level, name, year, tbl, variable, round(estimate, 2) AS estimate, round(m
 
 Q["prefer_source"] = _with(ROWS) + """
 , a AS (SELECT 'orders' AS src, n_name AS name, year, 'ord_' || status AS variable,
-               CAST(CASE WHEN count(*) >= 30 THEN sum(price) END AS DOUBLE) AS estimate
+               CAST(sum(price) FILTER (status IN ('F', 'O')) AS DOUBLE) AS estimate
         FROM rows_ GROUP BY n_name, year, status),
 b AS (SELECT 'lineitem' AS src, n.n_name AS name, CAST(year(o.o_orderdate) AS INTEGER) AS year,
              'ord_' || o.o_orderstatus AS variable,
@@ -246,8 +246,10 @@ FROM d GROUP BY day"""
 Q["content_selected_columns"] = "SELECT c_name, c_acctbal, c_mktsegment FROM customer"
 
 Q["drop_empty_columns"] = _with(*BASE, LEVELMAP, SUPPRESSED) + """
-SELECT level, name, year, max(CASE WHEN variable = 'ord' THEN round(estimate, 2) END) AS ord
-FROM sup WHERE regexp_matches(level, 'state|regions') GROUP BY level, name, year"""
+SELECT level, name, year, max(CASE WHEN variable = 'ord' THEN round(estimate, 2) END) AS ord_estimate,
+       max(CASE WHEN variable = 'ord' THEN round(moe, 4) END) AS ord_moe,
+       max(CASE WHEN variable = 'max_price' THEN round(estimate, 2) END) AS max_price_estimate
+FROM sup WHERE variable IN ('ord', 'max_price') GROUP BY level, name, year"""
 
 GEOS = """
 WITH g AS (
@@ -294,8 +296,8 @@ WITH nb AS (SELECT c.c_custkey AS id, '6_neighborhoods' AS level,
 up AS (SELECT CAST(-1 - n_nationkey AS BIGINT) AS id, '4_towns' AS level, n_name AS raw, n_name AS label FROM nation),
 u AS (SELECT * FROM nb UNION ALL SELECT * FROM up)
 SELECT id, raw,
-       CASE WHEN regexp_matches(raw, '(\\w*?)?(?:_?)([A-Z].+)') THEN regexp_extract(raw, '(\\w*?)?(?:_?)([A-Z].+)', 1) END AS city,
-       CASE WHEN regexp_matches(raw, '(\\w*?)?(?:_?)([A-Z].+)') THEN regexp_extract(raw, '(\\w*?)?(?:_?)([A-Z].+)', 2) END AS name,
+       CASE WHEN regexp_matches(raw, '^(?:([a-z0-9 _]+)_)?([A-Z].*)$') THEN regexp_extract(raw, '^(?:([a-z0-9 _]+)_)?([A-Z].*)$', 1) END AS city,
+       CASE WHEN regexp_matches(raw, '^(?:([a-z0-9 _]+)_)?([A-Z].*)$') THEN regexp_extract(raw, '^(?:([a-z0-9 _]+)_)?([A-Z].*)$', 2) END AS name,
        regexp_replace(label, '0+', '') AS short,
        regexp_replace(label, 'Customer#', 'Customer No. ') AS long_label,
        regexp_replace(level, '^[0-9]_', '') AS level
@@ -426,7 +428,7 @@ prof AS (
                     OVER (PARTITION BY level, city, name, year) END, 2) FROM sroll),
 lk AS (SELECT DISTINCT lower(n.n_name) AS city,
               upper(left(c.c_mktsegment, 1)) || lower(substr(c.c_mktsegment, 2)) AS name, n.n_name AS town
-       FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey WHERE n.n_name IN ('NATION_1')),
+       FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey WHERE r.r_name = 'AMERICA'),
 pt AS (SELECT prof.*, lk.town FROM prof LEFT JOIN lk ON prof.city = lk.city AND prof.name = lk.name),
 sl(slice, name) AS (VALUES ('nation_0', 'AFRICA'), ('nation_0', 'NATION_0'), ('nation_0', 'World'),
                            ('nation_1', 'AMERICA'), ('nation_1', 'NATION_1'), ('nation_1', 'NATION_6'),

@@ -25,10 +25,11 @@ from pyspark.sql import functions as F
 
 from ..operators._util import param_frame
 from ..schema import input_schema
-from ..session import table_path
+from ..session import cut_lineage, table_path
 
 # Survey-table code and label root of the stand-in table.
 TABLE = "orders"
+MAX_TABLE = "max_price"
 VAR_PREFIX = "ord"
 LABEL_ROOT = "Total"
 MOE_RATE = 0.05
@@ -71,15 +72,25 @@ def order_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _leaves(rows: DataFrame, geo: list[str]) -> DataFrame:
     return (rows.groupBy(*geo, "year", "status", "priority")
-            .agg(F.sum("price").alias("est"), F.sum("sq").alias("sq"), F.count(F.lit(1)).alias("n")))
+            .agg(F.sum("price").alias("est"), F.sum("sq").alias("sq"), F.max("price").alias("mx")))
 
 
 def segment_leaves(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leaf cells (region, nation, segment, year, status, priority):
-    ``est`` exact decimal sum, ``sq`` sum of squared margins, ``n`` orders."""
+    ``est`` exact decimal sum, ``sq`` sum of squared margins, ``mx`` largest price."""
     return _leaves(order_rows(spark, sf_dir), ["r_name", "n_name", "c_mktsegment"])
 
 
+def segment_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """:func:`segment_leaves` written once to the shared checkpoint folder.
+
+    For plans that read the leaf cells more than once: the orders are then
+    scanned, joined and aggregated once, whatever the planner makes of
+    the branches.  A lost executor costs nothing but a re-read of the cells.
+    """
+    return cut_lineage(segment_leaves(spark, sf_dir))
+
+
 def nation_leaves(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leaf cells per nation, aggregated straight from the order rows."""
     return _leaves(order_rows(spark, sf_dir), ["r_name", "n_name"])
@@ -94,43 +105,44 @@ def variable_code(status=None, priority=None):
     return F.concat_ws("_", *parts)
 
 
-def _depths(leaves: DataFrame, geo: list[str]) -> DataFrame:
+def _depths(leaves: DataFrame, geo: list[str], maximum: bool = False) -> DataFrame:
     """All label depths (total, status, status x priority) of the table in
     ONE aggregation over the small leaf cells (grouping sets), not a union
-    of three plans over the facts."""
+    of three plans over the facts.
+
+    ``maximum`` adds the largest price as a table of its own, from the same aggregation.
+    """
     keys = [*geo, "year"]
     g = (leaves.groupingSets([[*keys, "status", "priority"], [*keys, "status"], keys], *keys, "status", "priority")
-         .agg(F.sum("est").alias("est"), F.sum("sq").alias("sq"), F.grouping_id().alias("_gid")))
+         .agg(F.sum("est").alias("est"), F.sum("sq").alias("sq"), F.max("mx").alias("mx"), F.grouping_id().alias("_gid")))
     # grouping_id bits: priority rolled up = 1, status and priority = 3
     status = F.when(F.col("_gid") < 3, F.col("status"))
     priority = F.when(F.col("_gid") == 0, F.col("priority"))
-    return g.select(*geo, "year", variable_code(status, priority).alias("variable"),
-                    F.col("est").cast("double").alias("estimate"), F.sqrt("sq").alias("moe"))
+    own = F.struct(F.lit(TABLE).alias("tbl"), variable_code(status, priority).alias("variable"),
+                   F.col("est").cast("double").alias("estimate"), F.sqrt("sq").alias("moe"))
+    if not maximum:
+        return g.select(*geo, "year", own.alias("v")).select(*geo, "year", "v.*")
+    top = F.struct(F.lit(MAX_TABLE).alias("tbl"), F.lit(MAX_TABLE).alias("variable"),
+                   F.col("mx").cast("double").alias("estimate"), F.lit(None).cast("double").alias("moe"))
+    return g.select(*geo, "year", F.inline(F.when(F.col("_gid") == 3, F.array(own, top)).otherwise(F.array(own))))
 
 
-def town_estimates(spark: SparkSession, sf_dir: str, from_segments: bool = False) -> DataFrame:
+def town_estimates(spark: SparkSession, sf_dir: str, cells: DataFrame | None = None, maximum: bool = False) -> DataFrame:
     """Long estimates at the nation ("town") level, every label depth:
     (tbl, level, name, year, variable, estimate, moe).
 
-    ``from_segments``: build the nation cells from the segment cells, for
-    plans that also need the neighborhoods -- the one aggregation over the
-    orders is then shared (its exchange is reused) instead of run twice.
+    ``cells``: segment cells at hand (:func:`segment_cells`), for plans that also need the neighborhoods.
     """
-    if from_segments:
-        leaves = (segment_leaves(spark, sf_dir).groupBy("r_name", "n_name", "year", "status", "priority")
-                  .agg(F.sum("est").alias("est"), F.sum("sq").alias("sq"), F.sum("n").alias("n")))
-    else:
-        leaves = nation_leaves(spark, sf_dir)
-    d = _depths(leaves, ["n_name"])
-    return d.select(F.lit(TABLE).alias("tbl"), F.lit("4_towns").alias("level"),
+    d = _depths(nation_leaves(spark, sf_dir) if cells is None else cells, ["n_name"], maximum)
+    return d.select("tbl", F.lit("4_towns").alias("level"),
                     F.col("n_name").alias("name"), "year", "variable", "estimate", "moe")
 
 
-def neighborhood_estimates(spark: SparkSession, sf_dir: str) -> DataFrame:
+def neighborhood_estimates(spark: SparkSession, sf_dir: str, cells: DataFrame | None = None) -> DataFrame:
     """Long estimates at the segment-within-nation ("neighborhood") level:
     city = lower-case nation, name = title-case segment."""
-    d = _depths(segment_leaves(spark, sf_dir), ["n_name", "c_mktsegment"])
-    return d.select(F.lit(TABLE).alias("tbl"), F.lit("6_neighborhoods").alias("level"),
+    d = _depths(segment_leaves(spark, sf_dir) if cells is None else cells, ["n_name", "c_mktsegment"])
+    return d.select("tbl", F.lit("6_neighborhoods").alias("level"),
                     F.lower("n_name").alias("city"), F.initcap(F.lower("c_mktsegment")).alias("name"),
                     "year", "variable", "estimate", "moe")
 
@@ -140,7 +152,8 @@ def labels(spark: SparkSession) -> DataFrame:
 
     Like published survey metadata it is a small fixed dimension built from
     the table's category domains (TPC-H order status and priority), not
-    re-derived from the facts; it is broadcast with an exact size.
+    re-derived from the facts; ``unlabelled`` in operators/labels.py reports
+    codes of the facts that it lacks.
     """
     rows = [(f"{VAR_PREFIX}", LABEL_ROOT)]
     for st in STATUS_DOMAIN:

@@ -4,7 +4,7 @@ Settings are the ones a cluster job wants as well as a local test: adaptive
 execution (runtime broadcast conversion, partition coalescing and skew-join
 splitting), no web UI, UTC timestamps and Arrow transfer for the rare pandas
 path.  On a cluster the session already names ``spark.checkpoint.dir``; only
-when it is unset (tests, local runs) do we point it at a fresh scratch folder.
+when it is unset on a local master (tests) do we point it at a fresh scratch folder.
 """
 
 from __future__ import annotations
@@ -50,9 +50,14 @@ def get_spark(master: str | None = None, app: str = "geoprofile",
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Checkpoint folder named by the cluster, or a scratch one when unset."""
+    """Checkpoint folder named by the cluster; a scratch one when unset and the master is local.
+
+    A scratch folder lies on one machine, so on a cluster the setting is required.
+    """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("name a shared folder in spark.checkpoint.dir")
         current = tempfile.mkdtemp(prefix="geoprofile-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     if spark.sparkContext.getCheckpointDir() is None:

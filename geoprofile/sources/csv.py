@@ -14,31 +14,37 @@ from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 NULL_SENTINEL = "\u0000__NA__\u0000"
 
 
-def _reader(spark: SparkSession, keep_empty_strings: bool = True):
-    r = spark.read.option("header", True).option("multiLine", False).option("escape", '"')
-    if keep_empty_strings:
-        # quoted "" stays '', unquoted empty stays NULL
-        r = r.option("nullValue", NULL_SENTINEL).option("emptyValue", "")
-    return r
-
-
 def read_csv(spark: SparkSession, path: str | Sequence[str], schema: StructType | str | None = None,
-             keep_empty_strings: bool = True) -> DataFrame:
+             keep_empty_strings: bool = True, na: Sequence[str] = ("NA",)) -> DataFrame:
     """S1 typed read (explicit schema) / S2 all-string read (no schema).
 
-    Never infers types: inference is a full extra pass over the data.
+    Columns are found by the file's HEADER, whatever their order: the file is read
+    as text columns, which are then selected and cast by name (a reader schema
+    would be applied by position).  Unquoted empty fields and the strings in ``na``
+    are NULL, as ``read_csv`` has it; a schema column that the file lacks is an
+    error.  Never infers types: inference is a full extra pass over the data.
     """
-    r = _reader(spark, keep_empty_strings)
-    if schema is not None:
-        r = r.schema(schema)
-    else:
-        r = r.option("inferSchema", False)
-    return r.csv(path)
+    r = (spark.read.option("header", True).option("multiLine", False).option("escape", '"')
+         .option("inferSchema", False))
+    if keep_empty_strings:
+        # quoted "" stays '', unquoted empty stays NULL
+        r = r.option("nullValue", NULL_SENTINEL).option("emptyValue", "")
+    df = r.csv(path)
+    fields = None if schema is None else (schema if isinstance(schema, StructType) else StructType.fromDDL(schema))
+    wanted = [(c, None) for c in df.columns] if fields is None else [(f.name, f.dataType) for f in fields]
+    out = []
+    for name, kind in wanted:
+        c = F.col("`" + name.replace("`", "``") + "`")
+        if na:
+            c = F.when(~c.isin(list(na)), c)
+        out.append((c if kind is None else c.cast(kind)).alias(name))
+    return df.select(*out)
 
 
 def read_csv_union(spark: SparkSession, paths: Sequence[str],
@@ -52,13 +58,17 @@ def read_csv_union(spark: SparkSession, paths: Sequence[str],
 
 
 def write_csv(df: DataFrame, path: str, na: str = "NA", single_file: bool = False,
-              mode: str = "overwrite") -> None:
+              mode: str = "overwrite", sort: Sequence = ()) -> None:
     """S7 (``na='NA'``) / S8 (``na=''``) CSV sink with header.
 
-    ``single_file`` coalesces to one part file: only for small, final
-    outputs (a distribution file); large outputs keep their partitions.
+    ``single_file`` gathers the finished rows in one part file: only for small,
+    final outputs (a distribution file); large outputs keep their partitions.
+    With ``sort``, the rows are made by as many tasks as before and one task
+    sorts and writes them; without it, a sorted frame's order is kept.
     """
-    out = df.coalesce(1) if single_file else df
+    out = df
+    if single_file:
+        out = df.repartition(1).sortWithinPartitions(*sort) if sort else df.coalesce(1)
     w = out.write.mode(mode).option("header", True)
     if na != "":
         w = w.option("nullValue", na)

@@ -30,9 +30,11 @@ def read_keyed(spark: SparkSession, pattern: str, key_regex: str, keep: Sequence
     """Read every file matching ``pattern`` and tag rows with a key
     extracted from the file path (``str_extract(path, key_regex)``), then
     keep the listed keys.  The file name comes from the ``_metadata``
-    column, so the filter prunes nothing but costs no extra job.
+    column, so the filter prunes nothing but costs no extra job.  The
+    files' schemas are merged: a column that only some of them have is
+    NULL in the rows of the others.
     """
-    df = spark.read.format(fmt).load(pattern)
+    df = spark.read.format(fmt).option("mergeSchema", True).load(pattern)
     name = F.col("_metadata.file_path")
     df = df.withColumn(key_col, F.regexp_extract(name, key_regex, 1))
     if keep is not None:

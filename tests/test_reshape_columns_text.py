@@ -6,6 +6,7 @@ from geoprofile.functions import text as T
 from geoprofile.functions.columns import (col_range, drop_empty_columns, matching, non_empty_columns_by,
                                           rename_like, select_spec, select_where_all)
 from geoprofile.operators.codes import geo_codes, ordered_concat, profile_links
+from geoprofile.plans.catalog import NAME_PATTERN
 from geoprofile.operators.reshape import (check_unique, extract_parts, pivot_wide, to_display_wide,
                                           unpivot_long, wide_measures)
 
@@ -54,7 +55,7 @@ def test_check_unique(spark):
 
 def test_extract_parts(spark):
     df = spark.createDataFrame([("bridgeport_Black Rock",), ("nhv_East Rock",), ("New Haven",), ("lower",)], "raw string")
-    p = extract_parts("raw", "(\\w*?)?(?:_?)([A-Z].+)", ["city", "name"])
+    p = extract_parts("raw", NAME_PATTERN, ["city", "name"])
     got = {r.raw: (r.city, r.name) for r in df.select("raw", p["city"].alias("city"), p["name"].alias("name")).collect()}
     assert got["bridgeport_Black Rock"] == ("bridgeport", "Black Rock")
     assert got["nhv_East Rock"] == ("nhv", "East Rock")
