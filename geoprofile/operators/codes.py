@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import pad_right, url_with_query
+from ..functions.text import pad_right, recode, remove_first, replace_first, title_case, trim, url_with_query
+from .reshape import unpivot_long
 
 
 def ordered_concat(df: DataFrame, keys: Sequence[str], order_col: str, value_col: str,
@@ -44,6 +45,39 @@ def nonzero_part_expr(c):
     return F.when(c.isNull() | c.rlike("^0+$"), F.lit("")).otherwise(c)
 
 
+def codes_by_name(sheet: DataFrame, level_col: str, parts: Sequence[str], name_col: str = "name",
+                  levels: Sequence[str] | None = None, states: Sequence[str] | None = None, state_col: str = "state",
+                  state_name: str | None = None, country: str = "US") -> DataFrame:
+    """D13 on a geocode sheet: the levels and states asked for, names tidied, ONE row per name.
+
+    The sheet's code parts are unpivoted (R2), parts of zeros dropped, and pasted
+    in explicit order (A4); areas that share a name share a row, their codes one after the other.
+    """
+    df = sheet
+    if levels is not None:
+        df = df.filter(F.col(level_col).isin(list(levels)))
+    if states is not None:
+        df = df.filter(F.col(state_col).isin(list(states)))
+    name = remove_first(name_col, " town")
+    if state_name:
+        name = replace_first(name, " County", f" County, {state_name}")
+    row = F.concat_ws("|", level_col, *parts)  # the areas of one name, in sheet order
+    wide = df.select(name.alias("name"), row.alias("area"), pad_right(F.substring(F.col(level_col), 1, 2), 7, "0").alias("0"),
+                     F.lit(country).alias("1"), *[F.col(p).cast("string").alias(str(i)) for i, p in enumerate(parts, start=2)])
+    rest = [c for c in wide.columns if c not in ("name", "area")]
+    long = unpivot_long(wide, ["name", "area"], rest, "part", "value", cast=None).filter(~F.col("value").rlike("^0+$"))
+    return ordered_concat(long.withColumn("at", F.concat_ws("#", "area", "part")), ["name"], "at", "value")
+
+
+def concept_titles(variables: DataFrame, group_regex: str = r"^DP\d{2}$", recoded: dict[str, str] | None = None) -> DataFrame:
+    """D14, concept half: (group, concept) of the variables' groups that match ``group_regex``.
+
+    Title case, without "Selected" in front and "In The United States", trimmed, recoded.
+    """
+    title = trim(remove_first(remove_first(title_case("concept"), "^Selected"), "In The United States"))
+    return variables.filter(F.col("group").rlike(group_regex)).select("group", recode(title, recoded or {}).alias("concept")).distinct()
+
+
 def profile_links(geos: DataFrame, concepts: Sequence[tuple[str, str]], base_url: str, year: int,
                   dataset: str, tid_prefix: str = "ACSDP5Y", name_col: str = "name",
                   code_col: str = "code") -> DataFrame:

@@ -9,6 +9,7 @@ simply several membership rows; ``rollup``/``cube`` could not express that.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
@@ -53,8 +54,13 @@ def apportion(df: DataFrame, crosswalk: DataFrame, on: str = "geoid", weight: st
 
 
 def membership_frame(spark, members: Mapping[str, Iterable[str]], level: str,
-                     leaf_col: str = "leaf", name_col: str = "name") -> DataFrame:
-    """(leaf, level, name) rows from ``{area: [leaf, ...]}`` parameters."""
+                     leaf_col: str = "leaf", name_col: str = "name", without: str | None = None) -> DataFrame:
+    """(leaf, level, name) rows from ``{area: [leaf, ...]}`` parameters.
+
+    ``without`` (F5): areas whose name holds a match of this regex are left out.
+    """
+    if without is not None:
+        members = {k: v for k, v in members.items() if not re.search(without, k)}
     rows = [(leaf, level, area) for area, leaves in members.items() for leaf in leaves]
     return param_frame(spark, rows, f"{leaf_col} string, level string, {name_col} string")
 

@@ -13,8 +13,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..functions.columns import drop_empty_columns, rename_like, select_where_all
+from ..functions.columns import drop_empty_columns, select_where_all
 from ..operators._util import param_frame
+from ..operators.assembly import wide_profile
 from ..operators.codes import geo_codes, profile_links
 from ..operators.geo import apportion, geo_levels, level_map, membership_frame, suppress_non_additive
 from ..operators.labels import label_variables, split_label
@@ -358,9 +359,7 @@ def q_profile_assembly(spark, sf):
     # shares stay unrounded here: they are printed as percentages below
     sh = priority_shares(spark, sf).select("name", "year", "group", _r("estimate", 2), _r("moe", 4),
                                            "share", "sharemoe")
-    acs = wide_measures(sh, ["name", "year"], "group", list(PRIORITY_GROUPS),
-                        ["estimate", "moe", "share", "sharemoe"])
-    acs = acs.join(S.nation_region(spark, sf), acs["name"] == F.col("town"), "left").drop("town")
+    county = S.nation_region(spark, sf).withColumnRenamed("town", "name")
     cws = pivot_wide(cws_long(spark, sf), ["name"], "indicator", EVENT_TYPES, prefix="cws_")
     nat = S.read(spark, sf, "nation", "n_nationkey", "n_name", "n_regionkey")
     meta = profile_links(geo_codes(nat.select(F.lit("050").alias("summary_level"),
@@ -369,17 +368,14 @@ def q_profile_assembly(spark, sf):
                                               F.col("n_name").alias("name")),
                                    "summary_level", ["state", "county"]),
                          CONCEPTS, LINK_BASE, LINK_YEAR, LINK_DATASET)
-    out = acs.join(cws, "name", "left").join(meta, "name", "left")
-    measure_cols = [f"{g}_{m}" for g in ASSEMBLY_HEADER_GROUPS for m in ("estimate", "moe", "share", "sharemoe")]
-    pct = {c: T.percent(c, 0.1) for c in measure_cols if c.endswith("share") or c.endswith("sharemoe")}
-    pct.update({f"cws_{e}": T.percent(f"cws_{e}", 1) for e in EVENT_TYPES})
-    laid = out.select(F.col("name").alias("Town"), F.col("county").alias("County"), "year",
-                      *[f"cws_{e}" for e in EVENT_TYPES], *measure_cols, *[c for _, c in CONCEPTS])
-    laid = laid.withColumns(pct)
+    layout = ["name", "county", "year", ("prefix", "cws_"), ("range", f"{ASSEMBLY_HEADER_GROUPS[0]}_estimate", f"{ASSEMBLY_HEADER_GROUPS[-1]}_sharemoe"),
+              ("suffix", "Characteristics")]
     header = (["Town", "County", "Year"] + [f"Survey {e}" for e in EVENT_TYPES]
               + [f"{g} {m}" for g in ASSEMBLY_HEADER_GROUPS for m in ("estimate", "moe", "share", "sharemoe")]
               + [c for _, c in CONCEPTS])
-    return rename_like(laid, header)
+    return wide_profile(sh, ["name", "year"], ASSEMBLY_HEADER_GROUPS, [(county, ["name"]), (cws, ["name"]), (meta, ["name"])], layout, header,
+                        percents={"share(moe)?$": 0.1, "^cws_": 1},
+                        clean={"name": T.replace_first("name", "(?<= County)$", ", " + S.STATE_NAME), "county": T.remove_first("county", " County$")})
 
 
 def q_town_profile(spark, sf):

@@ -34,11 +34,11 @@ def con():
 
 def test_every_query_has_oracle():
     import __spark_entry__ as E
-    from geoprofile.plans.catalog import QUERIES
+    from __spark_entry__ import QUERIES
     assert set(QUERIES) <= set(E.queries()) and set(QUERIES) <= set(E.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(__import__("geoprofile.plans.catalog", fromlist=["QUERIES"]).QUERIES))
+@pytest.mark.parametrize("name", sorted(__import__("__spark_entry__").QUERIES))
 def test_query_matches_oracle(spark, con, name):
     import __spark_entry__ as E
     got = _rows(E.queries()[name](spark, SF).toPandas())
