@@ -29,11 +29,6 @@ def remove_first(col, pattern: str) -> Column:
     return _first_match(col, pattern, "")
 
 
-def remove_all(col, pattern: str) -> Column:
-    """``str_remove_all``."""
-    return F.regexp_replace(_c(col), pattern, "")
-
-
 def replace_first(col, pattern: str, replacement: str) -> Column:
     """``str_replace``: replace the first match; ``replacement`` is literal."""
     return _first_match(col, pattern, replacement.replace("\\", "\\\\").replace("$", "\\$"))
