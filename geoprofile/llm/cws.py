@@ -138,11 +138,13 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         F.struct(F.concat(F.substr("text", F.col("both") + 1, F.col("cut") - F.col("both")), F.col("head")).alias("t"),
                  F.lit(0).alias("own"), F.lit(1).alias("edited"))))
     lower = F.translate(F.col("s.t"), "ABCDEFGHIJKLMNOPQRSTUVWXYZ\t\n\x0b\x0c\r", "abcdefghijklmnopqrstuvwxyz     ")
-    words = (both.select("range", "pos", segment.alias("s"))
-             .select("range", "pos", "s.own", "s.edited", F.explode(F.split(lower, " ")).alias("word"))
+    # with the id among the keys both branches need the same columns, so the texts' exchange is made once
+    keys = ["range", "pos", "doc_id"]
+    words = (both.select(*keys, segment.alias("s"))
+             .select(*keys, "s.own", "s.edited", F.explode(F.split(lower, " ")).alias("word"))
              .filter("word <> ''")
-             .groupBy("range", "pos", F.xxhash64("word").alias("term")).agg(F.sum("own").alias("own"), F.sum("edited").alias("edited")))
-    found = samples(words, ["range", "pos"], ["own", "edited"])
+             .groupBy(*keys, F.xxhash64("word").alias("term")).agg(F.sum("own").alias("own"), F.sum("edited").alias("edited")))
+    found = samples(words, keys, ["own", "edited"])
     done = shared_checkpoint(whole.join(found.select("range", "pos", "own", "edited"), ["range", "pos"], "left")
                              .select("g", "doc_id", "n_chars", "edited_sha256", F.col("own"), F.col("edited")))
     own = F.when(F.col("own")[0].isNotNull(), F.col("own"))
