@@ -20,8 +20,8 @@ hash.  There the filters and the verification run on matrices, so neither a
 group nor its pairs stand in one place as rows; each task returns only the links that
 join its documents (a spanning forest), which keeps every component.
 
-Texts are picked for that by a bitmap of fixed size (BITS) over the wanted rows,
-so that only these and some chance hits are shuffled; an exact join follows.
+Texts are picked for that by a bitmap of fixed size (``picking.py``), so that only
+the wanted and some chance hits are shuffled; an exact join follows.
 
 Edge cases: texts without words have empty sets, and are linked with nothing,
 not even each other; one or two words are one shingle.  Null ids are never the smallest,
@@ -39,6 +39,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from .common import Numbers, byte_batches, shared_checkpoint, table, texts, written
 from .components import components
+from .picking import SALTS, mix, picked, text_hashes
 
 RUN_BYTES = 8 << 20
 HOT_SHARE = 1 / 500_000
@@ -46,15 +47,7 @@ HOT_LEAST = 32
 COUNT_TOKENS = 8 << 20
 SMALL = 32
 BLOCK = 512
-BITS = 1 << 24
 CELLS = 4 << 20
-SALTS = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xD6E8FEB86659FD93))
-
-
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
 
 
 def shingle_sets(data: list[bytes]) -> list[np.ndarray]:
@@ -70,13 +63,13 @@ def shingle_sets(data: list[bytes]) -> list[np.ndarray]:
     word = np.fromiter(map(xxhash.xxh3_64_intdigest, number), np.uint64, len(number))[np.array(flat)]
     after = np.append(word[1:], np.uint64(0)), np.append(word[2:], np.zeros(min(2, len(word)), np.uint64))
     with np.errstate(over="ignore"):
-        three = _mix(word * SALTS[0] + _mix(after[0] + SALTS[1]) * SALTS[1] + _mix(after[1] + SALTS[2]) * SALTS[2])
+        three = mix(word * SALTS[0] + mix(after[0] + SALTS[1]) * SALTS[1] + mix(after[1] + SALTS[2]) * SALTS[2])
         out, start = [], 0
         for end in ends:
             if end - start >= 3:
                 out.append(np.unique(three[start:end - 2]))
             elif end > start:  # the whole sequence as one shingle
-                out.append(_mix(word[start:start + 1] + (_mix(word[start + 1:end]) if end - start == 2 else np.uint64(1))))
+                out.append(mix(word[start:start + 1] + (mix(word[start + 1:end]) if end - start == 2 else np.uint64(1))))
             else:
                 out.append(np.zeros(0, np.uint64))
             start = end
@@ -102,7 +95,7 @@ class Orders:
             return tokens
         size = n - (9 * n + 9) // 10 + 1
         with np.errstate(over="ignore"):
-            key = _mix(tokens ^ SALTS[order])
+            key = mix(tokens ^ SALTS[order])
         place = np.zeros(n, np.int64)
         if len(self.common):
             at = np.searchsorted(self.common, tokens)
@@ -173,7 +166,7 @@ def _classes(batches):
     for ids, data in byte_batches(batches, RUN_BYTES):
         sets = shingle_sets(data)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(ids, pa.int64()), pa.array([np.uint64(xxhash.xxh3_64_intdigest(t)).astype(np.int64) for t in data], pa.int64()),
+            [pa.array(ids, pa.int64()), pa.array(text_hashes(data)),
              pa.array([len(s) for s in sets], pa.int64()), pa.array([class_id(s) if len(s) else None for s in sets], pa.int64())],
             ["doc_id", "text_hash", "n_shingles", "class"])
 
@@ -288,39 +281,6 @@ def candidates(source: DataFrame, sent) -> DataFrame:
     return pairs.unionByName(blocks)
 
 
-def _row_bit(doc_id: np.ndarray, text_hash: np.ndarray) -> np.ndarray:
-    with np.errstate(over="ignore"):
-        return (_mix(doc_id.view(np.uint64) * SALTS[0] + text_hash.view(np.uint64)) >> np.uint64(8)).view(np.int64) % BITS
-
-
-def _bits(rows: DataFrame) -> np.ndarray:
-    """Bitmap of BITS bits over rows (doc_id, text_hash), built from at most BITS / 32768 aggregated rows."""
-    def bit(batches):
-        for batch in batches:
-            ids, hashes = (batch.column(c).fill_null(0).to_numpy() for c in ("doc_id", "text_hash"))
-            yield pa.RecordBatch.from_arrays([pa.array(_row_bit(ids, hashes) + 1)], ["bit"])
-
-    found = (rows.select("doc_id", "text_hash").mapInArrow(bit, "bit long")
-             .groupBy(F.bitmap_bucket_number("bit").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits")).collect())
-    out = np.zeros(BITS // 8, np.uint8)
-    for r in found:
-        part = np.frombuffer(bytes(r.bits), np.uint8)
-        out[(r.bucket - 1) * 4096:(r.bucket - 1) * 4096 + len(part)] = part
-    return out
-
-
-def _picked(bits):
-    def run(batches):
-        for ids, data in byte_batches(batches, RUN_BYTES):
-            known = pa.array(ids, pa.int64())
-            hashes = np.array([np.uint64(xxhash.xxh3_64_intdigest(t)).astype(np.int64) for t in data])
-            at = _row_bit(known.fill_null(0).to_numpy(), hashes)
-            keep = pa.array((bits.value[at // 8] >> (at % 8).astype(np.uint8)) & 1 == 1)
-            yield pa.RecordBatch.from_arrays([known.filter(keep), pa.array(hashes).filter(keep), pa.array(data, pa.binary()).cast(pa.string()).filter(keep)],
-                                             ["doc_id", "text_hash", "text"])
-    return run
-
-
 def links(source: DataFrame, classes: DataFrame) -> DataFrame:
     """u, v: links between classes that join every component."""
     context = source.sparkSession.sparkContext
@@ -330,9 +290,8 @@ def links(source: DataFrame, classes: DataFrame) -> DataFrame:
                                  .select(F.col("component").alias("cluster"), F.col("node").alias("class"), "members"))
     first = classes.filter("class is not null").groupBy("class").agg(F.min(F.struct("doc_id", "text_hash")).alias("r"))
     chosen = shared_checkpoint(clusters.join(first, "class").select("cluster", "class", "members", F.col("r.doc_id").alias("doc_id"), F.col("r.text_hash").alias("text_hash")))
-    bits = context.broadcast(_bits(chosen))  # BITS bits
-    picked = source.mapInArrow(_picked(bits), "doc_id long, text_hash long, text string")
-    held = (picked.join(chosen, picked["doc_id"].eqNullSafe(chosen["doc_id"]) & (picked["text_hash"] == chosen["text_hash"]))
+    near = picked(source, chosen)
+    held = (near.join(chosen, near["doc_id"].eqNullSafe(chosen["doc_id"]) & (near["text_hash"] == chosen["text_hash"]))
             .select("cluster", "class", "members", "text"))
 
     def verified(columns: dict) -> list[tuple[int, int]]:
@@ -377,7 +336,7 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     def mark(batches):
         for batch in batches:
             data = batch.column(text_col).cast(pa.binary()).to_pylist()
-            h = pa.array([np.uint64(xxhash.xxh3_64_intdigest(t or b"")).astype(np.int64) for t in data], pa.int64())
+            h = pa.array(text_hashes([t or b"" for t in data]))
             yield pa.RecordBatch.from_arrays([*batch.columns, h], [*batch.schema.names, "__text_hash__"])
 
     marked = docs.mapInArrow(mark, StructType([*docs.schema.fields, StructField("__text_hash__", LongType())]))

@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
 from .common import byte_batches, shared_checkpoint, table, texts, written
+from .picking import picked, text_hashes
 from .suffix_array import repeated_windows
 
 LENGTH = 400
@@ -98,7 +99,7 @@ def _facts(batches):
     for ids, data in byte_batches(batches, 16 << 20):
         yield pa.RecordBatch.from_arrays(
             [pa.array(ids, pa.int64()), pa.array(map(text_id, data), pa.binary()), pa.array(map(len, data), pa.int64()),
-             pa.array([hashlib.sha256(t).hexdigest() for t in data])], ["doc_id", "tid", "n_bytes", "sha256"])
+             pa.array([hashlib.sha256(t).hexdigest() for t in data]), pa.array(text_hashes(data))], ["doc_id", "tid", "n_bytes", "sha256", "text_hash"])
 
 
 def _anchor_rows(length: int, gram: int):
@@ -229,9 +230,11 @@ def stripped_texts(source: DataFrame, facts: DataFrame, length: int, gram: int,
     rows = source.mapInArrow(_anchor_rows(length, gram), "anchor long, tid binary, place long").distinct()
     twice = rows.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor")
     hits = rows.join(twice, "anchor").groupBy("tid").agg(F.collect_set("place").alias("places"))
-    carrier = facts.groupBy("tid").agg(F.min("doc_id").alias("carrier"))
-    wanted = hits.join(carrier, "tid")
-    held = written(source.join(wanted, source["doc_id"].eqNullSafe(wanted["carrier"])).select("tid", "places", "text")
+    carrier = facts.groupBy("tid").agg(F.min(F.struct("doc_id", "text_hash")).alias("r")).select("tid", "r.doc_id", "r.text_hash")
+    wanted = shared_checkpoint(hits.join(carrier, "tid"))
+    near = picked(source, wanted)
+    held = written(near.join(wanted, near["doc_id"].eqNullSafe(wanted["doc_id"]) & (near["text_hash"] == wanted["text_hash"]))
+                   .select("tid", "places", "text")
                     .mapInArrow(_one_text, "tid binary, places array<long>, text binary"))
 
     bodies = (held.mapInArrow(_contexts(length, gram, True), "anchor long, cid binary, body binary, copies long")
@@ -259,7 +262,7 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
             with_text: bool = False) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row; with_text: also tid and kept (binary, NULL where nothing is removed)."""
     source = texts(docs, id_col, text_col)
-    facts = shared_checkpoint(source.mapInArrow(_facts, "doc_id long, tid binary, n_bytes long, sha256 string"))
+    facts = shared_checkpoint(source.mapInArrow(_facts, "doc_id long, tid binary, n_bytes long, sha256 string, text_hash long"))
     copied = facts.filter(F.col("n_bytes") >= length).groupBy("tid").agg(F.count("*").alias("copies")).filter("copies > 1").select("tid")
     found = stripped_texts(source, facts, length, gram, shard)
     if not with_text:
