@@ -71,13 +71,13 @@ def _part_mapping(labels: DataFrame, t: Topic, year: Sequence[str]) -> DataFrame
     def members(spec, col, name):
         frame, positional = spec_frame(labels.sparkSession, spec)
         if positional:
-            pos = category_positions(own, col, "variable", by=year).withColumnRenamed("position", "member")
+            pos = category_positions(own, col, "variable", by=["tbl", *year]).withColumnRenamed("position", "member")
             frame = pos.join(frame, "member").drop("member")
         else:
             frame = frame.withColumnRenamed("member", col)
         return frame.withColumnsRenamed({"grp": name, "grp_ord": f"{name}_ord"})
 
-    keys = [*year] if any(isinstance(m, int) for v in t.spec.values() for m in ([v] if isinstance(v, (int, str)) else v)) else []
+    keys = ["tbl", *year] if any(isinstance(m, int) for v in t.spec.values() for m in ([v] if isinstance(v, (int, str)) else v)) else []
     out = own.join(members(t.spec, t.group_col, "_g"), [*keys, t.group_col])
     group, order, denom = F.col("_g"), F.col("_g_ord"), F.lit(t.denom).cast("string")
     if t.stage1:

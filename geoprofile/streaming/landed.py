@@ -25,7 +25,12 @@ from ..sources.metadata import ESTIMATES_SCHEMA
 def profile_landed(spark: SparkSession, landed_dir: str, out_dir: str, checkpoint: str,
                    transform: Callable[[DataFrame], DataFrame], schema: str = ESTIMATES_SCHEMA,
                    fmt: str = "parquet", max_files_per_trigger: int | None = None):
-    """Start (and return) the stream; call ``.awaitTermination()`` to wait."""
+    """Start (and return) the stream; call ``.awaitTermination()`` to wait.
+
+    ``max_files_per_trigger`` can put the files of one table in two batches, and
+    ``transform`` then sees (and shares out) each part alone: set it only when a file is a
+    complete table, as it is by the landing convention above.
+    """
     reader = spark.readStream.schema(schema).format(fmt)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)

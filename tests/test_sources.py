@@ -74,3 +74,13 @@ def test_variables_json_and_geocodes(spark):
 def test_json_map_column(spark):
     df = spark.createDataFrame([(1, '{"k": 69, "j": 1}'), (2, None)], "id long, props string")
     assert rows(explode_json_map(df, "props", "int", keep=["id"])) == [(1, "j", 1), (1, "k", 69)]
+
+
+def test_landed_estimates_and_dynamic_path(spark, tmp_path):
+    from geoprofile.sources.metadata import read_landed_estimates
+    from geoprofile.sources.snapshot import path_for
+    path = path_for(str(tmp_path / "landed_{year}.csv"), year=2019)
+    with open(path, "w") as f:
+        f.write("variable,estimate,moe,tbl,level,name,geoid,year\nB01_001,10,NA,total_pop,4_towns,Here,09,2019\n")
+    (row,) = read_landed_estimates(spark, path).collect()
+    assert (row.tbl, row.variable, row.estimate, row.moe, row.year, row.geoid) == ("total_pop", "B01_001", 10.0, None, 2019, "09")
