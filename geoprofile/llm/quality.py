@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_batches, table, texts
+from .common import byte_batches, table, texts, written
 from .linear import Rows, feature, fit, sigmoid
 
 MAX_ROWS = 12_000
@@ -46,6 +46,10 @@ _MARKED = re.compile(r"[^\w\s]{2,}$")
 
 def word_facts(word: str) -> tuple[str, int, int, bool, bool]:
     """Shape, letters, capitals, whether it ends in marks, whether it is marks alone."""
+    bare, end = (word, "") if word[-1].isalpha() else (word[:-1], word[-1])
+    if bare.isalpha() and not end.isalnum() and (bare.islower() or bare[0].isupper() and (len(bare) == 1 or bare[1:].islower())):
+        high = not bare.islower()  # most words: letters, of which the first may be a capital, and a mark perhaps
+        return ("A" if high else "") + ("a" if len(bare) > high else "") + end, len(bare), int(high), False, False
     letters = len(_LETTERS.findall(word))
     shape = _SHAPE.sub(r"\1", "".join("A" if c.isupper() else "a" if c.isalpha() else "9" if c.isdigit() else c for c in word[:64]))
     return shape[:12], letters, sum(c.isupper() for c in word), bool(_MARKED.search(word)), not any(c.isalnum() for c in word)
@@ -128,34 +132,29 @@ def estimate(patterns: dict[str, int], rounds: int = EM_ROUNDS) -> tuple[float,
     return good, accuracy, dict(zip(keys, post.tolist()))
 
 
-def _votes(batches):
+def _measured(batches):
     memo: dict = {}
     for ids, data in byte_batches(batches, RUN_BYTES):
-        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([vote(measures(t.decode(), memo)[0]) for t in data])], ["doc_id", "votes"])
-
-
-def _features(batches):
-    memo: dict = {}
-    for ids, data in byte_batches(batches, RUN_BYTES):
-        all_votes, own = [], []
+        votes, own = [], []
         for text in data:
             m, shapes = measures(text.decode(), memo)
-            all_votes.append(vote(m))
-            own.append([feature(x) for x in features(m, shapes)])
-        yield pa.RecordBatch.from_arrays([pa.array(all_votes), pa.array(own, pa.list_(pa.int64()))], ["votes", "features"])
+            votes.append(vote(m))
+            own.append(sorted({feature(x) for x in features(m, shapes)}))
+        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(votes), pa.array(own, pa.list_(pa.int64()))], ["doc_id", "votes", "features"])
 
 
 def classify(docs: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
-    """doc_id, votes, posterior, score, predicted of every row; score is the scorer's probability of good text."""
-    source = texts(docs)
-    counts = source.mapInArrow(_votes, "doc_id long, votes string").groupBy("votes").count()
-    _, _, posterior = estimate({r.votes: r["count"] for r in counts.collect()})  # at most 3^9 patterns
-    prior = posterior.get("0" * len(HEURISTICS), 0.5)
-    ids = source.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows).distinct()
-    ids = docs.sparkSession.createDataFrame(ids.collect(), "doc_id long")
-    sample = (source.join(F.broadcast(ids), source["doc_id"].eqNullSafe(ids["doc_id"]), "left_semi")  # at most max_rows ids
-              .mapInArrow(_features, "votes string, features array<long>").toArrow())
-    rows = [np.unique(np.asarray(x, np.int64)) for x in sample.column("features").to_pylist()]
+    """doc_id, votes, posterior, score, predicted of every row; score is the scorer's probability of good text.
+
+    The texts are read once; their votes and features (some 60 numbers a text) are
+    written to the shared folder, and all else is made from that table.
+    """
+    measured = written(texts(docs).mapInArrow(_measured, "doc_id long, votes string, features array<long>"))
+    counts = measured.groupBy("votes").count().collect()  # at most 3^9 patterns
+    _, _, posterior = estimate({r.votes: r["count"] for r in counts})
+    sample = (measured.orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("features")).limit(max_rows)
+              .select("votes", "features").toArrow())
+    rows = [np.asarray(x, np.int64) for x in sample.column("features").to_pylist()]
     target = np.array([posterior[v] for v in sample.column("votes").to_pylist()], float)
     vocabulary = np.unique(np.concatenate(rows)) if rows else np.zeros(0, np.int64)
     w, bias = fit(Rows(rows, vocabulary), target, 1e-4)
@@ -163,19 +162,13 @@ def classify(docs: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
 
     def run(batches):
         weights, bias, posterior = sent.value
-        memo: dict = {}
-        for ids, data in byte_batches(batches, RUN_BYTES):
-            all_votes, post, score = [], [], []
-            for text in data:
-                m, shapes = measures(text.decode(), memo)
-                v = vote(m)
-                all_votes.append(v)
-                post.append(posterior.get(v, prior))
-                score.append(bias + sum(weights.get(h, 0.0) for h in sorted({feature(x) for x in features(m, shapes)})))
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(all_votes), pa.array(post, pa.float64()), pa.array(sigmoid(score))],
+        for batch in batches:
+            post = [posterior[v] for v in batch.column("votes").to_pylist()]
+            score = [bias + sum(weights.get(h, 0.0) for h in own) for own in batch.column("features").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("votes"), pa.array(post, pa.float64()), pa.array(sigmoid(score))],
                                              ["doc_id", "votes", "posterior", "score"])
 
-    return (source.mapInArrow(run, "doc_id long, votes string, posterior double, score double")
+    return (measured.mapInArrow(run, "doc_id long, votes string, posterior double, score double")
             .withColumn("predicted", F.when(F.col("score") >= 0.5, 1).otherwise(0)))
 
 
