@@ -130,9 +130,13 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                               "doc_id long, recipe array<long>, bodies array<binary>, text_sha256 string")
             .groupBy("recipe", "bodies", "doc_id", "text_sha256").agg(F.count("*").alias("copies")))
     rows = shared_checkpoint(rows)
-    groups = rows.groupBy("recipe", "bodies").agg(F.max("doc_id").alias("keep_id"), F.sum("copies").alias("group_size"))
-    return (rows.join(groups, ["recipe", "bodies"])
-            .select("doc_id", "keep_id", "group_size", "text_sha256", F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias("copy"))
+    # groups of more than one row as a table of their own: the join then shuffles both sides, and adaptive
+    # execution can split the rows of a large group
+    groups = shared_checkpoint(rows.groupBy("recipe", "bodies").agg(F.max("doc_id").alias("keep_id"), F.sum("copies").alias("group_size"))
+                               .filter("group_size > 1"))
+    return (rows.join(groups, ["recipe", "bodies"], "left")
+            .select("doc_id", F.when(F.col("group_size").isNull(), F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"),
+                    F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"), "text_sha256", F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias("copy"))
             .select("doc_id", "keep_id", "group_size",
                     ((F.col("copy") == 1) & F.col("doc_id").eqNullSafe(F.col("keep_id"))).alias("kept"), "text_sha256"))
 
