@@ -25,7 +25,8 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import byte_batches, shared_checkpoint, table, texts
+from .common import byte_batches, shared_checkpoint, table, texts, written
+from .picking import parted, text_hashes
 
 MIN_CHUNK = 512
 MAX_CHUNK = 16384
@@ -111,12 +112,13 @@ def _recipes(bits: int, collided: frozenset):
                 extra.append([c for c, name in zip(chunks, names) if name in collided])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids, pa.int64()), pa.array(lists, pa.list_(pa.int64())), pa.array(extra, pa.list_(pa.binary())),
-                 pa.array([hashlib.sha256(t).hexdigest() for t in data])], ["doc_id", "recipe", "bodies", "text_sha256"])
+                 pa.array([hashlib.sha256(t).hexdigest() for t in data]), pa.array(text_hashes(data))],
+                ["doc_id", "recipe", "bodies", "text_sha256", "text_hash"])
     return run
 
 
-def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digest_bits: int = 64) -> DataFrame:
-    """One row per row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256.
+def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digest_bits: int = 64, with_hash: bool = False) -> DataFrame:
+    """One row per row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256 (and text_hash).
 
     The list of colliding digests is the only thing sent to the tasks; with n
     distinct chunks it has about n^2 / 2^65 entries (about 100 at 100 TB).
@@ -127,8 +129,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 .groupBy("digest", "length").count().filter("count > 1").select("digest", "length"))
     clash = frozenset((r.digest, r.length) for r in collided.collect())
     rows = (source.mapInArrow(_recipes(digest_bits, clash),
-                              "doc_id long, recipe array<long>, bodies array<binary>, text_sha256 string")
-            .groupBy("recipe", "bodies", "doc_id", "text_sha256").agg(F.count("*").alias("copies")))
+                              "doc_id long, recipe array<long>, bodies array<binary>, text_sha256 string, text_hash long")
+            .groupBy("recipe", "bodies", "doc_id", "text_sha256", "text_hash").agg(F.count("*").alias("copies")))
     rows = shared_checkpoint(rows)
     # groups of more than one row as a table of their own: the join then shuffles both sides, and adaptive
     # execution can split the rows of a large group
@@ -136,21 +138,23 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                                .filter("group_size > 1"))
     return (rows.join(groups, ["recipe", "bodies"], "left")
             .select("doc_id", F.when(F.col("group_size").isNull(), F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"),
-                    F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"), "text_sha256", F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias("copy"))
+                    F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"), "text_sha256", "text_hash", F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias("copy"))
             .select("doc_id", "keep_id", "group_size",
-                    ((F.col("copy") == 1) & F.col("doc_id").eqNullSafe(F.col("keep_id"))).alias("kept"), "text_sha256"))
+                    ((F.col("copy") == 1) & F.col("doc_id").eqNullSafe(F.col("keep_id"))).alias("kept"), "text_sha256", *(["text_hash"] if with_hash else [])))
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, all columns as they were."""
-    def key(doc_id, sha):
-        return F.concat_ws(":", F.coalesce(doc_id.cast("string"), F.lit("null")), sha)
-
-    kept = exact_dedup(docs, id_col, text_col).filter("kept").select(key(F.col("doc_id"), F.col("text_sha256")).alias("__key__"))
-    marked = docs.withColumn("__key__", key(F.col(id_col).cast("long"), F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256)))
-    one = Window.partitionBy("__key__").orderBy("__key__")  # repeated rows: the same id and text
-    return (marked.join(kept, "__key__", "left_semi")
-            .withColumn("__row__", F.row_number().over(one)).filter("__row__ = 1").select(*docs.columns))
+    found = exact_dedup(docs, id_col, text_col, with_hash=True)
+    shared = written(found.filter("group_size > 1").select("doc_id", "text_hash", "kept"))
+    untouched, near = parted(docs, shared, id_col, text_col)
+    known = shared.groupBy("doc_id", "text_hash").agg(F.max("kept").alias("kept")).toDF("__id__", "__hash__", "__kept__")
+    # repeated rows, the same id and text, are one; chance hits of the bitmap are left alone
+    one = Window.partitionBy(id_col, "__text_hash__", "__alone__").orderBy("__text_hash__")
+    return untouched.unionByName(
+        near.join(known, near[id_col].cast("long").eqNullSafe(known["__id__"]) & (near["__text_hash__"] == known["__hash__"]), "left")
+        .filter("__kept__ is null or __kept__").withColumn("__alone__", F.when(F.col("__kept__").isNull(), F.monotonically_increasing_id()))
+        .withColumn("__row__", F.row_number().over(one)).filter("__row__ = 1").select(*docs.columns))
 
 
 def op9_exact_dedup(spark, sf_dir: str) -> DataFrame:

@@ -35,11 +35,10 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
 
 from .common import Numbers, byte_batches, shared_checkpoint, table, texts, written
 from .components import components
-from .picking import SALTS, mix, picked, text_hashes
+from .picking import SALTS, mix, parted, picked, text_hashes
 
 RUN_BYTES = 8 << 20
 HOT_SHARE = 1 / 500_000
@@ -331,18 +330,12 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     Rows that repeat both the id and the text of the one that stays, stay with it (exact dedup goes before).
     """
-    dropped = near_groups(docs, id_col, text_col).filter("not kept").select("doc_id", "text_hash").distinct()
-
-    def mark(batches):
-        for batch in batches:
-            data = batch.column(text_col).cast(pa.binary()).to_pylist()
-            h = pa.array(text_hashes([t or b"" for t in data]))
-            yield pa.RecordBatch.from_arrays([*batch.columns, h], [*batch.schema.names, "__text_hash__"])
-
-    marked = docs.mapInArrow(mark, StructType([*docs.schema.fields, StructField("__text_hash__", LongType())]))
-    gone = dropped.toDF("__id__", "__hash__")
-    return (marked.join(gone, marked[id_col].cast("long").eqNullSafe(gone["__id__"]) & (marked["__text_hash__"] == gone["__hash__"]), "left_anti")
-            .select(*docs.columns))
+    gone = written(near_groups(docs, id_col, text_col).filter("not kept").select("doc_id", "text_hash").distinct())
+    untouched, near = parted(docs, gone, id_col, text_col)
+    known = gone.toDF("__id__", "__hash__")
+    return untouched.unionByName(
+        near.join(known, near[id_col].cast("long").eqNullSafe(known["__id__"]) & (near["__text_hash__"] == known["__hash__"]), "left_anti")
+        .select(*docs.columns))
 
 
 def op10_ngram_join(spark, sf_dir: str) -> DataFrame:

@@ -13,6 +13,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 
 from .common import byte_batches
 
@@ -68,3 +69,21 @@ def picked(source: DataFrame, wanted: DataFrame) -> DataFrame:
     """doc_id, text_hash, text of all rows of ``source`` (doc_id, text) that ``wanted`` (doc_id, text_hash, ..) has, and a few others."""
     bits = source.sparkSession.sparkContext.broadcast(bitmap(wanted))  # BITS bits
     return source.mapInArrow(_picking(bits), "doc_id long, text_hash long, text string")
+
+
+def parted(docs: DataFrame, wanted: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """The rows of ``docs`` that ``wanted`` (doc_id, text_hash, ..) certainly lacks, and the others with ``__text_hash__``.
+
+    Only the second part, the wanted rows and a few others, has to be joined.
+    """
+    bits = docs.sparkSession.sparkContext.broadcast(bitmap(wanted))  # BITS bits
+
+    def run(batches):
+        for batch in batches:
+            hashes = text_hashes([t or b"" for t in batch.column(text_col).cast(pa.binary()).to_pylist()])
+            at = row_bit(batch.column(id_col).cast(pa.int64()).fill_null(0).to_numpy(), hashes)
+            near = (bits.value[at // 8] >> (at % 8).astype(np.uint8)) & 1 == 1
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(hashes), pa.array(near)], [*batch.schema.names, "__text_hash__", "__near__"])
+
+    marked = docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("__text_hash__", LongType()), StructField("__near__", BooleanType())]))
+    return marked.filter("not __near__").select(*docs.columns), marked.filter("__near__").drop("__near__")
