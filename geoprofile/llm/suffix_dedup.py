@@ -30,10 +30,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, StructField, StructType
 
 from .common import byte_batches, shared_checkpoint, table, texts, written
-from .picking import picked, text_hashes
+from .picking import parted, picked, text_hashes
 from .suffix_array import repeated_windows
 
 LENGTH = 400
@@ -166,7 +165,10 @@ def as_runs(found: np.ndarray) -> list[int]:
 
 def _shard(length: int):
     def run(members: pa.Table) -> pa.Table:
-        found = repeated_windows(members.column("body").to_pylist(), length)
+        anchor = members.column("anchor").to_numpy()
+        _, of, n = np.unique(anchor, return_inverse=True, return_counts=True)
+        members = members.filter(pa.array(n[of] > 1))  # a context alone with its anchor has no partner
+        found = repeated_windows(members.column("body").to_pylist(), length) if members.num_rows else []
         return pa.table({"anchor": members.column("anchor"), "cid": members.column("cid"), "runs": pa.array([as_runs(f) for f in found], pa.list_(pa.int64()))})
     return run
 
@@ -227,7 +229,7 @@ def _strip(length: int):
 
 def stripped_texts(source: DataFrame, facts: DataFrame, length: int, gram: int, shard: int) -> DataFrame:
     """tid, n_removed, n_spans, kept_sha256, kept of every text that shares a window with another text, or has one twice."""
-    rows = source.mapInArrow(_anchor_rows(length, gram), "anchor long, tid binary, place long").distinct()
+    rows = written(source.mapInArrow(_anchor_rows(length, gram), "anchor long, tid binary, place long").distinct())
     twice = rows.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor")
     hits = rows.join(twice, "anchor").groupBy("tid").agg(F.collect_set("place").alias("places"))
     carrier = facts.groupBy("tid").agg(F.min(F.struct("doc_id", "text_hash")).alias("r")).select("tid", "r.doc_id", "r.text_hash")
@@ -240,8 +242,9 @@ def stripped_texts(source: DataFrame, facts: DataFrame, length: int, gram: int,
     bodies = (held.mapInArrow(_contexts(length, gram, True), "anchor long, cid binary, body binary, copies long")
               .groupBy("anchor", "cid", "body").agg(F.sum("copies").alias("copies")))
     bodies = written(bodies)
-    members = bodies.groupBy("anchor").agg(F.count("*").alias("members"))
-    searched = bodies.join(members.filter("members > 1"), "anchor").withColumn("parts", F.ceil(F.col("members") / shard).cast("int"))
+    # the few anchors with more than a shard's contexts, as a table whose size the planner knows
+    large = written(bodies.groupBy("anchor").agg(F.ceil(F.count("*") / shard).cast("int").alias("parts")).filter("parts > 1"))
+    searched = bodies.join(large, "anchor", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
     shards = max(1, -(-bodies.count() // shard))
     part = F.pmod(F.xxhash64("cid"), F.col("parts"))
     by_shard = (searched.select("anchor", "cid", "body", F.pmod(F.xxhash64("anchor", part), F.lit(shards)).alias("shard"))
@@ -260,7 +263,7 @@ def stripped_texts(source: DataFrame, facts: DataFrame, length: int, gram: int,
 
 def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM, shard: int = SHARD,
             with_text: bool = False) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row; with_text: also tid and kept (binary, NULL where nothing is removed)."""
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row; with_text: also text_hash and kept (binary, NULL where nothing is removed)."""
     source = texts(docs, id_col, text_col)
     facts = shared_checkpoint(source.mapInArrow(_facts, "doc_id long, tid binary, n_bytes long, sha256 string, text_hash long"))
     copied = facts.filter(F.col("n_bytes") >= length).groupBy("tid").agg(F.count("*").alias("copies")).filter("copies > 1").select("tid")
@@ -275,7 +278,7 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
         "doc_id", "n_bytes", F.when(F.col("whole"), F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0))).alias("n_removed"),
         F.when(F.col("whole"), 1).otherwise(F.coalesce("n_spans", F.lit(0))).cast("long").alias("n_spans"),
         F.when(F.col("whole"), F.lit(empty)).otherwise(F.coalesce("kept_sha256", "sha256")).alias("kept_sha256"),
-        *([F.col("tid"), F.when(F.col("whole"), F.lit(b"")).otherwise(F.col("kept")).alias("kept")] if with_text else []))
+        *([F.col("text_hash"), F.when(F.col("whole"), F.lit(b"")).otherwise(F.col("kept")).alias("kept")] if with_text else []))
     return out
 
 
@@ -284,13 +287,8 @@ def strip_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     Where bytes of a broken character are left at a cut, they go too.
     """
-    changed = (repeats(docs, id_col, text_col, length, with_text=True).filter("n_removed > 0")
-               .groupBy("tid").agg(F.first("kept").alias("kept")).select(F.col("tid").alias("__tid__"), F.col("kept").alias("__kept__")))
-
-    def mark(batches):
-        for batch in batches:
-            data = batch.column(text_col).cast(pa.binary()).to_pylist()
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([text_id(t or b"") for t in data], pa.binary())], [*batch.schema.names, "__own__"])
+    changed = written(repeats(docs, id_col, text_col, length, with_text=True).filter("n_removed > 0")
+                      .select("doc_id", "text_hash", "kept").dropDuplicates(["doc_id", "text_hash"]))
 
     def put(batches):
         for batch in batches:
@@ -302,9 +300,11 @@ def strip_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
             columns[i] = new
             yield pa.RecordBatch.from_arrays(columns, batch.schema.names[:-1])
 
-    marked = docs.mapInArrow(mark, StructType([*docs.schema.fields, StructField("__own__", BinaryType())]))
-    return (marked.join(changed, marked["__own__"] == changed["__tid__"], "left").select(*docs.columns, "__kept__")
-            .mapInArrow(put, docs.schema))
+    untouched, near = parted(docs, changed, id_col, text_col)
+    known = changed.toDF("__id__", "__hash__", "__kept__")
+    return untouched.unionByName(
+        near.join(known, near[id_col].cast("long").eqNullSafe(known["__id__"]) & (near["__text_hash__"] == known["__hash__"]), "left")
+        .select(*docs.columns, "__kept__").mapInArrow(put, docs.schema))
 
 
 def op1_suffix_dedup(spark, sf_dir: str) -> DataFrame:
