@@ -111,12 +111,15 @@ def _anchor_rows(length: int, gram: int):
                 if len(text) >= length and tid not in seen:
                     seen.add(tid)
                     h, place, _, _ = anchors(text, length, gram)
-                    own.append((h, tid, place))
+                    order = np.argsort(h, kind="stable")  # a text that repeats itself has an anchor at many places: one row
+                    first = np.flatnonzero(np.concatenate(([True], np.diff(h[order]) != 0)))
+                    own.append((h[order][first], tid, place[order], np.diff(np.append(first, len(h)))))
             if own:
-                n = [len(h) for h, _, _ in own]
+                n = [len(x[0]) for x in own]
+                ends = np.concatenate(([0], np.cumsum(np.concatenate([x[3] for x in own]))))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate([x[0] for x in own])), pa.array([x[1] for x in own], pa.binary()).take(pa.array(np.repeat(np.arange(len(own)), n))),
-                     pa.array(np.concatenate([x[2] for x in own]))], ["anchor", "tid", "place"])
+                     pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([x[2] for x in own])))], ["anchor", "tid", "places"])
     return run
 
 
@@ -229,9 +232,11 @@ def _strip(length: int):
 
 def stripped_texts(source: DataFrame, facts: DataFrame, length: int, gram: int, shard: int) -> DataFrame:
     """tid, n_removed, n_spans, kept_sha256, kept of every text that shares a window with another text, or has one twice."""
-    rows = written(source.mapInArrow(_anchor_rows(length, gram), "anchor long, tid binary, place long").distinct())
-    twice = rows.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor")
-    hits = rows.join(twice, "anchor").groupBy("tid").agg(F.collect_set("place").alias("places"))
+    rows = written(source.mapInArrow(_anchor_rows(length, gram), "anchor long, tid binary, places array<long>")
+                   .groupBy("anchor", "tid", "places").agg(F.size("places").alias("n")))
+    # as a table of its own, so that the join shuffles both sides and adaptive execution can split a common anchor's rows
+    twice = written(rows.groupBy("anchor").agg(F.sum("n").alias("n")).filter("n > 1").select("anchor"))
+    hits = rows.join(twice, "anchor").groupBy("tid").agg(F.flatten(F.collect_list("places")).alias("places"))
     carrier = facts.groupBy("tid").agg(F.min(F.struct("doc_id", "text_hash")).alias("r")).select("tid", "r.doc_id", "r.text_hash")
     wanted = shared_checkpoint(hits.join(carrier, "tid"))
     near = picked(source, wanted)
