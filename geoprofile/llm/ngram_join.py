@@ -45,7 +45,7 @@ HOT_SHARE = 1 / 500_000
 HOT_LEAST = 32
 COUNT_TOKENS = 8 << 20
 SMALL = 32
-BLOCK = 512
+BLOCK = 128
 CELLS = 4 << 20
 
 
