@@ -6,7 +6,7 @@ All stages but the last return the columns of ``documents``.
 
 1. toxicity          documents that the classifier rejects go,
 2. exact_dedup       of equal texts the row with the largest id stays,
-3. ngram_join        of near copies (3-word shingles, similarity 0.9, the operator's contract) the document with the smallest id stays,
+3. ngram_join        of near copies (NEAR_WORDS-word shingles, similarity NEAR_PERCENT/100; looser than op10's query) the document with the smallest id stays,
 4. suffix_dedup      strings of 400 bytes that stand elsewhere too are cut out of the texts;
                      n_chars follows, and a document stays even if nothing of it is left,
 5. packing           token windows; one row per piece of a document.
@@ -29,6 +29,8 @@ from geoprofile.llm.packing import pack, tokenizer_spec
 from geoprofile.llm.suffix_dedup import strip_repeats
 from geoprofile.llm.toxicity import drop_toxic
 
+NEAR_WORDS, NEAR_PERCENT = 5, 80
+
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return drop_toxic(docs, table(spark, sf_dir, "labels"))
@@ -39,7 +41,7 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return drop_near_copies(docs)
+    return drop_near_copies(docs, shingle=NEAR_WORDS, percent=NEAR_PERCENT)
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,8 +1,8 @@
 """N-gram Jaccard join with several global token orders (operator 10).
 
-A document's set holds the 64-bit hashes of its 3-word shingles.  Documents with equal sets form a class and go
-on as one.  If two sets of sizes s and t have a Jaccard similarity of 0.9 or more, they
-share a token among the first s - ceil(0.9 s) + 1 (and t - ceil(0.9 t) + 1)
+A document's set holds the 64-bit hashes of its shingles of ``shingle`` words (3 in the query).  Documents with equal
+sets form a class and go on as one.  If two sets of sizes s and t have a Jaccard similarity of q = ``percent``/100
+(0.9 in the query) or more, they share a token among the first s - ceil(q s) + 1 (and t - ceil(q t) + 1)
 tokens under *every* order of all tokens.  Three orders are used.  Tokens known to be common come last in all of them, the
 commonest at the end; the rest follow three unrelated hashes.  A pair is verified only
 if its prefixes meet under all three.
@@ -24,7 +24,7 @@ Texts are picked for that by a bitmap of fixed size (``picking.py``), so that on
 the wanted and some chance hits are shuffled; an exact join follows.
 
 Edge cases: texts without words have empty sets, and are linked with nothing,
-not even each other; one or two words are one shingle.  Null ids are never the smallest,
+not even each other; fewer words than a shingle has are one shingle.  Null ids are never the smallest,
 unless a group has no other (then its component_id is NULL).  Repeated rows are copies of each other.  No rows give no rows.
 """
 
@@ -40,6 +40,7 @@ from .common import Numbers, byte_batches, shared_checkpoint, table, texts, writ
 from .components import components
 from .picking import SALTS, mix, parted, picked, text_hashes
 
+SHINGLE, PERCENT = 3, 90
 RUN_BYTES = 8 << 20
 HOT_SHARE = 1 / 500_000
 HOT_LEAST = 32
@@ -49,7 +50,15 @@ BLOCK = 128
 CELLS = 4 << 20
 
 
-def shingle_sets(data: list[bytes]) -> list[np.ndarray]:
+def _folded(word: np.ndarray, n: int) -> np.ndarray:
+    """One hash for each run of n words, in their order."""
+    h = mix(word * SALTS[0])[:len(word) - n + 1] if n <= len(word) else np.zeros(0, np.uint64)
+    for k in range(1, n):
+        h = mix(h * SALTS[0] + mix(word[k:k + len(h)] + SALTS[1]) * SALTS[2])
+    return h
+
+
+def shingle_sets(data: list[bytes], shingle: int = SHINGLE) -> list[np.ndarray]:
     """The sorted distinct shingle hashes of each text."""
     number = Numbers()
     flat: list[int] = []
@@ -60,15 +69,14 @@ def shingle_sets(data: list[bytes]) -> list[np.ndarray]:
     if not flat:
         return [np.zeros(0, np.uint64)] * len(data)
     word = np.fromiter(map(xxhash.xxh3_64_intdigest, number), np.uint64, len(number))[np.array(flat)]
-    after = np.append(word[1:], np.uint64(0)), np.append(word[2:], np.zeros(min(2, len(word)), np.uint64))
     with np.errstate(over="ignore"):
-        three = mix(word * SALTS[0] + mix(after[0] + SALTS[1]) * SALTS[1] + mix(after[1] + SALTS[2]) * SALTS[2])
-        out, start = [], 0
+        whole, out, start = _folded(word, shingle), [], 0
         for end in ends:
-            if end - start >= 3:
-                out.append(np.unique(three[start:end - 2]))
-            elif end > start:  # the whole sequence as one shingle
-                out.append(mix(word[start:start + 1] + (mix(word[start + 1:end]) if end - start == 2 else np.uint64(1))))
+            n = end - start
+            if n >= shingle:
+                out.append(np.unique(whole[start:end - shingle + 1]))
+            elif n:  # the whole sequence as one shingle
+                out.append(_folded(word[start:end], n) + np.uint64(n))
             else:
                 out.append(np.zeros(0, np.uint64))
             start = end
@@ -88,11 +96,11 @@ class Orders:
         self.place = np.empty(len(by), np.int64)
         self.place[np.lexsort((self.common, counts[by]))] = np.arange(1, len(by) + 1)
 
-    def prefix(self, tokens: np.ndarray, order: int) -> np.ndarray:
+    def prefix(self, tokens: np.ndarray, order: int, percent: int = PERCENT) -> np.ndarray:
         n = len(tokens)
         if not n:
             return tokens
-        size = n - (9 * n + 9) // 10 + 1
+        size = n - (percent * n + 99) // 100 + 1
         with np.errstate(over="ignore"):
             key = mix(tokens ^ SALTS[order])
         place = np.zeros(n, np.int64)
@@ -103,8 +111,8 @@ class Orders:
         return tokens[np.lexsort((key, place))[:size]]
 
 
-def linked(a: np.ndarray, b: np.ndarray, shared: int) -> bool:
-    return 100 * shared >= 90 * (len(a) + len(b) - shared)
+def linked(a: np.ndarray, b: np.ndarray, shared: int, percent: int = PERCENT) -> bool:
+    return 100 * shared >= percent * (len(a) + len(b) - shared)
 
 
 class Forest:
@@ -142,13 +150,14 @@ def meetings(lists: list[np.ndarray], rows: np.ndarray, cols: np.ndarray) -> np.
     return out
 
 
-def block_links(ids: list[int], left: np.ndarray, size: np.ndarray, prefixes: list[list[np.ndarray]], sets: list[np.ndarray] | None) -> list[tuple[int, int]]:
+def block_links(ids: list[int], left: np.ndarray, size: np.ndarray, prefixes: list[list[np.ndarray]], sets: list[np.ndarray] | None,
+                percent: int = PERCENT) -> list[tuple[int, int]]:
     """A spanning forest of the links between the members marked ``left`` and the others (all members, if none is left).
 
     A pair passes the size filter and shares a token of every list of prefixes; with ``sets`` it is verified.
     """
     rows, cols = (np.flatnonzero(left), np.flatnonzero(~left)) if left.any() and not left.all() else (np.arange(len(ids)),) * 2
-    may = 10 * np.minimum(size[rows][:, None], size[cols]) >= 9 * np.maximum(size[rows][:, None], size[cols])
+    may = 100 * np.minimum(size[rows][:, None], size[cols]) >= percent * np.maximum(size[rows][:, None], size[cols])
     if rows is cols:
         may = np.triu(may, 1)
     for own in prefixes:
@@ -156,52 +165,55 @@ def block_links(ids: list[int], left: np.ndarray, size: np.ndarray, prefixes: li
             may &= meetings(own, rows, cols) > 0
     if sets is not None and may.any():
         shared = meetings(sets, rows, cols).astype(np.int64)
-        may &= 100 * shared >= 90 * (size[rows][:, None] + size[cols] - shared)
+        may &= 100 * shared >= percent * (size[rows][:, None] + size[cols] - shared)
     forest = Forest()
     return [(x, y) for x, y in ((ids[rows[a]], ids[cols[b]]) for a, b in zip(*np.nonzero(may))) if x != y and forest.join(x, y)]
 
 
-def _classes(batches):
-    for ids, data in byte_batches(batches, RUN_BYTES):
-        sets = shingle_sets(data)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(ids, pa.int64()), pa.array(text_hashes(data)),
-             pa.array([len(s) for s in sets], pa.int64()), pa.array([class_id(s) if len(s) else None for s in sets], pa.int64())],
-            ["doc_id", "text_hash", "n_shingles", "class"])
+def _classes(shingle: int):
+    def run(batches):
+        for ids, data in byte_batches(batches, RUN_BYTES):
+            sets = shingle_sets(data, shingle)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids, pa.int64()), pa.array(text_hashes(data)),
+                 pa.array([len(s) for s in sets], pa.int64()), pa.array([class_id(s) if len(s) else None for s in sets], pa.int64())],
+                ["doc_id", "text_hash", "n_shingles", "class"])
+    return run
 
 
-def _counts(batches):
+def _counts(shingle: int):
     """Tokens that stand in two documents of a run of COUNT_TOKENS at least."""
-    held, size = [], 0
-
-    def flush():
+    def flush(held):
         token, n = np.unique(np.concatenate(held), return_counts=True)
         return pa.RecordBatch.from_arrays([pa.array(token[n > 1].view(np.int64)), pa.array(n[n > 1])], ["token", "n"])
 
-    for _, data in byte_batches(batches, RUN_BYTES):
-        for s in shingle_sets(data):
-            held.append(s)
-            size += len(s)
-        if size > COUNT_TOKENS:
-            yield flush()
-            held, size = [], 0
-    if held:
-        yield flush()
+    def run(batches):
+        held, size = [], 0
+        for _, data in byte_batches(batches, RUN_BYTES):
+            for s in shingle_sets(data, shingle):
+                held.append(s)
+                size += len(s)
+            if size > COUNT_TOKENS:
+                yield flush(held)
+                held, size = [], 0
+        if held:
+            yield flush(held)
+    return run
 
 
-def common_tokens(source: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    counts = source.select("doc_id", "text").mapInArrow(_counts, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+def common_tokens(source: DataFrame, shingle: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
+    counts = source.select("doc_id", "text").mapInArrow(_counts(shingle), "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
     counts = written(counts.filter(F.col("n") >= HOT_LEAST))
     total = counts.agg(F.sum("n")).first()[0] or 0
     found = counts.filter(F.col("n") >= F.lit(total * HOT_SHARE)).toArrow()  # at most 1 / HOT_SHARE rows
     return found.column("token").to_numpy().view(np.uint64), found.column("n").to_numpy()
 
 
-def _prefixes(sent):
+def _prefixes(sent, shingle: int, percent: int):
     def run(batches):
         for _, data in byte_batches(batches, RUN_BYTES):
-            sets = [x for x in shingle_sets(data) if len(x)]
-            own = [[sent.value.prefix(x, k).view(np.int64) for x in sets] for k in range(3)]
+            sets = [x for x in shingle_sets(data, shingle) if len(x)]
+            own = [[sent.value.prefix(x, k, percent).view(np.int64) for x in sets] for k in range(3)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([class_id(x) for x in sets], pa.int64()), pa.array([len(x) for x in sets], pa.int32()), pa.array(own[0], pa.list_(pa.int64())),
                  *[pa.array([x.astype(np.int32) for x in own[k]], pa.list_(pa.int32())) for k in (1, 2)]], ["class", "size", "p0", "p1", "p2"])
@@ -239,9 +251,11 @@ def _marked(columns: dict) -> np.ndarray:
     return np.array(columns["left"]) if columns["a"][0] != columns["b"][0] else np.zeros(len(columns["left"]), bool)
 
 
-def _candidate_links(columns: dict) -> list[tuple[int, int]]:
-    prefixes = [[np.array(x, np.int64) for x in columns[c]] for c in ("p1", "p2")]
-    return block_links(columns["class"], _marked(columns), np.array(columns["size"]), prefixes, None)
+def _candidate_links(percent: int):
+    def links_of(columns: dict) -> list[tuple[int, int]]:
+        prefixes = [[np.array(x, np.int64) for x in columns[c]] for c in ("p1", "p2")]
+        return block_links(columns["class"], _marked(columns), np.array(columns["size"]), prefixes, None, percent)
+    return links_of
 
 
 def _dealt(members: DataFrame, key: str) -> DataFrame:
@@ -257,9 +271,9 @@ def _in_groups(rows: DataFrame, names: list[str], links_of) -> DataFrame:
     return rows.repartition(*names).sortWithinPartitions(*names).mapInArrow(_by_group(names, links_of), "u long, v long")
 
 
-def candidates(source: DataFrame, sent) -> DataFrame:
+def candidates(source: DataFrame, sent, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """u, v: pairs of classes that pass all filters, or for large groups links that join the same classes."""
-    signed = written(source.mapInArrow(_prefixes(sent), "class long, size int, p0 array<long>, p1 array<int>, p2 array<int>"))
+    signed = written(source.mapInArrow(_prefixes(sent, shingle, percent), "class long, size int, p0 array<long>, p1 array<int>, p2 array<int>"))
     rows = (signed.select(F.explode("p0").alias("token"), "class", "size").repartition("token")
             .groupBy("token", "class").agg(F.max("size").alias("size")))
     groups = rows.groupBy("token").agg(F.count("*").alias("members"), F.max("size").alias("top")).filter("members > 1 and top > 0")
@@ -268,7 +282,7 @@ def candidates(source: DataFrame, sent) -> DataFrame:
     small = met.filter(F.col("members") <= SMALL)
     x, y = small.alias("x"), small.alias("y")
     pairs = (x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.class") < F.col("y.class"))
-                    & (10 * F.least("x.size", "y.size") >= 9 * F.greatest("x.size", "y.size")))
+                    & (100 * F.least("x.size", "y.size").cast("long") >= percent * F.greatest("x.size", "y.size").cast("long")))
              .select(F.col("x.class").alias("u"), F.col("y.class").alias("v")).distinct())
     for p in ("p1", "p2"):
         own = signed.groupBy("class", p).agg(F.lit(1).alias("one")).drop("one")  # once for each class
@@ -276,15 +290,15 @@ def candidates(source: DataFrame, sent) -> DataFrame:
                  .filter(F.arrays_overlap("pu", "pv")).select("u", "v"))
     large = met.filter(F.col("members") > SMALL).select("token", "class", "members")
     own = signed.groupBy("class", "size", "p1", "p2").agg(F.lit(1).alias("one")).drop("one")
-    blocks = _in_groups(_dealt(large.join(own, "class"), "token"), ["token", "a", "b"], _candidate_links)
+    blocks = _in_groups(_dealt(large.join(own, "class"), "token"), ["token", "a", "b"], _candidate_links(percent))
     return pairs.unionByName(blocks)
 
 
-def links(source: DataFrame, classes: DataFrame) -> DataFrame:
+def links(source: DataFrame, classes: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """u, v: links between classes that join every component."""
     context = source.sparkSession.sparkContext
-    sent = context.broadcast(Orders(*common_tokens(source)))  # at most 1 / HOT_SHARE tokens
-    clusters = components(candidates(source, sent))
+    sent = context.broadcast(Orders(*common_tokens(source, shingle)))  # at most 1 / HOT_SHARE tokens
+    clusters = components(candidates(source, sent, shingle, percent))
     clusters = shared_checkpoint(clusters.join(clusters.groupBy("component").agg(F.count("*").alias("members")), "component")
                                  .select(F.col("component").alias("cluster"), F.col("node").alias("class"), "members"))
     first = classes.filter("class is not null").groupBy("class").agg(F.min(F.struct("doc_id", "text_hash")).alias("r"))
@@ -296,9 +310,9 @@ def links(source: DataFrame, classes: DataFrame) -> DataFrame:
     def verified(columns: dict) -> list[tuple[int, int]]:
         one = dict(zip(columns["class"], range(len(columns["class"]))))  # repeated rows once
         at = list(one.values())
-        sets = shingle_sets([columns["text"][i].encode() for i in at])
-        prefixes = [[sent.value.prefix(x, k) for x in sets] for k in range(3)]
-        return block_links(list(one), _marked(columns)[at], np.array([len(x) for x in sets]), prefixes, sets)
+        sets = shingle_sets([columns["text"][i].encode() for i in at], shingle)
+        prefixes = [[sent.value.prefix(x, k, percent) for x in sets] for k in range(3)]
+        return block_links(list(one), _marked(columns)[at], np.array([len(x) for x in sets]), prefixes, sets, percent)
 
     return _in_groups(_dealt(held, "cluster"), ["cluster", "a", "b"], verified)
 
@@ -307,11 +321,14 @@ def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], ["u", "v"])
 
 
-def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, text_hash, n_shingles, component_id, kept of every row; one text of each component has kept = true."""
+def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """doc_id, text_hash, n_shingles, component_id, kept of every row; one text of each component has kept = true.
+
+    Texts are linked whose sets of ``shingle``-word shingles have a Jaccard similarity of ``percent``/100 or more.
+    """
     source = texts(docs, id_col, text_col)
-    classes = shared_checkpoint(source.mapInArrow(_classes, "doc_id long, text_hash long, n_shingles long, class long"))
-    joined = components(links(source, classes))
+    classes = shared_checkpoint(source.mapInArrow(_classes(shingle), "doc_id long, text_hash long, n_shingles long, class long"))
+    joined = components(links(source, classes, shingle, percent))
     least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash"))
     members = (classes.filter("class is not null").groupBy("class").agg(least.alias("first"))
                .join(joined.withColumnRenamed("node", "class"), "class", "left")
@@ -325,12 +342,12 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
             .unionByName(alone))
 
 
-def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """One document of each component stays, that with the smallest id, all columns as they were.
 
     Rows that repeat both the id and the text of the one that stays, stay with it (exact dedup goes before).
     """
-    gone = written(near_groups(docs, id_col, text_col).filter("not kept").select("doc_id", "text_hash").distinct())
+    gone = written(near_groups(docs, id_col, text_col, shingle, percent).filter("not kept").select("doc_id", "text_hash").distinct())
     untouched, near = parted(docs, gone, id_col, text_col)
     known = gone.toDF("__id__", "__hash__")
     return untouched.unionByName(
