@@ -7,7 +7,9 @@ All stages but the last return the columns of ``documents``.
 1. toxicity          documents that the classifier rejects go,
 2. exact_dedup       of equal texts the row with the largest id stays,
 3. ngram_join        of near copies (NEAR_WORDS-word shingles, similarity NEAR_PERCENT/100; looser than op10's query) the document with the smallest id stays,
-4. suffix_dedup      strings of 400 bytes that stand elsewhere too are cut out of the texts;
+4. suffix_dedup      passages of over 50 words that stand elsewhere too are cut out of the texts, however few
+                     bytes they have (windows of 51 words); then, of what is left, strings of 400 bytes that
+                     stand elsewhere too, for texts with long words or without spaces;
                      n_chars follows, and a document stays even if nothing of it is left,
 5. packing           token windows; one row per piece of a document.
 
@@ -22,11 +24,11 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geoprofile.llm.common import shared_folder, table
+from geoprofile.llm.common import shared_folder, table, written
 from geoprofile.llm.exact_dedup import drop_copies
 from geoprofile.llm.ngram_join import drop_near_copies
 from geoprofile.llm.packing import pack, tokenizer_spec
-from geoprofile.llm.suffix_dedup import strip_repeats
+from geoprofile.llm.suffix_dedup import strip_passages, strip_repeats
 from geoprofile.llm.toxicity import drop_toxic
 
 NEAR_WORDS, NEAR_PERCENT = 5, 80
@@ -45,7 +47,7 @@ def ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    left = strip_repeats(docs)
+    left = strip_repeats(written(strip_passages(docs)))
     if "n_chars" in left.columns:
         left = left.withColumn("n_chars", F.length("text").cast(left.schema["n_chars"].dataType))
     return left

@@ -14,6 +14,9 @@ corpus is cut into shards by anchor, and only anchors that stand in two places m
    out by digest, and every sorted run is searched in the runs of the other shards,
 5. repeated windows return to their texts, whose covered bytes are removed.
 
+``strip_passages`` judges in words instead: each word of a text becomes a code of CODE characters (48 bits of its
+hash), and windows of ``words`` codes that begin with a word are searched in the same way.
+
 Texts with copies need no search: all their windows stand elsewhere.  They take part once, for the others.
 Texts are known by 128 bits of hash, contexts likewise, split windows by 64 bits within one anchor.
 
@@ -24,12 +27,16 @@ what is left of it); repeated rows are copies; no rows give no rows.
 
 from __future__ import annotations
 
+import base64
 import hashlib
+import re
+
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from .common import byte_batches, shared_checkpoint, table, texts, written
 from .picking import parted, picked, text_hashes
@@ -37,6 +44,8 @@ from .suffix_array import repeated_windows
 
 LENGTH = 400
 GRAM = 128
+WORDS = 51
+CODE = 8
 SHARD = 2048
 RUN_BYTES = 2 << 20
 PLACE_BITS = 24
@@ -207,31 +216,34 @@ def _merge(members: pa.Table) -> pa.Table:
     return pa.table({"anchor": members.column("anchor"), "cid": members.column("cid"), "runs": pa.array(out, pa.list_(pa.int64()))})
 
 
-def covered(n: int, found: list, length: int) -> np.ndarray:
-    """Which of n bytes lie in a repeated window; found: (starts of a context, runs of its repeated windows)."""
+def covered(n: int, found: list, length: int, unit: int = 1) -> np.ndarray:
+    """Which of n bytes lie in a repeated window that begins at a multiple of ``unit``; found: (starts of a context, runs of its repeated windows)."""
     edge = np.zeros(n + 1, np.int32)
     for starts, runs in found:
         starts, runs = np.asarray(starts, np.int64), np.asarray(runs, np.int64)
-        np.add.at(edge, (starts[:, None] + runs[0::2]).ravel(), 1)
-        np.add.at(edge, (starts[:, None] + (runs[1::2] - 1 + length)).ravel(), -1)
+        first = -(-(starts[:, None] + runs[0::2]).ravel() // unit) * unit
+        last = (starts[:, None] + runs[1::2] - 1).ravel() // unit * unit
+        np.add.at(edge, first[first <= last], 1)
+        np.add.at(edge, last[first <= last] + length, -1)
     return np.cumsum(edge[:-1]) > 0
 
 
-def _strip(length: int):
+def _strip(length: int, unit: int):
     def run(batches):
         for batch in batches:
             rows = []
             for tid, text, found in zip(*(batch.column(c).to_pylist() for c in ("tid", "text", "found"))):
-                gone = covered(len(text), [(f["starts"], f["runs"]) for f in found], length)
+                gone = covered(len(text), [(f["starts"], f["runs"]) for f in found], length, unit)
+                runs = as_runs(gone)
                 kept = np.frombuffer(text, np.uint8)[~gone].tobytes()
-                rows.append((tid, int(gone.sum()), len(as_runs(gone)) // 2, hashlib.sha256(kept).hexdigest(), kept))
-            kinds = (pa.binary(), pa.int64(), pa.int64(), pa.string(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(list(zip(*rows)) or [()] * 5, kinds)], ["tid", "n_removed", "n_spans", "kept_sha256", "kept"])
+                rows.append((tid, int(gone.sum()), len(runs) // 2, hashlib.sha256(kept).hexdigest(), runs))
+            kinds = (pa.binary(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(list(zip(*rows)) or [()] * 5, kinds)], ["tid", "n_removed", "n_spans", "kept_sha256", "gone"])
     return run
 
 
-def stripped_texts(source: DataFrame, facts: DataFrame, length: int, gram: int, shard: int) -> DataFrame:
-    """tid, n_removed, n_spans, kept_sha256, kept of every text that shares a window with another text, or has one twice."""
+def stripped_texts(source: DataFrame, facts: DataFrame, length: int, gram: int, shard: int, unit: int = 1) -> DataFrame:
+    """tid, n_removed, n_spans, kept_sha256, gone of every text that shares a window with another text, or has one twice."""
     rows = written(source.mapInArrow(_anchor_rows(length, gram), "anchor long, tid binary, places array<long>")
                    .groupBy("anchor", "tid", "places").agg(F.size("places").alias("n")))
     # as a table of its own, so that the join shuffles both sides and adaptive execution can split a common anchor's rows
@@ -263,18 +275,21 @@ def stripped_texts(source: DataFrame, facts: DataFrame, length: int, gram: int,
     places = held.mapInArrow(_contexts(length, gram, False), "anchor long, cid binary, tid binary, starts array<long>")
     per_text = (places.join(found, ["anchor", "cid"]).groupBy("tid").agg(F.collect_list(F.struct("starts", "runs")).alias("found")))
     return (held.select("tid", "text").join(per_text, "tid")
-            .mapInArrow(_strip(length), "tid binary, n_removed long, n_spans long, kept_sha256 string, kept binary"))
+            .mapInArrow(_strip(length, unit), "tid binary, n_removed long, n_spans long, kept_sha256 string, gone array<long>"))
 
 
 def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM, shard: int = SHARD,
-            with_text: bool = False) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row; with_text: also text_hash and kept (binary, NULL where nothing is removed)."""
+            with_runs: bool = False, unit: int = 1) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row.
+
+    with_runs: also text_hash and gone ([begin, end, ..] of the removed bytes, NULL where nothing is removed).
+    """
     source = texts(docs, id_col, text_col)
     facts = shared_checkpoint(source.mapInArrow(_facts, "doc_id long, tid binary, n_bytes long, sha256 string, text_hash long"))
     copied = facts.filter(F.col("n_bytes") >= length).groupBy("tid").agg(F.count("*").alias("copies")).filter("copies > 1").select("tid")
-    found = stripped_texts(source, facts, length, gram, shard)
-    if not with_text:
-        found = found.drop("kept")
+    found = stripped_texts(source, facts, length, gram, shard, unit)
+    if not with_runs:
+        found = found.drop("gone")
     # a text with copies goes as a whole, whatever the search has found for it
     whole = copied.select("tid", F.lit(True).alias("whole"))
     by_text = found.join(whole, "tid", "full")
@@ -283,33 +298,82 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
         "doc_id", "n_bytes", F.when(F.col("whole"), F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0))).alias("n_removed"),
         F.when(F.col("whole"), 1).otherwise(F.coalesce("n_spans", F.lit(0))).cast("long").alias("n_spans"),
         F.when(F.col("whole"), F.lit(empty)).otherwise(F.coalesce("kept_sha256", "sha256")).alias("kept_sha256"),
-        *([F.col("text_hash"), F.when(F.col("whole"), F.lit(b"")).otherwise(F.col("kept")).alias("kept")] if with_text else []))
+        *([F.col("text_hash"), F.when(F.col("whole"), F.array(F.lit(0).cast("long"), F.col("n_bytes"))).otherwise(F.col("gone")).alias("gone")] if with_runs else []))
     return out
 
 
-def strip_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH) -> DataFrame:
-    """``docs`` with the remaining text in ``text_col``, all other columns as they were; every row stays, also with an empty text.
-
-    Where bytes of a broken character are left at a cut, they go too.
-    """
-    changed = written(repeats(docs, id_col, text_col, length, with_text=True).filter("n_removed > 0")
-                      .select("doc_id", "text_hash", "kept").dropDuplicates(["doc_id", "text_hash"]))
-
+def _without(changed: DataFrame, docs: DataFrame, id_col: str, text_col: str, judged: str, cut) -> DataFrame:
+    """``docs`` with cut(text, gone) in ``text_col``; ``changed`` knows rows by their id and the hash of column ``judged``."""
     def put(batches):
         for batch in batches:
             i = batch.schema.get_field_index(text_col)
-            kept = batch.column(batch.num_columns - 1).to_pylist()
-            old = batch.column(i).to_pylist()
-            new = pa.array([t if k is None else k.decode("utf-8", "ignore") for t, k in zip(old, kept)], pa.string())
+            gone = batch.column(batch.num_columns - 1).to_pylist()
+            new = pa.array([t if g is None else cut(t, g) for t, g in zip(batch.column(i).to_pylist(), gone)], pa.string())
             columns = list(batch.columns)[:-1]
             columns[i] = new
             yield pa.RecordBatch.from_arrays(columns, batch.schema.names[:-1])
 
-    untouched, near = parted(docs, changed, id_col, text_col)
-    known = changed.toDF("__id__", "__hash__", "__kept__")
+    untouched, near = parted(docs, changed, id_col, judged)
+    known = changed.toDF("__id__", "__hash__", "__gone__")
     return untouched.unionByName(
         near.join(known, near[id_col].cast("long").eqNullSafe(known["__id__"]) & (near["__text_hash__"] == known["__hash__"]), "left")
-        .select(*docs.columns, "__kept__").mapInArrow(put, docs.schema))
+        .select(*docs.columns, "__gone__").mapInArrow(put, docs.schema))
+
+
+def cut_bytes(text: str, gone: list[int]) -> str:
+    data = text.encode()
+    edges = [0, *gone, len(data)]
+    return b"".join(data[a:b] for a, b in zip(edges[0::2], edges[1::2])).decode("utf-8", "ignore")
+
+
+def cut_words(text: str, gone: list[int]) -> str:
+    """``text`` without its words number gone[0] // CODE up to gone[1] // CODE, .., and what stands between these."""
+    at = [m.span() for m in re.finditer(r"\S+", text)]
+    edges = [0, *(x for a, b in zip(gone[0::2], gone[1::2]) for x in (at[a // CODE][0], at[b // CODE - 1][1])), len(text)]
+    return "".join(text[a:b] for a, b in zip(edges[0::2], edges[1::2]))
+
+
+def strip_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+    """``docs`` with the remaining text in ``text_col``, all other columns as they were; every row stays, also with an empty text.
+
+    Where bytes of a broken character are left at a cut, they go too.
+    """
+    changed = written(repeats(docs, id_col, text_col, length, gram, with_runs=True).filter("n_removed > 0")
+                      .select("doc_id", "text_hash", "gone").dropDuplicates(["doc_id", "text_hash"]))
+    return _without(changed, docs, id_col, text_col, text_col, cut_bytes)
+
+
+def word_codes(text: str, memo: dict) -> str:
+    out = []
+    for word in text.split():
+        code = memo.get(word)
+        if code is None:
+            if len(memo) >= 1 << 18:
+                memo.clear()
+            code = memo[word] = base64.b64encode(xxhash.xxh3_64_digest(word.encode())[:6]).decode()
+        out.append(code)
+    return "".join(out)
+
+
+def strip_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS) -> DataFrame:
+    """``docs`` without the words of all runs of ``words`` words that stand elsewhere too, in the same text or another one.
+
+    Words are what stands between white space, whose kind and length do not count; it is cut
+    inside such a run and stays around it.  All other columns and all rows stay.
+    """
+    def run(batches):
+        memo: dict = {}
+        for batch in batches:
+            codes = [word_codes(t or "", memo) for t in batch.column(text_col).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(codes, pa.string())], [*batch.schema.names, "__words__"])
+
+    def coded(rows):
+        return rows.mapInArrow(run, StructType([*rows.schema.fields, StructField("__words__", StringType())]))
+
+    length = words * CODE
+    found = repeats(coded(docs.select(id_col, text_col)), id_col, "__words__", length, max(8, min(GRAM, length // 3)), with_runs=True, unit=CODE)
+    changed = written(found.filter("n_removed > 0").select("doc_id", "text_hash", "gone").dropDuplicates(["doc_id", "text_hash"]))
+    return _without(changed, coded(docs), id_col, text_col, "__words__", cut_words).select(*docs.columns)
 
 
 def op1_suffix_dedup(spark, sf_dir: str) -> DataFrame:
