@@ -178,8 +178,22 @@ class Gru:
         g["table"][rows[first]] = np.add.reduceat(grads.reshape(-1, 3 * n)[order], first)
         return loss / total, g, h
 
-    def train(self, docs: list[np.ndarray], epochs: int = 3, width: int = 64, window: int = 32, rate: float = 4e-3) -> list[float]:
-        """Truncated backpropagation through time with Adam; returns the loss of each epoch."""
+    def weights(self) -> np.ndarray:
+        """All parameters end to end."""
+        return np.concatenate([x.ravel() for x in self.p.values()])
+
+    def set_weights(self, flat: np.ndarray) -> None:
+        at = 0
+        for k, x in self.p.items():
+            self.p[k] = np.array(flat[at:at + x.size], x.dtype).reshape(x.shape)
+            at += x.size
+
+    def train(self, docs: list[np.ndarray], epochs: int = 3, width: int = 64, window: int = 32, rate: float = 4e-3,
+              span: tuple[float, float] = (0.0, 1.0)) -> list[float]:
+        """Truncated backpropagation through time with Adam; returns the loss of each epoch.
+
+        The rate falls over a whole training, of which this call is the part from span[0] to span[1].
+        """
         docs = [d for d in docs if len(d)]
         if not docs:
             return []
@@ -198,7 +212,7 @@ class Gru:
                 seen, total, t = seen + used.sum(), total + loss * used.sum(), t + 1
                 norm = np.sqrt(sum(float((x * x).sum()) for x in g.values()))
                 scale = np.float32(min(1, 1 / max(norm, 1e-9)))
-                now = np.float32(rate * (1 - 0.9 * t / all_windows) * np.sqrt(1 - 0.99**t) / (1 - 0.9**t))
+                now = np.float32(rate * (1 - 0.9 * (span[0] + (span[1] - span[0]) * t / all_windows)) * np.sqrt(1 - 0.99**t) / (1 - 0.9**t))
                 for k, x in g.items():
                     x *= scale
                     m[k] += np.float32(0.1) * (x - m[k])

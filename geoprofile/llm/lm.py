@@ -18,9 +18,12 @@ the tasks (at most 1/HOT_SHARE words can have that share of all tokens); and
 a join of the remaining words with their counts, by word.  Since frequent words
 are no part of the join, no key of it can be hot.
 
-The network is fitted by truncated backpropagation on slices of at most
-``sample_docs`` training documents (a documented parameter, documents taken by the hash of their
-id); counts, vocabulary and base model cover all of them.
+The network learns from all training documents, each of them whole.  A pass over them is cut into
+rounds (ROUNDS at most) by a hash, and a round into parts of about PART_TOKENS tokens.  Each part
+goes on from the round's weights by truncated backpropagation in a task of its own, which holds at most
+RUN_TOKENS tokens or one document; then the parts' weights are averaged by their tokens, FAN of them at a
+time in tasks, so the driver gets at most FAN.  A corpus of under PASS_TOKENS tokens is passed up to PASSES times.
+The same rows give the same network, however they are partitioned.
 
 Edge cases: a null or empty text is the end token alone; a null id counts as held
 out; repeated rows are scored each; an empty table gives no rows; without training
@@ -37,11 +40,14 @@ from pyspark.sql import functions as F
 
 from .common import Numbers, byte_batches, table, texts, written
 from .gru import Gru
+from .picking import text_hashes
 
 CLASSES, CLASS_SIZE, HIDDEN = 32, 32, 16
 HOT_SHARE = 1 / 200_000
-SAMPLE_DOCS = 3000
-SLICE = 256
+ROUNDS, PART_TOKENS, RUN_TOKENS = 8, 1 << 20, 1 << 21
+PASSES, PASS_TOKENS = 4, 1 << 22
+LANES, STEP_TOKENS = 128, 4096
+FAN = 64
 RUN_BYTES = 24 << 20
 END = b" "  # no word holds white space
 LN10 = np.log(10)
@@ -111,30 +117,102 @@ def _sum_by_text(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.add.reduceat(values, np.cumsum(sizes) - sizes)
 
 
-def fit_network(docs: DataFrame, frequent: Frequent, sample_docs: int = SAMPLE_DOCS, epochs: int = 4) -> Gru:
-    """The network, trained on one slice of SLICE tokens at most of each sampled training document."""
-    source = texts(docs)
-    ids = (source.select("doc_id").filter(~held_out(F.col("doc_id"))).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_docs).distinct())
-    ids = docs.sparkSession.createDataFrame(ids.collect(), "doc_id long")
-    sent = docs.sparkSession.sparkContext.broadcast(frequent)
+def _train(sent, span: tuple[float, float]):
+    """Rows sorted by part -> part, n (its tokens) and the weights after them, as bytes."""
+    def learn(network: Gru, held: list[np.ndarray]) -> None:
+        width = min(LANES, max(1, sum(map(len, held)) // max(map(len, held))))  # few lanes for a long document: bounded memory
+        network.train(held, 1, width, max(1, STEP_TOKENS // width), span=span)
+
+    def row(part: int, n: int, network: Gru):
+        return pa.RecordBatch.from_arrays([pa.array([part], pa.int64()), pa.array([n], pa.int64()), pa.array([network.weights().tobytes()], pa.binary())], ["part", "n", "weights"])
+
+    def run(batches):
+        now, network, held, size, n = None, None, [], 0, 0
+        for batch in batches:
+            for part, tokens in zip(batch.column("part").to_pylist(), batch.column("tokens").to_pylist()):
+                tokens = np.frombuffer(tokens, np.int16).astype(np.int32)
+                if held and (part != now or size + len(tokens) > RUN_TOKENS):
+                    learn(network, held)
+                    held, size = [], 0
+                if part != now:
+                    if network:
+                        yield row(now, n, network)
+                    now, network, n = part, Gru(CLASSES, CLASS_SIZE, HIDDEN), 0
+                    network.set_weights(sent.value)
+                held.append(tokens)
+                size, n = size + len(tokens), n + len(tokens)
+        if held:
+            learn(network, held)
+            yield row(now, n, network)
+    return run
+
+
+def _mean(rows) -> tuple[int, np.ndarray | None]:
+    """Tokens and mean weights of (n, weights) rows."""
+    total, out = 0, None
+    for n, weights in rows:
+        own = np.frombuffer(weights, np.float32).astype(float) * n
+        out, total = own if out is None else out + own, total + n
+    return total, out if out is None else (out / total).astype(np.float32)
+
+
+def _averaged(batches):
+    """Rows sorted by part, which is now that of the next level -> one row for each."""
+    held, now = [], None
+    for batch in batches:
+        for part, n, weights in zip(*(batch.column(c).to_pylist() for c in ("part", "n", "weights"))):
+            if held and part != now:
+                total, mean = _mean(held)
+                yield pa.RecordBatch.from_arrays([pa.array([now], pa.int64()), pa.array([total], pa.int64()), pa.array([mean.tobytes()], pa.binary())], ["part", "n", "weights"])
+                held = []
+            now = part
+            held.append((n, weights))
+    if held:
+        total, mean = _mean(held)
+        yield pa.RecordBatch.from_arrays([pa.array([now], pa.int64()), pa.array([total], pa.int64()), pa.array([mean.tobytes()], pa.binary())], ["part", "n", "weights"])
+
+
+def fit_network(docs: DataFrame, frequent: Frequent) -> tuple[Gru, int]:
+    """The network, trained on all training documents, and the number of tokens it has learnt from, all passes together."""
+    context = docs.sparkSession.sparkContext
+    network = Gru(CLASSES, CLASS_SIZE, HIDDEN)
+    network.start_from(frequent.shares)
+    if not frequent.total:
+        return network, 0
+    passes = int(np.clip(-(-PASS_TOKENS // frequent.total), 1, PASSES))
+    rounds = int(np.clip(frequent.total // PART_TOKENS, 1, ROUNDS))
+    parts = int(-(-frequent.total // (rounds * PART_TOKENS)))
+    known = context.broadcast(frequent)
 
     def encode(batches):
-        for doc_ids, data in byte_batches(batches, RUN_BYTES):
+        for ids, data in byte_batches(batches, RUN_BYTES):
             hashes, flat, sizes = numbered(data)
-            token = sent.value.find(hashes)[1].astype(np.int32)[flat]
-            out, at = [], 0
-            for doc_id, text, n in zip(doc_ids, data, sizes.tolist()):
-                first = at + (xxhash.xxh3_64_intdigest(text) % (n - SLICE + 1) if n > SLICE else 0)
-                out.append(token[first:min(first + SLICE, at + n)])
-                at += n
-            yield pa.RecordBatch.from_arrays([pa.array(doc_ids, pa.int64()), pa.array([x.tolist() for x in out], pa.list_(pa.int32()))], ["doc_id", "tokens"])
-
-    rows = source.join(F.broadcast(ids), "doc_id", "left_semi").mapInArrow(encode, "doc_id long, tokens array<int>").collect()
-    rows.sort(key=lambda r: (r.doc_id, r.tokens))
-    network = Gru(CLASSES, CLASS_SIZE, HIDDEN)
-    network.start_from(frequent.shares)
-    network.train([np.array(r.tokens) for r in rows], epochs=epochs)
-    return network
+            token = known.value.find(hashes)[1].astype(np.int16)[flat]
+            ends = np.cumsum(sizes)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids, pa.int64()), pa.array(text_hashes(data)), pa.array([token[e - n:e].tobytes() for e, n in zip(ends, sizes)], pa.binary())],
+                ["doc_id", "text_hash", "tokens"])
+
+    slot = F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(rounds * parts))
+    rows = written(texts(docs).filter(~held_out(F.col("doc_id"))).mapInArrow(encode, "doc_id long, text_hash long, tokens binary")
+                   .withColumns({"round": F.floor(slot / parts).cast("int"), "part": F.pmod(slot, F.lit(parts))}))
+    schema, learnt = "part long, n long, weights binary", 0
+    for k in range(passes * rounds):
+        sent = context.broadcast(network.weights())
+        span = k / (passes * rounds), (k + 1) / (passes * rounds)
+        found = (rows.filter(F.col("round") == k % rounds).select("part", "doc_id", "text_hash", "tokens").repartition(parts, "part")
+                 .sortWithinPartitions("part", "doc_id", "text_hash").mapInArrow(_train(sent, span), schema))
+        left = parts
+        while left > FAN:
+            left = -(-left // FAN)
+            found = (found.withColumn("next", F.pmod("part", F.lit(left))).repartition(left, "next").sortWithinPartitions("next", "part")
+                     .select(F.col("next").alias("part"), "n", "weights").mapInArrow(_averaged, schema))
+        n, mean = _mean([(r.n, r.weights) for r in sorted(found.collect(), key=lambda r: r.part)])  # at most FAN rows
+        if mean is not None:
+            network.set_weights(mean)
+        learnt += n
+        sent.unpersist()
+    return network, learnt
 
 
 def score_documents(docs: DataFrame) -> DataFrame:
@@ -145,7 +223,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
     hot = F.col("c") >= F.lit(total * HOT_SHARE)
     found = counts.filter(hot).toArrow()  # at most 1 / HOT_SHARE words
     frequent = Frequent(found.column("word").to_numpy(), found.column("c").to_numpy(), total, distinct)
-    network = fit_network(docs, frequent)
+    network, _ = fit_network(docs, frequent)
     sent = spark.sparkContext.broadcast((frequent, network))  # bounded by 1 / HOT_SHARE and the network's size
     source = texts(docs)
 
