@@ -10,8 +10,9 @@ corpus is cut into shards by anchor, and only anchors that stand in two places m
 3. contexts are dealt to shards by anchor, about SHARD contexts each.  A shard's suffix array
    (Larsson-Sadakane) and common prefixes (Kasai) tell which windows stand twice,
 4. an anchor with more than SHARD different contexts is split over several
-   shards.  These are merged by binary search: their windows' digests are dealt
-   out by digest, and every sorted run is searched in the runs of the other shards,
+   shards.  Each of them gives every digest of its windows once, however many of its contexts
+   hold it; digests that two shards give are counted with partial sums, and joined back to the
+   windows that stand once in their own shard,
 5. repeated windows return to their texts, whose covered bytes are removed.
 
 ``strip_passages`` judges in words instead: each word of a text becomes a code of CODE characters (48 bits of its
@@ -176,46 +177,32 @@ def as_runs(found: np.ndarray) -> list[int]:
 
 
 def _shard(length: int):
+    """Repeated windows of a shard's contexts, as runs; for split anchors also what the other shards need.
+
+    lone and at: digests and offsets of a context's windows that stand once in the shard; known: each digest that
+    stands here more often, once for all contexts of the anchor.
+    """
     def run(members: pa.Table) -> pa.Table:
-        anchor = members.column("anchor").to_numpy()
+        anchor, bodies = members.column("anchor").to_numpy(), members.column("body").to_pylist()
+        found = [np.zeros(len(b) - length + 1, bool) for b in bodies]
         _, of, n = np.unique(anchor, return_inverse=True, return_counts=True)
-        members = members.filter(pa.array(n[of] > 1))  # a context alone with its anchor has no partner
-        found = repeated_windows(members.column("body").to_pylist(), length) if members.num_rows else []
-        return pa.table({"anchor": members.column("anchor"), "cid": members.column("cid"), "runs": pa.array([as_runs(f) for f in found], pa.list_(pa.int64()))})
+        several = np.flatnonzero(n[of] > 1).tolist()  # a context alone with its anchor has no partner
+        if several:
+            for i, f in zip(several, repeated_windows([bodies[i] for i in several], length)):
+                found[i] = f
+        lone, at, known = ([[] for _ in bodies] for _ in range(3))
+        twice: dict = {}
+        for i in np.flatnonzero(members.column("parts").to_numpy() > 1).tolist():
+            h = gram_hashes(np.frombuffer(bodies[i], np.uint8), length).view(np.int64)
+            lone[i], at[i] = h[~found[i]].tolist(), np.flatnonzero(~found[i]).tolist()
+            twice.setdefault(anchor[i], (i, []))[1].append(h[found[i]])
+        for i, own in twice.values():
+            known[i] = np.unique(np.concatenate(own)).tolist()
+        lists = [pa.array(x, pa.list_(pa.int64())) for x in ([as_runs(f) for f in found], lone, at, known)]
+        return pa.table([members.column("anchor"), members.column("cid"), *lists], ["anchor", "cid", "runs", "lone", "at", "known"])
     return run
 
 
-def _window_digests(length: int):
-    """Digests of a split anchor's windows, dealt out by digest: one sorted run for each context and part."""
-    def run(batches):
-        for batch in batches:
-            rows = []
-            for anchor, cid, body, parts in zip(*(batch.column(c).to_pylist() for c in ("anchor", "cid", "body", "parts"))):
-                h = gram_hashes(np.frombuffer(body, np.uint8), length)
-                order = np.argsort(h, kind="stable")
-                part = (h[order] >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)
-                ends = np.searchsorted(part, np.arange(parts + 1))
-                for p in range(parts):
-                    if ends[p] < ends[p + 1]:
-                        own = order[ends[p]:ends[p + 1]]
-                        rows.append((anchor, p, cid, h[own].view(np.int64).tolist(), own.tolist()))
-            kinds = (pa.int64(), pa.int32(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(list(zip(*rows)) or [()] * 5, kinds)], ["anchor", "part", "cid", "digests", "offsets"])
-    return run
-
-
-def _merge(members: pa.Table) -> pa.Table:
-    """Windows of one part that stand in two places, by binary search in the sorted digests of all shards."""
-    runs = [np.array(d, np.int64) for d in members.column("digests").to_pylist()]
-    merged = np.sort(np.concatenate(runs))
-    out = []
-    for own, offsets in zip(runs, members.column("offsets").to_pylist()):
-        twice = np.searchsorted(merged, own, "right") - np.searchsorted(merged, own, "left") > 1
-        at = np.sort(np.array(offsets)[twice])
-        out.append(np.stack((at, at + 1), 1).ravel().tolist())
-    return pa.table({"anchor": members.column("anchor"), "cid": members.column("cid"), "runs": pa.array(out, pa.list_(pa.int64()))})
-
-
 def covered(n: int, found: list, length: int, unit: int = 1) -> np.ndarray:
     """Which of n bytes lie in a repeated window that begins at a multiple of ``unit``; found: (starts of a context, runs of its repeated windows)."""
     edge = np.zeros(n + 1, np.int32)
@@ -264,11 +251,15 @@ def stripped_texts(source: DataFrame, facts: DataFrame, length: int, gram: int,
     searched = bodies.join(large, "anchor", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
     shards = max(1, -(-bodies.count() // shard))
     part = F.pmod(F.xxhash64("cid"), F.col("parts"))
-    by_shard = (searched.select("anchor", "cid", "body", F.pmod(F.xxhash64("anchor", part), F.lit(shards)).alias("shard"))
-                .groupBy("shard").applyInArrow(_shard(length), "anchor long, cid binary, runs array<long>"))
-    split = (searched.filter("parts > 1").select("anchor", "cid", "body", "parts")
-             .mapInArrow(_window_digests(length), "anchor long, part int, cid binary, digests array<long>, offsets array<long>")
-             .groupBy("anchor", "part").applyInArrow(_merge, "anchor long, cid binary, runs array<long>"))
+    by_shard = written(searched.select("anchor", "cid", "body", "parts", F.pmod(F.xxhash64("anchor", part), F.lit(shards)).alias("shard"))
+                       .groupBy("shard").applyInArrow(_shard(length), "anchor long, cid binary, runs array<long>, lone array<long>, at array<long>, known array<long>"))
+    shared = written(by_shard.select("anchor", F.explode(F.concat("lone", "known")).alias("digest"))
+                     .groupBy("anchor", "digest").agg(F.count("*").alias("shards")).filter("shards > 1").select("anchor", "digest"))
+    split = (by_shard.select("anchor", "cid", F.explode(F.arrays_zip("lone", "at")).alias("w"))
+             .select("anchor", "cid", F.col("w.lone").alias("digest"), F.col("w.at").alias("at")).join(shared, ["anchor", "digest"])
+             .groupBy("anchor", "cid").agg(F.sort_array(F.collect_list("at")).alias("at"))
+             .select("anchor", "cid", F.flatten(F.transform("at", lambda x: F.array(x, x + 1))).alias("runs")))
+    by_shard = by_shard.select("anchor", "cid", "runs")
     copied = bodies.filter("copies > 1").select("anchor", "cid", F.array(F.lit(0).cast("long"), (F.length("body") - length + 1).cast("long")).alias("runs"))
     found = by_shard.unionByName(split).unionByName(copied).filter(F.size("runs") > 0)
 
