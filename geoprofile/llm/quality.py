@@ -7,6 +7,10 @@ pattern's posterior labels the texts that show it, and those labels train a
 linear scorer on hashed features (word shapes, repetition and variety of the text in
 coarse steps), which scores every text, those on which all heuristics are silent too.
 
+Variety is the share of distinct words, in a text of BLOCK or more words the mean over all its blocks of BLOCK
+words, so that length does not count; the last block ends with the text and may overlap the one before it.
+All word shapes are features; of one with more than SHAPE signs the rest becomes one of SHAPE_RESTS numbers.
+
 The pattern counts cover all rows; there are at most 3^9 patterns, so they fit
 on the driver whatever the input.  The scorer is fitted on at most
 ``max_rows`` rows, taken by the hash of their id (a documented parameter).
@@ -18,6 +22,7 @@ the feature "empty"; no rows give no rows.
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -32,6 +37,8 @@ MAX_ROWS = 12_000
 RUN_BYTES = 16 << 20
 MEMO_WORDS = 300_000
 LEAST_WORDS = 20
+BLOCK = 400
+SHAPE, SHAPE_RESTS = 12, 64
 EM_ROUNDS = 200
 
 # Each heuristic's measure, with the bounds that vote bad and good.
@@ -51,8 +58,19 @@ def word_facts(word: str) -> tuple[str, int, int, bool, bool]:
         high = not bare.islower()  # most words: letters, of which the first may be a capital, and a mark perhaps
         return ("A" if high else "") + ("a" if len(bare) > high else "") + end, len(bare), int(high), False, False
     letters = len(_LETTERS.findall(word))
-    shape = _SHAPE.sub(r"\1", "".join("A" if c.isupper() else "a" if c.isalpha() else "9" if c.isdigit() else c for c in word[:64]))
-    return shape[:12], letters, sum(c.isupper() for c in word), bool(_MARKED.search(word)), not any(c.isalnum() for c in word)
+    shape = _SHAPE.sub(r"\1", "".join("A" if c.isupper() else "a" if c.isalpha() else "9" if c.isdigit() else c for c in word))
+    if len(shape) > SHAPE:
+        shape = f"{shape[:SHAPE]}~{zlib.crc32(shape[SHAPE:].encode()) % SHAPE_RESTS}"
+    return shape, letters, sum(c.isupper() for c in word), bool(_MARKED.search(word)), not any(c.isalnum() for c in word)
+
+
+def variety(words: list[str], distinct: int) -> float:
+    """Share of distinct words; from BLOCK words on the mean over all blocks."""
+    n = len(words)
+    if n <= BLOCK:
+        return distinct / n
+    starts = [*range(0, n - BLOCK, BLOCK), n - BLOCK]
+    return sum(len(set(words[i:i + BLOCK])) for i in starts) / (BLOCK * len(starts))
 
 
 def measures(text: str, memo: dict) -> tuple[dict[str, float], Counter]:
@@ -78,7 +96,7 @@ def measures(text: str, memo: dict) -> tuple[dict[str, float], Counter]:
     lines = [x for x in text.split("\n") if x.strip()]
     plain = sum(text.count(c) for c in ".,;:'\"-?")
     return {
-        "symbols": max(0, size - letters - plain) / size, "variety": len(counts) / n if n < 400 else len(set(words[:400])) / 400,
+        "symbols": max(0, size - letters - plain) / size, "variety": variety(words, len(counts)),
         "repeats": sum(a == b for a, b in zip(words, words[1:])) / n, "capitals": capitals / max(1, letters),
         "line_ends": sum(x.rstrip()[-1] in ".!?" for x in lines) / len(lines), "marked_words": marked / n,
         "top_word": max(counts.values()) / n, "word_length": size / n, "loose_symbols": loose / n,
@@ -102,7 +120,7 @@ def features(m: dict[str, float], shapes: Counter) -> list[str]:
     if not m:
         return ["empty"]
     total = sum(shapes.values())
-    out = [f"shape:{s}:{min(6, int(-np.log2(c / total)))}" for s, c in shapes.most_common(40)]
+    out = [f"shape:{s}:{min(6, int(-np.log2(c / total)))}" for s, c in shapes.items()]
     out += [f"{k}:{min(20, int(v * 20))}" for k, v in m.items() if k not in ("words", "word_length")]
     return out + [f"length:{int(np.log2(m['words']))}", f"word_length:{min(20, int(2 * m['word_length']))}"]
 
@@ -146,7 +164,7 @@ def _measured(batches):
 def classify(docs: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
     """doc_id, votes, posterior, score, predicted of every row; score is the scorer's probability of good text.
 
-    The texts are read once; their votes and features (some 60 numbers a text) are
+    The texts are read once; their votes and features (a number for each shape and measure) are
     written to the shared folder, and all else is made from that table.
     """
     measured = written(texts(docs).mapInArrow(_measured, "doc_id long, votes string, features array<long>"))
