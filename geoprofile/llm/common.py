@@ -14,7 +14,9 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -81,6 +83,18 @@ def byte_batches(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple
             yield ids[start:], data[start:]
 
 
+def sliced(batches: Iterator[pa.RecordBatch], most: int, column: str = "text") -> Iterator[pa.RecordBatch]:
+    """The same rows in slices of about ``most`` bytes of ``column``, one row at least; nothing is copied."""
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        start = 0
+        while start < len(ends):
+            before = ends[start - 1] if start else 0
+            end = max(start + 1, int(np.searchsorted(ends, before + most, "right")))
+            yield batch.slice(start, end - start)
+            start = end
+
+
 def keep_matching(docs: DataFrame, kept: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """Rows of ``docs`` whose id is among the (distinct) ids in the only column of ``kept``."""
     k = kept.toDF("__kept_id__").distinct()

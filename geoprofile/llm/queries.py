@@ -5,6 +5,7 @@ from __future__ import annotations
 from .bpe_replay import op8_byte_bpe
 from .chat_format import op6_chat_format
 from .cws import op3_fingerprints
+from .divergence import op12_source_divergence
 from .exact_dedup import op9_exact_dedup
 from .lm import op2_lm_scoring
 from .ngram_join import op10_ngram_join
@@ -24,4 +25,5 @@ QUERIES = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_ngram_join": op10_ngram_join,
+    "op12_source_divergence": op12_source_divergence,
 }
