@@ -11,6 +11,7 @@ from .lm import op2_lm_scoring
 from .ngram_join import op10_ngram_join
 from .packing import op7_packing
 from .quality import op5_quality
+from .spelling import op11_spelling_variants
 from .suffix_dedup import op1_suffix_dedup
 from .toxicity import op4_toxicity
 
@@ -25,5 +26,6 @@ QUERIES = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_ngram_join": op10_ngram_join,
+    "op11_spelling_variants": op11_spelling_variants,
     "op12_source_divergence": op12_source_divergence,
 }
