@@ -13,6 +13,7 @@ from .packing import op7_packing
 from .quality import op5_quality
 from .spelling import op11_spelling_variants
 from .suffix_dedup import op1_suffix_dedup
+from .tensor_minhash import op13_tensor_minhash
 from .toxicity import op4_toxicity
 
 QUERIES = {
@@ -28,4 +29,5 @@ QUERIES = {
     "op10_ngram_join": op10_ngram_join,
     "op11_spelling_variants": op11_spelling_variants,
     "op12_source_divergence": op12_source_divergence,
+    "op13_tensor_minhash": op13_tensor_minhash,
 }
