@@ -112,33 +112,40 @@ def chain(n):
     return out
 
 
-def test_crossings_ask_only_outside_the_largest_component(spark, monkeypatch):
-    r = np.random.default_rng(1)
-    sign = r.integers(0, 1 << 32, (1, M.HASHES), dtype=np.uint32).repeat(7, 0)
-    sign[6] = 0
-    classes = spark.createDataFrame([(i, 100 if i < 5 else 130 if i == 5 else 100, bytearray(sign[i].tobytes())) for i in range(7)], "class long, n_shingles long, signature binary")
-    met = spark.createDataFrame([(k, i, 0) for k in (1, 2) for i in range(7)] + [(3, 0, 0), (3, 1, 0)], "key long, class long, least long")
+def test_crossings_ask_only_outside_the_largest_component(spark):
+    own = [np.sort(np.unique(np.random.default_rng(k).integers(0, 1 << 63, 100, dtype=np.uint64))) for k in (1, 2)]
+    band, ranges = M.bands(M.signatures(own)), M.bins(own)
+    kind = [0, 0, 0, 0, 0, 0, 1]
+    facts = [(i, 130 if i == 5 else 100, bytearray(band[0].tobytes()), bytearray(ranges[kind[i]].tobytes())) for i in range(7)]
+    classes = spark.createDataFrame(facts, "class long, n_shingles long, bands binary, bins binary")
+    # tables 0 and 5 have the same members, table 9 a part of them: each pair is taken in table 0
+    met = spark.createDataFrame([(256 * k + t, i, 0) for k, t in ((7, 5), (8, 0)) for i in range(7)] + [(9, i, 0) for i in (0, 3, 4)], "key long, class long, least long")
     joined = spark.createDataFrame([(i, 0) for i in range(3)], "node long, component long")
     pairs = sorted(map(tuple, M.crossings(met, classes, joined, 80).collect()))
-    # 3 and 4 with 0, 1, 2 and each other; 5 is too long, 6 has other minhashes
+    # 3 and 4 with 0, 1, 2 and each other; 5 is too long, 6 has other bins
     assert pairs == sorted([(a, b) for b in (3, 4) for a in range(3)] + [(3, 4)])
 
 
-def test_share_of_equal_minhashes_estimates_similarity():
+@pytest.mark.parametrize("n,error", [(60, 3), (300, 4), (4000, 5)])
+def test_bins_estimate_similarity(n, error):
     r = np.random.default_rng(3)
-    for s in (0.5, 0.8):
-        both = [np.unique(r.integers(0, 1 << 63, 1000, dtype=np.uint64)) for _ in range(3)]
-        n = int(2000 * s / (1 + s) / 2)
-        a = np.concatenate([both[0][:n], both[1][:1000 - n]])
-        b = np.concatenate([both[0][:n], both[2][:1000 - n]])
-        agree = np.mean([(x == y).mean() for x, y in [M.signatures([np.sort(a ^ np.uint64(k)), np.sort(b ^ np.uint64(k))]) for k in range(1, 40)]])
-        assert abs(agree - n / (2000 - n)) < 0.05
+    for share in (0.5, 0.8):
+        both = int(2 * n * share / (1 + share))
+        off = []
+        for _ in range(60):
+            x = np.unique(r.integers(0, 1 << 64, 2 * n - both, dtype=np.uint64))
+            r.shuffle(x)
+            a, b = np.sort(x[:n]), np.sort(x[n - both:])
+            off.append(M.alike(*M.bins([a, b])) - 100 * both / (2 * n - both))
+        assert abs(np.mean(off)) < 2 and max(map(abs, off)) < error + 1.5
+        assert min(off) > -M.MARGIN
 
 
 def test_keys_combine_bands():
     sign = M.signatures(shingle_sets([b"a b c d e f g", b"a b c d e f g h"], 4))
-    keys = M.table_keys(sign)
-    assert keys.shape == (2, M.BANDS ** 2)
+    band = M.bands(sign)
+    keys = M.table_keys(band)
+    assert keys.shape == (2, M.TABLES) and (keys[0] % 256 == np.arange(M.TABLES)).all()
     same = (sign[0] == sign[1]).reshape(2, M.BANDS, M.ROWS).all(2)
     assert ((keys[0] == keys[1]).reshape(M.BANDS, M.BANDS) == np.outer(same[0], same[1])).all()
 
