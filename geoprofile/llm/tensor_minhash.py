@@ -219,7 +219,7 @@ def verified(pairs: DataFrame, classes: DataFrame, source: DataFrame, shingle: i
     The members of u are dealt to runs of about RUN, so a representative of any number of members is split.
     """
     runs = pairs.groupBy("u").agg(F.ceil(F.count("*") / RUN).alias("runs"))
-    dealt = pairs.join(runs, "u").select("u", "v", F.xxhash64("u", F.pmod(F.xxhash64("v"), "runs")).alias("run"))
+    dealt = written(pairs.join(runs, "u").select("u", "v", F.xxhash64("u", F.pmod(F.xxhash64("v"), "runs")).alias("run")))  # read twice
     rows = (dealt.select(F.col("v").alias("class"), "run", F.lit(True).alias("member"))
             .unionByName(dealt.select(F.col("u").alias("class"), "run", F.lit(False).alias("member")).distinct()))
     rows = written(rows.join(classes.select("class", F.col("first.doc_id").alias("doc_id"), F.col("first.text_hash").alias("text_hash")), "class"))
