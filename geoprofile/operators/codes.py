@@ -66,7 +66,8 @@ def codes_by_name(sheet: DataFrame, level_col: str, parts: Sequence[str], name_c
                      F.lit(country).alias("1"), *[F.col(p).cast("string").alias(str(i)) for i, p in enumerate(parts, start=2)])
     rest = [c for c in wide.columns if c not in ("name", "area")]
     long = unpivot_long(wide, ["name", "area"], rest, "part", "value", cast=None).filter(~F.col("value").rlike("^0+$"))
-    return ordered_concat(long.withColumn("at", F.concat_ws("#", "area", "part")), ["name"], "at", "value")
+    at = F.struct("area", F.col("part").cast("int"))  # part 10 after part 2
+    return ordered_concat(long.withColumn("at", at), ["name"], "at", "value")
 
 
 def concept_titles(variables: DataFrame, group_regex: str = r"^DP\d{2}$", recoded: dict[str, str] | None = None) -> DataFrame:

@@ -5,9 +5,8 @@ long profile -> slices (D11) -> headed wide table (D10, first topic wins)
 level then town, and write one CSV per slice (S8/S9).
 
 The wide table for every slice is ONE plan, and the writer runs it once: into a
-snapshot in the shared folder, partitioned by slice.  The non-empty columns and
-the files are made from that snapshot, of which each file's job reads its
-slice's folder only -- slices are the caller's named parameter list.
+snapshot in the shared folder, partitioned by slice.  The non-empty columns are found by one
+aggregation over that snapshot, and all files are written by one job, whatever the number of slices.
 """
 
 from __future__ import annotations
@@ -25,7 +24,7 @@ from ..operators.geo import level_ordinal
 from ..operators.merge import slices
 from ..operators.reshape import to_display_wide
 from ..session import ensure_checkpoint_dir
-from ..sources.csv import write_csv
+from ..sources.csv import write_csv_by
 from ..sources.snapshot import write_snapshot
 
 DISPLAY_LEVELS = ["state", "regions", "towns", "neighborhoods"]
@@ -45,17 +44,14 @@ def distribution_wide(profile: DataFrame, headings: DataFrame, display_values: S
 
 def write_distribution(wide: DataFrame, out_dir: str, slice_col: str = "slice", level_col: str = "level",
                        levels: Sequence[str] = DISPLAY_LEVELS, sort: Sequence[str] = ("town", "name")) -> dict:
-    """One CSV per slice with its own non-empty columns; returns {slice: columns}."""
+    """One CSV per slice (folder ``{slice_col}={slice}``) with its own non-empty columns; returns {slice: columns}."""
     spark = wide.sparkSession
     folder = os.path.join(ensure_checkpoint_dir(spark), f"distribution-{uuid.uuid4().hex}")
     names = {f"c{i}": c for i, c in enumerate(wide.columns) if c != slice_col}  # any header is a valid column here
     write_snapshot(wide.select(slice_col, *[F.col(f"`{c}`").alias(n) for n, c in names.items()]), folder, [slice_col])
     held = spark.read.schema(", ".join([f"{slice_col} string"] + [f"{n} {wide.schema[c].dataType.simpleString()}" for n, c in names.items()])).parquet(folder)
     held = held.select(slice_col, *[F.col(n).alias(c) for n, c in names.items()])
-    per = non_empty_columns_by(held, slice_col)
-    for sl, cols in per.items():
-        keep = [c for c in cols if c != slice_col]
-        order = [level_ordinal(level_col, levels), *[F.asc_nulls_last(c) for c in sort if c in keep]]
-        part = held.filter(F.col(slice_col) == sl).select(*[F.col(f"`{c}`") for c in keep])
-        write_csv(part, os.path.join(out_dir, str(sl)), na="", single_file=True, sort=order)
+    per = {sl: [c for c in cols if c != slice_col] for sl, cols in non_empty_columns_by(held, slice_col).items()}
+    order = [level_ordinal(level_col, levels), *[c for c in sort if c in held.columns]]
+    write_csv_by(held, out_dir, slice_col, per, sort=order)
     return per

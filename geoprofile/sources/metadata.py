@@ -3,6 +3,9 @@ CSV), S12 landed leaf-level survey files."""
 
 from __future__ import annotations
 
+import csv
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,8 +13,9 @@ from .csv import read_csv
 
 VARIABLES_SCHEMA = "variables map<string, struct<label: string, concept: string, group: string>>"
 
-GEOCODE_COLUMNS = ["summary_level", "state", "county", "county_subdivision", "place",
-                   "consolidated_city", "area_name"]
+#: Column and the pattern of its heading (letters and single spaces, lower case).
+GEOCODE_HEADINGS = {"summary_level": "^summary level", "state": "^state", "county": "^county(?! sub)", "county_subdivision": "sub",
+                    "place": "^place", "consolidated_city": "city", "area_name": "^area"}
 
 
 def read_variables_json(spark: SparkSession, path: str) -> DataFrame:
@@ -26,13 +30,22 @@ def read_variables_json(spark: SparkSession, path: str) -> DataFrame:
 def read_geocodes(spark: SparkSession, path: str) -> DataFrame:
     """The geocode workbook landed as CSV, all-string fixed schema.
 
-    The sheet's preamble rows are dropped by keeping rows whose summary
-    level is a 3-digit code (instead of a row-count skip, which depends on
-    row order).
+    Columns are found by the sheet's header row, in any order and wherever the row stands: the first one that names a
+    summary level.  Rows whose summary level is no 3-digit code (the preamble, the header) are
+    dropped, instead of a row-count skip, which depends on row order.
     """
-    schema = ", ".join(f"{c} string" for c in GEOCODE_COLUMNS)
-    df = spark.read.option("header", False).schema(schema).csv(path)
-    return df.filter(F.col("summary_level").rlike("^\\d{3}$"))
+    line = spark.read.text(path).filter(F.col("value").rlike("(?i)summary.?level")).first()
+    if line is None:
+        raise ValueError(f"no header row with a summary level in {path}")
+    names = [" ".join(re.findall("[a-z]+", c.lower())) for c in next(csv.reader([line.value]))]
+    at = {}
+    for column, pattern in GEOCODE_HEADINGS.items():
+        found = [i for i, n in enumerate(names) if re.search(pattern, n)]
+        if len(found) != 1:
+            raise ValueError(f"{len(found)} columns of the header {names} name {column}")
+        at[column] = f"_c{found[0]}"
+    df = spark.read.option("header", False).schema(", ".join(f"_c{i} string" for i in range(len(names)))).csv(path)
+    return df.select(*[F.col(c).alias(column) for column, c in at.items()]).filter(F.col("summary_level").rlike("^\\d{3}$"))
 
 
 ESTIMATES_SCHEMA = ("tbl string, level string, name string, geoid string, year int, variable string, "

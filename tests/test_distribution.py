@@ -18,7 +18,7 @@ def test_per_slice_files_drop_empty_columns(spark):
     assert sorted(per) == ["nation_0", "nation_1", "nation_5"]
     headers = {}
     for sl in per:
-        f = glob.glob(os.path.join(out, sl, "part-*.csv"))[0]
+        f = glob.glob(os.path.join(out, f"slice={sl}", "part-*.txt"))[0]
         lines = open(f).read().splitlines()
         headers[sl] = lines[0].split(",")
         levels = [ln.split(",")[0] for ln in lines[1:]]

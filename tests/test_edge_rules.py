@@ -136,3 +136,12 @@ def test_distribution_runs_its_input_once(spark, tmp_path):
     df = spark.createDataFrame([(s, "towns", "", None, n, 1.0) for s in "abcd" for n in ("x", "y")], "slice string, level string, city string, town string, name string, `Total, all` double")
     per = write_distribution(df.mapInArrow(count, df.schema), str(tmp_path / "out"), levels=["towns"])
     assert seen.value == 8 and set(per) == set("abcd") and "Total, all" in per["a"] and "town" not in per["a"]
+
+
+def test_codes_of_ten_parts_and_more_keep_their_order(spark):
+    from geoprofile.operators.codes import codes_by_name
+    parts = [f"p{i}" for i in range(1, 13)]
+    df = spark.createDataFrame([("050", "A town", *[str(i) for i in range(1, 13)]), ("050", "B", *["0"] * 11, "7")],
+                               "level string, name string, " + ", ".join(f"{p} string" for p in parts))
+    got = {r.name: r.code for r in codes_by_name(df, "level", parts).collect()}
+    assert got == {"A": "0500000US123456789101112", "B": "0500000US7"}
