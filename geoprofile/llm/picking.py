@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 
-from .common import byte_batches
+from .common import byte_batches, sliced
 
 BITS = 1 << 24
 RUN_BYTES = 8 << 20
@@ -79,7 +79,7 @@ def parted(docs: DataFrame, wanted: DataFrame, id_col: str = "doc_id", text_col:
     bits = docs.sparkSession.sparkContext.broadcast(bitmap(wanted))  # BITS bits
 
     def run(batches):
-        for batch in batches:
+        for batch in sliced(batches, RUN_BYTES, text_col):
             hashes = text_hashes([t or b"" for t in batch.column(text_col).cast(pa.binary()).to_pylist()])
             at = row_bit(batch.column(id_col).cast(pa.int64()).fill_null(0).to_numpy(), hashes)
             near = (bits.value[at // 8] >> (at % 8).astype(np.uint8)) & 1 == 1

@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from .common import byte_batches, shared_checkpoint, table, texts, written
+from .common import byte_batches, shared_checkpoint, sliced, table, texts, written
 from .picking import parted, picked, text_hashes
 from .suffix_array import repeated_windows
 
@@ -49,6 +49,7 @@ WORDS = 51
 CODE = 8
 SHARD = 2048
 RUN_BYTES = 2 << 20
+CODED_BYTES = 2 << 20  # texts of a batch that is coded or cut
 PLACE_BITS = 24
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
@@ -296,7 +297,7 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
 def _without(changed: DataFrame, docs: DataFrame, id_col: str, text_col: str, judged: str, cut) -> DataFrame:
     """``docs`` with cut(text, gone) in ``text_col``; ``changed`` knows rows by their id and the hash of column ``judged``."""
     def put(batches):
-        for batch in batches:
+        for batch in sliced(batches, CODED_BYTES, text_col):
             i = batch.schema.get_field_index(text_col)
             gone = batch.column(batch.num_columns - 1).to_pylist()
             new = pa.array([t if g is None else cut(t, g) for t, g in zip(batch.column(i).to_pylist(), gone)], pa.string())
@@ -354,7 +355,7 @@ def strip_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     def run(batches):
         memo: dict = {}
-        for batch in batches:
+        for batch in sliced(batches, CODED_BYTES, text_col):
             codes = [word_codes(t or "", memo) for t in batch.column(text_col).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(codes, pa.string())], [*batch.schema.names, "__words__"])
 

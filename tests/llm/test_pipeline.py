@@ -4,8 +4,9 @@ from geoprofile.llm import packing, toxicity
 from tokenizers import Tokenizer
 
 from .conftest import SCHEMA, words
-from .test_ngram_join import brute as near_brute
 from .test_packing import check
+from .test_pipeline_near import kept as near_kept
+from .test_pipeline_passages import without_passages
 
 
 def stages(spark, docs, sf_dir, tmp):
@@ -50,10 +51,10 @@ def test_each_stage_against_brute_force(spark, small, tmp_path, plain):
     last = {t: i for i, t in sorted(kept.items())}
     kept = {i: t for t, i in last.items()}
     assert {r.doc_id: r.text for r in got[1].collect()} == kept
-    components = {i: c for i, n, c in near_brute(list(kept.items()))}
-    kept = {i: t for i, t in kept.items() if components[i] == i}
+    stay = set(near_kept(list(kept.items())))
+    kept = {i: t for i, t in kept.items() if i in stay}
     assert {r.doc_id: r.text for r in got[2].collect()} == kept
-    kept = dict(zip(kept, strip(kept.values())))
+    kept = dict(zip(kept, strip(without_passages(list(kept.values())))))
     assert {r.doc_id: (r.text, r.n_chars) for r in got[3].collect()} == {i: (t, len(t)) for i, t in kept.items()}
     check(got[4].collect(), kept.items(), plain, packing.WINDOW)
     for df in got[:4]:
