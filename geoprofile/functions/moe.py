@@ -32,6 +32,16 @@ def moe_sum(moe, policy: str = "propagate", estimate=None, zero_rule: bool = Fal
     return moe_weighted_sum(moe, F.lit(1.0), policy, estimate, zero_rule)
 
 
+def moe_of_squares(squares, policy: str = "propagate") -> tuple[Column, Column]:
+    """Aggregates: the sum of squared margins, and its root, the margin of the sum.
+
+    With squares in decimals the sum is exact whatever the order of its parts, so
+    rollups of rollups agree to the last digit; the root is taken once, from that sum.
+    """
+    total = sum_propagate(_c(squares), policy)
+    return total, F.sqrt(total.cast("double"))
+
+
 def moe_weighted_sum(moe, weight, policy: str = "propagate", estimate=None, zero_rule: bool = False) -> Column:
     """Aggregate: margin of a weighted sum, as :func:`moe_sum`."""
     sq = F.pow(_c(weight) * _c(moe), 2)

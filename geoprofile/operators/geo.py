@@ -15,7 +15,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.moe import moe_sum, moe_weighted_sum
+from ..functions.moe import moe_of_squares, moe_sum, moe_weighted_sum
 from ._util import param_frame, sum_propagate
 
 # Fixed level codes (ordinal prefix gives the hierarchy order).
@@ -79,19 +79,23 @@ def level_map(leaves: DataFrame, leaf_col: str, level: str, name_expr=None) -> D
 def geo_levels(df: DataFrame, levels: DataFrame, leaf_col: str = "name",
                carry: Sequence[str] = ("variable", "year"), value: str = "estimate",
                moe: str | None = "moe", null_policy: str = "propagate",
-               extra: Sequence[str] = ()) -> DataFrame:
+               extra: Sequence[str] = (), squares: str | None = None) -> DataFrame:
     """Stack several geography levels into one long frame.
 
     ``levels`` holds (leaf, level, name [, extra...]) membership rows for
     every level wanted, including the leaves' own level.  Output: one row
     per (level, name, carry) with the summed estimate and combined margin.
+    Decimal estimates and ``squares`` (a decimal column of squared margins) are summed exactly, see ``group_rollup``.
     """
     lv = levels.select("leaf", "level", F.col("name").alias("_area"), *extra)
     # the leaves' own level/area columns are replaced by the target's
     src = df.drop(*[c for c in ("level", *extra) if c in df.columns and c != leaf_col])
     j = src.join(lv, src[leaf_col] == lv["leaf"]).drop("leaf", leaf_col)
     aggs = [sum_propagate(value, null_policy).alias(value)]
-    if moe:
+    if squares:
+        total, root = moe_of_squares(squares, null_policy)
+        aggs += [total.alias(squares), *([root.alias(moe)] if moe else [])]
+    elif moe:
         aggs.append(moe_sum(moe, null_policy).alias(moe))
     return (j.groupBy("level", F.col("_area").alias("name"), *extra, *carry).agg(*aggs))
 

@@ -16,7 +16,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.moe import moe_sum
+from ..functions.moe import moe_of_squares, moe_sum
 from ..functions.text import unite
 from ._util import param_frame, sum_propagate
 
@@ -82,11 +82,24 @@ def _mapping(df: DataFrame, spec: Mapping, group_col: str, positions: DataFrame
     return sdf.withColumnRenamed("member", group_col)
 
 
+def _sums(value: str, moe: str | None, null_policy: str, zero_rule: bool, squares: str | None) -> list:
+    """Aggregates of a rollup: estimate, margin and, where given, squared margins."""
+    aggs = [sum_propagate(value, null_policy).alias(value)]
+    if squares and zero_rule:
+        raise ValueError("squared margins are summed as they are: zero_rule needs the margins")
+    if squares:
+        total, root = moe_of_squares(squares, null_policy)
+        aggs += [total.alias(squares), *([root.alias(moe)] if moe else [])]
+    elif moe:
+        aggs.append(moe_sum(moe, null_policy, value, zero_rule).alias(moe))
+    return aggs
+
+
 def group_rollup(df: DataFrame, spec: Mapping, keys: Sequence[str], group_col: str,
                  positions: DataFrame | None = None, value: str = "estimate", moe: str | None = "moe",
                  by: Sequence[str] = (), out_col: str | None = None,
                  null_policy: str = "propagate", order_col: str | None = "grp_ord",
-                 zero_rule: bool = False) -> DataFrame:
+                 zero_rule: bool = False, squares: str | None = None) -> DataFrame:
     """Sum ``value`` (and combine ``moe``) of categories into named groups.
 
     * ``keys``: grouping keys kept in the output (geography, year, ...).
@@ -97,14 +110,14 @@ def group_rollup(df: DataFrame, spec: Mapping, keys: Sequence[str], group_col: s
       ``spec`` is ``{tbl: {grp: members}}``; all tables run in one plan.
     * ``order_col``: name of the group's ordinal in the output (spec order).
     * ``null_policy`` holds for estimates and margins alike; ``zero_rule``: see ``moe_sum``.
+    * a decimal ``value`` stays decimal, so its sums do not depend on the order of their parts; ``squares`` names a
+      decimal column of squared margins, which is summed and kept in the same way, with ``moe`` as its root.
     """
     keys, by = list(keys), list(by)
     out_col = out_col or group_col
     mapping = _mapping(df, spec, group_col, positions, by)
     fanned = df.join(mapping, [*by, group_col])
-    aggs = [sum_propagate(value, null_policy).alias(value)]
-    if moe:
-        aggs.append(moe_sum(moe, null_policy, value, zero_rule).alias(moe))
+    aggs = _sums(value, moe, null_policy, zero_rule, squares)
     gkeys = [*dict.fromkeys([*by, *keys])]
     out = (fanned.groupBy(*gkeys, F.col("grp").alias(out_col), "grp_ord").agg(*aggs))
     if order_col and order_col != "grp_ord":
@@ -118,21 +131,21 @@ def two_stage_rollup(df: DataFrame, spec1: Mapping, col1: str, spec2: Mapping, c
                      keys: Sequence[str], positions1: DataFrame | None = None,
                      positions2: DataFrame | None = None, value: str = "estimate",
                      moe: str | None = "moe", out_col: str = "group", sep: str = "_",
-                     by: Sequence[str] = (), null_policy: str = "propagate", zero_rule: bool = False) -> DataFrame:
+                     by: Sequence[str] = (), null_policy: str = "propagate", zero_rule: bool = False,
+                     squares: str | None = None) -> DataFrame:
     """Collapse ``col1`` within ``col2``, then ``col2`` within the first.
 
     Sums are linear, so both mappings are joined at once and ONE grouped
     aggregation gives ``{grp1}{sep}{grp2}``; for the margin,
     ``sqrt(sum(sqrt(sum m^2)^2)) == sqrt(sum m^2)``, so one pass is exact too.
     Output keeps ``col1`` and ``col2`` (the group names) and their ordinals.
+    Decimals and ``squares`` as in :func:`group_rollup`.
     """
     keys, by = list(keys), list(by)
     m1 = _mapping(df, spec1, col1, positions1, by).withColumnsRenamed({"grp": "_g1", "grp_ord": "_o1"})
     m2 = _mapping(df, spec2, col2, positions2, by).withColumnsRenamed({"grp": "_g2", "grp_ord": "_o2"})
     fanned = df.join(m1, [*by, col1]).join(m2, [*by, col2])
-    aggs = [sum_propagate(value, null_policy).alias(value)]
-    if moe:
-        aggs.append(moe_sum(moe, null_policy, value, zero_rule).alias(moe))
+    aggs = _sums(value, moe, null_policy, zero_rule, squares)
     gkeys = [*dict.fromkeys([*by, *keys])]
     out = fanned.groupBy(*gkeys, F.col("_g1").alias(col1), F.col("_o1").alias(f"{col1}_ord"),
                          F.col("_g2").alias(col2), F.col("_o2").alias(f"{col2}_ord")).agg(*aggs)

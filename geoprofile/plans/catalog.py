@@ -82,12 +82,12 @@ NB_DISPLAY = ["Order value", "High-priority value", "High-priority rate", "Low-p
 
 
 def _r(c: str, d: int):
-    return F.round(F.col(c), d).alias(c)
+    return F.round(F.col(c).cast("double"), d).alias(c)
 
 
 # ------------------------------------------------------------ shared building blocks
-def labelled_leaves(spark, sf):
-    est = label_variables(S.town_estimates(spark, sf), S.labels(spark), on=("variable",))
+def labelled_leaves(spark, sf, exact=False):
+    est = label_variables(S.town_estimates(spark, sf, exact=exact), S.labels(spark), on=("variable",))
     return split_label(est, SPLIT_INTO, keep="leaf")
 
 
@@ -98,10 +98,12 @@ def label_positions(spark, sf, col="priority"):
 
 
 def priority_rollup(spark, sf, moe=True, leaves=None):
-    leaves = labelled_leaves(spark, sf) if leaves is None else leaves
-    return group_rollup(leaves, PRIORITY_GROUPS, ["name", "year"], "priority",
-                        positions=label_positions(spark, sf), moe="moe" if moe else None,
-                        out_col="group")
+    exact = leaves is None
+    leaves = labelled_leaves(spark, sf, exact=True) if exact else leaves
+    out = group_rollup(leaves, PRIORITY_GROUPS, ["name", "year"], "priority",
+                       positions=label_positions(spark, sf), moe="moe" if moe else None,
+                       out_col="group", squares="moe_sq" if exact and moe else None)
+    return out.withColumn("estimate", F.col("estimate").cast("double")).drop("moe_sq")  # shares are ratios of doubles
 
 
 def priority_shares(spark, sf, moe=True):
@@ -119,8 +121,11 @@ def geo_level_map(spark, sf):
 
 
 def stacked_levels(spark, sf, df=None, carry=("variable", "year"), moe="moe"):
-    df = S.town_estimates(spark, sf) if df is None else df
-    return geo_levels(df, geo_level_map(spark, sf), leaf_col="name", carry=carry, moe=moe)
+    """Levels of ``df``; without it, of the exact town estimates (decimals, squared margins)."""
+    exact = df is None
+    df = S.town_estimates(spark, sf, exact=True) if exact else df
+    out = geo_levels(df, geo_level_map(spark, sf), leaf_col="name", carry=carry, moe=moe, squares="moe_sq" if exact else None)
+    return out.withColumn("estimate", F.col("estimate").cast("double")).drop("moe_sq") if exact else out
 
 
 def suppressed_levels(spark, sf, cells=None):
@@ -162,7 +167,7 @@ def q_label_split_leaves(spark, sf):
 
 
 def q_group_rollup(spark, sf):
-    out = group_rollup(labelled_leaves(spark, sf), PRIORITY_LABEL_GROUPS, ["name", "year"], "priority",
+    out = group_rollup(labelled_leaves(spark, sf, exact=True), PRIORITY_LABEL_GROUPS, ["name", "year"], "priority",
                        moe=None, out_col="group")
     return out.select("name", "year", "group", _r("estimate", 2))
 
@@ -185,10 +190,11 @@ def q_moe_share(spark, sf):
 
 
 def q_two_stage_rollup(spark, sf):
-    leaves = labelled_leaves(spark, sf)
+    leaves = labelled_leaves(spark, sf, exact=True)
     two = two_stage_rollup(leaves, STATUS_GROUPS, "status", PRIORITY_STAGE2, "priority", ["name", "year"],
                            positions1=label_positions(spark, sf, "status"),
                            positions2=label_positions(spark, sf, "priority"), moe=None)
+    two = two.withColumn("estimate", F.col("estimate").cast("double"))
     sh = calc_shares(two, ["name", "year", "status"], "priority", denom="determined", moe=None)
     return sh.select("name", "year", "group", _r("estimate", 2), _r("share", 6))
 

@@ -7,7 +7,7 @@ Role mapping (see FIXTURES.md §3):
 * survey table ``orders``: label path ``Total!!{status}!!{priority}``, so
   status plays "sex" and priority plays "age" of a sex-by-age table;
 * estimate = sum of order value (exact, decimal cents), margin = the
-  half-width sqrt(sum((0.05 * value)^2)) of a 5% per-order error.
+  half-width sqrt(sum((0.05 * value)^2)) of a 5% per-order error (squares summed exactly, as whole numbers).
 
 The one heavy step is :func:`segment_leaves`: orders joined to customer
 (shuffle join on the customer key; adaptive execution splits a hot
@@ -66,18 +66,25 @@ def order_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderstatus").alias("status"),
         F.col("o_orderpriority").alias("priority"),
         F.col("o_totalprice").cast("decimal(18,2)").alias("price"),
-        F.pow(F.lit(MOE_RATE) * F.col("o_totalprice"), 2).alias("sq"),
+        # squared cents as two whole numbers, whose sums are exact (an order beyond 30 million is an overflow error)
+        *[half(_square()).alias(c) for c, half in (("hi", lambda x: F.shiftright(x, 32)), ("lo", lambda x: x.bitwiseAND(F.lit(0xFFFFFFFF))))],
     )
 
 
+def _square():
+    cents = F.round(F.col("o_totalprice") * 100).cast("bigint")
+    return cents * cents
+
+
 def _leaves(rows: DataFrame, geo: list[str]) -> DataFrame:
     return (rows.groupBy(*geo, "year", "status", "priority")
-            .agg(F.sum("price").alias("est"), F.sum("sq").alias("sq"), F.max("price").alias("mx")))
+            .agg(F.sum("price").alias("est"), F.max("price").alias("mx"),
+                 (F.sum("hi").cast("decimal(18,0)") * F.lit(1 << 32).cast("decimal(10,0)") + F.sum("lo")).cast("decimal(28,0)").alias("sq")))
 
 
 def segment_leaves(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leaf cells (region, nation, segment, year, status, priority):
-    ``est`` exact decimal sum, ``sq`` sum of squared margins, ``mx`` largest price."""
+    ``est`` exact decimal sum, ``sq`` exact sum of squared cents, ``mx`` largest price."""
     return _leaves(order_rows(spark, sf_dir), ["r_name", "n_name", "c_mktsegment"])
 
 
@@ -105,12 +112,18 @@ def variable_code(status=None, priority=None):
     return F.concat_ws("_", *parts)
 
 
-def _depths(leaves: DataFrame, geo: list[str], maximum: bool = False) -> DataFrame:
+def margin_squares(sq):
+    """Squared margins in the estimates' unit, as a decimal, from squared cents."""
+    return sq.cast("decimal(28,0)") * F.lit(f"{(MOE_RATE / 100) ** 2:.8f}").cast("decimal(9,8)")
+
+
+def _depths(leaves: DataFrame, geo: list[str], maximum: bool = False, exact: bool = False) -> DataFrame:
     """All label depths (total, status, status x priority) of the table in
     ONE aggregation over the small leaf cells (grouping sets), not a union
     of three plans over the facts.
 
     ``maximum`` adds the largest price as a table of its own, from the same aggregation.
+    ``exact``: estimates stay decimals, and squared margins (``moe_sq``, decimals) come along, for rollups that go on.
     """
     keys = [*geo, "year"]
     g = (leaves.groupingSets([[*keys, "status", "priority"], [*keys, "status"], keys], *keys, "status", "priority")
@@ -119,7 +132,9 @@ def _depths(leaves: DataFrame, geo: list[str], maximum: bool = False) -> DataFra
     status = F.when(F.col("_gid") < 3, F.col("status"))
     priority = F.when(F.col("_gid") == 0, F.col("priority"))
     own = F.struct(F.lit(TABLE).alias("tbl"), variable_code(status, priority).alias("variable"),
-                   F.col("est").cast("double").alias("estimate"), F.sqrt("sq").alias("moe"))
+                   (F.col("est") if exact else F.col("est").cast("double")).alias("estimate"),
+                   F.sqrt(margin_squares(F.col("sq")).cast("double")).alias("moe"),
+                   *([margin_squares(F.col("sq")).alias("moe_sq")] if exact else []))
     if not maximum:
         return g.select(*geo, "year", own.alias("v")).select(*geo, "year", "v.*")
     top = F.struct(F.lit(MAX_TABLE).alias("tbl"), F.lit(MAX_TABLE).alias("variable"),
@@ -127,15 +142,15 @@ def _depths(leaves: DataFrame, geo: list[str], maximum: bool = False) -> DataFra
     return g.select(*geo, "year", F.inline(F.when(F.col("_gid") == 3, F.array(own, top)).otherwise(F.array(own))))
 
 
-def town_estimates(spark: SparkSession, sf_dir: str, cells: DataFrame | None = None, maximum: bool = False) -> DataFrame:
+def town_estimates(spark: SparkSession, sf_dir: str, cells: DataFrame | None = None, maximum: bool = False, exact: bool = False) -> DataFrame:
     """Long estimates at the nation ("town") level, every label depth:
     (tbl, level, name, year, variable, estimate, moe).
 
     ``cells``: segment cells at hand (:func:`segment_cells`), for plans that also need the neighborhoods.
     """
-    d = _depths(nation_leaves(spark, sf_dir) if cells is None else cells, ["n_name"], maximum)
+    d = _depths(nation_leaves(spark, sf_dir) if cells is None else cells, ["n_name"], maximum, exact)
     return d.select("tbl", F.lit("4_towns").alias("level"),
-                    F.col("n_name").alias("name"), "year", "variable", "estimate", "moe")
+                    F.col("n_name").alias("name"), "year", "variable", "estimate", "moe", *(["moe_sq"] if exact else []))
 
 
 def neighborhood_estimates(spark: SparkSession, sf_dir: str, cells: DataFrame | None = None) -> DataFrame:
