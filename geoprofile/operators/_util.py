@@ -52,3 +52,12 @@ def sum_propagate(value: str | Column, policy: str = "propagate") -> Column:
     if policy != "propagate":
         raise ValueError(f"unknown null policy {policy!r}")
     return F.when(F.count(F.lit(1)) == F.count(v), s)
+
+
+def unmatched_metrics(found: Column, key: Column, name: str = "") -> list[Column]:
+    """Metrics for ``DataFrame.observe`` after a left join: rows, rows without a partner (``found`` is NULL), and the least of their keys.
+
+    A task that is run again after a loss counts its rows again, as all observed metrics do: the counts are for people, not for further work.
+    """
+    lone = found.isNull()
+    return [F.count(F.lit(1)).alias(f"{name}rows"), F.count_if(lone).alias(f"{name}unmatched"), F.min(F.when(lone, key)).alias(f"{name}example")]

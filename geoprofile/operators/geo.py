@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.moe import moe_of_squares, moe_sum, moe_weighted_sum
+from ..session import cut_lineage
 from ._util import param_frame, sum_propagate
 
 # Fixed level codes (ordinal prefix gives the hierarchy order).
@@ -79,13 +80,13 @@ def level_map(leaves: DataFrame, leaf_col: str, level: str, name_expr=None) -> D
 def geo_levels(df: DataFrame, levels: DataFrame, leaf_col: str = "name",
                carry: Sequence[str] = ("variable", "year"), value: str = "estimate",
                moe: str | None = "moe", null_policy: str = "propagate",
-               extra: Sequence[str] = (), squares: str | None = None) -> DataFrame:
+               extra: Sequence[str] = (), squares: str | None = None, origin: str | None = None) -> DataFrame:
     """Stack several geography levels into one long frame.
 
     ``levels`` holds (leaf, level, name [, extra...]) membership rows for
     every level wanted, including the leaves' own level.  Output: one row
     per (level, name, carry) with the summed estimate and combined margin.
-    Decimal estimates and ``squares`` (a decimal column of squared margins) are summed exactly, see ``group_rollup``.
+    Decimal estimates and ``squares`` (a decimal column of squared margins) are summed exactly, and ``origin`` (source bits) combined, see ``group_rollup``.
     """
     lv = levels.select("leaf", "level", F.col("name").alias("_area"), *extra)
     # the leaves' own level/area columns are replaced by the target's
@@ -97,9 +98,31 @@ def geo_levels(df: DataFrame, levels: DataFrame, leaf_col: str = "name",
         aggs += [total.alias(squares), *([root.alias(moe)] if moe else [])]
     elif moe:
         aggs.append(moe_sum(moe, null_policy).alias(moe))
+    if origin:
+        aggs.append(F.bit_or(origin).alias(origin))
     return (j.groupBy("level", F.col("_area").alias("name"), *extra, *carry).agg(*aggs))
 
 
+def membership_closure(members: DataFrame, area: str = "area", part: str = "part") -> DataFrame:
+    """Areas made of areas: every (area, part) that follows from ``members``, through any number of steps.
+
+    Each round doubles the steps and is written to the shared folder; the rounds end with the depth of the nesting.  A part that
+    reaches itself is an error that names it.  Repeated rows count once, rows with a NULL are left out.
+    """
+    now = cut_lineage(members.select(area, part).filter(F.col(area).isNotNull() & F.col(part).isNotNull()).distinct())
+    known = now.count()
+    while True:
+        again = now.filter(F.col(area) == F.col(part)).agg(F.min(area)).first()[0]
+        if again is not None:
+            raise ValueError(f"area {again!r} is a part of itself")
+        further = now.select(F.col(area).alias("_via"), F.col(part).alias("_far"))
+        more = now.join(further, F.col(part) == F.col("_via")).select(area, F.col("_far").alias(part))
+        now = cut_lineage(now.unionByName(more).distinct())
+        if (n := now.count()) == known:
+            return now
+        known = n
+
+
 def level_ordinal(level_col: str = "level", order: Sequence[str] | None = None):
     """O2 ``fct_relevel``: explicit level order as an int (1-based; 0 if unknown)."""
     order = list(order or LEVEL_CODES)

@@ -5,20 +5,30 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from ._util import unmatched_metrics
+
 
 def label_variables(df: DataFrame, labels: DataFrame, on: Sequence[str] = ("year", "variable"),
-                    label_col: str = "label", how: str = "left") -> DataFrame:
+                    label_col: str = "label", how: str = "left", report: Observation | None = None) -> DataFrame:
     """Attach the label path of each variable code (per year).
 
     ``labels`` is a dimension (one row per year x variable).  No broadcast
     hint: the planner broadcasts it from file statistics or, for a derived
     frame, adaptive execution converts the join once the real size is known.
+
+    ``report`` counts, in the job that runs anyway: ``rows``, ``unmatched`` (codes that the dictionary lacks: they get a
+    NULL label and leave every depth) and ``example``, the least of these codes.
     """
     dim = labels.select(*on, label_col)
-    return df.join(dim, list(on), how)
+    if report is None:
+        return df.join(dim, list(on), how)
+    if how != "left":
+        raise ValueError("what found no partner is known of a left join only")
+    joined = df.join(dim.withColumn("__found__", F.lit(True)), list(on), how)
+    return joined.observe(report, *unmatched_metrics(F.col("__found__"), F.concat_ws(" ", *on))).drop("__found__")
 
 
 def split_label(df: DataFrame, into: Sequence[str | None], sep: str = "!!", label_col: str = "label",
@@ -42,8 +52,3 @@ def split_label(df: DataFrame, into: Sequence[str | None], sep: str = "!!", labe
         out = df.filter(depth == keep if keep < len(into) else depth >= keep)
     out = out.withColumns(cols)
     return out.drop(label_col) if drop and label_col not in cols else out
-
-
-def unlabelled(df: DataFrame, labels: DataFrame, on: Sequence[str] = ("year", "variable")) -> DataFrame:
-    """Codes of ``df`` that the dictionary lacks (``on`` columns, n): they get a NULL label and leave every depth."""
-    return df.groupBy(*on).agg(F.count(F.lit(1)).alias("n")).join(labels.select(*on).distinct(), list(on), "left_anti")

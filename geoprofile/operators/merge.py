@@ -57,7 +57,7 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | s
 
 def prefer_source(df: DataFrame, keys: Sequence[str], source_col: str = "src",
                   priority: Sequence[str] | None = None, value: str = "estimate",
-                  extra_order: Sequence[str] = (), only_listed: bool = False) -> DataFrame:
+                  extra_order: Sequence[str] = (), only_listed: bool = False, origin_col: str | None = None) -> DataFrame:
     """Keep, per key, the row from the highest-priority source.
 
     Rows with a NULL ``value`` are removed FIRST, so a lower-priority source
@@ -65,7 +65,15 @@ def prefer_source(df: DataFrame, keys: Sequence[str], source_col: str = "src",
     names best first (``fct_relevel``); unlisted sources follow, by name.
     With ``only_listed`` every source is in ``priority`` and gives one numeric row per key:
     then each source is one conditional aggregate and the first that has a value wins.
+    ``origin_col`` adds the source as a bit (1 for the first in ``priority``, 2, 4, ..; unlisted ones share the next),
+    which rollups combine and shares compare (``origin`` of ``group_rollup``, ``geo_levels`` and ``calc_shares``).
     """
+    if origin_col is not None:
+        best = prefer_source(df, keys, source_col, priority, value, extra_order, only_listed)
+        bit = F.lit(1 << len(priority))
+        for i, p in reversed(list(enumerate(priority))):
+            bit = F.when(F.col(source_col) == p, F.lit(1 << i)).otherwise(bit)
+        return best.withColumn(origin_col, bit)
     if only_listed:
         values = [c for c in df.columns if c not in (*keys, source_col)]
         known = F.col(value).isNotNull()

@@ -10,11 +10,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.text import unite
-from ._util import null_safe_join
+from ..session import cut_lineage
+from ._util import null_safe_join, unmatched_metrics
 from .merge import first_per_key
 
 
@@ -53,6 +54,18 @@ def wide_measures(df: DataFrame, ids: Sequence[str], group_col: str, groups: Seq
     return df.groupBy(*ids).agg(*[single_value(F.col(group_col) == g, F.col(m)).alias(f"{g}_{m}") for g in groups for m in measures])
 
 
+def pivot_found(df: DataFrame, ids: Sequence[str], names_from: str, value_col: str = "value", prefix: str = "") -> DataFrame:
+    """R3/R4 with the names found in the data: ``pivot_wider`` as R has it, columns in name order.
+
+    Cells are gathered to one map per id (a hot id holds one entry per name), which is written once to the shared folder; the
+    distinct names, a schema's worth, come from there.  A cell with two rows is an error, a NULL name is called ``NA``.
+    """
+    name = F.coalesce(F.col(names_from).cast("string"), F.lit("NA"))
+    cells = cut_lineage(df.groupBy(*ids).agg(F.map_from_entries(F.collect_list(F.struct(name, F.col(value_col)))).alias("_cells")))
+    names = sorted(r.name for r in cells.select(F.explode(F.map_keys("_cells")).alias("name")).distinct().collect())
+    return cells.select(*ids, *[F.try_element_at("_cells", F.lit(n)).alias(prefix + n) for n in names])
+
+
 def single_value(cell: Column, value: Column) -> Column:
     """Aggregate: the value of the only row for which ``cell`` holds, NULL without one; fails on two rows.
 
@@ -69,25 +82,16 @@ def check_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).count().filter(F.col("count") > 1)
 
 
-def unheaded(df: DataFrame, headings: DataFrame, measures: Sequence[str] = ("estimate", "share"), group_col: str = "group",
-             join_on: Sequence[str] = ("indicator",)) -> DataFrame:
-    """Indicators that have values but no heading (``join_on`` columns, n): :func:`to_display_wide` leaves them out."""
-    carry = [j for j in join_on if j != "indicator"]
-    long = unpivot_long(df.select(group_col, *carry, *measures), [group_col, *carry], list(measures)).filter(F.col("value").isNotNull())
-    return (long.withColumn("indicator", unite(["type", group_col], " ")).groupBy(*join_on).agg(F.count(F.lit(1)).alias("n"))
-            .join(headings.select(*join_on).distinct(), list(join_on), "left_anti"))
-
-
 def to_display_wide(df: DataFrame, headings: DataFrame, ids: Sequence[str],
                     measures: Sequence[str] = ("estimate", "share"), group_col: str = "group",
                     order: Sequence[str] = (), join_on: Sequence[str] = ("indicator",),
-                    display_values: Sequence[str] | None = None) -> DataFrame:
+                    display_values: Sequence[str] | None = None, report: Observation | None = None) -> DataFrame:
     """Long measures -> ``"{type} {group}"`` -> heading -> wide.
 
     1. unpivot ``measures`` to (type, value), drop NULL values;
     2. ``indicator = type || ' ' || group`` and left-join ``headings``
        (on ``join_on``, e.g. topic+indicator) for ``display``; indicators without
-       a heading have no column (:func:`unheaded` lists them);
+       a heading have no column (``report`` counts their values: ``rows``, ``unmatched``, ``example``);
     3. keep the first row per (ids, indicator) under ``order`` (the bind
        order of topics, made explicit);
     4. pivot ``display`` with the heading order as explicit column list.
@@ -98,7 +102,11 @@ def to_display_wide(df: DataFrame, headings: DataFrame, ids: Sequence[str],
     long = (long.filter(F.col("value").isNotNull())
             .withColumn("indicator", unite(["type", group_col], " ")))
     hd = headings.select(*join_on, "display", *( ["ord"] if "ord" in headings.columns else []))
+    if report is not None:
+        hd = hd.withColumn("__found__", F.lit(True))
     long = null_safe_join(long, hd, list(join_on), "left")
+    if report is not None:
+        long = long.observe(report, *unmatched_metrics(F.col("__found__"), F.concat_ws(" ", *join_on)))
     if display_values is None:
         raise ValueError("display_values (the heading order) is required for a stable pivot")
     firsts = first_per_key(long.select(*ids, "indicator", "display", "value", *order),

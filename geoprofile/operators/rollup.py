@@ -82,8 +82,8 @@ def _mapping(df: DataFrame, spec: Mapping, group_col: str, positions: DataFrame
     return sdf.withColumnRenamed("member", group_col)
 
 
-def _sums(value: str, moe: str | None, null_policy: str, zero_rule: bool, squares: str | None) -> list:
-    """Aggregates of a rollup: estimate, margin and, where given, squared margins."""
+def _sums(value: str, moe: str | None, null_policy: str, zero_rule: bool, squares: str | None, origin: str | None = None) -> list:
+    """Aggregates of a rollup: estimate, margin and, where given, squared margins and the set of sources."""
     aggs = [sum_propagate(value, null_policy).alias(value)]
     if squares and zero_rule:
         raise ValueError("squared margins are summed as they are: zero_rule needs the margins")
@@ -92,6 +92,8 @@ def _sums(value: str, moe: str | None, null_policy: str, zero_rule: bool, square
         aggs += [total.alias(squares), *([root.alias(moe)] if moe else [])]
     elif moe:
         aggs.append(moe_sum(moe, null_policy, value, zero_rule).alias(moe))
+    if origin:
+        aggs.append(F.bit_or(origin).alias(origin))
     return aggs
 
 
@@ -99,7 +101,7 @@ def group_rollup(df: DataFrame, spec: Mapping, keys: Sequence[str], group_col: s
                  positions: DataFrame | None = None, value: str = "estimate", moe: str | None = "moe",
                  by: Sequence[str] = (), out_col: str | None = None,
                  null_policy: str = "propagate", order_col: str | None = "grp_ord",
-                 zero_rule: bool = False, squares: str | None = None) -> DataFrame:
+                 zero_rule: bool = False, squares: str | None = None, origin: str | None = None) -> DataFrame:
     """Sum ``value`` (and combine ``moe``) of categories into named groups.
 
     * ``keys``: grouping keys kept in the output (geography, year, ...).
@@ -112,12 +114,13 @@ def group_rollup(df: DataFrame, spec: Mapping, keys: Sequence[str], group_col: s
     * ``null_policy`` holds for estimates and margins alike; ``zero_rule``: see ``moe_sum``.
     * a decimal ``value`` stays decimal, so its sums do not depend on the order of their parts; ``squares`` names a
       decimal column of squared margins, which is summed and kept in the same way, with ``moe`` as its root.
+    * ``origin``: a column of source bits (see ``prefer_source``), combined over each group in the same aggregation.
     """
     keys, by = list(keys), list(by)
     out_col = out_col or group_col
     mapping = _mapping(df, spec, group_col, positions, by)
     fanned = df.join(mapping, [*by, group_col])
-    aggs = _sums(value, moe, null_policy, zero_rule, squares)
+    aggs = _sums(value, moe, null_policy, zero_rule, squares, origin)
     gkeys = [*dict.fromkeys([*by, *keys])]
     out = (fanned.groupBy(*gkeys, F.col("grp").alias(out_col), "grp_ord").agg(*aggs))
     if order_col and order_col != "grp_ord":

@@ -21,7 +21,8 @@ from ..functions.moe import moe_prop
 
 def calc_shares(df: DataFrame, keys: Sequence[str], group_col: str = "group", denom: str = "total_pop",
                 value: str = "estimate", moe: str | None = "moe", digits: int | None = None,
-                share_col: str = "share", sharemoe_col: str = "sharemoe") -> DataFrame:
+                share_col: str = "share", sharemoe_col: str = "sharemoe", origin: str | None = None,
+                mixed_col: str = "mixed") -> DataFrame:
     """``share = estimate / estimate[group == denom]`` within ``keys``.
 
     * the denominator row itself gets NULL share (and NULL sharemoe);
@@ -29,7 +30,9 @@ def calc_shares(df: DataFrame, keys: Sequence[str], group_col: str = "group", de
       would give NA / Inf;
     * ``digits`` rounds the share HALF_UP (``None`` keeps it unrounded);
     * ``moe``: when given, ``sharemoe`` is the margin of a proportion;
-    * NULL key values form one group together (R's grouping semantics).
+    * NULL key values form one group together (R's grouping semantics);
+    * ``origin``: a column of source bits; ``mixed`` is then true for a share whose numerator and denominator
+      together come from more than one source (NULL for the denominator itself).
     """
     w = Window.partitionBy(*keys)
     is_den = F.col(group_col) == F.lit(denom)
@@ -44,4 +47,7 @@ def calc_shares(df: DataFrame, keys: Sequence[str], group_col: str = "group", de
         if digits is not None:
             smoe = F.round(smoe, digits)
         cols[sharemoe_col] = F.when(~is_den, smoe)
+    if origin:
+        den_origin = F.max(F.when(is_den, F.col(origin))).over(w)
+        cols[mixed_col] = F.when(~is_den, F.bit_count(F.col(origin).bitwiseOR(F.coalesce(den_origin, F.lit(0)))) > 1)
     return df.withColumns(cols)

@@ -216,7 +216,8 @@ def q_suppress_medians(spark, sf):
                                                _r("estimate", 2), _r("moe", 4))
 
 
-def q_prefer_source(spark, sf):
+def source_cells(spark, sf):
+    """(name, year, variable, src, estimate): two sources for one measure, the first of which covers some statuses only."""
     # lines are summed per order BEFORE the join: the partial aggregate
     # collapses a hot order map-side, and its hash partitioning on the
     # order key is the one the join needs, so it adds no exchange
@@ -232,8 +233,11 @@ def q_prefer_source(spark, sf):
                  F.sum("li_est").alias("lineitem"))
             .select(F.col("n_name").alias("name"), "year", S.variable_code("status").alias("variable"),
                     F.col("orders").cast("double").alias("orders"), F.col("lineitem").cast("double").alias("lineitem")))
-    stacked = both.unpivot(["name", "year", "variable"], ["orders", "lineitem"], "src", "estimate")
-    best = prefer_source(stacked, ["name", "year", "variable"], "src", ["orders", "lineitem"], only_listed=True)
+    return both.unpivot(["name", "year", "variable"], ["orders", "lineitem"], "src", "estimate")
+
+
+def q_prefer_source(spark, sf):
+    best = prefer_source(source_cells(spark, sf), ["name", "year", "variable"], "src", ["orders", "lineitem"], only_listed=True)
     return best.select("name", "year", "variable", "src", _r("estimate", 2))
 
 

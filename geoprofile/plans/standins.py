@@ -167,7 +167,7 @@ def labels(spark: SparkSession) -> DataFrame:
 
     Like published survey metadata it is a small fixed dimension built from
     the table's category domains (TPC-H order status and priority), not
-    re-derived from the facts; ``unlabelled`` in operators/labels.py reports
+    re-derived from the facts; the ``report`` of ``label_variables`` counts
     codes of the facts that it lacks.
     """
     rows = [(f"{VAR_PREFIX}", LABEL_ROOT)]

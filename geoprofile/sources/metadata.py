@@ -65,3 +65,18 @@ def explode_json_map(df: DataFrame, col: str, value_type: str = "string", keep=(
     (kept columns, key, value).  Parsing is the JVM ``from_json``."""
     m = F.from_json(F.col(col), f"map<string,{value_type}>")
     return df.select(*keep, F.explode(m).alias(key_col, value_col))
+
+
+def explode_json_variant(df: DataFrame, col: str, keep=()) -> DataFrame:
+    """R9/S10 for objects of MIXED values: one row per (kept columns, key, kind, value), whatever the values are.
+
+    The text becomes a VARIANT, so numbers, texts, flags, lists and objects stand side by side without a declared
+    type: ``kind`` is the value's own type, ``value`` its text (JSON for lists and objects, NULL for a JSON null).  What is no JSON object, and
+    an empty one, has no rows.
+    """
+    parsed = df.select(*keep, F.try_parse_json(F.col(col)).alias("_json"))
+    objects = parsed.filter(F.schema_of_variant("_json").startswith("OBJECT"))
+    rows = objects.lateralJoin(df.sparkSession.tvf.variant_explode(F.col("_json").outer()))
+    kind = F.schema_of_variant("value")
+    text = F.when(kind.rlike("^(OBJECT|ARRAY)"), F.to_json("value")).otherwise(F.try_variant_get("value", "$", "string"))
+    return rows.select(*keep, "key", F.regexp_replace(kind, "^(OBJECT|ARRAY).*$", "$1").alias("kind"), text.alias("value"))

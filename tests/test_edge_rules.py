@@ -1,15 +1,16 @@
 """Edge rules of readers, text functions and operators."""
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from geoprofile.functions import text as T
 from geoprofile.functions.moe import moe_sum
 from geoprofile.operators._util import param_frame
-from geoprofile.operators.assembly import unmatched, wide_profile
-from geoprofile.operators.labels import unlabelled
+from geoprofile.operators.assembly import wide_profile
+from geoprofile.operators.labels import label_variables
 from geoprofile.operators.merge import first_per_key, prefer_source, slice_frame, slices
-from geoprofile.operators.reshape import pivot_wide, unheaded, wide_measures
+from geoprofile.operators.reshape import pivot_wide, to_display_wide, wide_measures
 from geoprofile.plans.distribution import write_distribution
 from geoprofile.sources.csv import read_csv, write_csv
 from geoprofile.sources.snapshot import read_keyed
@@ -92,11 +93,16 @@ def test_a_pivot_cell_holds_one_row(spark):
 def test_reports_of_what_falls_out(spark):
     df = spark.createDataFrame([("t", "g", 1.0, 0.5), ("t", "h", 1.0, None)], "topic string, group string, estimate double, share double")
     hd = spark.createDataFrame([("estimate g", "G")], "indicator string, display string")
-    assert {r.indicator for r in unheaded(df, hd).collect()} == {"share g", "estimate h"}
-    est = spark.createDataFrame([("v1",), ("v2",), ("v2",)], "variable string")
+    heads, codes = Observation("heads"), Observation("codes")
+    wide = to_display_wide(df, hd, ["topic"], display_values=["G"], report=heads)
+    assert [tuple(r) for r in wide.collect()] == [("t", 1.0)] and wide.columns == ["topic", "G"]
+    assert heads.get == {"rows": 3, "unmatched": 2, "example": "estimate h"}
+    est = spark.createDataFrame([("v1",), ("v2",), ("v2",), (None,)], "variable string")
     labels = spark.createDataFrame([("v1", "Total")], "variable string, label string")
-    assert [(r.variable, r.n) for r in unlabelled(est, labels, ["variable"]).collect()] == [("v2", 2)]
-    assert [r.topic for r in unmatched(df.select(F.lit("q").alias("topic")), df, ["topic"]).collect()] == ["q"]
+    assert label_variables(est, labels, ["variable"], report=codes).count() == 4
+    assert codes.get == {"rows": 4, "unmatched": 3, "example": ""}
+    with pytest.raises(ValueError):
+        label_variables(est, labels, ["variable"], how="inner", report=codes)
 
 
 def test_slices_by_level(spark):
@@ -122,7 +128,9 @@ def test_wide_profile(spark):
                        ["Town", "County", "Total", "Total share", "Low", "Low share", "Level"], measures=("estimate", "share"),
                        percents={"share$": 0.1}, clean={"name": T.replace_first("name", "(?<= County)$", ", Here"), "county": T.remove_first("county", " County$")})
     assert sorted(map(tuple, out.collect()), key=str) == [("X County, Here", "Y", 10.0, None, 4.0, "40.0%", "towns"), ("X County, Here", "Y", None, None, 5.0, "50.0%", "regions")]
-    assert [r.name for r in unmatched(county, long, ["name"]).collect()] == ["Lost"]
+    report, lost = Observation("lookups"), long.withColumn("name", F.lit("Nowhere"))
+    wide_profile(long.unionByName(lost.filter("level = 'towns'")), ["level", "name"], ["total", "low"], [(county, ["name"]), (county, ["name"])], ["name"], measures=("estimate",), report=report).collect()
+    assert report.get == {"0_rows": 3, "0_unmatched": 1, "0_example": "Nowhere", "1_rows": 3, "1_unmatched": 1, "1_example": "Nowhere"}
 
 
 def test_distribution_runs_its_input_once(spark, tmp_path):
