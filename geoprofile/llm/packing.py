@@ -27,7 +27,7 @@ import hashlib
 import zlib
 from collections import deque
 from collections.abc import Iterator
-from itertools import islice
+from itertools import groupby, islice
 
 import numpy as np
 import pyarrow as pa
@@ -53,13 +53,16 @@ class WordTokens:
 
     The vocabulary drops white space and letter case, and its pattern never matches across
     white space, so the ids of a text are those of its words in turn.  Words are
-    tokenized many at a time; offsets tell whose ids are whose.
+    tokenized many at a time; offsets tell whose ids are whose.  A text that holds one of the file's
+    control strings, which the tokenizer finds in the text as it is written, is given to it as a whole.
     """
 
     def __init__(self, spec: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_str(spec)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = True  # words are lower-cased, so what looks like a control string need not be one
+        self.whole = Tokenizer.from_str(spec)
+        self.controls = [t.content.encode() for t in self.whole.get_added_tokens_decoder().values()]
         vocab = self.tokenizer.get_vocab()
         self.sentence_ids = np.array(sorted(vocab[t] for t in (".</w>", "!</w>", "?</w>") if t in vocab), np.int32)
         self.clear()
@@ -69,15 +72,22 @@ class WordTokens:
         self.flat = np.array([END_ID], np.int32)
         self.start = np.array([0, 1], np.int64)
 
-    def _tokenize(self, words: list[bytes]) -> None:
+    def _tokenize(self, words: list) -> None:
         flat, sizes = [self.flat], []
-        for k in range(0, len(words), JOINED_WORDS):
-            joined = b" ".join(words[k:k + JOINED_WORDS]).decode()
-            found = self.tokenizer.encode(joined, add_special_tokens=False)
-            spaces = np.flatnonzero(np.frombuffer(joined.encode("utf-32-le"), np.uint32) == 32)
-            first = np.fromiter((o[0] for o in found.offsets), np.int64)
-            flat.append(np.array(found.ids, np.int32))
-            sizes.append(np.bincount(np.searchsorted(spaces, first), minlength=len(spaces) + 1))
+        for whole, some in groupby(words, lambda w: isinstance(w, tuple)):
+            some = list(some)
+            if whole:
+                for text, in some:
+                    flat.append(np.array(self.whole.encode(text.decode(), add_special_tokens=False).ids, np.int32))
+                    sizes.append([len(flat[-1])])
+                continue
+            for k in range(0, len(some), JOINED_WORDS):
+                joined = b" ".join(some[k:k + JOINED_WORDS]).decode()
+                found = self.tokenizer.encode(joined, add_special_tokens=False)
+                spaces = np.flatnonzero(np.frombuffer(joined.encode("utf-32-le"), np.uint32) == 32)
+                first = np.fromiter((o[0] for o in found.offsets), np.int64)
+                flat.append(np.array(found.ids, np.int32))
+                sizes.append(np.bincount(np.searchsorted(spaces, first), minlength=len(spaces) + 1))
         self.flat = np.concatenate(flat)
         self.start = np.concatenate((self.start, self.start[-1] + np.cumsum(np.concatenate(sizes))))
 
@@ -89,7 +99,10 @@ class WordTokens:
         words: list[int] = []
         find = self.number.__getitem__
         for text in data:
-            words += map(find, text.lower().split())
+            if b"<|" in text and any(c in text for c in self.controls):
+                words.append(find((text,)))
+            else:
+                words += map(find, text.lower().split())
             words.append(0)
         if len(self.number) > known:
             self._tokenize(list(islice(self.number, known, None)))

@@ -12,9 +12,8 @@ from tokenizers import Tokenizer
 
 @pytest.fixture(scope="module")
 def plain():
-    t = Tokenizer.from_str(M.tokenizer_spec())
-    t.encode_special_tokens = True
-    return t
+    from public_tokenizers import path
+    return Tokenizer.from_file(str(path("word_bpe_49k.json")))  # as it is
 
 
 @pytest.fixture(scope="module")
@@ -32,6 +31,15 @@ def test_ids_of_words_are_ids_of_the_text(plain, words, texts):
         start = end
 
 
+def test_control_strings_are_the_files_own(plain, words):
+    texts = ["<|endoftext|>", "a<|startoftext|>B  c.<|endoftext|>\u0301x", "<|ENDOFTEXT|> <|EndOfText|>", "plain <|endoftext", "<|endoftext|>", "", "b <|startoftext|>"]
+    assert plain.encode(texts[0], add_special_tokens=False).ids == [49407]
+    test_ids = [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    for _ in range(2):  # new, then known
+        stream, ends = words.encode([t.encode() for t in texts])
+        assert [stream[a:b].tolist() for a, b in zip([0, *ends], ends)] == [[*ids, 1] for ids in test_ids]
+
+
 def cost_of(ends, cost, window):
     total, last = 0, 0
     for e in ends:

@@ -36,9 +36,7 @@ def strip(texts, length=400):
 
 @pytest.fixture(scope="module")
 def plain():
-    t = Tokenizer.from_str(packing.tokenizer_spec())
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_str(packing.tokenizer_spec())
 
 
 def test_each_stage_against_brute_force(spark, small, tmp_path, plain):
