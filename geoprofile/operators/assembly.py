@@ -21,8 +21,8 @@ def wide_profile(profile: DataFrame, keys: Sequence[str], groups: Sequence[str],
     """Pivot, join, lay out, format and name, in that order.
 
     1. of rows with the same ``keys`` and group the first by ``first`` stays (a group
-       that several topics report is reported once); ``keys`` has the level, so that a town
-       and a county of one name stay apart;
+       that several topics report is reported once), or is the only one, which the pivot checks, where
+       ``profile`` has none of these columns; ``keys`` has the level, so that a town and a county of one name stay apart;
     2. ``groups`` x ``measures`` become columns ``{group}_{measure}``;
     3. ``lookups`` are left-joined, each on its own columns (NULL matches NULL);
        ``report`` counts, in the same job, the rows that found no partner: ``{i}_rows``, ``{i}_unmatched``, ``{i}_example`` for lookup i;
@@ -33,7 +33,9 @@ def wide_profile(profile: DataFrame, keys: Sequence[str], groups: Sequence[str],
     """
     keys = list(keys)
     order = [o for o in first if o in profile.columns]
-    once = first_per_key(profile.select(*keys, "group", *measures, *order), [*keys, "group"], order or ["group"])
+    once = profile.select(*keys, "group", *measures, *order)
+    if order:
+        once = first_per_key(once, [*keys, "group"], order)
     out = wide_measures(once, keys, "group", list(groups), list(measures))
     for i, (lookup, on) in enumerate(lookups):
         out = null_safe_join(out, lookup if report is None else lookup.withColumn(f"__found{i}__", F.lit(True)), list(on))

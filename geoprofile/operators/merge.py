@@ -138,6 +138,6 @@ def slices(df: DataFrame, by_name: DataFrame, name_col: str = "name", city_col:
     b = df.join(cities, df[city_col] == cities["_c"]).drop("_c")
     already = names.withColumnRenamed("_n", name_col)
     if levels is not None:
-        already = already.join(param_frame(df.sparkSession, [(x,) for x in levels], f"{level_col} string"))
+        already = already.withColumn(level_col, F.explode(F.array(*[F.lit(x) for x in levels])))  # no join without a key
     b = b.join(already, [c for c in already.columns], "left_anti")
     return a.unionByName(b)

@@ -60,19 +60,19 @@ def q_optional_columns(spark, sf):
 
 
 def q_sorted_levels(spark, sf):
-    """Rows of each slice numbered by level, then city with NULL last, then name."""
+    """Rows of each slice and variable numbered by level, then city with NULL last, then name."""
     by_name = slice_frame(spark, SLICES, always=[S.STATE_NAME])
-    rows = slices(profile_long(spark, sf).filter(F.col("variable") == S.VAR_PREFIX), by_name, city_of_slice={k: k for k in SLICES},
+    rows = slices(profile_long(spark, sf), by_name, city_of_slice={k: k for k in SLICES},
                   levels=["1_state", "4_towns"])
-    order = Window.partitionBy("slice").orderBy(level_ordinal(), F.asc_nulls_last("city"), "name", "year")  # a slice is a few areas
-    return rows.select("slice", "level", "city", "name", "year", F.row_number().over(order).alias("row"))
+    order = Window.partitionBy("slice", "variable").orderBy(level_ordinal(), F.asc_nulls_last("city"), "name", "year")  # a slice is a few areas
+    return rows.select("slice", "variable", "level", "city", "name", "year", F.row_number().over(order).alias("row"))
 
 
 def q_filtered_regions(spark, sf):
     geo = S.geography(spark, sf)
     levels = level_map(geo, "n_name", "4_towns").unionByName(membership_frame(spark, CUSTOM_REGIONS, "3_regions", without="B$"))
-    out = geo_levels(S.town_estimates(spark, sf).filter(F.col("variable") == S.VAR_PREFIX), levels, carry=("year",))
-    return out.select("level", "name", "year", F.round("estimate", 2).alias("estimate"), F.round("moe", 4).alias("moe"))
+    out = geo_levels(S.town_estimates(spark, sf), levels)
+    return out.select("level", "name", "variable", "year", F.round("estimate", 2).alias("estimate"), F.round("moe", 4).alias("moe"))
 
 
 def q_first_per_key(spark, sf):

@@ -38,18 +38,18 @@ sl(slice, name) AS (VALUES ('nation_0', 'AFRICA'), ('nation_0', 'NATION_0'), ('n
                            ('nation_1', 'AMERICA'), ('nation_1', 'NATION_1'), ('nation_1', 'NATION_6'),
                            ('nation_1', 'World'), ('nation_5', 'AFRICA'), ('nation_5', 'NATION_5'), ('nation_5', 'World')),
 picked AS (SELECT sl.slice, l.* FROM lng l JOIN sl ON l.name = sl.name
-           WHERE l.variable = 'ord' AND l.level IN ('1_state', '4_towns')
+           WHERE l.level IN ('1_state', '4_towns')
            UNION ALL
-           SELECT s.slice, l.* FROM lng l JOIN (SELECT DISTINCT slice FROM sl) s ON l.city = s.slice WHERE l.variable = 'ord')
-SELECT slice, level, city, name, year,
-       CAST(row_number() OVER (PARTITION BY slice ORDER BY level, city NULLS LAST, name, year) AS INTEGER) AS "row" FROM picked"""
+           SELECT s.slice, l.* FROM lng l JOIN (SELECT DISTINCT slice FROM sl) s ON l.city = s.slice)
+SELECT slice, variable, level, city, name, year,
+       CAST(row_number() OVER (PARTITION BY slice, variable ORDER BY level, city NULLS LAST, name, year) AS INTEGER) AS "row" FROM picked"""
 
 Q["filtered_regions"] = _with(*BASE) + """
 , lm(leaf, level, name) AS (SELECT n_name, '4_towns', n_name FROM nation
                             UNION ALL SELECT * FROM (VALUES ('NATION_0', '3_regions', 'Ring A'), ('NATION_1', '3_regions', 'Ring A'),
                                                             ('NATION_5', '3_regions', 'Ring A')))
-SELECT lm.level, lm.name, t.year, round(sum(t.estimate), 2) AS estimate, round(sqrt(sum(t.moe * t.moe)), 4) AS moe
-FROM town t JOIN lm ON t.name = lm.leaf WHERE t.variable = 'ord' GROUP BY lm.level, lm.name, t.year"""
+SELECT lm.level, lm.name, t.variable, t.year, round(sum(t.estimate), 2) AS estimate, round(sqrt(sum(t.moe * t.moe)), 4) AS moe
+FROM town t JOIN lm ON t.name = lm.leaf GROUP BY lm.level, lm.name, t.variable, t.year"""
 
 Q["first_per_key"] = """
 WITH o AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, nullif(o_orderpriority, '1-URGENT') AS o_orderpriority FROM orders)

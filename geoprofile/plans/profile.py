@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from ..functions.moe import moe_prop, moe_sum
 from ..functions.text import unite
-from ..operators._util import param_frame, sum_propagate
+from ..operators._util import sum_propagate
 from ..operators.labels import split_label
 from ..operators.rollup import category_positions, spec_frame
 
@@ -83,7 +83,7 @@ def _part_mapping(labels: DataFrame, t: Topic, year: Sequence[str]) -> DataFrame
     if t.stage1:
         col, spec = t.stage1
         out = out.join(members(spec, col, "_s"), [*keys, col])
-        group, order, denom = unite(["_s", "_g"]), F.col("_s_ord") * 1000 + F.col("_g_ord"), unite(["_s", F.lit(t.denom)]) if t.denom else denom
+        group, order, denom = unite(["_s", "_g"]), F.col("_s_ord") * max(1000, len(t.spec) + 1) + F.col("_g_ord"), unite(["_s", F.lit(t.denom)]) if t.denom else denom
     out = out.select(*year, "variable", group.alias("group"), order.cast("int").alias("grp_ord"), denom.alias("denom"))
     return out
 
@@ -115,8 +115,8 @@ def build_profile(estimates: DataFrame, labels: DataFrame, topics: Mapping[str,
     df = estimates.na.fill({"moe": fill_moe}) if moe and fill_moe is not None else estimates
     year = [c for c in label_on if c != "variable"]
     if "tbl" not in labels.columns:
-        used = [(t.tbl,) for v in topics.values() for t in ([v] if isinstance(v, Topic) else v)]
-        labels = labels.join(param_frame(labels.sparkSession, sorted(set(used)), "tbl string"))
+        used = sorted({t.tbl for v in topics.values() for t in ([v] if isinstance(v, Topic) else v)})
+        labels = labels.withColumn("tbl", F.explode(F.array(*[F.lit(x) for x in used])))  # no join without a key
     named = df.join(topic_mapping(labels, topics, year), ["tbl", *label_on])
     parts = [(name, k, t) for name, v in topics.items() for k, t in enumerate([v] if isinstance(v, Topic) else v)]
     for name, k, t in parts:
