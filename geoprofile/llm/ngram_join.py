@@ -13,7 +13,7 @@ counts make the list (1/HOT_SHARE entries at most), which is sent to the tasks.
 gives the same links: it only decides how soon unequal texts are told apart.
 
 Classes that share a token under the first order meet by that token: groups of up to SMALL
-classes as pairs, which then pass the other two orders one after the other, larger groups in blocks,
+classes as pairs (if what follows the token in both prefixes and sets leaves enough to share), which then pass the other two orders one after the other, larger groups in blocks,
 where the filters run on matrices.  What is left, candidate links, falls into clusters (connected
 components), and the texts of a cluster are sent once, or, beyond BLOCK members, in pairs of blocks dealt out by
 hash.  There the filters and the verification run on matrices, so neither a
@@ -96,19 +96,36 @@ class Orders:
         self.place = np.empty(len(by), np.int64)
         self.place[np.lexsort((self.common, counts[by]))] = np.arange(1, len(by) + 1)
 
-    def prefix(self, tokens: np.ndarray, order: int, percent: int = PERCENT) -> np.ndarray:
-        n = len(tokens)
-        if not n:
-            return tokens
-        size = n - (percent * n + 99) // 100 + 1
-        with np.errstate(over="ignore"):
-            key = mix(tokens ^ SALTS[order])
-        place = np.zeros(n, np.int64)
+    def prefixes(self, sets: list[np.ndarray], percent: int = PERCENT) -> list[list[np.ndarray]]:
+        """For each order, the prefix of each set (none empty), first token first."""
+        out: list[list[np.ndarray]] = [[], [], []]
+        if not sets:
+            return out
+        flat = np.concatenate(sets)
+        place = np.zeros(len(flat), np.int64)
         if len(self.common):
-            at = np.searchsorted(self.common, tokens)
+            at = np.searchsorted(self.common, flat)
             at[at == len(self.common)] = 0
-            place = np.where(self.common[at] == tokens, self.place[at], 0)
-        return tokens[np.lexsort((key, place))[:size]]
+            place = np.where(self.common[at] == flat, self.place[at], 0)
+        with np.errstate(over="ignore"):
+            keys = [mix(flat ^ SALTS[k]) for k in range(3)]
+        start = 0
+        for tokens in sets:
+            n = len(tokens)
+            size = n - (percent * n + 99) // 100 + 1
+            own = place[start:start + n]
+            rare = np.flatnonzero(own == 0)
+            last = np.flatnonzero(own)
+            last = last[np.argsort(own[last], kind="stable")][:max(0, size - len(rare))]  # common tokens, the commonest at the end
+            for k in range(3):
+                key = keys[k][start + rare]
+                some = np.argpartition(key, size - 1)[:size] if size < len(rare) else np.arange(len(rare))
+                out[k].append(tokens[np.concatenate((rare[some[np.argsort(key[some])]], last))])
+            start += n
+        return out
+
+    def prefix(self, tokens: np.ndarray, order: int, percent: int = PERCENT) -> np.ndarray:
+        return self.prefixes([tokens], percent)[order][0] if len(tokens) else tokens
 
 
 def linked(a: np.ndarray, b: np.ndarray, shared: int, percent: int = PERCENT) -> bool:
@@ -213,7 +230,7 @@ def _prefixes(sent, shingle: int, percent: int):
     def run(batches):
         for _, data in byte_batches(batches, RUN_BYTES):
             sets = [x for x in shingle_sets(data, shingle) if len(x)]
-            own = [[sent.value.prefix(x, k, percent).view(np.int64) for x in sets] for k in range(3)]
+            own = [[x.view(np.int64) for x in prefixes] for prefixes in sent.value.prefixes(sets, percent)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([class_id(x) for x in sets], pa.int64()), pa.array([len(x) for x in sets], pa.int32()), pa.array(own[0], pa.list_(pa.int64())),
                  *[pa.array([x.astype(np.int32) for x in own[k]], pa.list_(pa.int32())) for k in (1, 2)]], ["class", "size", "p0", "p1", "p2"])
@@ -274,14 +291,17 @@ def _in_groups(rows: DataFrame, names: list[str], links_of) -> DataFrame:
 def candidates(source: DataFrame, sent, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """u, v: pairs of classes that pass all filters, or for large groups links that join the same classes."""
     signed = written(source.mapInArrow(_prefixes(sent, shingle, percent), "class long, size int, p0 array<long>, p1 array<int>, p2 array<int>"))
-    rows = (signed.select(F.explode("p0").alias("token"), "class", "size").repartition("token")
-            .groupBy("token", "class").agg(F.max("size").alias("size")))
+    rows = (signed.select(F.posexplode("p0").alias("at", "token"), "class", "size").repartition("token")
+            .groupBy("token", "class").agg(F.max("size").alias("size"), F.min("at").alias("at")))
     groups = rows.groupBy("token").agg(F.count("*").alias("members"), F.max("size").alias("top")).filter("members > 1 and top > 0")
     met = shared_checkpoint(rows.join(groups.drop("top"), "token"))
 
     small = met.filter(F.col("members") <= SMALL)
     x, y = small.alias("x"), small.alias("y")
+    # of their first common token on, the sets can share what is left of the shorter rest; a link needs more than that rules out
+    left = F.least(F.col("x.size") - F.col("x.at"), F.col("y.size") - F.col("y.at")).cast("long")
     pairs = (x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.class") < F.col("y.class"))
+                    & ((100 + percent) * left >= percent * (F.col("x.size") + F.col("y.size")).cast("long"))
                     & (100 * F.least("x.size", "y.size").cast("long") >= percent * F.greatest("x.size", "y.size").cast("long")))
              .select(F.col("x.class").alias("u"), F.col("y.class").alias("v")).distinct())
     for p in ("p1", "p2"):
@@ -311,7 +331,7 @@ def links(source: DataFrame, classes: DataFrame, shingle: int = SHINGLE, percent
         one = dict(zip(columns["class"], range(len(columns["class"]))))  # repeated rows once
         at = list(one.values())
         sets = shingle_sets([columns["text"][i].encode() for i in at], shingle)
-        prefixes = [[sent.value.prefix(x, k, percent) for x in sets] for k in range(3)]
+        prefixes = sent.value.prefixes(sets, percent)
         return block_links(list(one), _marked(columns)[at], np.array([len(x) for x in sets]), prefixes, sets, percent)
 
     return _in_groups(_dealt(held, "cluster"), ["cluster", "a", "b"], verified)
