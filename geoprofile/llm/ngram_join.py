@@ -158,10 +158,11 @@ def meetings(lists: list[np.ndarray], rows: np.ndarray, cols: np.ndarray) -> np.
     order = np.argsort(column, kind="stable")
     owner, column = owner[order], column[order]
     out = np.zeros((len(rows), len(cols)), np.float32)
+    columns = int((n > 1).sum())
     width = max(1, CELLS // len(lists))
-    for first in range(0, int((n > 1).sum()), width):
+    for first in range(0, columns, width):
         a, b = np.searchsorted(column, (first, first + width))
-        m = np.zeros((len(lists), width), np.float32)
+        m = np.zeros((len(lists), min(width, columns - first)), np.float32)
         m[owner[a:b], column[a:b] - first] = 1
         out += m[rows] @ m[cols].T
     return out
