@@ -60,6 +60,15 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def by_place(docs: DataFrame, *wanted: str) -> tuple:
+    """``docs`` with its columns named c0, c1, .. by place, and what the wanted ones are called now.
+
+    So no name that a column may have clashes with one that an operator adds, or needs quoting.
+    """
+    names = [n.lower() for n in docs.columns]
+    return docs.toDF(*(f"c{i}" for i in range(len(names)))), *(f"c{names.index(w.lower())}" for w in wanted)
+
+
 class Numbers(dict):
     """Numbers keys in the order in which they are first looked up."""
 
@@ -69,18 +78,9 @@ class Numbers(dict):
 
 
 def byte_batches(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[list, list[bytes]]]:
-    """(ids, texts as bytes) in runs of about ``most`` bytes, one text at least."""
-    for batch in batches:
-        ids = batch.column("doc_id").to_pylist()
-        data = batch.column("text").cast(pa.binary()).to_pylist()
-        start = size = 0
-        for i, text in enumerate(data):
-            if size and size + len(text) > most:
-                yield ids[start:i], data[start:i]
-                start, size = i, 0
-            size += len(text)
-        if start < len(ids):
-            yield ids[start:], data[start:]
+    """(ids, texts as bytes) in runs of about ``most`` bytes, one text at least; no more than a run is held as Python objects."""
+    for batch in sliced(batches, most):
+        yield batch.column("doc_id").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist()
 
 
 def sliced(batches: Iterator[pa.RecordBatch], most: int, column: str = "text") -> Iterator[pa.RecordBatch]:

@@ -22,11 +22,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_batches, shared_checkpoint, table, texts, written
-from .picking import parted, text_hashes
+from .common import by_place, byte_batches, shared_checkpoint, table, texts, written
+from .picking import matched, text_hashes
 
 MIN_CHUNK = 512
 MAX_CHUNK = 16384
@@ -145,16 +145,15 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, all columns as they were."""
-    found = exact_dedup(docs, id_col, text_col, with_hash=True)
+    plain, own_id, own_text = by_place(docs, id_col, text_col)
+    found = exact_dedup(plain, own_id, own_text, with_hash=True)
     shared = written(found.filter("group_size > 1").select("doc_id", "text_hash", "kept"))
-    untouched, near = parted(docs, shared, id_col, text_col)
-    known = shared.groupBy("doc_id", "text_hash").agg(F.max("kept").alias("kept")).toDF("__id__", "__hash__", "__kept__")
-    # repeated rows, the same id and text, are one; chance hits of the bitmap are left alone
-    one = Window.partitionBy(id_col, "__text_hash__", "__alone__").orderBy("__text_hash__")
-    return untouched.unionByName(
-        near.join(known, near[id_col].cast("long").eqNullSafe(known["__id__"]) & (near["__text_hash__"] == known["__hash__"]), "left")
-        .filter("__kept__ is null or __kept__").withColumn("__alone__", F.when(F.col("__kept__").isNull(), F.monotonically_increasing_id()))
-        .withColumn("__row__", F.row_number().over(one)).filter("__row__ = 1").select(*docs.columns))
+    # repeated rows, the same id and text, are one
+    known = shared.groupBy("doc_id", "text_hash").agg(F.max("kept").alias("kept"), (F.count("*") > 1).alias("several"))
+    untouched, near = matched(plain, known, own_id, own_text)
+    stay = near.filter("kept is null or kept")
+    one = stay.filter("several").groupBy("doc_id", "text_hash").agg(F.first(F.struct(*plain.columns)).alias("row")).select("row.*")
+    return untouched.unionByName(stay.filter("not coalesce(several, false)").select(*plain.columns)).unionByName(one).toDF(*docs.columns)
 
 
 def op9_exact_dedup(spark, sf_dir: str) -> DataFrame:

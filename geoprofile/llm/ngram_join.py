@@ -36,9 +36,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Numbers, byte_batches, shared_checkpoint, table, texts, written
+from .common import Numbers, by_place, byte_batches, shared_checkpoint, table, texts, written
 from .components import components
-from .picking import SALTS, mix, parted, picked, text_hashes
+from .picking import SALTS, matched, mix, picked, text_hashes
 
 SHINGLE, PERCENT = 3, 90
 RUN_BYTES = 8 << 20
@@ -368,12 +368,10 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     Rows that repeat both the id and the text of the one that stays, stay with it (exact dedup goes before).
     """
-    gone = written(near_groups(docs, id_col, text_col, shingle, percent).filter("not kept").select("doc_id", "text_hash").distinct())
-    untouched, near = parted(docs, gone, id_col, text_col)
-    known = gone.toDF("__id__", "__hash__")
-    return untouched.unionByName(
-        near.join(known, near[id_col].cast("long").eqNullSafe(known["__id__"]) & (near["__text_hash__"] == known["__hash__"]), "left_anti")
-        .select(*docs.columns))
+    plain, own_id, own_text = by_place(docs, id_col, text_col)
+    gone = written(near_groups(plain, own_id, own_text, shingle, percent).filter("not kept").select("doc_id", "text_hash").distinct())
+    untouched, near = matched(plain, gone, own_id, own_text, "left_anti")
+    return untouched.unionByName(near.select(*plain.columns)).toDF(*docs.columns)
 
 
 def op10_ngram_join(spark, sf_dir: str) -> DataFrame:

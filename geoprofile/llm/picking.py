@@ -13,7 +13,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, LongType, StructField, StructType
+from pyspark.sql.types import BinaryType, BooleanType, LongType, StructField, StructType
 
 from .common import byte_batches, sliced
 
@@ -53,28 +53,30 @@ def bitmap(rows: DataFrame) -> np.ndarray:
     return out
 
 
-def _picking(bits):
+def _picking(bits, kind):
     def run(batches):
         for ids, data in byte_batches(batches, RUN_BYTES):
             known = pa.array(ids, pa.int64())
             hashes = text_hashes(data)
             at = row_bit(known.fill_null(0).to_numpy(), hashes)
             keep = pa.array((bits.value[at // 8] >> (at % 8).astype(np.uint8)) & 1 == 1)
-            yield pa.RecordBatch.from_arrays([known.filter(keep), pa.array(hashes).filter(keep), pa.array(data, pa.binary()).cast(pa.string()).filter(keep)],
+            yield pa.RecordBatch.from_arrays([known.filter(keep), pa.array(hashes).filter(keep), pa.array(data, pa.binary()).filter(keep).cast(kind)],
                                              ["doc_id", "text_hash", "text"])
     return run
 
 
 def picked(source: DataFrame, wanted: DataFrame) -> DataFrame:
-    """doc_id, text_hash, text of all rows of ``source`` (doc_id, text) that ``wanted`` (doc_id, text_hash, ..) has, and a few others."""
+    """doc_id, text_hash, text of all rows of ``source`` (doc_id, text: string or binary) that ``wanted`` (doc_id, text_hash, ..) has, and a few others."""
     bits = source.sparkSession.sparkContext.broadcast(bitmap(wanted))  # BITS bits
-    return source.mapInArrow(_picking(bits), "doc_id long, text_hash long, text string")
+    kind = source.schema["text"].dataType
+    return source.mapInArrow(_picking(bits, pa.binary() if kind == BinaryType() else pa.string()), f"doc_id long, text_hash long, text {kind.simpleString()}")
 
 
-def parted(docs: DataFrame, wanted: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """The rows of ``docs`` that ``wanted`` (doc_id, text_hash, ..) certainly lacks, and the others with ``__text_hash__``.
+def matched(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, how: str = "left") -> tuple[DataFrame, DataFrame]:
+    """The rows of ``docs`` that ``wanted`` certainly lacks; and the others with their own_hash, joined with ``wanted``.
 
-    Only the second part, the wanted rows and a few others, has to be joined.
+    docs: columns named ``by_place``; wanted: doc_id, text_hash and further columns, one row each.  Only the
+    second part, the wanted rows and a few others, is shuffled.
     """
     bits = docs.sparkSession.sparkContext.broadcast(bitmap(wanted))  # BITS bits
 
@@ -83,7 +85,8 @@ def parted(docs: DataFrame, wanted: DataFrame, id_col: str = "doc_id", text_col:
             hashes = text_hashes([t or b"" for t in batch.column(text_col).cast(pa.binary()).to_pylist()])
             at = row_bit(batch.column(id_col).cast(pa.int64()).fill_null(0).to_numpy(), hashes)
             near = (bits.value[at // 8] >> (at % 8).astype(np.uint8)) & 1 == 1
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(hashes), pa.array(near)], [*batch.schema.names, "__text_hash__", "__near__"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(hashes), pa.array(near)], [*batch.schema.names, "own_hash", "near"])
 
-    marked = docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("__text_hash__", LongType()), StructField("__near__", BooleanType())]))
-    return marked.filter("not __near__").select(*docs.columns), marked.filter("__near__").drop("__near__")
+    marked = docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("own_hash", LongType()), StructField("near", BooleanType())]))
+    same = F.col(id_col).cast("long").eqNullSafe(F.col("doc_id")) & (F.col("own_hash") == F.col("text_hash"))
+    return marked.filter("not near").select(*docs.columns), marked.filter("near").drop("near").join(wanted, same, how)

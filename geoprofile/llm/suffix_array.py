@@ -1,47 +1,54 @@
-"""Suffix arrays of a shard of byte strings in numpy."""
+"""Suffix arrays of a shard of strings of bytes, or of 64-bit codes, in numpy."""
 
 from __future__ import annotations
 
 import numpy as np
 
-FIRST = 7  # symbols in a sort key: bytes and the end of a string, nine bits each
-
 
 class Shard:
-    """The strings of a shard end to end; no comparison runs past a string's end, which sorts before any byte."""
+    """The strings of a shard end to end; no comparison runs past a string's end, which sorts before any symbol.
+
+    A symbol is a byte (``unit`` 1), or a code of 8 bytes, known by its rank in the shard.
+    """
 
-    def __init__(self, strings: list[bytes]):
-        self.size = np.fromiter(map(len, strings), np.int64, len(strings))
+    def __init__(self, strings: list[bytes], unit: int = 1):
+        self.size = np.fromiter(map(len, strings), np.int64, len(strings)) // unit
         self.start = np.cumsum(self.size) - self.size
-        self.data = np.frombuffer(b"".join(strings) + bytes(FIRST), np.uint8)
-        self.n = len(self.data) - FIRST
-        self.left = np.repeat(self.start + self.size, self.size) - np.arange(self.n)  # bytes to the string's end
-        self.key = np.zeros(self.n, np.int64)  # the next FIRST symbols
-        for k in range(FIRST):
-            self.key <<= 9
+        data, kinds = np.frombuffer(b"".join(strings), np.uint8), 256
+        if unit > 1:
+            codes, data = np.unique(data.view("<u8"), return_inverse=True)
+            kinds = len(codes)
+        bits = max(kinds, 1).bit_length()
+        self.first = min(7, 63 // bits)  # symbols in a sort key, the end of a string being one
+        self.n = len(data)
+        self.data = np.concatenate((data, np.zeros(self.first, data.dtype)))
+        self.left = np.repeat(self.start + self.size, self.size) - np.arange(self.n)  # symbols to the string's end
+        self.key = np.zeros(self.n, np.int64)  # the next symbols
+        for k in range(self.first):
+            self.key <<= bits
             self.key += np.where(self.left > k, self.data[k:k + self.n].astype(np.int64) + 1, 0)
 
     def sorted(self) -> tuple[np.ndarray, np.ndarray]:
         """Suffix array, and the rank of each suffix; equal suffixes of two strings are ordered by place.
 
         Larsson-Sadakane refinement: groups of suffixes that agree in their first h
-        symbols are refined by the rank of the suffix h bytes on, which sorts them by 2h;
+        symbols are refined by the rank of the suffix h symbols on, which sorts them by 2h;
         groups of one are left alone.
         """
         sa = np.argsort(self.key, kind="stable")
         k = self.key[sa]
         fresh = np.ones(self.n, bool)
-        fresh[1:] = (k[1:] != k[:-1]) | (self.left[sa[1:]] < FIRST)  # a suffix that short is alone
+        fresh[1:] = (k[1:] != k[:-1]) | (self.left[sa[1:]] < self.first)  # a suffix that short is alone
         rank = np.empty(self.n, np.int64)
         rank[sa] = np.maximum.accumulate(np.where(fresh, np.arange(self.n), 0))
-        h = FIRST
+        h = self.first
         while True:
             at = np.flatnonzero(~(fresh & np.append(fresh[1:], True)))  # places in unsorted groups
             if not len(at):
                 return sa, rank
             suffix = sa[at]
             group = rank[suffix]
-            # the group's suffixes agree in h bytes; those that end there come first, by place
+            # the group's suffixes agree in h symbols; those that end there come first, by place
             then = np.where(self.left[suffix] > h, rank[np.minimum(suffix + h, self.n - 1)], suffix - self.n)
             order = np.argsort(group * (2 * self.n) + then, kind="stable")
             suffix, group, then = suffix[order], group[order], then[order]
@@ -53,10 +60,10 @@ class Shard:
             h *= 2
 
     def common_prefixes(self, sa: np.ndarray, rank: np.ndarray, windows: np.ndarray, depth: int) -> np.ndarray:
-        """For the first ``windows[k]`` suffixes of each string k: the bytes, up to ``depth``, shared with the one sorted before it.
+        """For the first ``windows[k]`` suffixes of each string k: the symbols, up to ``depth``, shared with the one sorted before it.
 
-        Kasai's algorithm, run along all strings at once: going one byte on in a
-        string loses at most one byte of the common prefix.
+        Kasai's algorithm, run along all strings at once: going one symbol on in a
+        string loses at most one symbol of the common prefix.
         """
         out = np.zeros(self.n, np.int32)
         lane = np.argsort(-windows, kind="stable")
@@ -69,12 +76,12 @@ class Shard:
             j = sa[np.maximum(o - 1, 0)]
             limit = np.where(o > 0, np.minimum(np.minimum(self.left[i], self.left[j]), depth), 0)
             h = np.minimum(h, limit)
-            go = np.flatnonzero(h + FIRST <= limit)
+            go = np.flatnonzero(h + self.first <= limit)
             while len(go):  # whole keys first
                 same = self.key[i[go] + h[go]] == self.key[j[go] + h[go]]
                 go = go[same]
-                h[go] += FIRST
-                go = go[h[go] + FIRST <= limit[go]]
+                h[go] += self.first
+                go = go[h[go] + self.first <= limit[go]]
             go = np.flatnonzero(h < limit)
             while len(go):
                 go = go[self.data[i[go] + h[go]] == self.data[j[go] + h[go]]]
@@ -84,9 +91,9 @@ class Shard:
         return out
 
 
-def repeated_windows(strings: list[bytes], length: int) -> list[np.ndarray]:
-    """For each string, which of its windows of ``length`` bytes stand elsewhere in the shard as well (or elsewhere in it)."""
-    shard = Shard(strings)
+def repeated_windows(strings: list[bytes], length: int, unit: int = 1) -> list[np.ndarray]:
+    """For each string, which of its windows of ``length`` symbols stand elsewhere in the shard as well (or elsewhere in it)."""
+    shard = Shard(strings, unit)
     windows = np.maximum(shard.size - length + 1, 0)
     sa, rank = shard.sorted()
     common = shard.common_prefixes(sa, rank, windows, length)

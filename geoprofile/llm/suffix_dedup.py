@@ -15,8 +15,10 @@ corpus is cut into shards by anchor, and only anchors that stand in two places m
    windows that stand once in their own shard,
 5. repeated windows return to their texts, whose covered bytes are removed.
 
-``strip_passages`` judges in words instead: each word of a text becomes a code of CODE characters (48 bits of its
-hash), and windows of ``words`` codes that begin with a word are searched in the same way.
+``passages`` judges in words instead: each word of a text becomes a code of CODE bytes, its hash, and windows of
+``words`` codes are searched in the same way, with codes as symbols in place of bytes.  op1's query gives
+n_passages and n_passage_words besides what it removes by bytes: the maximal runs of WORDS words
+that stand elsewhere too, and the words that they cover.
 
 Texts with copies need no search: all their windows stand elsewhere.  They take part once, for the others.
 Texts are known by 128 bits of hash, contexts likewise, split windows by 64 bits within one anchor.
@@ -28,7 +30,6 @@ what is left of it); repeated rows are copies; no rows give no rows.
 
 from __future__ import annotations
 
-import base64
 import hashlib
 import re
 
@@ -37,16 +38,16 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
-from .common import byte_batches, shared_checkpoint, sliced, table, texts, written
-from .picking import parted, picked, text_hashes
+from .common import by_place, byte_batches, shared_checkpoint, sliced, table, texts, written
+from .picking import matched, picked, text_hashes
 from .suffix_array import repeated_windows
 
 LENGTH = 400
 GRAM = 128
 WORDS = 51
-CODE = 8
+CODE = 8  # bytes of a word's code
+SYMBOL = {1: np.dtype("u1"), CODE: np.dtype("<u8")}  # by the bytes of a unit
 SHARD = 2048
 RUN_BYTES = 2 << 20
 CODED_BYTES = 2 << 20  # texts of a batch that is coded or cut
@@ -55,12 +56,14 @@ _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B
 
 
 def gram_hashes(data: np.ndarray, size: int) -> np.ndarray:
-    """64-bit hash of every run of ``size`` bytes (8 or more), by doubling."""
+    """64-bit hash of every run of ``size`` bytes (8 or more), or of 64-bit codes, by doubling."""
     n = len(data)
     if n < size:
         return np.zeros(0, np.uint64)
-    h = np.ndarray((n - 7,), "<u8", data, strides=(1,)).astype(np.uint64)
-    have = 8
+    if data.itemsize == CODE:
+        h, have = data.astype(np.uint64), 1
+    else:
+        h, have = np.ndarray((n - 7,), "<u8", data, strides=(1,)).astype(np.uint64), 8
     with np.errstate(over="ignore"):
         while True:
             h = h * _ODD[0]
@@ -83,14 +86,15 @@ def sliding_least(key: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(behind[:n - width + 1], ahead[width - 1:n])
 
 
-def anchors(text: bytes, length: int = LENGTH, gram: int = GRAM):
-    """Arrays (gram hash, place, first window, last window) of the anchors of a text.
+def anchors(text: bytes, length: int = LENGTH, gram: int = GRAM, unit: int = 1):
+    """Arrays (gram hash, place, first window, last window) of the anchors of a text, all in units of ``unit`` bytes.
 
     A long text is taken in parts, so memory is bounded; an anchor whose windows lie in two parts comes twice.
     """
     out = []
-    for begin in range(0, len(text) - length + 1, RUN_BYTES):
-        data = np.frombuffer(text, np.uint8)[begin:begin + RUN_BYTES + length - 1]
+    whole = np.frombuffer(text, SYMBOL[unit])
+    for begin in range(0, len(whole) - length + 1, RUN_BYTES):
+        data = whole[begin:begin + RUN_BYTES + length - 1]
         h = gram_hashes(np.ascontiguousarray(data), gram)
         low = np.uint64((1 << PLACE_BITS) - 1)
         least = sliding_least((h & ~low) | np.arange(len(h), dtype=np.uint64), length - gram + 1)
@@ -105,23 +109,61 @@ def text_id(text: bytes) -> bytes:
     return xxhash.xxh3_128_digest(text)
 
 
-def _facts(batches):
-    for ids, data in byte_batches(batches, 16 << 20):
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(ids, pa.int64()), pa.array(map(text_id, data), pa.binary()), pa.array(map(len, data), pa.int64()),
-             pa.array([hashlib.sha256(t).hexdigest() for t in data]), pa.array(text_hashes(data))], ["doc_id", "tid", "n_bytes", "sha256", "text_hash"])
+class Codes(dict):
+    """Codes of words, kept for the words that come again."""
 
+    def __missing__(self, word):
+        if len(self) >= 1 << 18:
+            self.clear()
+        code = self[word] = xxhash.xxh3_64_digest(word.encode())
+        return code
 
-def _anchor_rows(length: int, gram: int):
+
+def word_codes(text: str, known: Codes) -> bytes:
+    """The codes of what stands between white space, end to end."""
+    return b"".join(map(known.__getitem__, text.split()))
+
+
+def coded(source: DataFrame) -> DataFrame:
+    """``source`` (doc_id, text) with the codes of a text's words, binary, in place of the text."""
+    def run(batches):
+        known = Codes()
+        for ids, data in byte_batches(batches, CODED_BYTES):
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([word_codes(t.decode(), known) for t in data], pa.binary())], ["doc_id", "text"])
+    return source.mapInArrow(run, "doc_id long, text binary")
+
+
+def _facts(with_words: bool):
+    """What identifies a text: by its bytes, and with_words by its words' codes."""
+    def run(batches):
+        known = Codes()
+        for ids, data in byte_batches(batches, CODED_BYTES):
+            columns = [pa.array(ids, pa.int64()), pa.array(map(text_id, data), pa.binary()), pa.array(map(len, data), pa.int64()),
+                       pa.array([hashlib.sha256(t).hexdigest() for t in data], pa.string()), pa.array(text_hashes(data))]
+            names = ["doc_id", "tid", "n_bytes", "sha256", "text_hash"]
+            if with_words:
+                codes = [word_codes(t.decode(), known) for t in data]
+                columns += [pa.array(map(text_id, codes), pa.binary()), pa.array([len(c) // CODE for c in codes], pa.int64()), pa.array(text_hashes(codes))]
+                names += ["word_tid", "n_words", "word_hash"]
+            yield pa.RecordBatch.from_arrays(columns, names)
+    return run
+
+
+def facts_of(source: DataFrame, with_words: bool) -> DataFrame:
+    kinds = "doc_id long, tid binary, n_bytes long, sha256 string, text_hash long"
+    return shared_checkpoint(source.mapInArrow(_facts(with_words), kinds + (", word_tid binary, n_words long, word_hash long" if with_words else "")))
+
+
+def _anchor_rows(length: int, gram: int, unit: int):
     def run(batches):
         seen = set()
         for _, data in byte_batches(batches, RUN_BYTES):
             own = []
             for text in data:
                 tid = text_id(text)
-                if len(text) >= length and tid not in seen:
+                if len(text) >= length * unit and tid not in seen:
                     seen.add(tid)
-                    h, place, _, _ = anchors(text, length, gram)
+                    h, place, _, _ = anchors(text, length, gram, unit)
                     order = np.argsort(h, kind="stable")  # a text that repeats itself has an anchor at many places: one row
                     first = np.flatnonzero(np.concatenate(([True], np.diff(h[order]) != 0)))
                     own.append((h[order][first], tid, place[order], np.diff(np.append(first, len(h)))))
@@ -139,26 +181,26 @@ def _one_text(batches):
     seen = set()
     for batch in batches:
         rows = []
-        for tid, places, text in zip(*(batch.column(c).to_pylist() for c in ("tid", "places", "text"))):
-            if tid not in seen and text_id(text.encode()) == tid:
+        for tid, places, text in zip(*(x.to_pylist() for x in (batch.column("tid"), batch.column("places"), batch.column("text").cast(pa.binary())))):
+            if tid not in seen and text_id(text) == tid:
                 seen.add(tid)
-                rows.append((tid, places, text.encode()))
+                rows.append((tid, places, text))
         yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.binary()), pa.array([r[1] for r in rows], pa.list_(pa.int64())),
                                           pa.array([r[2] for r in rows], pa.binary())], ["tid", "places", "text"])
 
 
-def _contexts(length: int, gram: int, bodies: bool):
+def _contexts(length: int, gram: int, unit: int, bodies: bool):
     """Contexts of the wanted anchors of each text, equal ones together."""
     def run(batches):
         for batch in batches:
             rows = []
             for tid, places, text in zip(*(batch.column(c) for c in ("tid", "places", "text"))):
                 tid, text = tid.as_py(), text.as_py()
-                h, place, first, last = anchors(text, length, gram)
+                h, place, first, last = anchors(text, length, gram, unit)
                 keep = np.isin(place, places.values.to_numpy())
                 own: dict = {}
                 for a, x, y in zip(h[keep].tolist(), first[keep].tolist(), last[keep].tolist()):
-                    body = text[x:y + length]
+                    body = text[x * unit:(y + length) * unit]
                     cid = xxhash.xxh3_128_digest(body)
                     if (a, cid) in own:
                         own[a, cid][-1].append(x)
@@ -177,7 +219,7 @@ def as_runs(found: np.ndarray) -> list[int]:
     return np.flatnonzero(np.diff(np.concatenate(([0], found.astype(np.int8), [0])))).tolist()
 
 
-def _shard(length: int):
+def _shard(length: int, unit: int = 1):
     """Repeated windows of a shard's contexts, as runs; for split anchors also what the other shards need.
 
     lone and at: digests and offsets of a context's windows that stand once in the shard; known: each digest that
@@ -185,16 +227,16 @@ def _shard(length: int):
     """
     def run(members: pa.Table) -> pa.Table:
         anchor, bodies = members.column("anchor").to_numpy(), members.column("body").to_pylist()
-        found = [np.zeros(len(b) - length + 1, bool) for b in bodies]
+        found = [np.zeros(len(b) // unit - length + 1, bool) for b in bodies]
         _, of, n = np.unique(anchor, return_inverse=True, return_counts=True)
         several = np.flatnonzero(n[of] > 1).tolist()  # a context alone with its anchor has no partner
         if several:
-            for i, f in zip(several, repeated_windows([bodies[i] for i in several], length)):
+            for i, f in zip(several, repeated_windows([bodies[i] for i in several], length, unit)):
                 found[i] = f
         lone, at, known = ([[] for _ in bodies] for _ in range(3))
         twice: dict = {}
         for i in np.flatnonzero(members.column("parts").to_numpy() > 1).tolist():
-            h = gram_hashes(np.frombuffer(bodies[i], np.uint8), length).view(np.int64)
+            h = gram_hashes(np.frombuffer(bodies[i], SYMBOL[unit]), length).view(np.int64)
             lone[i], at[i] = h[~found[i]].tolist(), np.flatnonzero(~found[i]).tolist()
             twice.setdefault(anchor[i], (i, []))[1].append(h[found[i]])
         for i, own in twice.values():
@@ -204,15 +246,13 @@ def _shard(length: int):
     return run
 
 
-def covered(n: int, found: list, length: int, unit: int = 1) -> np.ndarray:
-    """Which of n bytes lie in a repeated window that begins at a multiple of ``unit``; found: (starts of a context, runs of its repeated windows)."""
+def covered(n: int, found: list, length: int) -> np.ndarray:
+    """Which of n symbols lie in a repeated window; found: (starts of a context, runs of its repeated windows)."""
     edge = np.zeros(n + 1, np.int32)
     for starts, runs in found:
         starts, runs = np.asarray(starts, np.int64), np.asarray(runs, np.int64)
-        first = -(-(starts[:, None] + runs[0::2]).ravel() // unit) * unit
-        last = (starts[:, None] + runs[1::2] - 1).ravel() // unit * unit
-        np.add.at(edge, first[first <= last], 1)
-        np.add.at(edge, last[first <= last] + length, -1)
+        np.add.at(edge, (starts[:, None] + runs[0::2]).ravel(), 1)
+        np.add.at(edge, (starts[:, None] + runs[1::2] - 1).ravel() + length, -1)
     return np.cumsum(edge[:-1]) > 0
 
 
@@ -221,9 +261,10 @@ def _strip(length: int, unit: int):
         for batch in batches:
             rows = []
             for tid, text, found in zip(*(batch.column(c).to_pylist() for c in ("tid", "text", "found"))):
-                gone = covered(len(text), [(f["starts"], f["runs"]) for f in found], length, unit)
+                data = np.frombuffer(text, SYMBOL[unit])
+                gone = covered(len(data), [(f["starts"], f["runs"]) for f in found], length)
                 runs = as_runs(gone)
-                kept = np.frombuffer(text, np.uint8)[~gone].tobytes()
+                kept = data[~gone].tobytes()
                 rows.append((tid, int(gone.sum()), len(runs) // 2, hashlib.sha256(kept).hexdigest(), runs))
             kinds = (pa.binary(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(list(zip(*rows)) or [()] * 5, kinds)], ["tid", "n_removed", "n_spans", "kept_sha256", "gone"])
@@ -231,8 +272,12 @@ def _strip(length: int, unit: int):
 
 
 def stripped_texts(source: DataFrame, facts: DataFrame, length: int, gram: int, shard: int, unit: int = 1) -> DataFrame:
-    """tid, n_removed, n_spans, kept_sha256, gone of every text that shares a window with another text, or has one twice."""
-    rows = written(source.mapInArrow(_anchor_rows(length, gram), "anchor long, tid binary, places array<long>")
+    """tid, n_removed, n_spans, kept_sha256, gone of every text that shares a window with another text, or has one twice.
+
+    source: doc_id, text (string, or binary with symbols of ``unit`` bytes); facts: doc_id, tid, text_hash of its
+    rows.  Lengths and places count symbols.
+    """
+    rows = written(source.mapInArrow(_anchor_rows(length, gram, unit), "anchor long, tid binary, places array<long>")
                    .groupBy("anchor", "tid", "places").agg(F.size("places").alias("n")))
     # as a table of its own, so that the join shuffles both sides and adaptive execution can split a common anchor's rows
     twice = written(rows.groupBy("anchor").agg(F.sum("n").alias("n")).filter("n > 1").select("anchor"))
@@ -244,7 +289,7 @@ def stripped_texts(source: DataFrame, facts: DataFrame, length: int, gram: int,
                    .select("tid", "places", "text")
                     .mapInArrow(_one_text, "tid binary, places array<long>, text binary"))
 
-    bodies = (held.mapInArrow(_contexts(length, gram, True), "anchor long, cid binary, body binary, copies long")
+    bodies = (held.mapInArrow(_contexts(length, gram, unit, True), "anchor long, cid binary, body binary, copies long")
               .groupBy("anchor", "cid", "body").agg(F.sum("copies").alias("copies")))
     bodies = written(bodies)
     # the few anchors with more than a shard's contexts, as a table whose size the planner knows
@@ -253,7 +298,7 @@ def stripped_texts(source: DataFrame, facts: DataFrame, length: int, gram: int,
     shards = max(1, -(-bodies.count() // shard))
     part = F.pmod(F.xxhash64("cid"), F.col("parts"))
     by_shard = written(searched.select("anchor", "cid", "body", "parts", F.pmod(F.xxhash64("anchor", part), F.lit(shards)).alias("shard"))
-                       .groupBy("shard").applyInArrow(_shard(length), "anchor long, cid binary, runs array<long>, lone array<long>, at array<long>, known array<long>"))
+                       .groupBy("shard").applyInArrow(_shard(length, unit), "anchor long, cid binary, runs array<long>, lone array<long>, at array<long>, known array<long>"))
     shared = written(by_shard.select("anchor", F.explode(F.concat("lone", "known")).alias("digest"))
                      .groupBy("anchor", "digest").agg(F.count("*").alias("shards")).filter("shards > 1").select("anchor", "digest"))
     split = (by_shard.select("anchor", "cid", F.explode(F.arrays_zip("lone", "at")).alias("w"))
@@ -261,41 +306,73 @@ def stripped_texts(source: DataFrame, facts: DataFrame, length: int, gram: int,
              .groupBy("anchor", "cid").agg(F.sort_array(F.collect_list("at")).alias("at"))
              .select("anchor", "cid", F.flatten(F.transform("at", lambda x: F.array(x, x + 1))).alias("runs")))
     by_shard = by_shard.select("anchor", "cid", "runs")
-    copied = bodies.filter("copies > 1").select("anchor", "cid", F.array(F.lit(0).cast("long"), (F.length("body") - length + 1).cast("long")).alias("runs"))
+    copied = bodies.filter("copies > 1").select("anchor", "cid", F.array(F.lit(0).cast("long"), (F.floor(F.length("body") / unit) - length + 1).cast("long")).alias("runs"))
     found = by_shard.unionByName(split).unionByName(copied).filter(F.size("runs") > 0)
 
-    places = held.mapInArrow(_contexts(length, gram, False), "anchor long, cid binary, tid binary, starts array<long>")
+    places = held.mapInArrow(_contexts(length, gram, unit, False), "anchor long, cid binary, tid binary, starts array<long>")
     per_text = (places.join(found, ["anchor", "cid"]).groupBy("tid").agg(F.collect_list(F.struct("starts", "runs")).alias("found")))
     return (held.select("tid", "text").join(per_text, "tid")
             .mapInArrow(_strip(length, unit), "tid binary, n_removed long, n_spans long, kept_sha256 string, gone array<long>"))
 
 
+def _by_text(source: DataFrame, facts: DataFrame, length: int, gram: int, shard: int, unit: int = 1) -> DataFrame:
+    """tid, n_removed, n_spans, kept_sha256, gone, whole of the texts that lose something; facts: doc_id, tid, text_hash, size."""
+    copied = facts.filter(F.col("size") >= length).groupBy("tid").agg(F.count("*").alias("copies")).filter("copies > 1").select("tid")
+    # a text with copies goes as a whole, whatever the search has found for it
+    return stripped_texts(source, facts, length, gram, shard, unit).join(copied.select("tid", F.lit(True).alias("whole")), "tid", "full")
+
+
+def _lost(size: str) -> list:
+    """n_removed, n_spans, gone of a row joined with its text's part of ``_by_text``."""
+    return [F.when(F.col("whole"), F.col(size)).otherwise(F.coalesce("n_removed", F.lit(0))).alias("n_removed"),
+            F.when(F.col("whole"), 1).otherwise(F.coalesce("n_spans", F.lit(0))).cast("long").alias("n_spans"),
+            F.when(F.col("whole"), F.array(F.lit(0).cast("long"), F.col(size))).otherwise(F.col("gone")).alias("gone")]
+
+
+def _by_words(source: DataFrame, facts: DataFrame, words: int, shard: int) -> DataFrame:
+    known = facts.select("doc_id", F.col("word_tid").alias("tid"), F.col("word_hash").alias("text_hash"), F.col("n_words").alias("size"))
+    return _by_text(coded(source), known, words, max(1, words // 3), shard, CODE).drop("kept_sha256").withColumnRenamed("tid", "word_tid")
+
+
 def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM, shard: int = SHARD,
-            with_runs: bool = False, unit: int = 1) -> DataFrame:
+            with_runs: bool = False, words: int | None = None) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row.
 
     with_runs: also text_hash and gone ([begin, end, ..] of the removed bytes, NULL where nothing is removed).
+    words: also n_passages and n_passage_words, as ``passages`` finds them; they change nothing of the rest.
     """
     source = texts(docs, id_col, text_col)
-    facts = shared_checkpoint(source.mapInArrow(_facts, "doc_id long, tid binary, n_bytes long, sha256 string, text_hash long"))
-    copied = facts.filter(F.col("n_bytes") >= length).groupBy("tid").agg(F.count("*").alias("copies")).filter("copies > 1").select("tid")
-    found = stripped_texts(source, facts, length, gram, shard, unit)
-    if not with_runs:
-        found = found.drop("gone")
-    # a text with copies goes as a whole, whatever the search has found for it
-    whole = copied.select("tid", F.lit(True).alias("whole"))
-    by_text = found.join(whole, "tid", "full")
+    facts = facts_of(source, words is not None)
+    found = _by_text(source, facts.select("doc_id", "tid", "text_hash", F.col("n_bytes").alias("size")), length, gram, shard)
     empty = hashlib.sha256(b"").hexdigest()
-    out = facts.join(by_text, "tid", "left").select(
-        "doc_id", "n_bytes", F.when(F.col("whole"), F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0))).alias("n_removed"),
-        F.when(F.col("whole"), 1).otherwise(F.coalesce("n_spans", F.lit(0))).cast("long").alias("n_spans"),
-        F.when(F.col("whole"), F.lit(empty)).otherwise(F.coalesce("kept_sha256", "sha256")).alias("kept_sha256"),
-        *([F.col("text_hash"), F.when(F.col("whole"), F.array(F.lit(0).cast("long"), F.col("n_bytes"))).otherwise(F.col("gone")).alias("gone")] if with_runs else []))
-    return out
+    removed, spans, gone = _lost("n_bytes")
+    out = facts.join(found if with_runs else found.drop("gone"), "tid", "left").select(
+        "doc_id", "n_bytes", removed, spans, F.when(F.col("whole"), F.lit(empty)).otherwise(F.coalesce("kept_sha256", "sha256")).alias("kept_sha256"),
+        *(["text_hash", gone] if with_runs else []), *(["word_tid", "n_words"] if words else []))
+    if words is None:
+        return out
+    found = _by_words(source, facts, words, shard).drop("gone").withColumnsRenamed({"n_removed": "n_covered", "n_spans": "n_found"})
+    return (out.join(found, "word_tid", "left")
+            .withColumns({"n_passages": F.when(F.col("whole"), 1).otherwise(F.coalesce("n_found", F.lit(0))).cast("long"),
+                          "n_passage_words": F.when(F.col("whole"), F.col("n_words")).otherwise(F.coalesce("n_covered", F.lit(0)))})
+            .drop("word_tid", "n_words", "n_covered", "n_found", "whole"))
+
+
+def passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, shard: int = SHARD) -> DataFrame:
+    """doc_id, text_hash, n_words, n_passages, n_passage_words, gone ([begin, end, ..] by number of word, or NULL) of every row.
+
+    Passages are the maximal runs covered by strings of ``words`` words that stand elsewhere too, in the same text or
+    another one.  Words are what stands between white space, whose kind and length do not count.
+    """
+    source = texts(docs, id_col, text_col)
+    facts = facts_of(source, True)
+    covers, found, gone = _lost("n_words")
+    return (facts.join(_by_words(source, facts, words, shard), "word_tid", "left")
+            .select("doc_id", "text_hash", "n_words", found.alias("n_passages"), covers.alias("n_passage_words"), gone))
 
 
-def _without(changed: DataFrame, docs: DataFrame, id_col: str, text_col: str, judged: str, cut) -> DataFrame:
-    """``docs`` with cut(text, gone) in ``text_col``; ``changed`` knows rows by their id and the hash of column ``judged``."""
+def _without(changed: DataFrame, docs: DataFrame, id_col: str, text_col: str, cut) -> DataFrame:
+    """``docs``, named ``by_place``, with cut(text, gone) in ``text_col``; changed: doc_id, text_hash, gone."""
     def put(batches):
         for batch in sliced(batches, CODED_BYTES, text_col):
             i = batch.schema.get_field_index(text_col)
@@ -305,11 +382,8 @@ def _without(changed: DataFrame, docs: DataFrame, id_col: str, text_col: str, ju
             columns[i] = new
             yield pa.RecordBatch.from_arrays(columns, batch.schema.names[:-1])
 
-    untouched, near = parted(docs, changed, id_col, judged)
-    known = changed.toDF("__id__", "__hash__", "__gone__")
-    return untouched.unionByName(
-        near.join(known, near[id_col].cast("long").eqNullSafe(known["__id__"]) & (near["__text_hash__"] == known["__hash__"]), "left")
-        .select(*docs.columns, "__gone__").mapInArrow(put, docs.schema))
+    untouched, near = matched(docs, changed, id_col, text_col)
+    return untouched.unionByName(near.select(*docs.columns, "gone").mapInArrow(put, docs.schema))
 
 
 def cut_bytes(text: str, gone: list[int]) -> str:
@@ -319,9 +393,9 @@ def cut_bytes(text: str, gone: list[int]) -> str:
 
 
 def cut_words(text: str, gone: list[int]) -> str:
-    """``text`` without its words number gone[0] // CODE up to gone[1] // CODE, .., and what stands between these."""
+    """``text`` without its words number gone[0] up to gone[1], .., and what stands between these."""
     at = [m.span() for m in re.finditer(r"\S+", text)]
-    edges = [0, *(x for a, b in zip(gone[0::2], gone[1::2]) for x in (at[a // CODE][0], at[b // CODE - 1][1])), len(text)]
+    edges = [0, *(x for a, b in zip(gone[0::2], gone[1::2]) for x in (at[a][0], at[b - 1][1])), len(text)]
     return "".join(text[a:b] for a, b in zip(edges[0::2], edges[1::2]))
 
 
@@ -330,43 +404,22 @@ def strip_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     Where bytes of a broken character are left at a cut, they go too.
     """
-    changed = written(repeats(docs, id_col, text_col, length, gram, with_runs=True).filter("n_removed > 0")
+    plain, own_id, own_text = by_place(docs, id_col, text_col)
+    changed = written(repeats(plain, own_id, own_text, length, gram, with_runs=True).filter("n_removed > 0")
                       .select("doc_id", "text_hash", "gone").dropDuplicates(["doc_id", "text_hash"]))
-    return _without(changed, docs, id_col, text_col, text_col, cut_bytes)
-
-
-def word_codes(text: str, memo: dict) -> str:
-    out = []
-    for word in text.split():
-        code = memo.get(word)
-        if code is None:
-            if len(memo) >= 1 << 18:
-                memo.clear()
-            code = memo[word] = base64.b64encode(xxhash.xxh3_64_digest(word.encode())[:6]).decode()
-        out.append(code)
-    return "".join(out)
+    return _without(changed, plain, own_id, own_text, cut_bytes).toDF(*docs.columns)
 
 
 def strip_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS) -> DataFrame:
-    """``docs`` without the words of all runs of ``words`` words that stand elsewhere too, in the same text or another one.
+    """``docs`` without the words of all ``passages``; all other columns and all rows stay.
 
-    Words are what stands between white space, whose kind and length do not count; it is cut
-    inside such a run and stays around it.  All other columns and all rows stay.
+    White space inside a passage is cut with it and stays around it.
     """
-    def run(batches):
-        memo: dict = {}
-        for batch in sliced(batches, CODED_BYTES, text_col):
-            codes = [word_codes(t or "", memo) for t in batch.column(text_col).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(codes, pa.string())], [*batch.schema.names, "__words__"])
-
-    def coded(rows):
-        return rows.mapInArrow(run, StructType([*rows.schema.fields, StructField("__words__", StringType())]))
-
-    length = words * CODE
-    found = repeats(coded(docs.select(id_col, text_col)), id_col, "__words__", length, max(8, min(GRAM, length // 3)), with_runs=True, unit=CODE)
-    changed = written(found.filter("n_removed > 0").select("doc_id", "text_hash", "gone").dropDuplicates(["doc_id", "text_hash"]))
-    return _without(changed, coded(docs), id_col, text_col, "__words__", cut_words).select(*docs.columns)
+    plain, own_id, own_text = by_place(docs, id_col, text_col)
+    changed = written(passages(plain, own_id, own_text, words).filter("n_passages > 0")
+                      .select("doc_id", "text_hash", "gone").dropDuplicates(["doc_id", "text_hash"]))
+    return _without(changed, plain, own_id, own_text, cut_words).toDF(*docs.columns)
 
 
 def op1_suffix_dedup(spark, sf_dir: str) -> DataFrame:
-    return repeats(table(spark, sf_dir, "documents"))
+    return repeats(table(spark, sf_dir, "documents"), words=WORDS)
