@@ -13,7 +13,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, BooleanType, LongType, StructField, StructType
+from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 
 from .common import byte_batches, sliced
 
@@ -53,23 +53,22 @@ def bitmap(rows: DataFrame) -> np.ndarray:
     return out
 
 
-def _picking(bits, kind):
+def _picking(bits):
     def run(batches):
         for ids, data in byte_batches(batches, RUN_BYTES):
             known = pa.array(ids, pa.int64())
             hashes = text_hashes(data)
             at = row_bit(known.fill_null(0).to_numpy(), hashes)
             keep = pa.array((bits.value[at // 8] >> (at % 8).astype(np.uint8)) & 1 == 1)
-            yield pa.RecordBatch.from_arrays([known.filter(keep), pa.array(hashes).filter(keep), pa.array(data, pa.binary()).filter(keep).cast(kind)],
+            yield pa.RecordBatch.from_arrays([known.filter(keep), pa.array(hashes).filter(keep), pa.array(data, pa.binary()).filter(keep).cast(pa.string())],
                                              ["doc_id", "text_hash", "text"])
     return run
 
 
 def picked(source: DataFrame, wanted: DataFrame) -> DataFrame:
-    """doc_id, text_hash, text of all rows of ``source`` (doc_id, text: string or binary) that ``wanted`` (doc_id, text_hash, ..) has, and a few others."""
+    """doc_id, text_hash, text of all rows of ``source`` (doc_id, text) that ``wanted`` (doc_id, text_hash, ..) has, and a few others."""
     bits = source.sparkSession.sparkContext.broadcast(bitmap(wanted))  # BITS bits
-    kind = source.schema["text"].dataType
-    return source.mapInArrow(_picking(bits, pa.binary() if kind == BinaryType() else pa.string()), f"doc_id long, text_hash long, text {kind.simpleString()}")
+    return source.mapInArrow(_picking(bits), "doc_id long, text_hash long, text string")
 
 
 def matched(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, how: str = "left") -> tuple[DataFrame, DataFrame]:

@@ -113,7 +113,7 @@ class Codes(dict):
     """Codes of words, kept for the words that come again."""
 
     def __missing__(self, word):
-        if len(self) >= 1 << 18:
+        if len(self) >= 1 << 16:
             self.clear()
         code = self[word] = xxhash.xxh3_64_digest(word.encode())
         return code
@@ -124,42 +124,39 @@ def word_codes(text: str, known: Codes) -> bytes:
     return b"".join(map(known.__getitem__, text.split()))
 
 
-def coded(source: DataFrame) -> DataFrame:
-    """``source`` (doc_id, text) with the codes of a text's words, binary, in place of the text."""
-    def run(batches):
-        known = Codes()
-        for ids, data in byte_batches(batches, CODED_BYTES):
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([word_codes(t.decode(), known) for t in data], pa.binary())], ["doc_id", "text"])
-    return source.mapInArrow(run, "doc_id long, text binary")
+def _symbols(unit: int):
+    """What a text, as bytes, is searched as."""
+    known = Codes()
+    return (lambda text: text) if unit == 1 else (lambda text: word_codes(text.decode(), known))
 
 
 def _facts(with_words: bool):
     """What identifies a text: by its bytes, and with_words by its words' codes."""
     def run(batches):
-        known = Codes()
+        symbols = _symbols(CODE)
         for ids, data in byte_batches(batches, CODED_BYTES):
             columns = [pa.array(ids, pa.int64()), pa.array(map(text_id, data), pa.binary()), pa.array(map(len, data), pa.int64()),
                        pa.array([hashlib.sha256(t).hexdigest() for t in data], pa.string()), pa.array(text_hashes(data))]
             names = ["doc_id", "tid", "n_bytes", "sha256", "text_hash"]
             if with_words:
-                codes = [word_codes(t.decode(), known) for t in data]
-                columns += [pa.array(map(text_id, codes), pa.binary()), pa.array([len(c) // CODE for c in codes], pa.int64()), pa.array(text_hashes(codes))]
-                names += ["word_tid", "n_words", "word_hash"]
+                codes = [symbols(t) for t in data]
+                columns += [pa.array(map(text_id, codes), pa.binary()), pa.array([len(c) // CODE for c in codes], pa.int64())]
+                names += ["word_tid", "n_words"]
             yield pa.RecordBatch.from_arrays(columns, names)
     return run
 
 
 def facts_of(source: DataFrame, with_words: bool) -> DataFrame:
     kinds = "doc_id long, tid binary, n_bytes long, sha256 string, text_hash long"
-    return shared_checkpoint(source.mapInArrow(_facts(with_words), kinds + (", word_tid binary, n_words long, word_hash long" if with_words else "")))
+    return shared_checkpoint(source.mapInArrow(_facts(with_words), kinds + (", word_tid binary, n_words long" if with_words else "")))
 
 
 def _anchor_rows(length: int, gram: int, unit: int):
     def run(batches):
-        seen = set()
+        seen, symbols = set(), _symbols(unit)
         for _, data in byte_batches(batches, RUN_BYTES):
             own = []
-            for text in data:
+            for text in map(symbols, data):
                 tid = text_id(text)
                 if len(text) >= length * unit and tid not in seen:
                     seen.add(tid)
@@ -176,23 +173,26 @@ def _anchor_rows(length: int, gram: int, unit: int):
     return run
 
 
-def _one_text(batches):
+def _one_text(unit: int):
     """Of rows that share an id, the one with the wanted text, once."""
-    seen = set()
-    for batch in batches:
-        rows = []
-        for tid, places, text in zip(*(x.to_pylist() for x in (batch.column("tid"), batch.column("places"), batch.column("text").cast(pa.binary())))):
-            if tid not in seen and text_id(text) == tid:
-                seen.add(tid)
-                rows.append((tid, places, text))
-        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.binary()), pa.array([r[1] for r in rows], pa.list_(pa.int64())),
-                                          pa.array([r[2] for r in rows], pa.binary())], ["tid", "places", "text"])
+    def run(batches):
+        seen, symbols = set(), _symbols(unit)
+        for batch in sliced(batches, CODED_BYTES):
+            rows = []
+            for tid, places, text in zip(*(x.to_pylist() for x in (batch.column("tid"), batch.column("places"), batch.column("text").cast(pa.binary())))):
+                text = symbols(text)
+                if tid not in seen and text_id(text) == tid:
+                    seen.add(tid)
+                    rows.append((tid, places, text))
+            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.binary()), pa.array([r[1] for r in rows], pa.list_(pa.int64())),
+                                              pa.array([r[2] for r in rows], pa.binary())], ["tid", "places", "text"])
+    return run
 
 
 def _contexts(length: int, gram: int, unit: int, bodies: bool):
     """Contexts of the wanted anchors of each text, equal ones together."""
     def run(batches):
-        for batch in batches:
+        for batch in sliced(batches, CODED_BYTES):
             rows = []
             for tid, places, text in zip(*(batch.column(c) for c in ("tid", "places", "text"))):
                 tid, text = tid.as_py(), text.as_py()
@@ -258,7 +258,7 @@ def covered(n: int, found: list, length: int) -> np.ndarray:
 
 def _strip(length: int, unit: int):
     def run(batches):
-        for batch in batches:
+        for batch in sliced(batches, CODED_BYTES):
             rows = []
             for tid, text, found in zip(*(batch.column(c).to_pylist() for c in ("tid", "text", "found"))):
                 data = np.frombuffer(text, SYMBOL[unit])
@@ -274,8 +274,8 @@ def _strip(length: int, unit: int):
 def stripped_texts(source: DataFrame, facts: DataFrame, length: int, gram: int, shard: int, unit: int = 1) -> DataFrame:
     """tid, n_removed, n_spans, kept_sha256, gone of every text that shares a window with another text, or has one twice.
 
-    source: doc_id, text (string, or binary with symbols of ``unit`` bytes); facts: doc_id, tid, text_hash of its
-    rows.  Lengths and places count symbols.
+    Texts are searched as symbols of ``unit`` bytes: their bytes, or codes of their words.  facts: doc_id, text_hash
+    of the text and tid of its symbols.  Lengths and places count symbols.
     """
     rows = written(source.mapInArrow(_anchor_rows(length, gram, unit), "anchor long, tid binary, places array<long>")
                    .groupBy("anchor", "tid", "places").agg(F.size("places").alias("n")))
@@ -287,7 +287,7 @@ def stripped_texts(source: DataFrame, facts: DataFrame, length: int, gram: int,
     near = picked(source, wanted)
     held = written(near.join(wanted, near["doc_id"].eqNullSafe(wanted["doc_id"]) & (near["text_hash"] == wanted["text_hash"]))
                    .select("tid", "places", "text")
-                    .mapInArrow(_one_text, "tid binary, places array<long>, text binary"))
+                    .mapInArrow(_one_text(unit), "tid binary, places array<long>, text binary"))
 
     bodies = (held.mapInArrow(_contexts(length, gram, unit, True), "anchor long, cid binary, body binary, copies long")
               .groupBy("anchor", "cid", "body").agg(F.sum("copies").alias("copies")))
@@ -330,8 +330,8 @@ def _lost(size: str) -> list:
 
 
 def _by_words(source: DataFrame, facts: DataFrame, words: int, shard: int) -> DataFrame:
-    known = facts.select("doc_id", F.col("word_tid").alias("tid"), F.col("word_hash").alias("text_hash"), F.col("n_words").alias("size"))
-    return _by_text(coded(source), known, words, max(1, words // 3), shard, CODE).drop("kept_sha256").withColumnRenamed("tid", "word_tid")
+    known = facts.select("doc_id", F.col("word_tid").alias("tid"), "text_hash", F.col("n_words").alias("size"))
+    return _by_text(source, known, words, max(1, words // 3), shard, CODE).drop("kept_sha256").withColumnRenamed("tid", "word_tid")
 
 
 def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM, shard: int = SHARD,
