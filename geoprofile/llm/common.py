@@ -40,8 +40,9 @@ def shared_folder(spark: SparkSession) -> str:
     if not folder:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("name a shared folder in spark.checkpoint.dir")
-        folder = tempfile.mkdtemp(prefix="llm-checkpoint-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        if spark.sparkContext.getCheckpointDir() is None:  # the setting itself is fixed once a session runs
+            spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="llm-checkpoint-"))
+        folder = spark.sparkContext.getCheckpointDir()
     return folder
 
 
