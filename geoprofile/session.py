@@ -58,10 +58,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not current:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("name a shared folder in spark.checkpoint.dir")
-        current = tempfile.mkdtemp(prefix="geoprofile-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", current)
+        # the setting itself is fixed once a session runs
+        current = spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="geoprofile-ckpt-")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(current)
+        current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     return current
 
 
