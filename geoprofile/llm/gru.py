@@ -9,11 +9,6 @@ import numpy as np
 WINDOW = 64
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(1, keepdims=True)
-    return x - np.log(np.exp(x).sum(1, keepdims=True))
-
-
 def lanes(docs: list[np.ndarray], width: int) -> np.ndarray:
     """Documents laid end to end in at most ``width`` lanes: [step, lane] = place in the concatenated documents, or -1.
 
@@ -78,24 +73,47 @@ class Gru:
     def output(self, h: np.ndarray, target: np.ndarray) -> np.ndarray:
         """Natural-log probability of each target."""
         kind, inner = target // self.size, target % self.size
-        out = self._log_p(h, self.p["cw"], self.p["cb"], kind)
         order = np.argsort(kind, kind="stable")
-        for k, own in self._by_class(kind, order):
-            out[own] += self._log_p(h[own], self.p["ww"][k], self.p["wb"][k], inner[own])
+        h, kind = h[order], kind[order]  # the tokens of a class stand together
+        out = np.empty(len(h), h.dtype)
+        out[order] = self._log_p(self._class_scores(h), kind) + self._log_p(self._word_scores(h, kind)[0], inner[order])
         return out
 
     @staticmethod
-    def _log_p(h: np.ndarray, w: np.ndarray, b: np.ndarray, target: np.ndarray) -> np.ndarray:
-        x = h @ w
-        x += b
-        if np.abs(w).sum(0).max() + np.abs(b).max() > 60:  # states lie in [-1, 1], so below that exp() cannot overflow
+    def _bounded(x: np.ndarray, w: np.ndarray, b: np.ndarray) -> np.ndarray:
+        if np.abs(w).sum(-2).max() + np.abs(b).max() > 60:  # states lie in [-1, 1], so below that exp() cannot overflow
             x -= x.max(1, keepdims=True)
+        return x
+
+    def _class_scores(self, h: np.ndarray) -> np.ndarray:
+        return self._bounded(h @ self.p["cw"] + self.p["cb"], self.p["cw"], self.p["cb"])
+
+    def _word_scores(self, h: np.ndarray, kind: np.ndarray) -> tuple[np.ndarray, list[tuple[int, slice]]]:
+        """Scores of the words of each row's class, and the rows of each class; rows are sorted by class."""
+        x, w, b = np.empty((len(h), self.size), h.dtype), self.p["ww"], self.p["wb"]
+        ends = np.searchsorted(kind, np.arange(self.classes + 1)).tolist()
+        spans = [(k, slice(ends[k], ends[k + 1])) for k in range(self.classes) if ends[k] < ends[k + 1]]
+        for k, own in spans:
+            np.matmul(h[own], w[k], out=x[own])
+            x[own] += b[k]
+        return self._bounded(x, w, b), spans
+
+    @staticmethod
+    def _log_p(x: np.ndarray, target: np.ndarray) -> np.ndarray:
+        """Log probabilities of the targets; ``x`` is used up."""
         picked = x[np.arange(len(x)), target]
         return picked - np.log(np.exp(x, out=x) @ np.ones(x.shape[1], x.dtype))
 
-    def _by_class(self, kind, order):
-        ends = np.searchsorted(kind[order], np.arange(self.classes + 1))
-        return [(k, order[ends[k]:ends[k + 1]]) for k in range(self.classes) if ends[k] < ends[k + 1]]
+    @staticmethod
+    def _softmax(x: np.ndarray, target: np.ndarray, total: int) -> tuple[np.ndarray, np.ndarray]:
+        """Log probabilities of the targets, and the gradient of their mean loss over ``total`` tokens; ``x`` is used up."""
+        at = np.arange(len(x))
+        picked = x[at, target]
+        d = np.exp(x, out=x)
+        mass = d @ np.ones(d.shape[1], d.dtype)
+        d *= (1 / (mass * total))[:, None].astype(d.dtype)
+        d[at, target] -= d.dtype.type(1 / total)
+        return picked - np.log(mass), d
 
     def _inputs(self, docs: list[np.ndarray]):
         flat = np.concatenate(docs).astype(np.int32)
@@ -133,45 +151,54 @@ class Gru:
     def gradients(self, token: np.ndarray, target: np.ndarray, used: np.ndarray, h: np.ndarray):
         """Loss per token of one window, its gradients (truncated at the window's start), and the last state."""
         begin, n, p = self.classes * self.size, self.hidden, self.p
-        kept, before, states = [], [], np.empty((len(token), *h.shape), h.dtype)
-        for s in range(len(token)):
-            h = np.where((token[s] == begin)[:, None], h.dtype.type(0), h)
-            before.append(h)
-            h, inner = self.step(p["table"][token[s]], h)
-            kept.append(inner)
+        steps, width = token.shape
+        fresh = token == begin
+        starts = fresh.any(1)
+        x = p["table"][token]
+        before, states = (np.empty((steps, width, n), h.dtype) for _ in range(2))
+        z, r, m, c = (np.empty((steps, width, n), h.dtype) for _ in range(4))
+        for s in range(steps):
+            if starts[s]:
+                h = np.where(fresh[s][:, None], h.dtype.type(0), h)
+            before[s] = h
+            h, (z[s], r[s], m[s], c[s]) = self.step(x[s], h)
             states[s] = h
         g = {k: np.zeros_like(v) for k, v in p.items()}
         hs, want = states[used], target[used]
         total = max(1, len(want))
         kind, word = want // self.size, want % self.size
-        lc = _log_softmax(hs @ p["cw"] + p["cb"])
-        loss = -lc[np.arange(len(hs)), kind].sum()
-        d = np.exp(lc)
-        d[np.arange(len(hs)), kind] -= 1
-        d /= total
-        g["cw"], g["cb"] = hs.T @ d, d.sum(0)
+        order = np.argsort(kind, kind="stable")
+        hs, kind, word = hs[order], kind[order], word[order]  # the tokens of a class stand together
+        logp, d = self._softmax(self._class_scores(hs), kind, total)
+        loss = -logp.sum(dtype=float)
+        g["cw"], g["cb"] = hs.T @ d, np.ones(len(d), d.dtype) @ d
         dh = d @ p["cw"].T
-        for k, own in self._by_class(kind, np.argsort(kind, kind="stable")):
-            lw = _log_softmax(hs[own] @ p["ww"][k] + p["wb"][k])
-            loss -= lw[np.arange(len(own)), word[own]].sum()
-            d = np.exp(lw)
-            d[np.arange(len(own)), word[own]] -= 1
-            d /= total
-            g["ww"][k], g["wb"][k] = hs[own].T @ d, d.sum(0)
-            dh[own] += d @ p["ww"][k].T
+        x, spans = self._word_scores(hs, kind)
+        logp, d = self._softmax(x, word, total)
+        loss -= logp.sum(dtype=float)
+        for k, own in spans:
+            part = d[own]
+            g["ww"][k], g["wb"][k] = hs[own].T @ part, np.ones(len(part), d.dtype) @ part
+            dh[own] += part @ p["ww"][k].T
+        unsorted = np.empty_like(dh)
+        unsorted[order] = dh
         back = np.zeros_like(states)
-        back[used] = dh
-        later = np.zeros_like(h)
-        grads = np.empty((len(token), h.shape[0], 3 * n), h.dtype)
-        for s in range(len(token) - 1, -1, -1):
-            d = back[s] + later
-            z, r, m, c = kept[s]
-            prior = before[s]
-            dc = d * (1 - z) * (1 - c * c)
-            gate = np.concatenate((d * (prior - c) * z * (1 - z), dc * m * r * (1 - r), dc * r), 1)
-            g["u"] += prior.T @ gate
-            later = np.where((token[s] == begin)[:, None], h.dtype.type(0), d * z + gate @ p["u"].T)
-            grads[s] = np.concatenate((gate[:, :2 * n], dc), 1)
+        back[used] = unsorted
+        into = (1 - z) * (1 - c * c)  # what a state's gradient is to each gate's, for all steps at once
+        factor = np.stack(((before - c) * z * (1 - z), into * m * r * (1 - r), into * r), 2)
+        gates = np.empty((steps, width, 3 * n), h.dtype)
+        later, turned = np.zeros_like(h), np.ascontiguousarray(p["u"].T)
+        for s in range(steps - 1, -1, -1):
+            d = back[s]
+            d += later
+            np.multiply(d[:, None, :], factor[s], out=gates[s].reshape(width, 3, n))
+            later = gates[s] @ turned
+            later += d * z[s]
+            if starts[s]:
+                later[fresh[s]] = 0
+        g["u"] = before.reshape(-1, n).T @ gates.reshape(-1, 3 * n)
+        grads = gates
+        grads[:, :, 2 * n:] = back * into
         order = np.argsort(token, axis=None, kind="stable")
         rows = token.ravel()[order]
         first = np.flatnonzero(np.concatenate(([True], rows[1:] != rows[:-1])))
