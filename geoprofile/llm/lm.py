@@ -12,11 +12,11 @@ other words:
 which is a distribution over the same words as the base model.  The state runs
 through the complete document: windows bound only the memory.
 
-Three jobs: counts of all words (shuffled by word, partial sums first); a pass
-that scores with the network and the frequent words' counts, which are sent to
-the tasks (at most 1/HOT_SHARE words can have that share of all tokens); and
-a join of the remaining words with their counts, by word.  Since frequent words
-are no part of the join, no key of it can be hot.
+Texts are read twice: for the counts of all words (shuffled by word, partial sums first), and to
+write each document as network tokens, sums over its frequent words, whose counts are sent to the tasks
+(at most 1/HOT_SHARE words can have that share of all tokens), and a list of its remaining words.  The network
+learns and scores from these tokens; the remaining words are joined with their counts, by word.  Since frequent
+words are no part of the join, no key of it can be hot.
 
 The network learns from all training documents, each of them whole.  A pass over them is cut into
 rounds (ROUNDS at most) by a hash, and a round into parts of about PART_TOKENS tokens.  Each part
@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Numbers, byte_batches, table, texts, written
+from .common import Numbers, byte_batches, sliced, table, texts, written
 from .gru import Gru
 from .picking import text_hashes
 
@@ -48,7 +48,7 @@ ROUNDS, PART_TOKENS, RUN_TOKENS = 8, 1 << 20, 1 << 21
 PASSES, PASS_TOKENS = 4, 1 << 22
 LANES, STEP_TOKENS = 128, 4096
 FAN = 64
-RUN_BYTES = 24 << 20
+RUN_BYTES, RUN_CODES = 24 << 20, 4 << 20
 END = b" "  # no word holds white space
 LN10 = np.log(10)
 
@@ -172,9 +172,47 @@ def _averaged(batches):
         yield pa.RecordBatch.from_arrays([pa.array([now], pa.int64()), pa.array([total], pa.int64()), pa.array([mean.tobytes()], pa.binary())], ["part", "n", "weights"])
 
 
+ENCODED = ("doc_id long, text_hash long, n_tokens long, n_known long, base double, other double, tokens binary, "
+           "rare_words array<long>, rare_n array<int>")
+
+
+def encoded(docs: DataFrame, frequent: Frequent) -> DataFrame:
+    """Every row as network tokens (int16), with sums over its frequent words and its remaining words with their counts, written.
+
+    n_known and base: the frequent words' part of them; other: what they add to the network's score where it sees "other".
+    """
+    known = docs.sparkSession.sparkContext.broadcast(frequent)  # bounded by 1 / HOT_SHARE
+
+    def encode(batches):
+        frequent = known.value
+        base = np.log10((frequent.counts + 0.1) / frequent.norm)
+        for ids, data in byte_batches(batches, RUN_BYTES):
+            hashes, flat, sizes = numbered(data)
+            at, token = frequent.find(hashes)
+            own = np.where(at >= 0, base[at] if len(base) else 0.0, 0.0)  # the rest is added by the join
+            other = np.where(token == 0, own - np.log10(frequent.shares[0]), 0.0)
+            codes, ends = token.astype(np.int16)[flat], np.cumsum(sizes)
+            rare = (at < 0)[flat]
+            key, n = np.unique((np.repeat(np.arange(len(data)), sizes) * len(hashes) + flat)[rare], return_counts=True)
+            offsets = pa.array(np.searchsorted(key, np.arange(len(data) + 1) * len(hashes)).astype(np.int32))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids, pa.int64()), pa.array(text_hashes(data)), pa.array(sizes), pa.array(sizes - _sum_by_text(rare.astype(np.int64), sizes)),
+                 pa.array(_sum_by_text(own[flat], sizes)), pa.array(_sum_by_text(other[flat], sizes)),
+                 pa.array([codes[e - n:e].tobytes() for e, n in zip(ends, sizes)], pa.binary()),
+                 pa.ListArray.from_arrays(offsets, pa.array(hashes[key % len(hashes)])), pa.ListArray.from_arrays(offsets, pa.array(n.astype(np.int32)))],
+                ["doc_id", "text_hash", "n_tokens", "n_known", "base", "other", "tokens", "rare_words", "rare_n"])
+
+    return written(texts(docs).mapInArrow(encode, ENCODED))
+
+
 def fit_network(docs: DataFrame, frequent: Frequent) -> tuple[Gru, int]:
     """The network, trained on all training documents, and the number of tokens it has learnt from, all passes together."""
-    context = docs.sparkSession.sparkContext
+    return train_network(encoded(docs, frequent), frequent)
+
+
+def train_network(rows: DataFrame, frequent: Frequent) -> tuple[Gru, int]:
+    """As ``fit_network``, from encoded rows."""
+    context = rows.sparkSession.sparkContext
     network = Gru(CLASSES, CLASS_SIZE, HIDDEN)
     network.start_from(frequent.shares)
     if not frequent.total:
@@ -182,20 +220,9 @@ def fit_network(docs: DataFrame, frequent: Frequent) -> tuple[Gru, int]:
     passes = int(np.clip(-(-PASS_TOKENS // frequent.total), 1, PASSES))
     rounds = int(np.clip(frequent.total // PART_TOKENS, 1, ROUNDS))
     parts = int(-(-frequent.total // (rounds * PART_TOKENS)))
-    known = context.broadcast(frequent)
-
-    def encode(batches):
-        for ids, data in byte_batches(batches, RUN_BYTES):
-            hashes, flat, sizes = numbered(data)
-            token = known.value.find(hashes)[1].astype(np.int16)[flat]
-            ends = np.cumsum(sizes)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(text_hashes(data)), pa.array([token[e - n:e].tobytes() for e, n in zip(ends, sizes)], pa.binary())],
-                ["doc_id", "text_hash", "tokens"])
-
     slot = F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(rounds * parts))
-    rows = written(texts(docs).filter(~held_out(F.col("doc_id"))).mapInArrow(encode, "doc_id long, text_hash long, tokens binary")
-                   .withColumns({"round": F.floor(slot / parts).cast("int"), "part": F.pmod(slot, F.lit(parts))}))
+    rows = (rows.filter(~held_out(F.col("doc_id"))).select("doc_id", "text_hash", "tokens")
+            .withColumns({"round": F.floor(slot / parts).cast("int"), "part": F.pmod(slot, F.lit(parts))}))
     schema, learnt = "part long, n long, weights binary", 0
     for k in range(passes * rounds):
         sent = context.broadcast(network.weights())
@@ -217,45 +244,25 @@ def fit_network(docs: DataFrame, frequent: Frequent) -> tuple[Gru, int]:
 
 def score_documents(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row."""
-    spark = docs.sparkSession
     counts = written(word_counts(docs))
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     hot = F.col("c") >= F.lit(total * HOT_SHARE)
     found = counts.filter(hot).toArrow()  # at most 1 / HOT_SHARE words
     frequent = Frequent(found.column("word").to_numpy(), found.column("c").to_numpy(), total, distinct)
-    network, _ = fit_network(docs, frequent)
-    sent = spark.sparkContext.broadcast((frequent, network))  # bounded by 1 / HOT_SHARE and the network's size
-    source = texts(docs)
+    rows = encoded(docs, frequent)
+    network, _ = train_network(rows, frequent)
+    sent = docs.sparkSession.sparkContext.broadcast(network)
 
     def score(batches):
-        frequent, network = sent.value
-        base = np.log10((frequent.counts + 0.1) / frequent.norm)
-        for ids, data in byte_batches(batches, RUN_BYTES):
-            hashes, flat, sizes = numbered(data)
-            at, token = frequent.find(hashes)
-            own = np.where(at >= 0, base[at] if len(base) else 0.0, 0.0)  # the rest is added by the join
-            rare = np.where(at >= 0, 0, 1)
-            other = np.where(token == 0, own - np.log10(frequent.shares[0]), 0.0)
-            steps = np.split(token.astype(np.int32)[flat], np.cumsum(sizes)[:-1])
-            logp = network.score(steps) / LN10 + _sum_by_text(other[flat], sizes)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(map(word_hash, data), pa.int64()), pa.array(sizes), pa.array(sizes - _sum_by_text(rare[flat], sizes)),
-                 pa.array(_sum_by_text(own[flat], sizes)), pa.array(logp)], ["doc_id", "text_hash", "n_tokens", "n_known", "base", "logp"])
-
-    def remaining(batches):
-        frequent = sent.value[0]
-        for ids, data in byte_batches(batches, RUN_BYTES):
-            hashes, flat, sizes = numbered(data)
-            keep = frequent.find(hashes)[0][flat] < 0
-            key, n = np.unique((np.repeat(np.arange(len(data)), sizes) * len(hashes) + flat)[keep], return_counts=True)
-            text, word = key // len(hashes), key % len(hashes)
-            own = pa.array(ids, pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(hashes[word]), own.take(pa.array(text)), pa.array(np.fromiter(map(word_hash, data), np.int64, len(data))[text]), pa.array(n.astype(np.int32))],
-                ["word", "doc_id", "text_hash", "n"])
-
-    docs_scored = source.mapInArrow(score, "doc_id long, text_hash long, n_tokens long, n_known long, base double, logp double")
-    rare = (source.mapInArrow(remaining, "word long, doc_id long, text_hash long, n int").repartition("word")
+        for batch in sliced(batches, RUN_CODES, "tokens"):
+            steps = [np.frombuffer(t, np.int16).astype(np.int32) for t in batch.column("tokens").to_pylist()]
+            logp = pa.array(sent.value.score(steps) / LN10 + batch.column("other").to_numpy())
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "text_hash", "n_tokens", "n_known", "base")), logp],
+                                             ["doc_id", "text_hash", "n_tokens", "n_known", "base", "logp"])
+
+    docs_scored = (rows.select("doc_id", "text_hash", "n_tokens", "n_known", "base", "other", "tokens")
+                   .mapInArrow(score, "doc_id long, text_hash long, n_tokens long, n_known long, base double, logp double"))
+    rare = (rows.select("doc_id", "text_hash", F.inline(F.arrays_zip("rare_words", "rare_n"))).toDF("doc_id", "text_hash", "word", "n").repartition("word")
             .groupBy("word", "doc_id", "text_hash").agg(F.max("n").alias("n"))  # repeated rows once
             .join(counts.filter(~hot), "word", "left")
             .groupBy("doc_id", "text_hash")

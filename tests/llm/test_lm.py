@@ -79,3 +79,47 @@ def test_gradients():
             down = g.gradients(token, target, used, h)[0]
             value[at] = old
             assert (up - down) / 2e-5 == pytest.approx(grads[name][at], abs=1e-6)
+
+
+def test_score_against_a_plain_forward_pass_of_whole_texts(spark, monkeypatch):
+    monkeypatch.setattr(M, "HOT_SHARE", 1 / 400)  # most words are joined
+    rows = [(i, " ".join(f"w{(i * 7 + k * k) % (5 + i)}" for k in range(3 + 9 * i % 200))) for i in range(60)] + [(100, "w1 never seen"), (101, None)]
+    rows += [(7, rows[7][1]), (5, "w1 w1 w2 w400")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = []
+    fit = M.train_network
+    monkeypatch.setattr(M, "train_network", lambda r, f: kept.append((f, fit(r, f))) or kept[-1][1])
+    got = M.score_documents(docs).collect()
+    f, (net, _) = kept[0]
+    p = {k: v.astype(float) for k, v in net.p.items()}
+    token = dict(zip(f.words.tolist(), f.token.tolist()))
+    out = lambda i: zlib.crc32(str(i).encode()) % 10 == 0
+    c = Counter(w for i, t in rows if not out(i) for w in [*(t or "").encode().split(), b" "])
+
+    def soft(x):
+        return x - np.log(np.exp(x).sum())
+
+    def plain(text):
+        h, last, total = np.zeros(M.HIDDEN), M.CLASSES * M.CLASS_SIZE, 0.0
+        for w in [*(text or "").encode().split(), b" "]:
+            t, n = token.get(M.word_hash(w), 0), M.HIDDEN
+            x, u = p["table"][last], h @ p["u"]
+            z, r = (1 / (1 + np.exp(-(x[k:k + n] + u[k:k + n]))) for k in (0, n))
+            new = np.tanh(x[2 * n:] + r * u[2 * n:])
+            h = z * h + (1 - z) * new
+            k, j = divmod(t, M.CLASS_SIZE)
+            total += (soft(h @ p["cw"] + p["cb"])[k] + soft(h @ p["ww"][k] + p["wb"][k])[j]) / math.log(10)
+            if not t:
+                total += math.log10((c[w] + 0.1) / f.norm) - math.log10(f.shares[0])
+            last = t
+        return total
+
+    find = {}
+    for r in got:
+        find.setdefault(r.doc_id, []).append(r.score)
+    want = {}
+    for i, text in rows:
+        want.setdefault(i, []).append(plain(text))
+    assert set(find) == set(want)
+    for i in want:
+        assert sorted(find[i]) == pytest.approx(sorted(want[i]), rel=1e-4)
