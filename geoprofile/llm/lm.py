@@ -257,22 +257,23 @@ def score_documents(docs: DataFrame) -> DataFrame:
         for batch in sliced(batches, RUN_CODES, "tokens"):
             steps = [np.frombuffer(t, np.int16).astype(np.int32) for t in batch.column("tokens").to_pylist()]
             logp = pa.array(sent.value.score(steps) / LN10 + batch.column("other").to_numpy())
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "text_hash", "n_tokens", "n_known", "base")), logp],
-                                             ["doc_id", "text_hash", "n_tokens", "n_known", "base", "logp"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "text_hash", "n_tokens", "n_known", "base", "n_rare")), logp],
+                                             ["doc_id", "text_hash", "n_tokens", "n_known", "base", "n_rare", "logp"])
 
-    docs_scored = (rows.select("doc_id", "text_hash", "n_tokens", "n_known", "base", "other", "tokens")
-                   .mapInArrow(score, "doc_id long, text_hash long, n_tokens long, n_known long, base double, logp double"))
-    rare = (rows.select("doc_id", "text_hash", F.inline(F.arrays_zip("rare_words", "rare_n"))).toDF("doc_id", "text_hash", "word", "n").repartition("word")
-            .groupBy("word", "doc_id", "text_hash").agg(F.max("n").alias("n"))  # repeated rows once
+    docs_scored = (rows.select("doc_id", "text_hash", "n_tokens", "n_known", "base", F.size("rare_words").alias("n_rare"), "other", "tokens")
+                   .mapInArrow(score, "doc_id long, text_hash long, n_tokens long, n_known long, base double, n_rare int, logp double"))
+    rare = (rows.select("doc_id", "text_hash", F.inline(F.arrays_zip("rare_words", "rare_n"))).toDF("doc_id", "text_hash", "word", "n")
             .join(counts.filter(~hot), "word", "left")
             .groupBy("doc_id", "text_hash")
             .agg(F.sum(F.col("n") * F.log10((F.coalesce("c", F.lit(0)) + 0.1) / F.lit(frequent.norm))).alias("rare_base"),
-                 F.sum(F.when(F.col("c").isNotNull(), F.col("n")).otherwise(0)).alias("rare_known"))
-            .select(F.col("doc_id").alias("rare_id"), F.col("text_hash").alias("rare_hash"), "rare_base", "rare_known"))
-    extra = F.coalesce("rare_base", F.lit(0.0))
+                 F.sum(F.when(F.col("c").isNotNull(), F.col("n")).otherwise(0)).alias("rare_known"),
+                 F.count("*").alias("rare_rows"))
+            .select(F.col("doc_id").alias("rare_id"), F.col("text_hash").alias("rare_hash"), "rare_base", "rare_known", "rare_rows"))
+    copies = F.col("rare_rows") / F.col("n_rare")  # of a row that is repeated, whose words were summed so often
+    extra = F.coalesce(F.col("rare_base") / copies, F.lit(0.0))
     return (docs_scored.join(rare, (F.col("text_hash") == F.col("rare_hash")) & F.col("doc_id").eqNullSafe(F.col("rare_id")), "left")
             .select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "n_tokens",
-                    (F.col("n_known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"), F.lit(total).cast("long").alias("train_tokens"),
+                    (F.col("n_known") + F.coalesce((F.col("rare_known") / copies).cast("long"), F.lit(0))).alias("n_known"), F.lit(total).cast("long").alias("train_tokens"),
                     (F.col("base") + extra).alias("base_score"), (F.col("logp") + extra).alias("score")))
 
 
