@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 import xxhash
 
@@ -36,12 +38,12 @@ def sigmoid(x):
     return 0.5 * (1 + np.tanh(0.5 * np.asarray(x, float)))
 
 
-def fit(rows: Rows, target: np.ndarray, l2: float, pairs: tuple[Rows, Rows] | None = None, pair_weight: float = 0.0,
+def fit(rows: Rows, target: np.ndarray, l2: float, pairs: Sequence[tuple[Rows, Rows, float]] = (),
         steps: int = 300, rate: float = 0.05) -> tuple[np.ndarray, float]:
     """Weights and bias for soft targets, by Adam on the full batch.
 
-    ``pairs`` are rows that should score alike: their squared score difference
-    is penalised with ``pair_weight``.
+    ``pairs`` are groups (rows, rows that should score alike, weight): the mean squared
+    score difference of a group is penalised with its weight.
     """
     w, n = np.zeros(rows.width), max(1, rows.n)
     p = min(max(float(target.mean()) if rows.n else 0.25, 0.01), 0.99)
@@ -51,9 +53,9 @@ def fit(rows: Rows, target: np.ndarray, l2: float, pairs: tuple[Rows, Rows] | No
         w, b = theta[:-1], theta[-1]
         err = sigmoid(rows.dot(w) + b) - target
         grad = np.append(rows.back(err) / n + l2 * w, err.sum() / n)
-        if pairs and pairs[0].n:
-            gap = pairs[0].dot(w) - pairs[1].dot(w)
-            grad[:-1] += pair_weight * 2 * (pairs[0].back(gap) - pairs[1].back(gap)) / pairs[0].n
+        for one, other, weight in pairs:
+            gap = one.dot(w) - other.dot(w)
+            grad[:-1] += weight * 2 * (one.back(gap) - other.back(gap)) / one.n
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
         theta = theta - rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
     return theta[:-1], float(theta[-1])

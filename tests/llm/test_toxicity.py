@@ -44,7 +44,7 @@ def test_swapped_identity_terms_score_alike():
     neutral, other = M.hashed({"w1", "w2", "muslims"}), M.hashed({"w1", "w2", "christians"})
 
     def gap(weight):
-        model = M.fit_model(rows, label, swapped, pair_weight=weight)
+        model = M.fit_model(rows, label, swapped, pair_weight=weight, carrier_weight=0)
         score = lambda x: M.sigmoid(model.bias + sum(model.weights.get(h, 0.0) for h in x.tolist()))
         return abs(score(neutral) - score(other)), score(neutral), score(M.hashed({"awful"}))
 
@@ -52,6 +52,37 @@ def test_swapped_identity_terms_score_alike():
     assert regular[0] < 0.2 * plain[0] and regular[1] < plain[1] and regular[2] > 0.5
 
 
+def test_sentences_are_swapped_for_every_other_term():
+    found = M.sentence_pairs("the jews came. nobody else did!\nold men and jews; the jews came")
+    f = lambda *t: tuple(sorted(M.feature(x) for x in t))
+    got = {(tuple(a.tolist()), tuple(b.tolist())) for a, b in found}
+    alone = {(f("jews"), f(t)) for t in M._SWAP["jews"] if t != "jews"}
+    assert alone <= got and len(alone) == 6 and len(found) == len(got)
+    assert (f("old", "men", "jews"), f("young", "boys", "hindus")) not in got  # all terms move by the same number of places
+    assert (f("old", "men", "jews"), f("young", "girls", "hindus")) in got
+    assert M.sentence_pairs("nobody is named here. nor here") == []
+
+
+def test_every_labelled_text_has_a_carrier_and_a_fit_without_differs(spark, monkeypatch):
+    d = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{d}/{t}.parquet") for t in ("documents", "labels"))
+    seen = []
+    monkeypatch.setattr(M, "fit_model", lambda rows, label, swapped: seen.append((rows, label, swapped)))
+    M.train(docs, labels)
+    monkeypatch.undo()
+    rows, label, swapped = seen[0]
+    pairs = [M.mention(x)[1] for x in rows]
+    assert len(rows) > 1000 and min(map(len, pairs)) >= 2
+    assert {f for own in pairs for a, b in own for f in [*a.tolist(), *b.tolist()]} == {M.feature(t) for t in M._SWAP}
+    terms = [[M.feature(t) for t in s] for s in M.IDENTITY_SETS]
+    spread = lambda m: max(np.ptp([m.weights.get(t, 0.0) for t in s]) for s in terms)
+    with_pairs, rows_alone = M.fit_model(rows, label, swapped), M.fit_model(rows, label, swapped, carrier_weight=1e-9)
+    assert M.fit_model(rows, label, swapped, carrier_weight=0).weights != with_pairs.weights
+    assert 0 < spread(with_pairs) < 0.2 * spread(rows_alone)
+    size = lambda m: max(abs(m.weights.get(t, 0.0)) for s in terms for t in s)
+    assert size(with_pairs) < 0.5 * size(rows_alone)  # a neutral mention changes little
+
+
 def test_edge_rows(spark, edge_docs, edge_rows, no_docs):
     labels = spark.createDataFrame([(i, i % 2, "x") for i in range(19)] + [(3, 1, "x"), (None, 1, None), (4, None, None), (999, 1, "y")], "doc_id long, toxic int, text string")
     got = M.classify(edge_docs, labels).collect()
