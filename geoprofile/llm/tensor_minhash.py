@@ -54,6 +54,7 @@ BLOCK, CHUNK = 2048, 4096
 LEAST_BITS, MOST_BITS = 1 << 20, 1 << 27
 BUCKET_BITS = 32768  # of Spark's bitmap functions
 TABLE_BITS = 8  # of a key, at its low end: its table
+DEALT = ["key", "outside", "class", "component"]
 
 _SEEDS = np.random.Generator(np.random.PCG64(13)).integers(0, 1 << 63, HASHES, dtype=np.uint64)
 
@@ -252,17 +253,17 @@ def _runs_of(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.Tabl
 
 
 def _crossing(percent: int):
-    """u, v: rows of one task marked ``asks`` with its others, where components differ and sizes and bins allow a link.
+    """u, v: rows of one task marked ``asks`` with those marked ``answers``, where components differ and sizes and bins allow a link.
 
     A pair is taken in the first table alone whose key both have, so no pair comes twice.
     """
     def run(batches):
         for rows in _runs_of(batches, "task"):
             first, second = divmod(rows.column("key")[0].as_py() & ((1 << TABLE_BITS) - 1), BANDS)
-            asks, outside = (rows.column(c).to_numpy() for c in ("asks", "outside"))
+            asks, answers, outside = (rows.column(c).to_numpy() for c in ("asks", "answers", "outside"))
             one, component, size = (rows.column(c).to_numpy() for c in ("class", "component", "n_shingles"))
             band, ranges = _bands(rows.column("bands")), _bins(rows.column("bins"))
-            others = np.flatnonzero(~asks)
+            others = np.flatnonzero(answers)
             found = []
             for i in np.flatnonzero(asks):
                 at = others[(component[others] != component[i]) & (~outside[others] | (one[others] > one[i]))
@@ -295,9 +296,12 @@ def crossings(met: DataFrame, classes: DataFrame, joined: DataFrame, percent: in
     rows = placed.join(largest, "key").withColumn("block", F.pmod(F.xxhash64("class"), "blocks").cast("int")).withColumn("chunk", F.pmod(F.xxhash64("class", F.lit(1)), "chunks").cast("int"))
     zero = F.lit(0)
     rows = rows.withColumn("outside", F.col("component") != F.col("largest"))
-    asks = rows.filter("outside").withColumn("chunk", F.explode(F.sequence(zero, F.col("chunks") - 1))).withColumn("asks", F.lit(True))
-    others = rows.withColumn("block", F.explode(F.sequence(zero, F.col("blocks") - 1))).withColumn("asks", F.lit(False))
-    dealt = asks.unionByName(others).select(F.xxhash64("key", "block", "chunk").alias("task"), "key", "asks", "outside", "class", "component")
+    # a member asks in every chunk of its block and answers in every block of its chunk; where both meet, one row does both
+    asks = (rows.filter("outside").withColumn("other", F.explode(F.sequence(zero, F.col("chunks") - 1)))
+            .select(*DEALT, "block", F.col("other").alias("chunk"), F.lit(True).alias("asks"), (F.col("other") == F.col("chunk")).alias("answers")))
+    answers = (rows.withColumn("other", F.explode(F.sequence(zero, F.col("blocks") - 1))).filter(~F.col("outside") | (F.col("other") != F.col("block")))
+               .select(*DEALT, F.col("other").alias("block"), "chunk", F.lit(False).alias("asks"), F.lit(True).alias("answers")))
+    dealt = asks.unionByName(answers).select(F.xxhash64("key", "block", "chunk").alias("task"), *DEALT, "asks", "answers")
     dealt = dealt.join(classes.select("class", "n_shingles", "bands", "bins"), "class")
     return dealt.repartition("task").sortWithinPartitions("task").mapInArrow(_crossing(percent), "u long, v long")
 

@@ -126,6 +126,37 @@ def test_crossings_ask_only_outside_the_largest_component(spark):
     assert pairs == sorted([(a, b) for b in (3, 4) for a in range(3)] + [(3, 4)])
 
 
+def test_crossings_send_a_member_to_a_task_once(spark, monkeypatch):
+    """A member that asks and answers in the same task is one row there; in blocks, pairs are the same."""
+    own = [np.sort(np.unique(np.random.default_rng(1).integers(0, 1 << 63, 100, dtype=np.uint64)))]
+    band, ranges = M.bands(M.signatures(own)), M.bins(own)
+    classes = spark.createDataFrame([(i, 100, bytearray(band[0].tobytes()), bytearray(ranges[0].tobytes())) for i in range(30)], "class long, n_shingles long, bands binary, bins binary")
+    met = spark.createDataFrame([(256 * 7, i, 0) for i in range(30)], "key long, class long, least long")
+    joined = spark.createDataFrame([(i, 0) for i in range(6)], "node long, component long")
+    want = sorted((a, b) for a in range(30) for b in range(max(a + 1, 6), 30))
+    sent = []
+    real = M._crossing
+
+    def counted(percent):
+        rows = spark.sparkContext.accumulator(0)
+        sent.append(rows)
+
+        def run(batches):
+            def told():
+                for b in batches:
+                    rows.add(b.num_rows)
+                    yield b
+            return real(percent)(told())
+        return run
+
+    monkeypatch.setattr(M, "_crossing", counted)
+    assert sorted(map(tuple, M.crossings(met, classes, joined, 80).collect())) == want
+    assert sent[0].value == 30
+    monkeypatch.setattr(M, "BLOCK", 5)
+    monkeypatch.setattr(M, "CHUNK", 7)
+    assert sorted(map(tuple, M.crossings(met, classes, joined, 80).collect())) == want
+
+
 @pytest.mark.parametrize("n,error", [(60, 3), (300, 4), (4000, 5)])
 def test_bins_estimate_similarity(n, error):
     r = np.random.default_rng(3)
