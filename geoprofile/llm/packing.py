@@ -24,10 +24,12 @@ window or block runs on through several; no rows give no rows.
 from __future__ import annotations
 
 import hashlib
+import os
 import zlib
+from array import array
 from collections import deque
 from collections.abc import Iterator
-from itertools import groupby, islice
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -42,9 +44,11 @@ SENTENCE_CUT = 2
 INNER_CUT = 12
 PER_WINDOW = 6
 END_ID = 1
-RUN_BYTES = 8 << 20
+RUN_BYTES = 2 << 20
 CACHE_WORDS = 800_000
 JOINED_WORDS = 1024
+PLAIN = "\u00ff"  # letters up to here stay one letter each, whatever normalizing does
+MARKS = b"!#$%&()*+,-./:;=?@[\\]^_`{|}~"  # ASCII signs that begin no match with letters, as an apostrophe does
 _READY: dict = {}
 
 
@@ -52,65 +56,129 @@ class WordTokens:
     """Token ids of white-space separated words, each distinct word tokenized once.
 
     The vocabulary drops white space and letter case, and its pattern never matches across
-    white space, so the ids of a text are those of its words in turn.  Words are
-    tokenized many at a time; offsets tell whose ids are whose.  A text that holds one of the file's
+    white space, so the ids of a text are those of its words in turn.  Nor does it match letters together with
+    marks after them: the ids of a word of letters and marks at its end are those of the letters, then those of the marks.
+    Words are tokenized many at a time.  Words of letters are one match each, so the token that ends a match ends a word; for
+    others, offsets tell whose ids are whose.  A text that holds one of the file's
     control strings, which the tokenizer finds in the text as it is written, is given to it as a whole.
     """
 
     def __init__(self, spec: str):
         from tokenizers import Tokenizer
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # tasks run side by side already
         self.tokenizer = Tokenizer.from_str(spec)
         self.tokenizer.encode_special_tokens = True  # words are lower-cased, so what looks like a control string need not be one
-        self.whole = Tokenizer.from_str(spec)
-        self.controls = [t.content.encode() for t in self.whole.get_added_tokens_decoder().values()]
+        self.controls = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         vocab = self.tokenizer.get_vocab()
         self.sentence_ids = np.array(sorted(vocab[t] for t in (".</w>", "!</w>", "?</w>") if t in vocab), np.int32)
+        self.closes = np.zeros(max(vocab.values()) + 1, bool)
+        self.closes[[n for t, n in vocab.items() if t.endswith("</w>")]] = True
         self.clear()
 
     def clear(self) -> None:
         self.number = Numbers({b"": 0})  # the end of a text
         self.flat = np.array([END_ID], np.int32)
-        self.start = np.array([0, 1], np.int64)
-
-    def _tokenize(self, words: list) -> None:
-        flat, sizes = [self.flat], []
-        for whole, some in groupby(words, lambda w: isinstance(w, tuple)):
-            some = list(some)
-            if whole:
-                for text, in some:
-                    flat.append(np.array(self.whole.encode(text.decode(), add_special_tokens=False).ids, np.int32))
-                    sizes.append([len(flat[-1])])
+        self.start = np.array([0], np.int64)
+        self.size = np.array([1], np.int64)
+
+    def _whole(self, text: bytes) -> np.ndarray:
+        self.tokenizer.encode_special_tokens = False
+        try:
+            return np.array(self.tokenizer.encode(text.decode(), add_special_tokens=False).ids, np.int32)
+        finally:
+            self.tokenizer.encode_special_tokens = True
+
+    def _joined(self, words: list[bytes], letters: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words, and how many each has."""
+        joined = b" ".join(words).decode()
+        if letters:
+            ids = np.array(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, np.int32)
+            ends = np.flatnonzero(self.closes[ids])
+            if len(ends) == len(words) and ends[-1] == len(ids) - 1:  # each word has one match at least, so each has one
+                return ids, np.diff(ends, prepend=-1)
+        found = self.tokenizer.encode(joined, add_special_tokens=False)
+        spaces = np.flatnonzero(np.frombuffer(joined.encode("utf-32-le"), np.uint32) == 32)
+        first = np.fromiter((o[0] for o in found.offsets), np.int64)
+        return np.array(found.ids, np.int32), np.bincount(np.searchsorted(spaces, first), minlength=len(spaces) + 1)
+
+    def _tokenize(self, known: int) -> None:
+        """Ids of all words from number ``known`` on, and of the parts that they are made of."""
+        find = self.number.__getitem__
+        kinds: tuple[list, list, list] = ([], [], [])  # whole texts, words of letters, other words
+        made: list[tuple] = []  # number of a word, of its letters and of its marks
+        for word in list(islice(self.number, known, None)):
+            if isinstance(word, tuple):
+                kinds[0].append(word)
                 continue
+            letters = word.rstrip(MARKS)
+            text = "" if letters.isalpha() else letters.decode()
+            if text and not text.isalpha() or not letters:
+                kinds[2].append(word)
+            elif len(letters) == len(word):
+                kinds[1].append(word)
+            elif text > "" and max(text) > PLAIN:
+                kinds[2].append(word)
+            else:
+                before = len(self.number)
+                own = find(letters)
+                if len(self.number) > before:
+                    kinds[1].append(letters)
+                before = len(self.number)
+                marks = find(word[len(letters):])
+                if len(self.number) > before:
+                    kinds[2].append(word[len(letters):])
+                made.append((find(word), own, marks))
+        flat, sizes = [], [self.size]
+        order = [find(w) for kind in kinds for w in kind]
+        for text, in kinds[0]:
+            flat.append(self._whole(text))
+            sizes.append([len(flat[-1])])
+        for letters in (True, False):
+            some = kinds[1 if letters else 2]
             for k in range(0, len(some), JOINED_WORDS):
-                joined = b" ".join(some[k:k + JOINED_WORDS]).decode()
-                found = self.tokenizer.encode(joined, add_special_tokens=False)
-                spaces = np.flatnonzero(np.frombuffer(joined.encode("utf-32-le"), np.uint32) == 32)
-                first = np.fromiter((o[0] for o in found.offsets), np.int64)
-                flat.append(np.array(found.ids, np.int32))
-                sizes.append(np.bincount(np.searchsorted(spaces, first), minlength=len(spaces) + 1))
-        self.flat = np.concatenate(flat)
-        self.start = np.concatenate((self.start, self.start[-1] + np.cumsum(np.concatenate(sizes))))
+                ids, n = self._joined(some[k:k + JOINED_WORDS], letters)
+                flat.append(ids)
+                sizes.append(n)
+        self.size = np.concatenate((self.size, np.zeros(len(self.number) - known, np.int64)))
+        self.start = np.concatenate((self.start, np.zeros(len(self.number) - known, np.int64)))
+        if order:
+            own_sizes = np.concatenate(sizes[1:])
+            self.size[order] = own_sizes
+            self.start[order] = len(self.flat) + np.cumsum(own_sizes) - own_sizes
+        self.flat = np.concatenate((self.flat, *flat))
+        if made:
+            number, own, marks = np.array(made, np.int64).T
+            size = self.size[own] + self.size[marks]
+            self.start[number] = len(self.flat) + np.cumsum(size) - size
+            self.size[number] = size
+            self.flat = np.concatenate((self.flat, self._ids(np.stack((own, marks), 1).ravel())[0]))
+
+    def _ids(self, seen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of numbered words in turn, and the end of each word in them."""
+        size = self.size[seen]
+        ends = np.cumsum(size)
+        at = np.repeat(self.start[seen] - (ends - size), size)
+        at += np.arange(len(at))
+        return self.flat[at], ends
 
     def encode(self, data: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, END_ID after each, and the end of each text in them."""
         if len(self.number) > CACHE_WORDS:
             self.clear()
         known = len(self.number)
-        words: list[int] = []
+        words = array("q")
         find = self.number.__getitem__
         for text in data:
             if b"<|" in text and any(c in text for c in self.controls):
                 words.append(find((text,)))
             else:
-                words += map(find, text.lower().split())
+                words.extend(map(find, text.lower().split()))
             words.append(0)
         if len(self.number) > known:
-            self._tokenize(list(islice(self.number, known, None)))
-        seen = np.array(words, np.int64)
-        size = self.start[seen + 1] - self.start[seen]
-        ends = np.cumsum(size)
-        at = np.arange(ends[-1]) + np.repeat(self.start[seen] - (ends - size), size)
-        return self.flat[at], ends[seen == 0]
+            self._tokenize(known)
+        seen = np.frombuffer(words, np.int64)
+        ids, ends = self._ids(seen)
+        return ids, ends[seen == 0]
 
 
 def candidates(length: int, doc_ends: np.ndarray, sentence_ends: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
@@ -128,27 +196,36 @@ def candidates(length: int, doc_ends: np.ndarray, sentence_ends: np.ndarray, win
     return cuts, cost
 
 
+def _power_hits(cuts: np.ndarray, window: int) -> dict[int, list[int]]:
+    """For cuts that have any: the cuts a power of two before them; powers below 64 only in the last window."""
+    length, hits = cuts[-1], {}
+    for q in range(window.bit_length()):
+        ends = np.arange(len(cuts)) if q >= 6 else np.flatnonzero(cuts > length - window)
+        at = np.searchsorted(cuts, cuts[ends] - (1 << q))
+        found = cuts[at] == cuts[ends] - (1 << q)
+        for j, k in zip(ends[found].tolist(), at[found].tolist()):
+            hits.setdefault(j, []).append(k)
+    return hits
+
+
 def best_cuts(cuts: list[int], cost: list[int], window: int = WINDOW) -> list[int]:
     """Window ends of least total cost; cuts are at most ``window`` apart."""
     total = [0] * len(cuts)
     back = [0] * len(cuts)
-    at = {0: 0}
+    hits = _power_hits(np.array(cuts), window)
     queue = deque([(0, 0, 0)])  # (f(i) + position(i), position(i), i), increasing
-    length = cuts[-1]
-    few = [1 << q for q in range(6, window.bit_length())]
-    every = [1 << q for q in range(window.bit_length())]
     for j in range(1, len(cuts)):
         p = cuts[j]
         while queue[0][1] < p - window:
             queue.popleft()
         best, _, i = queue[0]
         best += window - p
-        for power in every if p > length - window else few:
-            k = at.get(p - power)
-            if k is not None and total[k] < best:
-                best, i = total[k], k
+        if j in hits:
+            for k in hits[j]:
+                if total[k] < best:
+                    best, i = total[k], k
         best += cost[j] + PER_WINDOW
-        total[j], back[j], at[p] = best, i, j
+        total[j], back[j] = best, i
         key = best + p
         while queue and queue[-1][0] >= key:
             queue.pop()

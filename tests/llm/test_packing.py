@@ -40,6 +40,37 @@ def test_control_strings_are_the_files_own(plain, words):
         assert [stream[a:b].tolist() for a, b in zip([0, *ends], ends)] == [[*ids, 1] for ids in test_ids]
 
 
+class Told:
+    """A tokenizer that notes what it is given."""
+
+    def __init__(self, real, given):
+        self.__dict__.update(real=real, given=given)
+
+    def __getattr__(self, name):
+        def call(texts, *args, **named):
+            self.given.extend([texts] if isinstance(texts, str) else texts)
+            return getattr(self.real, name)(texts, *args, **named)
+        return call
+
+
+def test_letters_are_tokenized_once_whatever_marks_follow(plain, monkeypatch):
+    words = M.WordTokens(M.tokenizer_spec())
+    given = []
+    monkeypatch.setattr(words, "tokenizer", Told(words.tokenizer, given))
+    texts = ["Tionlyhe tionlyhe, TIONLYHE. tionlyhe*** tionlyhe", "tionlyhe; ou\u00e9le, ou\u00e9le ou\u00e9le!?"]
+    stream, ends = words.encode([t.encode() for t in texts])
+    assert [stream[a:b].tolist() for a, b in zip([0, *ends], ends)] == [[*plain.encode(t, add_special_tokens=False).ids, 1] for t in texts]
+    assert sum(t.split().count("tionlyhe") for t in given) == 1 and sum("tionlyhe" in w for t in given for w in t.split()) == 1
+    assert sum("ou\u00e9le" in w for t in given for w in t.split()) == 1
+
+
+@pytest.mark.parametrize("text", ["\u0130, \u0130 a, \u0130.", "\u0149' \u00aa, \u00b5. \u00df!", "x\u0323, e\u0301. \u0958- \u0958", "\u03a3, \u0391\u03a3. \u0391\u03a3'", "it's, it's 'tis, don't. o'", "a_b a_ _ __a, 1, a1, 1a.", "\u4e2d, \ud55c. \ufb01, \u01c5."])
+def test_letters_that_normalizing_changes(plain, text):
+    stream, ends = M.WordTokens(M.tokenizer_spec()).encode([text.encode(), (text + " " + text.upper()).encode()])
+    assert stream[:ends[0]].tolist() == [*plain.encode(text, add_special_tokens=False).ids, 1]
+    assert stream[ends[0]:].tolist() == [*plain.encode(text + " " + text.upper(), add_special_tokens=False).ids, 1]
+
+
 def cost_of(ends, cost, window):
     total, last = 0, 0
     for e in ends:
