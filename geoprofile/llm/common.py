@@ -10,6 +10,8 @@ Conventions that hold for every operator here, unless its docstring says otherwi
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -21,6 +23,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+MUCH = 1 << 20
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -84,16 +89,31 @@ def byte_batches(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple
         yield batch.column("doc_id").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist()
 
 
+def give_back() -> None:
+    """Return the memory that this worker has freed to the system: a worker lives on for later stages, and several share an executor's memory."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # the C library has no such function
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def sliced(batches: Iterator[pa.RecordBatch], most: int, column: str = "text") -> Iterator[pa.RecordBatch]:
-    """The same rows in slices of about ``most`` bytes of ``column``, one row at least; nothing is copied."""
+    """The same rows in slices of about ``most`` bytes of ``column``, one row at least; nothing is copied.
+
+    What is freed by then is given back to the system after the last row, if it was much.
+    """
+    total = 0
     for batch in batches:
         ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        total += int(ends[-1]) if len(ends) else 0
         start = 0
         while start < len(ends):
             before = ends[start - 1] if start else 0
             end = max(start + 1, int(np.searchsorted(ends, before + most, "right")))
             yield batch.slice(start, end - start)
             start = end
+    batch = None
+    if total > MUCH:
+        give_back()
 
 
 def keep_matching(docs: DataFrame, kept: DataFrame, id_col: str = "doc_id") -> DataFrame:

@@ -1,9 +1,12 @@
 import itertools
+import os
 import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from geoprofile.llm import common
 from geoprofile.llm import packing as M
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -71,6 +74,28 @@ def test_letters_that_normalizing_changes(plain, text):
     assert stream[ends[0]:].tolist() == [*plain.encode(text + " " + text.upper(), add_special_tokens=False).ids, 1]
 
 
+def test_freed_memory_is_given_back_after_much_text(monkeypatch):
+    """Once a task has read all its rows, and not for a few bytes."""
+    calls = []
+    monkeypatch.setattr(common, "give_back", lambda: calls.append(1))
+    for size, want in ((100, 0), (common.MUCH + 1, 1)):
+        calls.clear()
+        batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2, 3], "text": ["a" * size, None, "b"]})
+        assert [len(d) for _, d in common.byte_batches(iter([batch, batch.slice(0, 0)]), 50)] == [1, 2] and len(calls) == want
+
+
+def test_giving_back_frees_what_is_unused():
+    def resident():
+        with open("/proc/self/statm") as f:
+            return int(f.read().split()[1]) * os.sysconf("SC_PAGESIZE")
+
+    held = [bytes(50_000) for _ in range(2000)]
+    held = held[-1:]  # the last stays, so that the heap's end does not fall by itself
+    before = resident()
+    common.give_back()
+    assert resident() < before - 50_000_000 and len(held) == 1
+
+
 def cost_of(ends, cost, window):
     total, last = 0, 0
     for e in ends:
