@@ -12,7 +12,7 @@ it stands in two documents of a task at least; tokens with HOT_SHARE of these
 counts make the list (1/HOT_SHARE entries at most), which is sent to the tasks.  Any list
 gives the same links: it only decides how soon unequal texts are told apart.
 
-Classes that share a token under the first order meet by that token: groups of up to SMALL
+Classes that share a token under the first order meet by that token, if it stands in two prefixes (a bitmap tells, ``picking.py``): groups of up to SMALL
 classes as pairs (if what follows the token in both prefixes and sets leaves enough to share), which then pass the other two orders one after the other, larger groups in blocks,
 where the filters run on matrices.  What is left, candidate links, falls into clusters (connected
 components), and the texts of a cluster are sent once, or, beyond BLOCK members, in pairs of blocks dealt out by
@@ -32,13 +32,14 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Numbers, by_place, byte_batches, shared_checkpoint, table, texts, written
 from .components import components
-from .picking import SALTS, matched, mix, picked, text_hashes
+from .picking import SALTS, bitmap_size, key_bitmap, matched, mix, picked, text_hashes
 
 SHINGLE, PERCENT = 3, 90
 RUN_BYTES = 8 << 20
@@ -48,6 +49,7 @@ COUNT_TOKENS = 8 << 20
 SMALL = 32
 BLOCK = 128
 CELLS = 4 << 20
+SIGNED_ROWS = 1024
 
 
 def _folded(word: np.ndarray, n: int) -> np.ndarray:
@@ -289,10 +291,54 @@ def _in_groups(rows: DataFrame, names: list[str], links_of) -> DataFrame:
     return rows.repartition(*names).sortWithinPartitions(*names).mapInArrow(_by_group(names, links_of), "u long, v long")
 
 
+def _met_tokens(sent, size: int):
+    """token, class, size, at of the prefix tokens whose bit is set."""
+    def run(batches):
+        for batch in batches:
+            for start in range(0, batch.num_rows, SIGNED_ROWS):
+                part = batch.slice(start, SIGNED_ROWS)
+                n = pc.list_value_length(part.column("p0")).to_numpy()
+                token = part.column("p0").flatten().to_numpy()
+                bit = token & (size - 1)
+                keep = np.flatnonzero((sent.value[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1)
+                of = np.repeat(np.arange(len(n)), n)[keep]
+                at = keep - (np.cumsum(n) - n)[of]
+                yield pa.RecordBatch.from_arrays([pa.array(token[keep]), part.column("class").take(pa.array(of)), part.column("size").take(pa.array(of)), pa.array(at.astype(np.int32))],
+                                                 ["token", "class", "size", "at"])
+    return run
+
+
+def prefix_rows(signed: DataFrame) -> DataFrame:
+    """token, class, size, at of every first prefix's tokens that stand in two rows, and of a few others.
+
+    Tokens are counted first, alone; a bitmap of those that come twice (16 bits each up to MOST_BITS of ``picking.py``, beyond
+    that more pass) picks the rows that are exchanged with their class.
+    """
+    counts = signed.select(F.explode("p0").alias("token")).groupBy("token").agg(F.count("*").alias("n"))
+    twice = written(counts.filter("n > 1").select("token"))
+    size = bitmap_size(twice.count())
+    sent = signed.sparkSession.sparkContext.broadcast(key_bitmap(twice.select(F.col("token").bitwiseAND(F.lit(size - 1))), size))  # at most MOST_BITS bits
+    return signed.select("class", "size", "p0").mapInArrow(_met_tokens(sent, size), "token long, class long, size int, at int")
+
+
+def of_classes(signed: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows of ``signed`` whose class is in ``wanted`` (class), and a few others: their prefixes alone are exchanged."""
+    wanted = written(wanted.distinct())
+    size = bitmap_size(wanted.count())
+    sent = signed.sparkSession.sparkContext.broadcast(key_bitmap(wanted.select(F.col("class").bitwiseAND(F.lit(size - 1))), size))  # at most MOST_BITS bits
+
+    def run(batches):
+        for batch in batches:
+            bit = batch.column("class").to_numpy() & (size - 1)
+            yield batch.filter(pa.array((sent.value[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1))
+
+    return signed.select("class", "size", "p1", "p2").mapInArrow(run, "class long, size int, p1 array<int>, p2 array<int>")
+
+
 def candidates(source: DataFrame, sent, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """u, v: pairs of classes that pass all filters, or for large groups links that join the same classes."""
     signed = written(source.mapInArrow(_prefixes(sent, shingle, percent), "class long, size int, p0 array<long>, p1 array<int>, p2 array<int>"))
-    rows = (signed.select(F.posexplode("p0").alias("at", "token"), "class", "size").repartition("token")
+    rows = (prefix_rows(signed).repartition("token")
             .groupBy("token", "class").agg(F.max("size").alias("size"), F.min("at").alias("at")))
     groups = rows.groupBy("token").agg(F.count("*").alias("members"), F.max("size").alias("top")).filter("members > 1 and top > 0")
     met = shared_checkpoint(rows.join(groups.drop("top"), "token"))
@@ -305,12 +351,14 @@ def candidates(source: DataFrame, sent, shingle: int = SHINGLE, percent: int = P
                     & ((100 + percent) * left >= percent * (F.col("x.size") + F.col("y.size")).cast("long"))
                     & (100 * F.least("x.size", "y.size").cast("long") >= percent * F.greatest("x.size", "y.size").cast("long")))
              .select(F.col("x.class").alias("u"), F.col("y.class").alias("v")).distinct())
+    pairs = written(pairs)
+    paired = of_classes(signed, pairs.select(F.explode(F.array("u", "v")).alias("class")))
     for p in ("p1", "p2"):
-        own = signed.groupBy("class", p).agg(F.lit(1).alias("one")).drop("one")  # once for each class
+        own = paired.groupBy("class", p).agg(F.lit(1).alias("one")).drop("one")  # once for each class
         pairs = (pairs.join(own.toDF("u", "pu"), "u").join(own.toDF("v", "pv"), "v")
                  .filter(F.arrays_overlap("pu", "pv")).select("u", "v"))
     large = met.filter(F.col("members") > SMALL).select("token", "class", "members")
-    own = signed.groupBy("class", "size", "p1", "p2").agg(F.lit(1).alias("one")).drop("one")
+    own = of_classes(signed, large.select("class")).groupBy("class", "size", "p1", "p2").agg(F.lit(1).alias("one")).drop("one")
     blocks = _in_groups(_dealt(large.join(own, "class"), "token"), ["token", "a", "b"], _candidate_links(percent))
     return pairs.unionByName(blocks)
 

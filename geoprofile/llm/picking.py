@@ -18,6 +18,8 @@ from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 from .common import byte_batches, sliced
 
 BITS = 1 << 24
+LEAST_BITS, MOST_BITS = 1 << 20, 1 << 27  # of bitmaps that are as large as their keys need
+BUCKET_BITS = 32768  # of Spark's bitmap functions
 RUN_BYTES = 8 << 20
 SALTS = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xD6E8FEB86659FD93))
 
@@ -53,6 +55,22 @@ def bitmap(rows: DataFrame) -> np.ndarray:
     return out
 
 
+def key_bitmap(places: DataFrame, size: int) -> np.ndarray:
+    """``size`` bits, of which those at the values of the only column are set."""
+    bit = F.col(places.columns[0]) + 1
+    buckets = places.groupBy(F.bitmap_bucket_number(bit).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits"))
+    out = np.zeros(size // 8, np.uint8)
+    for r in buckets.collect():  # at most size / BUCKET_BITS rows of 4 KB
+        part = np.frombuffer(bytes(r.bits), np.uint8)
+        out[(r.bucket - 1) * (BUCKET_BITS // 8):][:len(part)] = part
+    return out
+
+
+def bitmap_size(keys: int) -> int:
+    """Bits for so many keys: 16 for each, from LEAST_BITS to MOST_BITS."""
+    return min(MOST_BITS, max(LEAST_BITS, 1 << (16 * keys).bit_length()))
+
+
 def _picking(bits):
     def run(batches):
         for ids, data in byte_batches(batches, RUN_BYTES):

@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from .common import sliced, table, texts, written
 from .components import components
 from .ngram_join import class_id, shingle_sets
-from .picking import SALTS, mix, picked, text_hashes
+from .picking import SALTS, bitmap_size, key_bitmap, mix, picked, text_hashes
 
 SHINGLE, PERCENT = 4, 80
 BANDS, ROWS = 12, 2
@@ -51,8 +51,6 @@ RUN_BYTES = 4 << 20
 KEY_ROWS = 16384
 RUN = 256
 BLOCK, CHUNK = 2048, 4096
-LEAST_BITS, MOST_BITS = 1 << 20, 1 << 27
-BUCKET_BITS = 32768  # of Spark's bitmap functions
 TABLE_BITS = 8  # of a key, at its low end: its table
 DEALT = ["key", "outside", "class", "component"]
 
@@ -153,16 +151,6 @@ def _keys(sent, size: int):
     return run
 
 
-def _key_bitmap(keys: DataFrame, size: int) -> np.ndarray:
-    bit = F.shiftright("key", TABLE_BITS).bitwiseAND(F.lit(size - 1)) + 1
-    buckets = keys.groupBy(F.bitmap_bucket_number(bit).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits"))
-    out = np.zeros(size // 8, np.uint8)
-    for r in buckets.collect():  # at most MOST_BITS / BUCKET_BITS rows of 4 KB
-        part = np.frombuffer(bytes(r.bits), np.uint8)
-        out[(r.bucket - 1) * (BUCKET_BITS // 8):][:len(part)] = part
-    return out
-
-
 def meetings(classes: DataFrame) -> DataFrame:
     """key, class, least of every class in every key that two classes have; ``least`` is the key's least class.  A written table.
 
@@ -170,8 +158,9 @@ def meetings(classes: DataFrame) -> DataFrame:
     """
     counts = classes.select("bands").mapInArrow(_key_counts, "key long, n long").repartition("key").groupBy("key").agg(F.sum("n").alias("n"))
     shared = written(counts.filter("n > 1").select("key"))
-    size = min(MOST_BITS, max(LEAST_BITS, 1 << (16 * shared.count()).bit_length()))
-    sent = classes.sparkSession.sparkContext.broadcast(_key_bitmap(shared, size))  # at most MOST_BITS bits
+    size = bitmap_size(shared.count())
+    places = shared.select(F.shiftright("key", TABLE_BITS).bitwiseAND(F.lit(size - 1)))
+    sent = classes.sparkSession.sparkContext.broadcast(key_bitmap(places, size))  # at most MOST_BITS bits
     rows = written(classes.select("class", "bands").mapInArrow(_keys(sent, size), "key long, class long"))
     groups = rows.groupBy("key").agg(F.min("class").alias("least"), F.max("class").alias("most")).filter("least <> most").select("key", "least")
     return written(rows.join(groups, "key"))

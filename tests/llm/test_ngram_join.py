@@ -102,6 +102,29 @@ def test_prefixes_meet_under_every_order():
             assert all(np.isin(orders.prefix(a, k), orders.prefix(b, k)).any() for k in range(3))
 
 
+def test_only_what_may_meet_is_exchanged(spark, monkeypatch):
+    """Of prefixes, the tokens that stand in two rows, with their places; of classes, the wanted ones.  A full bitmap lets all pass."""
+    r = np.random.default_rng(5)
+    p0 = [r.integers(-2**63, 2**63, n).tolist() for n in [0, 5, 1, 40] * 50]
+    for k in range(1, 200, 4):
+        p0[k][k % 5] = p0[(k + 40) % 200][2]
+    signed = spark.createDataFrame([(int(c), len(p) * 9, p, [k, 1], [k, 2, 3]) for k, (c, p) in enumerate(zip(r.integers(-2**63, 2**63, 200), p0))],
+                                   "class long, size int, p0 array<long>, p1 array<int>, p2 array<int>").repartition(3)
+    every = Counter((x, c, size, at) for c, size, p, _, _ in signed.collect() for at, x in enumerate(p))
+    seen = Counter(x for x, *_ in every.elements())
+    twice = Counter(row for row in every.elements() if seen[row[0]] > 1)
+    assert 0 < twice.total() < every.total() / 4
+    monkeypatch.setattr(M, "SIGNED_ROWS", 7)
+    assert Counter(map(tuple, M.prefix_rows(signed).collect())) == twice
+    wanted = signed.filter("pmod(class, 7) = 3").select("class")
+    want = sorted(map(tuple, signed.filter("pmod(class, 7) = 3").select("class", "size", "p1", "p2").collect()))
+    assert sorted(map(tuple, M.of_classes(signed, wanted).collect())) == want and 0 < len(want) < 60
+    monkeypatch.setattr(M, "bitmap_size", lambda keys: 32768)
+    monkeypatch.setattr(M, "key_bitmap", lambda places, size: np.full(size // 8, 255, np.uint8))
+    assert Counter(map(tuple, M.prefix_rows(signed).collect())) == every
+    assert M.of_classes(signed, wanted).count() == 200
+
+
 def test_components(spark):
     r = random.Random(1)
     edges = [(r.randint(0, 400), r.randint(0, 400)) for _ in range(250)] + [(i, i + 1) for i in range(1000, 1100)] + [(7, 7)]
