@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 
 MUCH = 1 << 20
+BATCH_SIZE, BATCH_DEFAULT, ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -83,9 +84,20 @@ class Numbers(dict):
         return n
 
 
-def byte_batches(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[list, list[bytes]]]:
+READY: dict = {}  # what this worker keeps from task to task, by its key: one thing
+
+
+def kept(key, make):
+    """What ``make`` gives, kept for this worker's later tasks, until one reads texts (``sliced``) without it."""
+    if key not in READY:
+        READY.clear()
+        READY[key] = make()
+    return READY[key]
+
+
+def byte_batches(batches: Iterator[pa.RecordBatch], most: int, keep=None) -> Iterator[tuple[list, list[bytes]]]:
     """(ids, texts as bytes) in runs of about ``most`` bytes, one text at least; no more than a run is held as Python objects."""
-    for batch in sliced(batches, most):
+    for batch in sliced(batches, most, keep=keep):
         yield batch.column("doc_id").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist()
 
 
@@ -96,11 +108,31 @@ def give_back() -> None:
         ctypes.CDLL(None).malloc_trim(0)
 
 
-def sliced(batches: Iterator[pa.RecordBatch], most: int, column: str = "text") -> Iterator[pa.RecordBatch]:
+def in_arrow(df: DataFrame, run, schema) -> DataFrame:
+    """``df.mapInArrow``, in batches of ARROW_BYTES (unless the session names another size), after which a task gives back what it has freed.
+
+    A batch is held by the executor, in its worker and on the way between, for each task, and ten thousand texts are much.
+    """
+    conf = df.sparkSession.conf
+    if conf.get(BATCH_SIZE, None) in (None, BATCH_DEFAULT):
+        conf.set(BATCH_SIZE, ARROW_BYTES)
+
+    def task(batches):
+        yield from run(batches)
+        give_back()  # nothing of the run is held any more
+
+    return df.mapInArrow(task, schema)
+
+
+def sliced(batches: Iterator[pa.RecordBatch], most: int, column: str = "text", keep=None) -> Iterator[pa.RecordBatch]:
     """The same rows in slices of about ``most`` bytes of ``column``, one row at least; nothing is copied.
 
-    What is freed by then is given back to the system after the last row, if it was much.
+    What is freed by then is given back to the system after the last row, if it was much.  What the worker has ``kept`` for
+    another operator, under another key than ``keep``, goes before the first row.
     """
+    if READY and keep not in READY:
+        READY.clear()
+        give_back()
     total = 0
     for batch in batches:
         ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)

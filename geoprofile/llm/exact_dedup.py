@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_place, byte_batches, shared_checkpoint, table, texts, written
+from .common import by_place, byte_batches, in_arrow, shared_checkpoint, table, texts, written
 from .picking import matched, text_hashes
 
 MIN_CHUNK = 512
@@ -124,11 +124,11 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     distinct chunks it has about n^2 / 2^65 entries (about 100 at 100 TB).
     """
     source = texts(docs, id_col, text_col)
-    collided = (source.mapInArrow(_bodies(digest_bits), "digest long, length long, body binary")
+    collided = (source.transform(in_arrow, _bodies(digest_bits), "digest long, length long, body binary")
                 .repartition("digest", "length").groupBy("digest", "length", "body").agg(F.lit(1).alias("one"))
                 .groupBy("digest", "length").count().filter("count > 1").select("digest", "length"))
     clash = frozenset((r.digest, r.length) for r in collided.collect())
-    rows = (source.mapInArrow(_recipes(digest_bits, clash),
+    rows = (source.transform(in_arrow, _recipes(digest_bits, clash),
                               "doc_id long, recipe array<long>, bodies array<binary>, text_sha256 string, text_hash long")
             .groupBy("recipe", "bodies", "doc_id", "text_sha256", "text_hash").agg(F.count("*").alias("copies")))
     rows = shared_checkpoint(rows)

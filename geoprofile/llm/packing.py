@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from .common import Numbers, byte_batches, table, texts
+from .common import Numbers, byte_batches, in_arrow, kept, table, texts
 
 WINDOW = 2048
 BLOCK = 1 << 20
@@ -49,7 +49,6 @@ CACHE_WORDS = 800_000
 JOINED_WORDS = 1024
 PLAIN = "\u00ff"  # letters up to here stay one letter each, whatever normalizing does
 MARKS = b"!#$%&()*+,-./:;=?@[\\]^_`{|}~"  # ASCII signs that begin no match with letters, as an apostrophe does
-_READY: dict = {}
 
 
 class WordTokens:
@@ -281,12 +280,8 @@ class Packer:
         return rows
 
 
-def _words(spec: str) -> WordTokens:
-    key = hashlib.sha256(spec.encode()).digest()
-    if key not in _READY:
-        _READY.clear()
-        _READY[key] = WordTokens(spec)
-    return _READY[key]
+def _key(spec: str) -> tuple[str, bytes]:
+    return __name__, hashlib.sha256(spec.encode()).digest()
 
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -297,14 +292,15 @@ def pack(docs: DataFrame, spec: str, window: int = WINDOW, block: int = BLOCK, i
     sent = docs.sparkSession.sparkContext.broadcast(spec)  # a vocabulary file of fixed size
 
     def run(batches):
-        words = _words(sent.value)
+        key = _key(sent.value)
+        words = kept(key, lambda: WordTokens(sent.value))
         packer = Packer(words.sentence_ids, TaskContext.get().partitionId() << 33, window, block)
 
         def out(rows):
             return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)],
                                               [c.split()[0] for c in PIECES.split(", ")])
 
-        for ids, data in byte_batches(batches, RUN_BYTES):
+        for ids, data in byte_batches(batches, RUN_BYTES, key):
             stream, ends = words.encode(data)
             start = 0
             for doc_id, end in zip(ids, ends.tolist()):
@@ -314,7 +310,7 @@ def pack(docs: DataFrame, spec: str, window: int = WINDOW, block: int = BLOCK, i
         if rows := packer.close():
             yield out(rows)
 
-    return texts(docs, id_col, text_col).mapInArrow(run, PIECES)
+    return texts(docs, id_col, text_col).transform(in_arrow, run, PIECES)
 
 
 def tokenizer_spec(path: str | None = None) -> str:

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 
-from .common import byte_batches, sliced
+from .common import byte_batches, in_arrow, sliced
 
 BITS = 1 << 24
 LEAST_BITS, MOST_BITS = 1 << 20, 1 << 27  # of bitmaps that are as large as their keys need
@@ -46,7 +46,7 @@ def bitmap(rows: DataFrame) -> np.ndarray:
             ids, hashes = (batch.column(c).fill_null(0).to_numpy() for c in ("doc_id", "text_hash"))
             yield pa.RecordBatch.from_arrays([pa.array(row_bit(ids, hashes) + 1)], ["bit"])
 
-    found = (rows.select("doc_id", "text_hash").mapInArrow(bit, "bit long")
+    found = (rows.select("doc_id", "text_hash").transform(in_arrow, bit, "bit long")
              .groupBy(F.bitmap_bucket_number("bit").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits")).collect())
     out = np.zeros(BITS // 8, np.uint8)
     for r in found:
@@ -86,7 +86,7 @@ def _picking(bits):
 def picked(source: DataFrame, wanted: DataFrame) -> DataFrame:
     """doc_id, text_hash, text of all rows of ``source`` (doc_id, text) that ``wanted`` (doc_id, text_hash, ..) has, and a few others."""
     bits = source.sparkSession.sparkContext.broadcast(bitmap(wanted))  # BITS bits
-    return source.mapInArrow(_picking(bits), "doc_id long, text_hash long, text string")
+    return source.transform(in_arrow, _picking(bits), "doc_id long, text_hash long, text string")
 
 
 def matched(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, how: str = "left") -> tuple[DataFrame, DataFrame]:
@@ -104,6 +104,6 @@ def matched(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, how:
             near = (bits.value[at // 8] >> (at % 8).astype(np.uint8)) & 1 == 1
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(hashes), pa.array(near)], [*batch.schema.names, "own_hash", "near"])
 
-    marked = docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("own_hash", LongType()), StructField("near", BooleanType())]))
+    marked = docs.transform(in_arrow, run, StructType([*docs.schema.fields, StructField("own_hash", LongType()), StructField("near", BooleanType())]))
     same = F.col(id_col).cast("long").eqNullSafe(F.col("doc_id")) & (F.col("own_hash") == F.col("text_hash"))
     return marked.filter("not near").select(*docs.columns), marked.filter("near").drop("near").join(wanted, same, how)

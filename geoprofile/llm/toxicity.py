@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_batches, sliced, table, texts
+from .common import byte_batches, in_arrow, sliced, table, texts
 from .linear import Rows, feature, fit, sigmoid
 
 MAX_ROWS = 12_000
@@ -173,7 +173,7 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Model
     ids = spark.createDataFrame([(i,) for i in label], "doc_id long")
     sample = texts(docs).join(F.broadcast(ids), "doc_id", "left_semi")  # at most max_rows ids
     own, y, swapped = [], [], []
-    found = sample.mapInArrow(_features, "doc_id long, features array<long>, swapped array<array<long>>").toArrow()
+    found = sample.transform(in_arrow, _features, "doc_id long, features array<long>, swapped array<array<long>>").toArrow()
     for doc_id, x, pairs in zip(*(found.column(c) for c in ("doc_id", "features", "swapped"))):
         x = np.asarray(x.values.to_numpy(zero_copy_only=False) if x.values is not None else [], np.int64)
         for t in label[doc_id.as_py()]:
@@ -215,7 +215,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         for ids, data in byte_batches(batches, RUN_BYTES):
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(scorer(data))], ["doc_id", "score"])
 
-    return texts(docs).mapInArrow(run, "doc_id long, score double")
+    return texts(docs).transform(in_arrow, run, "doc_id long, score double")
 
 
 def classify(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
@@ -235,7 +235,7 @@ def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
             data = [x or b"" for x in batch.column("text").cast(pa.binary()).to_pylist()]
             yield batch.filter(pa.array(scorer(data) < 0.5))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.transform(in_arrow, run, docs.schema)
 
 
 def op4_toxicity(spark, sf_dir: str) -> DataFrame:

@@ -158,3 +158,24 @@ def test_query(spark, small, plain):
     docs = spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text").collect()
     tokens, padding = check(rows, map(tuple, docs), plain, M.WINDOW)
     assert padding < 0.01 * tokens
+
+
+def test_what_a_worker_keeps_goes_when_another_operator_reads():
+    batch = pa.record_batch({"doc_id": pa.array([1]), "text": ["a"]})
+    made = []
+    get = lambda key: common.kept(key, lambda: made.append(key) or key)
+    get("a"), get("a")
+    assert list(common.byte_batches([batch], 10, "a")) and "a" in common.READY and made == ["a"]
+    get("b")
+    assert list(common.READY) == ["b"]
+    assert list(common.byte_batches([batch], 10)) and not common.READY
+
+
+def test_batches_are_small_unless_the_session_names_their_size(spark):
+    docs = spark.range(3).selectExpr("id", "repeat('x', 3000000) text").coalesce(1)
+    rows = lambda: [r.n for r in common.in_arrow(docs, lambda bs: (pa.record_batch({"n": [b.num_rows]}) for b in bs), "n long").collect()]
+    spark.conf.unset(common.BATCH_SIZE)
+    assert max(rows()) < 3
+    spark.conf.set(common.BATCH_SIZE, 100 << 20)
+    assert rows() == [3]
+    spark.conf.unset(common.BATCH_SIZE)
