@@ -13,8 +13,10 @@ counts make the list (1/HOT_SHARE entries at most), which is sent to the tasks.
 gives the same links: it only decides how soon unequal texts are told apart.
 
 Classes that share a token under the first order meet by that token, if it stands in two prefixes (a bitmap tells, ``picking.py``): groups of up to SMALL
-classes as pairs (if what follows the token in both prefixes and sets leaves enough to share), which then pass the other two orders one after the other, larger groups in blocks,
-where the filters run on matrices.  What is left, candidate links, falls into clusters (connected
+classes as pairs (if what follows the token in both prefixes and sets leaves enough to share), larger groups in blocks, where the filters run on
+matrices.  A pair goes if the two sets' marks, of MARK_BITS bits, differ by more bits than linked sets by tokens; then it passes the
+other two orders, in small groups one after the other, and in blocks if the sets are too large for their marks to tell much (the others pass them where
+they are verified): so a class is sent about with its 64 bytes, and with its prefixes only if it may be close to another.  What is left, candidate links, falls into clusters (connected
 components), and the texts of a cluster are sent once, or, beyond BLOCK members, in pairs of blocks dealt out by
 hash.  There the filters and the verification run on matrices, so neither a
 group nor its pairs stand in one place as rows; each task returns only the links that
@@ -37,9 +39,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Numbers, by_place, byte_batches, shared_checkpoint, table, texts, written
+from .common import by_place, byte_batches, in_arrow, shared_checkpoint, table, texts, written
 from .components import components
 from .picking import SALTS, bitmap_size, key_bitmap, matched, mix, picked, text_hashes
+from .word_hashes import word_hashes
 
 SHINGLE, PERCENT = 3, 90
 RUN_BYTES = 8 << 20
@@ -48,6 +51,8 @@ HOT_LEAST = 32
 COUNT_TOKENS = 8 << 20
 SMALL = 32
 BLOCK = 128
+MARK_BITS, MARK_SHARE = 512, 0.35
+MARKS = [f"m{k}" for k in range(MARK_BITS // 64)]
 CELLS = 4 << 20
 SIGNED_ROWS = 1024
 
@@ -62,18 +67,10 @@ def _folded(word: np.ndarray, n: int) -> np.ndarray:
 
 def shingle_sets(data: list[bytes], shingle: int = SHINGLE) -> list[np.ndarray]:
     """The sorted distinct shingle hashes of each text."""
-    number = Numbers()
-    flat: list[int] = []
-    ends = []
-    for text in data:
-        flat += map(number.__getitem__, text.lower().split())
-        ends.append(len(flat))
-    if not flat:
-        return [np.zeros(0, np.uint64)] * len(data)
-    word = np.fromiter(map(xxhash.xxh3_64_intdigest, number), np.uint64, len(number))[np.array(flat)]
+    word, ends = word_hashes([t.lower() for t in data])
     with np.errstate(over="ignore"):
         whole, out, start = _folded(word, shingle), [], 0
-        for end in ends:
+        for end in ends.tolist():
             n = end - start
             if n >= shingle:
                 out.append(np.unique(whole[start:end - shingle + 1]))
@@ -134,6 +131,26 @@ def linked(a: np.ndarray, b: np.ndarray, shared: int, percent: int = PERCENT) ->
     return 100 * shared >= percent * (len(a) + len(b) - shared)
 
 
+def marks(sets: list[np.ndarray]) -> np.ndarray:
+    """MARK_BITS bits for each set, as 64-bit numbers: whether a range of hashes holds an odd number of its tokens.
+
+    Two sets differ by as many tokens at least as their marks by bits.
+    """
+    of = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    at = np.concatenate(sets) >> np.uint64(64 - MARK_BITS.bit_length() + 1) if sets else np.zeros(0, np.uint64)
+    odd = np.bincount(of * MARK_BITS + at.astype(np.int64), minlength=len(sets) * MARK_BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64).reshape(len(sets), MARK_BITS // 64)
+
+
+def may_link(mark: np.ndarray, size: np.ndarray, rows: np.ndarray, cols: np.ndarray, percent: int) -> np.ndarray:
+    """Which pairs of rows and cols can be linked by their marks: of s + t tokens, those that differ are in one set alone."""
+    bit = np.unpackbits(np.ascontiguousarray(mark).view(np.uint8).reshape(len(mark), MARK_BITS // 8), 1).astype(np.float32)
+    n = bit.sum(1)
+    differ = (n[rows][:, None] + n[cols] - 2 * (bit[rows] @ bit[cols].T)).astype(np.int64)
+    both = size[rows][:, None] + size[cols]
+    return (100 + percent) * (both - differ) >= 2 * percent * both
+
+
 class Forest:
     """Union-find over the links that one task has seen."""
 
@@ -171,18 +188,22 @@ def meetings(lists: list[np.ndarray], rows: np.ndarray, cols: np.ndarray) -> np.
 
 
 def block_links(ids: list[int], left: np.ndarray, size: np.ndarray, prefixes: list[list[np.ndarray]], sets: list[np.ndarray] | None,
-                percent: int = PERCENT) -> list[tuple[int, int]]:
+                percent: int = PERCENT, mark: np.ndarray | None = None) -> list[tuple[int, int]]:
     """A spanning forest of the links between the members marked ``left`` and the others (all members, if none is left).
 
-    A pair passes the size filter and shares a token of every list of prefixes; with ``sets`` it is verified.
+    A pair passes the size filter (with ``mark`` that of ``marks`` too) and shares a token of every list of prefixes, unless one of the two is
+    empty (left out); with ``sets`` it is verified.
     """
     rows, cols = (np.flatnonzero(left), np.flatnonzero(~left)) if left.any() and not left.all() else (np.arange(len(ids)),) * 2
     may = 100 * np.minimum(size[rows][:, None], size[cols]) >= percent * np.maximum(size[rows][:, None], size[cols])
     if rows is cols:
         may = np.triu(may, 1)
+    if mark is not None and may.any():
+        may &= may_link(mark, size, rows, cols, percent)
     for own in prefixes:
         if may.any():
-            may &= meetings(own, rows, cols) > 0
+            some = np.array([len(x) > 0 for x in own])
+            may &= (meetings(own, rows, cols) > 0) | ~(some[rows][:, None] & some[cols])
     if sets is not None and may.any():
         shared = meetings(sets, rows, cols).astype(np.int64)
         may &= 100 * shared >= percent * (size[rows][:, None] + size[cols] - shared)
@@ -204,8 +225,12 @@ def _classes(shingle: int):
 def _counts(shingle: int):
     """Tokens that stand in two documents of a run of COUNT_TOKENS at least."""
     def flush(held):
-        token, n = np.unique(np.concatenate(held), return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(token[n > 1].view(np.int64)), pa.array(n[n > 1])], ["token", "n"])
+        token = np.concatenate(held)
+        held.clear()
+        token.sort()
+        first = np.flatnonzero(np.append(True, token[1:] != token[:-1])) if len(token) else np.zeros(0, np.int64)
+        n = np.diff(first, append=len(token))
+        return pa.RecordBatch.from_arrays([pa.array(token[first[n > 1]].view(np.int64)), pa.array(n[n > 1])], ["token", "n"])
 
     def run(batches):
         held, size = [], 0
@@ -215,14 +240,14 @@ def _counts(shingle: int):
                 size += len(s)
             if size > COUNT_TOKENS:
                 yield flush(held)
-                held, size = [], 0
+                size = 0
         if held:
             yield flush(held)
     return run
 
 
 def common_tokens(source: DataFrame, shingle: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
-    counts = source.select("doc_id", "text").mapInArrow(_counts(shingle), "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    counts = source.select("doc_id", "text").transform(in_arrow, _counts(shingle), "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
     counts = written(counts.filter(F.col("n") >= HOT_LEAST))
     total = counts.agg(F.sum("n")).first()[0] or 0
     found = counts.filter(F.col("n") >= F.lit(total * HOT_SHARE)).toArrow()  # at most 1 / HOT_SHARE rows
@@ -236,7 +261,8 @@ def _prefixes(sent, shingle: int, percent: int):
             own = [[x.view(np.int64) for x in prefixes] for prefixes in sent.value.prefixes(sets, percent)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([class_id(x) for x in sets], pa.int64()), pa.array([len(x) for x in sets], pa.int32()), pa.array(own[0], pa.list_(pa.int64())),
-                 *[pa.array([x.astype(np.int32) for x in own[k]], pa.list_(pa.int32())) for k in (1, 2)]], ["class", "size", "p0", "p1", "p2"])
+                 *[pa.array([x.astype(np.int32) for x in own[k]], pa.list_(pa.int32())) for k in (1, 2)], *map(pa.array, marks(sets).T)],
+                ["class", "size", "p0", "p1", "p2", *MARKS])
     return run
 
 
@@ -274,7 +300,8 @@ def _marked(columns: dict) -> np.ndarray:
 def _candidate_links(percent: int):
     def links_of(columns: dict) -> list[tuple[int, int]]:
         prefixes = [[np.array(x, np.int64) for x in columns[c]] for c in ("p1", "p2")]
-        return block_links(columns["class"], _marked(columns), np.array(columns["size"]), prefixes, None, percent)
+        mark = np.array([columns[m] for m in MARKS], np.int64).T
+        return block_links(columns["class"], _marked(columns), np.array(columns["size"], np.int64), prefixes, None, percent, mark)
     return links_of
 
 
@@ -288,7 +315,7 @@ def _dealt(members: DataFrame, key: str) -> DataFrame:
 
 
 def _in_groups(rows: DataFrame, names: list[str], links_of) -> DataFrame:
-    return rows.repartition(*names).sortWithinPartitions(*names).mapInArrow(_by_group(names, links_of), "u long, v long")
+    return rows.repartition(*names).sortWithinPartitions(*names).transform(in_arrow, _by_group(names, links_of), "u long, v long")
 
 
 def _met_tokens(sent, size: int):
@@ -318,11 +345,11 @@ def prefix_rows(signed: DataFrame) -> DataFrame:
     twice = written(counts.filter("n > 1").select("token"))
     size = bitmap_size(twice.count())
     sent = signed.sparkSession.sparkContext.broadcast(key_bitmap(twice.select(F.col("token").bitwiseAND(F.lit(size - 1))), size))  # at most MOST_BITS bits
-    return signed.select("class", "size", "p0").mapInArrow(_met_tokens(sent, size), "token long, class long, size int, at int")
+    return signed.select("class", "size", "p0").transform(in_arrow, _met_tokens(sent, size), "token long, class long, size int, at int")
 
 
-def of_classes(signed: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The rows of ``signed`` whose class is in ``wanted`` (class), and a few others: their prefixes alone are exchanged."""
+def of_classes(signed: DataFrame, wanted: DataFrame, columns: tuple = ("class", "size", "p1", "p2")) -> DataFrame:
+    """``columns`` of the rows of ``signed`` whose class is in ``wanted`` (class), and a few others: these alone are exchanged."""
     wanted = written(wanted.distinct())
     size = bitmap_size(wanted.count())
     sent = signed.sparkSession.sparkContext.broadcast(key_bitmap(wanted.select(F.col("class").bitwiseAND(F.lit(size - 1))), size))  # at most MOST_BITS bits
@@ -332,12 +359,33 @@ def of_classes(signed: DataFrame, wanted: DataFrame) -> DataFrame:
             bit = batch.column("class").to_numpy() & (size - 1)
             yield batch.filter(pa.array((sent.value[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1))
 
-    return signed.select("class", "size", "p1", "p2").mapInArrow(run, "class long, size int, p1 array<int>, p2 array<int>")
+    found = signed.select(*columns)
+    return found.transform(in_arrow, run, found.schema)
+
+
+SIGNED = "class long, size int, p0 array<long>, p1 array<int>, p2 array<int>, " + ", ".join(f"{m} long" for m in MARKS)
+
+
+def _once(rows: DataFrame, *columns: str) -> DataFrame:
+    """The rows' columns once for each class."""
+    return rows.groupBy("class").agg(*(F.first(c).alias(c) for c in columns))
+
+
+def _as(rows: DataFrame, end: str) -> DataFrame:
+    return rows.toDF(*(end if c == "class" else f"{c}_{end}" for c in rows.columns))
+
+
+def _close(pairs: DataFrame, signed: DataFrame, percent: int) -> DataFrame:
+    """The pairs (u, v) that sizes and ``marks`` let be linked, as a written table."""
+    own = _once(of_classes(signed, pairs.select(F.explode(F.array("u", "v")).alias("class")), ("class", "size", *MARKS)), "size", *MARKS)
+    differ = sum((F.bit_count(F.col(f"{m}_u").bitwiseXOR(F.col(f"{m}_v"))) for m in MARKS), F.lit(0))
+    both = (F.col("size_u") + F.col("size_v")).cast("long")
+    return written(pairs.join(_as(own, "u"), "u").join(_as(own, "v"), "v").filter((100 + percent) * (both - differ) >= 2 * percent * both).select("u", "v"))
 
 
 def candidates(source: DataFrame, sent, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """u, v: pairs of classes that pass all filters, or for large groups links that join the same classes."""
-    signed = written(source.mapInArrow(_prefixes(sent, shingle, percent), "class long, size int, p0 array<long>, p1 array<int>, p2 array<int>"))
+    signed = written(source.transform(in_arrow, _prefixes(sent, shingle, percent), SIGNED))
     rows = (prefix_rows(signed).repartition("token")
             .groupBy("token", "class").agg(F.max("size").alias("size"), F.min("at").alias("at")))
     groups = rows.groupBy("token").agg(F.count("*").alias("members"), F.max("size").alias("top")).filter("members > 1 and top > 0")
@@ -351,14 +399,17 @@ def candidates(source: DataFrame, sent, shingle: int = SHINGLE, percent: int = P
                     & ((100 + percent) * left >= percent * (F.col("x.size") + F.col("y.size")).cast("long"))
                     & (100 * F.least("x.size", "y.size").cast("long") >= percent * F.greatest("x.size", "y.size").cast("long")))
              .select(F.col("x.class").alias("u"), F.col("y.class").alias("v")).distinct())
-    pairs = written(pairs)
+    pairs = _close(written(pairs), signed, percent)
     paired = of_classes(signed, pairs.select(F.explode(F.array("u", "v")).alias("class")))
     for p in ("p1", "p2"):
         own = paired.groupBy("class", p).agg(F.lit(1).alias("one")).drop("one")  # once for each class
         pairs = (pairs.join(own.toDF("u", "pu"), "u").join(own.toDF("v", "pv"), "v")
                  .filter(F.arrays_overlap("pu", "pv")).select("u", "v"))
     large = met.filter(F.col("members") > SMALL).select("token", "class", "members")
-    own = of_classes(signed, large.select("class")).groupBy("class", "size", "p1", "p2").agg(F.lit(1).alias("one")).drop("one")
+    own = _once(of_classes(signed, large.select("class"), ("class", "size", "p1", "p2", *MARKS)), "size", "p1", "p2", *MARKS)
+    # linked sets may differ by so many tokens that the marks of others differ by no more bits; smaller sets go without prefixes
+    wide = 2 * F.col("size").cast("long") * (100 - percent) > MARK_SHARE * MARK_BITS * (100 + percent)
+    own = own.withColumns({p: F.when(wide, F.col(p)).otherwise(F.array().cast("array<int>")) for p in ("p1", "p2")})
     blocks = _in_groups(_dealt(large.join(own, "class"), "token"), ["token", "a", "b"], _candidate_links(percent))
     return pairs.unionByName(blocks)
 
@@ -396,7 +447,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Texts are linked whose sets of ``shingle``-word shingles have a Jaccard similarity of ``percent``/100 or more.
     """
     source = texts(docs, id_col, text_col)
-    classes = shared_checkpoint(source.mapInArrow(_classes(shingle), "doc_id long, text_hash long, n_shingles long, class long"))
+    classes = shared_checkpoint(source.transform(in_arrow, _classes(shingle), "doc_id long, text_hash long, n_shingles long, class long"))
     joined = components(links(source, classes, shingle, percent))
     least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash"))
     members = (classes.filter("class is not null").groupBy("class").agg(least.alias("first"))

@@ -142,3 +142,41 @@ def test_components(spark):
     out = {r.node: r.component for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert out == {x: root(x) for x in up}
     assert components(spark.createDataFrame([], "u long, v long")).collect() == []
+
+
+def test_marks_rule_out_what_cannot_be_linked_and_no_more():
+    r = np.random.default_rng(8)
+    base = r.integers(0, 2**64, 400, dtype=np.uint64)
+    sets = [np.unique(np.concatenate((base[: 400 - k], r.integers(0, 2**64, m, dtype=np.uint64)))) for k in (0, 9, 20, 40, 90, 300) for m in (0, 1, 20, 60)]
+    sets += [base[:1], base[:2], base[5:7], np.unique(r.integers(0, 2**64, 4000, dtype=np.uint64))]
+    size, every = np.array([len(x) for x in sets]), np.arange(len(sets))
+    shared = np.array([[len(np.intersect1d(a, b)) for b in sets] for a in sets])
+    for percent in (80, 90):
+        may = M.may_link(M.marks(sets), size, every, every, percent)
+        want = 100 * shared >= percent * (size[:, None] + size - shared)
+        assert may[want].all() and 0 < (may & ~want).sum() < (~want).sum() / 2
+
+
+def test_close_pairs_are_told_before_prefixes_are_sent(spark):
+    r = np.random.default_rng(9)
+    base = r.integers(0, 2**64, 200, dtype=np.uint64)
+    sets = [np.unique(np.concatenate((base[:k], r.integers(0, 2**64, 200 - k, dtype=np.uint64)))) for k in (200, 199, 195, 150, 60, 10)]
+    signed = spark.createDataFrame([(k, len(x), [], [], [], *m) for k, (x, m) in enumerate(zip(sets, M.marks(sets).tolist()))], M.SIGNED)
+    pairs = spark.createDataFrame([(a, b) for a in range(6) for b in range(a + 1, 6)], "u long, v long")
+    assert sorted(map(tuple, M._close(pairs, signed, 90).collect())) == [(0, 1), (0, 2), (1, 2)]
+
+
+def test_large_sets_in_blocks_are_told_by_prefixes(spark, monkeypatch):
+    """Sets too large for their marks: pairs that share one token alone are no candidates, and links of large groups stay."""
+    monkeypatch.setattr(M, "SMALL", 4)
+    r = np.random.default_rng(3)
+    common = " ".join(f"c{k}" for k in range(400))
+    rows = [(i, common + " " + " ".join(f"w{x}" for x in r.integers(0, 10**6, 3000))) for i in range(12)]
+    rows += [(100 + i, rows[i][1] + " and more") for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert got(M.near_groups(docs)) == brute(rows)
+    lists = [np.array([7, 10 + i // 2, 50 + i]) for i in range(12)]
+    size, mark = np.full(12, 10**4), np.zeros((12, M.MARK_BITS // 64), np.int64)
+    apart = [[x[1:] for x in lists], [x[1:] for x in lists]]
+    assert len(M.block_links(list(range(12)), np.zeros(12, bool), size, apart, None, 80, mark)) == 6
+    assert len(M.block_links(list(range(12)), np.zeros(12, bool), size, [[x[:0] for x in lists]] * 2, None, 80, mark)) == 11
