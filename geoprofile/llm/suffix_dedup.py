@@ -39,9 +39,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_place, byte_batches, shared_checkpoint, sliced, table, texts, written
+from .common import by_place, byte_batches, in_arrow, shared_checkpoint, sliced, table, texts, written
 from .picking import matched, picked, text_hashes
 from .suffix_array import repeated_windows
+from .word_hashes import word_hashes
 
 LENGTH = 400
 GRAM = 128
@@ -109,37 +110,24 @@ def text_id(text: bytes) -> bytes:
     return xxhash.xxh3_128_digest(text)
 
 
-class Codes(dict):
-    """Codes of words, kept for the words that come again."""
-
-    def __missing__(self, word):
-        if len(self) >= 1 << 16:
-            self.clear()
-        code = self[word] = xxhash.xxh3_64_digest(word.encode())
-        return code
-
-
-def word_codes(text: str, known: Codes) -> bytes:
-    """The codes of what stands between white space, end to end."""
-    return b"".join(map(known.__getitem__, text.split()))
-
-
-def _symbols(unit: int):
-    """What a text, as bytes, is searched as."""
-    known = Codes()
-    return (lambda text: text) if unit == 1 else (lambda text: word_codes(text.decode(), known))
+def symbols(data: list[bytes], unit: int) -> list[bytes]:
+    """What texts, as bytes, are searched as: these, or the codes of what stands between white space, end to end."""
+    if unit == 1:
+        return data
+    hashes, ends = word_hashes(data, unicode=True)
+    codes, ends = hashes.astype("<u8").tobytes(), (ends * CODE).tolist()
+    return [codes[a:b] for a, b in zip([0, *ends], ends)]
 
 
 def _facts(with_words: bool):
     """What identifies a text: by its bytes, and with_words by its words' codes."""
     def run(batches):
-        symbols = _symbols(CODE)
         for ids, data in byte_batches(batches, CODED_BYTES):
             columns = [pa.array(ids, pa.int64()), pa.array(map(text_id, data), pa.binary()), pa.array(map(len, data), pa.int64()),
                        pa.array([hashlib.sha256(t).hexdigest() for t in data], pa.string()), pa.array(text_hashes(data))]
             names = ["doc_id", "tid", "n_bytes", "sha256", "text_hash"]
             if with_words:
-                codes = [symbols(t) for t in data]
+                codes = symbols(data, CODE)
                 columns += [pa.array(map(text_id, codes), pa.binary()), pa.array([len(c) // CODE for c in codes], pa.int64())]
                 names += ["word_tid", "n_words"]
             yield pa.RecordBatch.from_arrays(columns, names)
@@ -148,15 +136,15 @@ def _facts(with_words: bool):
 
 def facts_of(source: DataFrame, with_words: bool) -> DataFrame:
     kinds = "doc_id long, tid binary, n_bytes long, sha256 string, text_hash long"
-    return shared_checkpoint(source.mapInArrow(_facts(with_words), kinds + (", word_tid binary, n_words long" if with_words else "")))
+    return shared_checkpoint(source.transform(in_arrow, _facts(with_words), kinds + (", word_tid binary, n_words long" if with_words else "")))
 
 
 def _anchor_rows(length: int, gram: int, unit: int):
     def run(batches):
-        seen, symbols = set(), _symbols(unit)
+        seen = set()
         for _, data in byte_batches(batches, RUN_BYTES):
             own = []
-            for text in map(symbols, data):
+            for text in symbols(data, unit):
                 tid = text_id(text)
                 if len(text) >= length * unit and tid not in seen:
                     seen.add(tid)
@@ -176,11 +164,11 @@ def _anchor_rows(length: int, gram: int, unit: int):
 def _one_text(unit: int):
     """Of rows that share an id, the one with the wanted text, once."""
     def run(batches):
-        seen, symbols = set(), _symbols(unit)
+        seen = set()
         for batch in sliced(batches, CODED_BYTES):
             rows = []
-            for tid, places, text in zip(*(x.to_pylist() for x in (batch.column("tid"), batch.column("places"), batch.column("text").cast(pa.binary())))):
-                text = symbols(text)
+            data = symbols(batch.column("text").cast(pa.binary()).to_pylist(), unit)
+            for tid, places, text in zip(batch.column("tid").to_pylist(), batch.column("places").to_pylist(), data):
                 if tid not in seen and text_id(text) == tid:
                     seen.add(tid)
                     rows.append((tid, places, text))
@@ -277,7 +265,7 @@ def stripped_texts(source: DataFrame, facts: DataFrame, length: int, gram: int,
     Texts are searched as symbols of ``unit`` bytes: their bytes, or codes of their words.  facts: doc_id, text_hash
     of the text and tid of its symbols.  Lengths and places count symbols.
     """
-    rows = written(source.mapInArrow(_anchor_rows(length, gram, unit), "anchor long, tid binary, places array<long>")
+    rows = written(source.transform(in_arrow, _anchor_rows(length, gram, unit), "anchor long, tid binary, places array<long>")
                    .groupBy("anchor", "tid", "places").agg(F.size("places").alias("n")))
     # as a table of its own, so that the join shuffles both sides and adaptive execution can split a common anchor's rows
     twice = written(rows.groupBy("anchor").agg(F.sum("n").alias("n")).filter("n > 1").select("anchor"))
@@ -287,9 +275,9 @@ def stripped_texts(source: DataFrame, facts: DataFrame, length: int, gram: int,
     near = picked(source, wanted)
     held = written(near.join(wanted, near["doc_id"].eqNullSafe(wanted["doc_id"]) & (near["text_hash"] == wanted["text_hash"]))
                    .select("tid", "places", "text")
-                    .mapInArrow(_one_text(unit), "tid binary, places array<long>, text binary"))
+                    .transform(in_arrow, _one_text(unit), "tid binary, places array<long>, text binary"))
 
-    bodies = (held.mapInArrow(_contexts(length, gram, unit, True), "anchor long, cid binary, body binary, copies long")
+    bodies = (held.transform(in_arrow, _contexts(length, gram, unit, True), "anchor long, cid binary, body binary, copies long")
               .groupBy("anchor", "cid", "body").agg(F.sum("copies").alias("copies")))
     bodies = written(bodies)
     # the few anchors with more than a shard's contexts, as a table whose size the planner knows
@@ -309,10 +297,10 @@ def stripped_texts(source: DataFrame, facts: DataFrame, length: int, gram: int,
     copied = bodies.filter("copies > 1").select("anchor", "cid", F.array(F.lit(0).cast("long"), (F.floor(F.length("body") / unit) - length + 1).cast("long")).alias("runs"))
     found = by_shard.unionByName(split).unionByName(copied).filter(F.size("runs") > 0)
 
-    places = held.mapInArrow(_contexts(length, gram, unit, False), "anchor long, cid binary, tid binary, starts array<long>")
+    places = held.transform(in_arrow, _contexts(length, gram, unit, False), "anchor long, cid binary, tid binary, starts array<long>")
     per_text = (places.join(found, ["anchor", "cid"]).groupBy("tid").agg(F.collect_list(F.struct("starts", "runs")).alias("found")))
     return (held.select("tid", "text").join(per_text, "tid")
-            .mapInArrow(_strip(length, unit), "tid binary, n_removed long, n_spans long, kept_sha256 string, gone array<long>"))
+            .transform(in_arrow, _strip(length, unit), "tid binary, n_removed long, n_spans long, kept_sha256 string, gone array<long>"))
 
 
 def _by_text(source: DataFrame, facts: DataFrame, length: int, gram: int, shard: int, unit: int = 1) -> DataFrame:
@@ -383,7 +371,7 @@ def _without(changed: DataFrame, docs: DataFrame, id_col: str, text_col: str, cu
             yield pa.RecordBatch.from_arrays(columns, batch.schema.names[:-1])
 
     untouched, near = matched(docs, changed, id_col, text_col)
-    return untouched.unionByName(near.select(*docs.columns, "gone").mapInArrow(put, docs.schema))
+    return untouched.unionByName(near.select(*docs.columns, "gone").transform(in_arrow, put, docs.schema))
 
 
 def cut_bytes(text: str, gone: list[int]) -> str:
