@@ -32,6 +32,11 @@ def lanes(docs: list[np.ndarray], width: int) -> np.ndarray:
     return out
 
 
+def in_order(x: np.ndarray, kinds: int) -> np.ndarray:
+    """Stable order of numbers below ``kinds``; numbers of two bytes are sorted by radix."""
+    return np.argsort(x.astype(np.min_scalar_type(max(0, kinds - 1))), kind="stable")
+
+
 class Gru:
     """p(token | text so far) = p(class | state) p(token | class, state).
 
@@ -73,7 +78,7 @@ class Gru:
     def output(self, h: np.ndarray, target: np.ndarray) -> np.ndarray:
         """Natural-log probability of each target."""
         kind, inner = target // self.size, target % self.size
-        order = np.argsort(kind, kind="stable")
+        order = in_order(kind, self.classes)
         h, kind = h[order], kind[order]  # the tokens of a class stand together
         out = np.empty(len(h), h.dtype)
         out[order] = self._log_p(self._class_scores(h), kind) + self._log_p(self._word_scores(h, kind)[0], inner[order])
@@ -167,7 +172,7 @@ class Gru:
         hs, want = states[used], target[used]
         total = max(1, len(want))
         kind, word = want // self.size, want % self.size
-        order = np.argsort(kind, kind="stable")
+        order = in_order(kind, self.classes)
         hs, kind, word = hs[order], kind[order], word[order]  # the tokens of a class stand together
         logp, d = self._softmax(self._class_scores(hs), kind, total)
         loss = -logp.sum(dtype=float)
@@ -199,7 +204,7 @@ class Gru:
         g["u"] = before.reshape(-1, n).T @ gates.reshape(-1, 3 * n)
         grads = gates
         grads[:, :, 2 * n:] = back * into
-        order = np.argsort(token, axis=None, kind="stable")
+        order = in_order(token.ravel(), begin + 1)
         rows = token.ravel()[order]
         first = np.flatnonzero(np.concatenate(([True], rows[1:] != rows[:-1])))
         g["table"][rows[first]] = np.add.reduceat(grads.reshape(-1, 3 * n)[order], first)

@@ -34,13 +34,13 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Numbers, byte_batches, sliced, table, texts, written
+from .common import byte_batches, sliced, table, texts, written
 from .gru import Gru
 from .picking import text_hashes
+from .word_hashes import word_hashes
 
 CLASSES, CLASS_SIZE, HIDDEN = 32, 32, 16
 HOT_SHARE = 1 / 200_000
@@ -49,36 +49,34 @@ PASSES, PASS_TOKENS = 4, 1 << 22
 LANES, STEP_TOKENS = 128, 4096
 FAN = 64
 RUN_BYTES, RUN_CODES = 24 << 20, 4 << 20
-END = b" "  # no word holds white space
+END, END_HASH = b" ", -1  # no word holds white space
 LN10 = np.log(10)
 
 
 def word_hash(word: bytes) -> int:
-    h = xxhash.xxh3_64_intdigest(word)
-    return h - (1 << 64) if h >> 63 else h
+    return int(word_hashes([word])[0].view(np.int64)[0]) if word != END else END_HASH
 
 
 def held_out(doc_id):
     return F.coalesce(F.crc32(doc_id.cast("string")) % 10 == 0, F.lit(True))
 
 
+def hashed(data: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes of the words of all texts in turn, words per text); END closes each text."""
+    word, ends = word_hashes([text.lower() for text in data])
+    return np.insert(word.view(np.int64), ends, END_HASH), np.diff(ends, prepend=0) + 1
+
+
 def numbered(data: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(hash of each distinct word, words of all texts as numbers of these, words per text); END closes each text."""
-    number = Numbers()
-    flat: list[int] = []
-    sizes = []
-    for text in data:
-        words = text.lower().split()
-        words.append(END)
-        flat += map(number.__getitem__, words)
-        sizes.append(len(words))
-    return np.fromiter(map(word_hash, number), np.int64, len(number)), np.array(flat, np.int32), np.array(sizes, np.int64)
+    flat, sizes = hashed(data)
+    return *np.unique(flat, return_inverse=True), sizes
 
 
 def _count(batches):
     for _, data in byte_batches(batches, RUN_BYTES):
-        hashes, flat, _ = numbered(data)
-        yield pa.RecordBatch.from_arrays([pa.array(hashes), pa.array(np.bincount(flat, minlength=len(hashes)))], ["word", "c"])
+        words, n = np.unique(hashed(data)[0], return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array(words), pa.array(n)], ["word", "c"])
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
