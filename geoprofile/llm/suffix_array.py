@@ -5,6 +5,26 @@ from __future__ import annotations
 import numpy as np
 
 
+def ordered(group: np.ndarray, then: np.ndarray, last: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """(order, new): places sorted by group, then, last (each from 0, the latter two under ``most``), and which differ from the one before.
+
+    They are sorted as one number where 63 bits hold them.
+    """
+    bits = most.bit_length()
+    if int(group[-1]).bit_length() + 2 * bits < 64:
+        one = group.astype(np.int64)
+        for rank in (then, last):
+            one <<= bits
+            one |= rank
+        order = np.argsort(one, kind="stable")
+        one = one.take(order)
+        return order, np.append(True, one[1:] != one[:-1])
+    order = np.lexsort((last, then, group))
+    new = np.ones(len(order), bool)
+    new[1:] = np.logical_or.reduce([x[order[1:]] != x[order[:-1]] for x in (group, then, last)])
+    return order, new
+
+
 class Shard:
     """The strings of a shard end to end; no comparison runs past a string's end, which sorts before any symbol.
 
@@ -21,43 +41,46 @@ class Shard:
         bits = max(kinds, 1).bit_length()
         self.first = min(7, 63 // bits)  # symbols in a sort key, the end of a string being one
         self.n = len(data)
+        self.place = np.int32 if self.n < 1 << 30 else np.int64  # of a suffix, or a number up to twice as large
         self.data = np.concatenate((data, np.zeros(self.first, data.dtype)))
-        self.left = np.repeat(self.start + self.size, self.size) - np.arange(self.n)  # symbols to the string's end
+        self.left = np.repeat((self.start + self.size).astype(self.place), self.size) - np.arange(self.n, dtype=self.place)  # symbols to the string's end
         self.key = np.zeros(self.n, np.int64)  # the next symbols
         for k in range(self.first):
             self.key <<= bits
-            self.key += np.where(self.left > k, self.data[k:k + self.n].astype(np.int64) + 1, 0)
+            self.key += (self.left > k) * (self.data[k:k + self.n] + np.int64(1))
 
     def sorted(self) -> tuple[np.ndarray, np.ndarray]:
         """Suffix array, and the rank of each suffix; equal suffixes of two strings are ordered by place.
 
         Larsson-Sadakane refinement: groups of suffixes that agree in their first h
-        symbols are refined by the rank of the suffix h symbols on, which sorts them by 2h;
+        symbols are refined by the ranks of the suffixes h and 2h symbols on, which sorts them by 3h;
         groups of one are left alone.
         """
-        sa = np.argsort(self.key, kind="stable")
+        sa = np.argsort(self.key, kind="stable").astype(self.place)
         k = self.key[sa]
         fresh = np.ones(self.n, bool)
         fresh[1:] = (k[1:] != k[:-1]) | (self.left[sa[1:]] < self.first)  # a suffix that short is alone
-        rank = np.empty(self.n, np.int64)
-        rank[sa] = np.maximum.accumulate(np.where(fresh, np.arange(self.n), 0))
+        del k
+        rank = np.empty(self.n, self.place)
+        rank[sa] = np.maximum.accumulate(np.where(fresh, np.arange(self.n, dtype=self.place), 0))
         h = self.first
         while True:
-            at = np.flatnonzero(~(fresh & np.append(fresh[1:], True)))  # places in unsorted groups
+            unsorted = ~(fresh & np.append(fresh[1:], True))
+            at = np.flatnonzero(unsorted).astype(self.place)
             if not len(at):
                 return sa, rank
-            suffix = sa[at]
-            group = rank[suffix]
+            suffix = sa[unsorted].astype(np.int64)
+            left = self.left.take(suffix)
             # the group's suffixes agree in h symbols; those that end there come first, by place
-            then = np.where(self.left[suffix] > h, rank[np.minimum(suffix + h, self.n - 1)], suffix - self.n)
-            order = np.argsort(group * (2 * self.n) + then, kind="stable")
-            suffix, group, then = suffix[order], group[order], then[order]
-            sa[at] = suffix
-            new = np.ones(len(at), bool)
-            new[1:] = (group[1:] != group[:-1]) | (then[1:] != then[:-1])
-            fresh[at] = new
-            rank[suffix] = at[np.maximum.accumulate(np.where(new, np.arange(len(at)), 0))]
-            h *= 2
+            then = np.where(left > h, rank.take(suffix + h, mode="clip") + self.n, suffix)
+            last = np.where(left > 2 * h, rank.take(suffix + 2 * h, mode="clip") + self.n, np.where(left > h, suffix, 0))
+            order, new = ordered(np.cumsum(fresh[unsorted]), then, last, 2 * self.n)
+            del then, last, left
+            suffix = suffix.take(order)
+            sa[unsorted] = suffix
+            fresh[unsorted] = new
+            rank[suffix] = np.repeat(at[new], np.diff(np.append(np.flatnonzero(new), len(at))))
+            h *= 3
 
     def common_prefixes(self, sa: np.ndarray, rank: np.ndarray, windows: np.ndarray, depth: int) -> np.ndarray:
         """For the first ``windows[k]`` suffixes of each string k: the symbols, up to ``depth``, shared with the one sorted before it.

@@ -50,9 +50,12 @@ WORDS = 51
 CODE = 8  # bytes of a word's code
 SYMBOL = {1: np.dtype("u1"), CODE: np.dtype("<u8")}  # by the bytes of a unit
 SHARD = 2048
+PIECE = 1024
 RUN_BYTES = 2 << 20
 CODED_BYTES = 2 << 20  # texts of a batch that is coded or cut
 PLACE_BITS = 24
+PLACES = 40  # bits of a place in a text, beside its number in a batch
+AT_ONCE = 1 << 15  # symbols of short texts that are hashed together: their arrays stay in a core's cache
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
 
@@ -67,24 +70,26 @@ def gram_hashes(data: np.ndarray, size: int) -> np.ndarray:
         h, have = np.ndarray((n - 7,), "<u8", data, strides=(1,)).astype(np.uint64), 8
     with np.errstate(over="ignore"):
         while True:
-            h = h * _ODD[0]
+            h *= _ODD[0]
             h ^= h >> np.uint64(29)
             if have == size:
-                return h * _ODD[1]
+                h *= _ODD[1]
+                return h
             step = min(have, size - have)
-            h = h[:-step] * _ODD[2] + (h[step:] ^ _ODD[3])
+            ahead = h[step:] ^ _ODD[3]
+            h = h[:-step] * _ODD[2]
+            h += ahead
             have += step
 
 
 def sliding_least(key: np.ndarray, width: int) -> np.ndarray:
-    """The least of every ``width`` neighbours."""
-    n = len(key)
-    padded = np.full(-(-n // width) * width, np.iinfo(key.dtype).max, key.dtype)
-    padded[:n] = key
-    blocks = padded.reshape(-1, width)
-    ahead = np.minimum.accumulate(blocks, 1).ravel()
-    behind = np.minimum.accumulate(blocks[:, ::-1], 1)[:, ::-1].ravel()
-    return np.minimum(behind[:n - width + 1], ahead[width - 1:n])
+    """The least of every ``width`` neighbours, by doubling."""
+    have = 1
+    while have < width:
+        step = min(have, width - have)
+        key = np.minimum(key[:-step], key[step:])
+        have += step
+    return key
 
 
 def anchors(text: bytes, length: int = LENGTH, gram: int = GRAM, unit: int = 1):
@@ -106,6 +111,42 @@ def anchors(text: bytes, length: int = LENGTH, gram: int = GRAM, unit: int = 1):
     return tuple(np.concatenate(x) for x in zip(*out)) if out else (np.zeros(0, np.int64),) * 4
 
 
+def all_anchors(data: list[bytes], length: int = LENGTH, gram: int = GRAM, unit: int = 1):
+    """Arrays (number of the text, gram hash, place, first window, last window) of the ``anchors`` of each text in turn.
+
+    Texts of under AT_ONCE symbols are taken many at a time; windows that reach into the next text are left out.
+    """
+    out = []
+    sizes = [len(t) // unit for t in data]
+    at = 0
+    while at < len(data):
+        end, total = at, 0
+        while end < len(data) and (end == at or total + sizes[end] <= AT_ONCE):
+            total += sizes[end]
+            end += 1
+        if total > AT_ONCE:  # one text
+            found = anchors(data[at], length, gram, unit)
+            out.append((np.full(len(found[0]), at), *found))
+        elif of := [i for i in range(at, end) if sizes[i] >= length]:
+            whole = np.frombuffer(b"".join([data[i] for i in of]), SYMBOL[unit])
+            size = np.array([sizes[i] for i in of])
+            start = np.cumsum(size) - size
+            h = gram_hashes(whole, gram)
+            low = np.uint64((1 << PLACE_BITS) - 1)
+            least = sliding_least((h & ~low) | np.arange(len(h), dtype=np.uint64), length - gram + 1)
+            windows = size - length + 1
+            skipped = np.repeat(np.arange(len(of)) * (length - 1), windows)  # windows of texts before that reach too far
+            window = np.arange(len(skipped)) + skipped
+            place = (least[window] & low).astype(np.int64)
+            first = np.flatnonzero(np.concatenate(([True], place[1:] != place[:-1])))  # two texts have no place in common
+            text = skipped[first] // (length - 1)
+            begin = start[text]
+            last = np.append(first[1:], len(place)) - 1
+            out.append((np.array(of)[text], h[place[first]].view(np.int64), place[first] - begin, window[first] - begin, window[last] - begin))
+        at = end
+    return tuple(np.concatenate(x) for x in zip(*out)) if out else (np.zeros(0, np.int64),) * 5
+
+
 def text_id(text: bytes) -> bytes:
     return xxhash.xxh3_128_digest(text)
 
@@ -143,21 +184,19 @@ def _anchor_rows(length: int, gram: int, unit: int):
     def run(batches):
         seen = set()
         for _, data in byte_batches(batches, RUN_BYTES):
-            own = []
+            own = {}
             for text in symbols(data, unit):
-                tid = text_id(text)
-                if len(text) >= length * unit and tid not in seen:
+                if len(text) >= length * unit and (tid := text_id(text)) not in seen:
                     seen.add(tid)
-                    h, place, _, _ = anchors(text, length, gram, unit)
-                    order = np.argsort(h, kind="stable")  # a text that repeats itself has an anchor at many places: one row
-                    first = np.flatnonzero(np.concatenate(([True], np.diff(h[order]) != 0)))
-                    own.append((h[order][first], tid, place[order], np.diff(np.append(first, len(h)))))
+                    own[tid] = text
             if own:
-                n = [len(x[0]) for x in own]
-                ends = np.concatenate(([0], np.cumsum(np.concatenate([x[3] for x in own]))))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate([x[0] for x in own])), pa.array([x[1] for x in own], pa.binary()).take(pa.array(np.repeat(np.arange(len(own)), n))),
-                     pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([x[2] for x in own])))], ["anchor", "tid", "places"])
+                of, h, place, _, _ = all_anchors(list(own.values()), length, gram, unit)
+                order = np.lexsort((h, of))  # a text that repeats itself has an anchor at many places: one row
+                of, h = of[order], h[order]
+                first = np.flatnonzero(np.concatenate(([True], (of[1:] != of[:-1]) | (h[1:] != h[:-1]))))
+                ends = pa.array(np.append(first, len(h)), pa.int32())
+                yield pa.RecordBatch.from_arrays([pa.array(h[first]), pa.array(list(own), pa.binary()).take(pa.array(of[first])),
+                                                  pa.ListArray.from_arrays(ends, pa.array(place[order]))], ["anchor", "tid", "places"])
     return run
 
 
@@ -180,21 +219,20 @@ def _one_text(unit: int):
 def _contexts(length: int, gram: int, unit: int, bodies: bool):
     """Contexts of the wanted anchors of each text, equal ones together."""
     def run(batches):
-        for batch in sliced(batches, CODED_BYTES):
-            rows = []
-            for tid, places, text in zip(*(batch.column(c) for c in ("tid", "places", "text"))):
-                tid, text = tid.as_py(), text.as_py()
-                h, place, first, last = anchors(text, length, gram, unit)
-                keep = np.isin(place, places.values.to_numpy())
-                own: dict = {}
-                for a, x, y in zip(h[keep].tolist(), first[keep].tolist(), last[keep].tolist()):
-                    body = text[x * unit:(y + length) * unit]
-                    cid = xxhash.xxh3_128_digest(body)
-                    if (a, cid) in own:
-                        own[a, cid][-1].append(x)
-                    else:
-                        own[a, cid] = (body if bodies else None, [x])
-                rows += [(a, cid, tid, body, starts) for (a, cid), (body, starts) in own.items()]
+        for batch in sliced(batches, CODED_BYTES // 4):  # bodies overlap, so there is more to send than to read
+            tids, data = (batch.column(c).to_pylist() for c in ("tid", "text"))
+            of, h, place, first, last = all_anchors(data, length, gram, unit)
+            wanted = np.repeat(np.arange(len(data)), batch.column("places").value_lengths().to_numpy()) << PLACES | batch.column("places").flatten().to_numpy()
+            keep = np.isin(of << PLACES | place, wanted)
+            own: dict = {}
+            for i, a, x, y in zip(*(v[keep].tolist() for v in (of, h, first, last))):
+                body = data[i][x * unit:(y + length) * unit]
+                cid = xxhash.xxh3_128_digest(body)
+                if (i, a, cid) in own:
+                    own[i, a, cid][-1].append(x)
+                else:
+                    own[i, a, cid] = (body if bodies else None, [x])
+            rows = [(a, cid, tids[i], body, starts) for (i, a, cid), (body, starts) in own.items()]
             columns = list(zip(*rows)) or [()] * 5
             out = [pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.binary())]
             out += [pa.array(columns[3], pa.binary()), pa.array(map(len, columns[4]), pa.int64())] if bodies else [pa.array(columns[2], pa.binary()), pa.array(columns[4], pa.list_(pa.int64()))]
@@ -207,19 +245,29 @@ def as_runs(found: np.ndarray) -> list[int]:
     return np.flatnonzero(np.diff(np.concatenate(([0], found.astype(np.int8), [0])))).tolist()
 
 
+def whole_runs(key: np.ndarray, most: int) -> list[slice]:
+    """Slices of about ``most`` places of a sorted array, none of which parts equal values."""
+    starts = np.flatnonzero(np.concatenate((np.ones(min(1, len(key)), bool), key[1:] != key[:-1])))
+    cuts = starts[np.flatnonzero(np.diff(starts // most, prepend=-1))]
+    return [slice(a, b) for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(key)])]
+
+
 def _shard(length: int, unit: int = 1):
     """Repeated windows of a shard's contexts, as runs; for split anchors also what the other shards need.
 
     lone and at: digests and offsets of a context's windows that stand once in the shard; known: each digest that
-    stands here more often, once for all contexts of the anchor.
+    stands here more often, once for all contexts of the anchor.  Equal windows have equal anchors, so a suffix array is
+    made for about PIECE contexts with all others of their anchors at a time, which bounds its memory.
     """
     def run(members: pa.Table) -> pa.Table:
         anchor, bodies = members.column("anchor").to_numpy(), members.column("body").to_pylist()
         found = [np.zeros(len(b) // unit - length + 1, bool) for b in bodies]
         _, of, n = np.unique(anchor, return_inverse=True, return_counts=True)
-        several = np.flatnonzero(n[of] > 1).tolist()  # a context alone with its anchor has no partner
-        if several:
-            for i, f in zip(several, repeated_windows([bodies[i] for i in several], length, unit)):
+        order = np.argsort(of, kind="stable")
+        several = order[n[of[order]] > 1]  # a context alone with its anchor has no partner
+        for piece in whole_runs(of[several], PIECE):
+            own = several[piece].tolist()
+            for i, f in zip(own, repeated_windows([bodies[i] for i in own], length, unit)):
                 found[i] = f
         lone, at, known = ([[] for _ in bodies] for _ in range(3))
         twice: dict = {}
