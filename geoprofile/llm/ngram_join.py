@@ -49,6 +49,7 @@ RUN_BYTES = 8 << 20
 HOT_SHARE = 1 / 500_000
 HOT_LEAST = 32
 COUNT_TOKENS = 8 << 20
+COUNT_CUTS = np.arange(1, 32, dtype=np.uint64) << np.uint64(59)  # of the range of hashes, for a run's tokens
 SMALL = 32
 BLOCK = 128
 MARK_BITS, MARK_SHARE = 512, 0.35
@@ -225,12 +226,15 @@ def _classes(shingle: int):
 def _counts(shingle: int):
     """Tokens that stand in two documents of a run of COUNT_TOKENS at least."""
     def flush(held):
-        token = np.concatenate(held)
+        # sets are sorted: one range of hashes after the other, so that the tokens of a run are never held twice
+        cuts = [[0, *np.searchsorted(s, COUNT_CUTS).tolist(), len(s)] for s in held]
+        for k in range(len(COUNT_CUTS) + 1):
+            token = np.concatenate([s[at[k]:at[k + 1]] for s, at in zip(held, cuts)])
+            token.sort()
+            first = np.flatnonzero(np.append(True, token[1:] != token[:-1])) if len(token) else np.zeros(0, np.int64)
+            n = np.diff(first, append=len(token))
+            yield pa.RecordBatch.from_arrays([pa.array(token[first[n > 1]].view(np.int64)), pa.array(n[n > 1])], ["token", "n"])
         held.clear()
-        token.sort()
-        first = np.flatnonzero(np.append(True, token[1:] != token[:-1])) if len(token) else np.zeros(0, np.int64)
-        n = np.diff(first, append=len(token))
-        return pa.RecordBatch.from_arrays([pa.array(token[first[n > 1]].view(np.int64)), pa.array(n[n > 1])], ["token", "n"])
 
     def run(batches):
         held, size = [], 0
@@ -239,10 +243,10 @@ def _counts(shingle: int):
                 held.append(s)
                 size += len(s)
             if size > COUNT_TOKENS:
-                yield flush(held)
+                yield from flush(held)
                 size = 0
         if held:
-            yield flush(held)
+            yield from flush(held)
     return run
 
 

@@ -29,7 +29,7 @@ import zlib
 from array import array
 from collections import deque
 from collections.abc import Iterator
-from itertools import islice
+from itertools import compress, islice
 
 import numpy as np
 import pyarrow as pa
@@ -45,7 +45,7 @@ INNER_CUT = 12
 PER_WINDOW = 6
 END_ID = 1
 RUN_BYTES = 2 << 20
-CACHE_WORDS = 800_000
+CACHE_WORDS = 200_000
 JOINED_WORDS = 1024
 PLAIN = "\u00ff"  # letters up to here stay one letter each, whatever normalizing does
 MARKS = b"!#$%&()*+,-./:;=?@[\\]^_`{|}~"  # ASCII signs that begin no match with letters, as an apostrophe does
@@ -79,6 +79,19 @@ class WordTokens:
         self.flat = np.array([END_ID], np.int32)
         self.start = np.array([0], np.int64)
         self.size = np.array([1], np.int64)
+        self.met = np.zeros(1, np.int64)  # how often a word came
+
+    def trim(self) -> None:
+        """Keep the words that came most often, of those that came twice: half of CACHE_WORDS at most."""
+        order = np.argsort(-self.met[1:], kind="stable")[:CACHE_WORDS // 2] + 1
+        at = np.append(0, np.sort(order[self.met[order] > 1]))
+        keep = np.zeros(len(self.number), bool)
+        keep[at] = True
+        words = list(compress(self.number, keep.tolist()))
+        self.flat, ends = self._ids(at)
+        self.size, self.met = self.size[at], self.met[at]
+        self.start = ends - self.size
+        self.number = Numbers(zip(words, range(len(words))))
 
     def _whole(self, text: bytes) -> np.ndarray:
         self.tokenizer.encode_special_tokens = False
@@ -163,7 +176,7 @@ class WordTokens:
     def encode(self, data: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, END_ID after each, and the end of each text in them."""
         if len(self.number) > CACHE_WORDS:
-            self.clear()
+            self.trim()
         known = len(self.number)
         words = array("q")
         find = self.number.__getitem__
@@ -176,6 +189,9 @@ class WordTokens:
         if len(self.number) > known:
             self._tokenize(known)
         seen = np.frombuffer(words, np.int64)
+        came = np.bincount(seen, minlength=len(self.number))
+        came[:len(self.met)] += self.met
+        self.met = came
         ids, ends = self._ids(seen)
         return ids, ends[seen == 0]
 

@@ -170,7 +170,7 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Model
     for r in chosen.collect():  # at most max_rows pairs of numbers
         label.setdefault(r.doc_id, []).append(r.toxic)
     spark = docs.sparkSession
-    ids = spark.createDataFrame([(i,) for i in label], "doc_id long")
+    ids = spark.createDataFrame(pa.table({"doc_id": pa.array(list(label), pa.int64())}))  # no Python worker reads it
     sample = texts(docs).join(F.broadcast(ids), "doc_id", "left_semi")  # at most max_rows ids
     own, y, swapped = [], [], []
     found = sample.transform(in_arrow, _features, "doc_id long, features array<long>, swapped array<array<long>>").toArrow()
