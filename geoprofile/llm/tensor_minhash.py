@@ -16,11 +16,12 @@ Components are all that is asked for, so pairs are tried in two rounds:
 1. of each class, the likeliest of its pairs with a representative (the least class of a key's group),
 2. of pairs whose ends are not connected by now: the other pairs with representatives, and in each group the members outside its
    largest component with all others, in tasks of BLOCK by CHUNK members that hold sketches only.  A pair is looked at in the first table
-   whose key it shares, and groups with the same members once.
+   whose key it shares, and groups with the same members once.  A task does not tell these pairs, but which members they connect: clusters,
+   whose texts are verified all with all, in one task or, as in operator 10, in pairs of blocks dealt out by hash.
 
 So a group of M near copies costs some M pairs, however large it is; only members that are like nothing in a group are compared with
-all of it, and what is sent on grows with the pairs close to the threshold.  Texts move for verification alone, each with its
-representative's, in runs of RUN members.  Keys that occur once never meet a class: a bitmap of the others (16 bits each up to
+all of it, and no pair close to the threshold stands anywhere as a row.  Texts move for verification alone: in the first round each with its
+representative's, in runs of RUN members, in the second with its cluster's or its block's.  Keys that occur once never meet a class: a bitmap of the others (16 bits each up to
 MOST_BITS; beyond that more pass) picks the rows that are exchanged with their class.
 
 Edge cases: texts without words have empty sets and are linked with nothing, not even each other; fewer words than a shingle has are one
@@ -39,7 +40,7 @@ from pyspark.sql import functions as F
 
 from .common import sliced, table, texts, written
 from .components import components
-from .ngram_join import class_id, shingle_sets
+from .ngram_join import _dealt, _in_groups, _marked, block_links, class_id, marks, shingle_sets
 from .picking import SALTS, bitmap_size, key_bitmap, mix, picked, text_hashes
 
 SHINGLE, PERCENT = 4, 80
@@ -266,9 +267,28 @@ def _crossing(percent: int):
     return run
 
 
-def crossings(met: DataFrame, classes: DataFrame, joined: DataFrame, percent: int) -> DataFrame:
+def _connected(run):
+    """Of each batch of pairs (u, v) of ``run``: every node that has any, as v, with the least node that they connect it to, as u."""
+    def stars(batches):
+        for pairs in run(batches):
+            node, at = np.unique(np.concatenate([pairs.column(c).to_numpy() for c in ("u", "v")]), return_inverse=True)
+            a, b = at[:pairs.num_rows], at[pairs.num_rows:]
+            least = np.arange(len(node))
+            while len(apart := np.flatnonzero(least[a] != least[b])):
+                a, b = a[apart], b[apart]
+                x, y = least[a], least[b]
+                np.minimum.at(least, np.maximum(x, y), np.minimum(x, y))
+                while (least[least] != least).any():
+                    least = least[least]
+            far = np.flatnonzero(least != np.arange(len(node)))
+            yield pa.RecordBatch.from_arrays([pa.array(node[least[far]]), pa.array(node[far])], ["u", "v"])
+    return stars
+
+
+def crossings(met: DataFrame, classes: DataFrame, joined: DataFrame, percent: int, connected: bool = False) -> DataFrame:
     """u, v of groups that are in several components: members outside the largest one with all others that may be linked.
 
+    connected: not these pairs, but for each task fewer rows than members that connect the same members.
     Groups with the same members (known by count, sum and xor of their classes) are taken once, in their first table.
     """
     placed = written(met.select("key", "class").join(joined.withColumnRenamed("node", "class"), "class", "left")
@@ -292,7 +312,25 @@ def crossings(met: DataFrame, classes: DataFrame, joined: DataFrame, percent: in
                .select(*DEALT, F.col("other").alias("block"), "chunk", F.lit(False).alias("asks"), F.lit(True).alias("answers")))
     dealt = asks.unionByName(answers).select(F.xxhash64("key", "block", "chunk").alias("task"), *DEALT, "asks", "answers")
     dealt = dealt.join(classes.select("class", "n_shingles", "bands", "bins"), "class")
-    return dealt.repartition("task").sortWithinPartitions("task").mapInArrow(_crossing(percent), "u long, v long")
+    run = _crossing(percent)
+    return dealt.repartition("task").sortWithinPartitions("task").mapInArrow(_connected(run) if connected else run, "u long, v long")
+
+
+def cluster_links(edges: DataFrame, classes: DataFrame, source: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """u, v: links that join whatever is linked within a component of ``edges`` (u, v), as a written table."""
+    clusters = written(components(edges).withColumnsRenamed({"node": "class", "component": "cluster"}))
+    members = clusters.groupBy("cluster").agg(F.count("*").alias("members"))
+    rows = written(clusters.join(members, "cluster").join(classes.select("class", F.col("first.doc_id").alias("doc_id"), F.col("first.text_hash").alias("text_hash")), "class"))
+    near = picked(source, rows)
+    held = near.join(rows, near["doc_id"].eqNullSafe(rows["doc_id"]) & (near["text_hash"] == rows["text_hash"])).select("cluster", "class", "members", "text")
+
+    def links_of(columns: dict) -> list[tuple[int, int]]:
+        one = dict(zip(columns["class"], range(len(columns["class"]))))  # repeated rows once
+        at = list(one.values())
+        sets = shingle_sets([columns["text"][i].encode() for i in at], shingle)
+        return block_links(list(one), _marked(columns)[at], np.array([len(x) for x in sets]), [], sets, percent, marks(sets))
+
+    return written(_in_groups(_dealt(held, "cluster"), ["cluster", "a", "b"], links_of))
 
 
 def links(source: DataFrame, classes: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -304,11 +342,10 @@ def links(source: DataFrame, classes: DataFrame, shingle: int = SHINGLE, percent
     found = verified(first, classes, source, shingle, percent)
     joined = written(components(found))
     others = pairs.select("u", "v").join(first, ["u", "v"], "left_anti")
-    across = crossings(met, classes, joined, percent).join(pairs, ["u", "v"], "left_anti")
-    rest = written(_apart(others, joined).unionByName(across))
-    if rest.isEmpty():
+    apart = written(_apart(others, joined).unionByName(crossings(met, classes, joined, percent, connected=True)))
+    if apart.isEmpty():
         return joined
-    return written(components(found.unionByName(verified(rest, classes, source, shingle, percent))))
+    return written(components(found.unionByName(cluster_links(apart, classes, source, shingle, percent))))
 
 
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
