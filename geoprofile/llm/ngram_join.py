@@ -7,15 +7,23 @@ tokens under *every* order of all tokens.  Three orders are used.  Tokens known
 commonest at the end; the rest follow three unrelated hashes.  A pair is verified only
 if its prefixes meet under all three.
 
+Classes first meet by neighbours.  Two unlike texts of a large corpus share some single token more often the larger
+the corpus is, two tokens in a row hardly ever.  So the tokens of a set are put in the order of their hashes, and each makes a key with the one
+that follows it (the last one with none).  A token that only one of two sets has takes away two keys at most from its own set and one from the
+other; with i shared tokens 3 i - s - t keys at least are the same, so linked sets share (s + t) (2 q - 1) / (1 + q) keys,
+and one among the first of the s of each, by the common tokens and the first hash again.  That is a prefix of
+2 (1 - q) s + 1 keys.  With q = 0.5 or less it says nothing, and tokens are taken.
+
 Which tokens are common is found by counting every token of the corpus, where
 it stands in two documents of a task at least; tokens with HOT_SHARE of these
 counts make the list (1/HOT_SHARE entries at most), which is sent to the tasks.  Any list
 gives the same links: it only decides how soon unequal texts are told apart.
 
-Classes that share a token under the first order meet by that token, if it stands in two prefixes (a bitmap tells, ``picking.py``): groups of up to SMALL
-classes as pairs (if what follows the token in both prefixes and sets leaves enough to share), larger groups in blocks, where the filters run on
+Classes that share a key in these prefixes meet by it, if it stands in two of them (a bitmap tells, ``picking.py``; the keys are made from the texts twice
+rather than kept): groups of up to SMALL
+classes as pairs (if their sizes allow a link), larger groups in blocks, where the filters run on
 matrices.  A pair goes if the two sets' marks, of MARK_BITS bits, differ by more bits than linked sets by tokens; then it passes the
-other two orders, in small groups one after the other, and in blocks if the sets are too large for their marks to tell much (the others pass them where
+second and third order, in small groups one after the other, and in blocks if the sets are too large for their marks to tell much (the others pass them where
 they are verified): so a class is sent about with its 64 bytes, and with its prefixes only if it may be close to another.  What is left, candidate links, falls into clusters (connected
 components), and the texts of a cluster are sent once, or, beyond BLOCK members, in pairs of blocks dealt out by
 hash.  There the filters and the verification run on matrices, so neither a
@@ -45,7 +53,7 @@ from .picking import SALTS, bitmap_size, key_bitmap, matched, mix, picked, text_
 from .word_hashes import word_hashes
 
 SHINGLE, PERCENT = 3, 90
-RUN_BYTES = 8 << 20
+RUN_BYTES, KEYED_BYTES = 8 << 20, 2 << 20
 HOT_SHARE = 1 / 500_000
 HOT_LEAST = 32
 COUNT_TOKENS = 8 << 20
@@ -96,19 +104,49 @@ class Orders:
         self.place = np.empty(len(by), np.int64)
         self.place[np.lexsort((self.common, counts[by]))] = np.arange(1, len(by) + 1)
 
-    def prefixes(self, sets: list[np.ndarray], percent: int = PERCENT) -> list[list[np.ndarray]]:
-        """For each order, the prefix of each set (none empty), first token first."""
-        out: list[list[np.ndarray]] = [[], [], []]
+    def places(self, flat: np.ndarray) -> np.ndarray:
+        """The place of each token among the common ones, 0 for all others."""
+        if not len(self.common):
+            return np.zeros(len(flat), np.int64)
+        at = np.searchsorted(self.common, flat)
+        at[at == len(self.common)] = 0
+        return np.where(self.common[at] == flat, self.place[at], 0)
+
+    def neighbours(self, sets: list[np.ndarray], percent: int = PERCENT) -> list[np.ndarray]:
+        """The prefix of each set's (none empty) keys of neighbours; those of two common tokens come last."""
+        if percent <= 50 or not sets:
+            return self.prefixes(sets, percent, (0,))[0]
+        flat = np.concatenate(sets)
+        ends = np.cumsum([len(x) for x in sets])
+        place = self.places(flat)
+        with np.errstate(over="ignore"):
+            after = np.append(mix(flat[1:] + SALTS[1]), np.uint64(0))
+            after[ends - 1] = 0
+            key = mix(flat * SALTS[0] + after * SALTS[2])
+        beside = np.append(place[1:], 0)
+        beside[ends - 1] = place[ends - 1]
+        least = np.minimum(place, beside).astype(np.uint64)  # two keys of a set at most have the same place
+        order = np.where(least == 0, key >> np.uint64(1), np.uint64(1 << 63) | least << np.uint64(40) | key >> np.uint64(24))
+        out, start = [], 0
+        for end in ends.tolist():
+            n = end - start
+            least_other = (percent * n + 99) // 100
+            same = -(-(n + least_other) * (2 * percent - 100) // (100 + percent))
+            size = n - same + 1
+            own = order[start:end]
+            out.append(key[start:end][np.argpartition(own, size - 1)[:size] if size < n else slice(None)])
+            start = end
+        return out
+
+    def prefixes(self, sets: list[np.ndarray], percent: int = PERCENT, orders: tuple = (0, 1, 2)) -> list[list[np.ndarray]]:
+        """For each of the orders, the prefix of each set (none empty), first token first."""
+        out: list[list[np.ndarray]] = [[] for _ in orders]
         if not sets:
             return out
         flat = np.concatenate(sets)
-        place = np.zeros(len(flat), np.int64)
-        if len(self.common):
-            at = np.searchsorted(self.common, flat)
-            at[at == len(self.common)] = 0
-            place = np.where(self.common[at] == flat, self.place[at], 0)
+        place = self.places(flat)
         with np.errstate(over="ignore"):
-            keys = [mix(flat ^ SALTS[k]) for k in range(3)]
+            keys = [mix(flat ^ SALTS[k]) for k in orders]
         start = 0
         for tokens in sets:
             n = len(tokens)
@@ -117,7 +155,7 @@ class Orders:
             rare = np.flatnonzero(own == 0)
             last = np.flatnonzero(own)
             last = last[np.argsort(own[last], kind="stable")][:max(0, size - len(rare))]  # common tokens, the commonest at the end
-            for k in range(3):
+            for k in range(len(orders)):
                 key = keys[k][start + rare]
                 some = np.argpartition(key, size - 1)[:size] if size < len(rare) else np.arange(len(rare))
                 out[k].append(tokens[np.concatenate((rare[some[np.argsort(key[some])]], last))])
@@ -262,11 +300,21 @@ def _prefixes(sent, shingle: int, percent: int):
     def run(batches):
         for _, data in byte_batches(batches, RUN_BYTES):
             sets = [x for x in shingle_sets(data, shingle) if len(x)]
-            own = [[x.view(np.int64) for x in prefixes] for prefixes in sent.value.prefixes(sets, percent)]
+            own = sent.value.prefixes(sets, percent, (1, 2))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([class_id(x) for x in sets], pa.int64()), pa.array([len(x) for x in sets], pa.int32()),
+                 *[pa.array([x.view(np.int64).astype(np.int32) for x in prefixes], pa.list_(pa.int32())) for prefixes in own], *map(pa.array, marks(sets).T)],
+                ["class", "size", "p1", "p2", *MARKS])
+    return run
+
+
+def _keyed(sent, shingle: int, percent: int):
+    def run(batches):
+        for _, data in byte_batches(batches, KEYED_BYTES):
+            sets = [x for x in shingle_sets(data, shingle) if len(x)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([class_id(x) for x in sets], pa.int64()), pa.array([len(x) for x in sets], pa.int32()), pa.array(own[0], pa.list_(pa.int64())),
-                 *[pa.array([x.astype(np.int32) for x in own[k]], pa.list_(pa.int32())) for k in (1, 2)], *map(pa.array, marks(sets).T)],
-                ["class", "size", "p0", "p1", "p2", *MARKS])
+                [pa.array([class_id(x) for x in sets], pa.int64()), pa.array([len(x) for x in sets], pa.int32()),
+                 pa.array([x.view(np.int64) for x in sent.value.neighbours(sets, percent)], pa.list_(pa.int64()))], ["class", "size", "p0"])
     return run
 
 
@@ -340,7 +388,7 @@ def _met_tokens(sent, size: int):
 
 
 def prefix_rows(signed: DataFrame) -> DataFrame:
-    """token, class, size, at of every first prefix's tokens that stand in two rows, and of a few others.
+    """token, class, size, at of every first prefix's tokens (or keys) that stand in two rows, and of a few others.
 
     Tokens are counted first, alone; a bitmap of those that come twice (16 bits each up to MOST_BITS of ``picking.py``, beyond
     that more pass) picks the rows that are exchanged with their class.
@@ -367,7 +415,8 @@ def of_classes(signed: DataFrame, wanted: DataFrame, columns: tuple = ("class",
     return found.transform(in_arrow, run, found.schema)
 
 
-SIGNED = "class long, size int, p0 array<long>, p1 array<int>, p2 array<int>, " + ", ".join(f"{m} long" for m in MARKS)
+KEYED = "class long, size int, p0 array<long>"
+SIGNED = f"{KEYED}, p1 array<int>, p2 array<int>, " + ", ".join(f"{m} long" for m in MARKS)
 
 
 def _once(rows: DataFrame, *columns: str) -> DataFrame:
@@ -389,18 +438,15 @@ def _close(pairs: DataFrame, signed: DataFrame, percent: int) -> DataFrame:
 
 def candidates(source: DataFrame, sent, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """u, v: pairs of classes that pass all filters, or for large groups links that join the same classes."""
-    signed = written(source.transform(in_arrow, _prefixes(sent, shingle, percent), SIGNED))
-    rows = (prefix_rows(signed).repartition("token")
-            .groupBy("token", "class").agg(F.max("size").alias("size"), F.min("at").alias("at")))
+    signed = written(source.transform(in_arrow, _prefixes(sent, shingle, percent), SIGNED.replace("p0 array<long>, ", "")))
+    rows = (prefix_rows(source.transform(in_arrow, _keyed(sent, shingle, percent), KEYED)).select("token", "class", "size").repartition("token")
+            .groupBy("token", "class").agg(F.max("size").alias("size")))
     groups = rows.groupBy("token").agg(F.count("*").alias("members"), F.max("size").alias("top")).filter("members > 1 and top > 0")
-    met = shared_checkpoint(rows.join(groups.drop("top"), "token"))
+    met = written(rows.join(groups.drop("top"), "token"))
 
     small = met.filter(F.col("members") <= SMALL)
     x, y = small.alias("x"), small.alias("y")
-    # of their first common token on, the sets can share what is left of the shorter rest; a link needs more than that rules out
-    left = F.least(F.col("x.size") - F.col("x.at"), F.col("y.size") - F.col("y.at")).cast("long")
     pairs = (x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.class") < F.col("y.class"))
-                    & ((100 + percent) * left >= percent * (F.col("x.size") + F.col("y.size")).cast("long"))
                     & (100 * F.least("x.size", "y.size").cast("long") >= percent * F.greatest("x.size", "y.size").cast("long")))
              .select(F.col("x.class").alias("u"), F.col("y.class").alias("v")).distinct())
     pairs = _close(written(pairs), signed, percent)

@@ -180,3 +180,41 @@ def test_large_sets_in_blocks_are_told_by_prefixes(spark, monkeypatch):
     apart = [[x[1:] for x in lists], [x[1:] for x in lists]]
     assert len(M.block_links(list(range(12)), np.zeros(12, bool), size, apart, None, 80, mark)) == 6
     assert len(M.block_links(list(range(12)), np.zeros(12, bool), size, [[x[:0] for x in lists]] * 2, None, 80, mark)) == 11
+
+
+@pytest.mark.parametrize("percent", [51, 80, 90, 100])
+def test_linked_sets_share_a_key_of_neighbours(percent):
+    r = np.random.default_rng(percent)
+    orders, linked = M.Orders(np.unique(r.integers(0, 2**64, 99, dtype=np.uint64)), r.integers(1, 9, 99)), 0
+    for n in (1, 2, 9, 10, 11, 57, 300):
+        for k in range(200):
+            a = np.unique(np.concatenate((orders.common[:n // 4], r.integers(0, 2**64, n - n // 4, dtype=np.uint64))))
+            gone = int(r.random() ** 2 * (100 - percent) / 100 * len(a))
+            gone = np.arange(gone) * 2 + 1 if k % 2 and 2 * gone < len(a) else r.permutation(len(a))[:gone]  # every other token: so most keys go
+            b = np.unique(np.append(np.delete(a, gone), r.integers(0, 2**64, int(r.random() ** 2 * len(a)) if k % 3 else 0, dtype=np.uint64)))
+            if len(b) and M.linked(a, b, len(np.intersect1d(a, b)), percent):
+                linked += 1
+                assert np.isin(*orders.neighbours([a, b], percent)).any()
+    assert linked > 300
+
+
+def test_texts_that_share_single_tokens_do_not_meet(spark, monkeypatch):
+    """Unlike texts of few words, so that nearly every shingle stands in others too, and as many near copies: only these are exchanged."""
+    r = random.Random(6)
+    vocabulary = [f"w{k}" for k in range(25)]
+    rows = [(i, " ".join(r.choices(vocabulary, k=250))) for i in range(300)]
+    rows += [(1000 + i, rows[i][1].replace(" ", " edited ", 1)) for i in range(30)]
+    seen = []
+    monkeypatch.setattr(M, "prefix_rows", lambda signed, whole=M.prefix_rows: seen.append(whole(signed)) or seen[0])
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert got(M.near_groups(docs)) == brute(rows)
+    found = Counter(r.token for r in seen[0].collect())
+    met = sum(n for n in found.values() if n > 1)
+    assert 2 * 30 <= met < 2 * 30 * 60  # a text has about 50 keys; by single tokens 7,945 rows would meet
+
+
+def test_few_shared_tokens_in_a_hundred_are_met_by_tokens(spark):
+    """Half the union or less may be the same: neighbours tell nothing then."""
+    rows = [(0, words(1, 40)), (1, " ".join(words(1, 40).split()[:26])), (2, words(9, 40))]
+    out = {r.doc_id: r.component_id for r in M.near_groups(spark.createDataFrame(rows, "doc_id long, text string"), shingle=1, percent=40).collect()}
+    assert out == {0: 0, 1: 0, 2: 2}
