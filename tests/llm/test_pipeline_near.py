@@ -68,3 +68,20 @@ def test_stage_large_groups(spark, small, monkeypatch):
         rows.append((i, " ".join(w)))
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     assert sorted(r.doc_id for r in P.ngram_join(spark, docs, small).collect()) == kept(rows)
+
+
+def test_stage_exchanges_near_copies_only(spark, small, monkeypatch):
+    """Unlike texts in which nearly every run of five words stands in others too: no more than the near copies' keys meet."""
+    from geoprofile.llm import ngram_join as M
+    r = random.Random(8)
+    vocabulary = [f"w{k}" for k in range(6)]
+    rows = [(i, " ".join(r.choices(vocabulary, k=200))) for i in range(150)]
+    rows += [(1000 + i, rows[i][1].replace(" ", " edited ", 1)) for i in range(15)]
+    seen = []
+    monkeypatch.setattr(M, "prefix_rows", lambda signed, whole=M.prefix_rows: seen.append(whole(signed)) or seen[0])
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert sorted(x.doc_id for x in P.ngram_join(spark, docs, small).collect()) == kept(rows)
+    found = {}
+    for x in seen[0].collect():
+        found[x.token] = found.get(x.token, 0) + 1
+    assert 2 * 15 <= sum(n for n in found.values() if n > 1) < 3600  # a text has about 80 keys; by single tokens 6,209 rows would meet
